@@ -10,7 +10,18 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 # Daily rows: NULL dates, facility ids, measures and fuels; mixed-case fuels.
 CEMS_DAILY = """
@@ -63,8 +74,8 @@ from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey
 
 
 def register(spark: SparkSession, sf_dir: str) -> None:
-    for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+    for name, schema in TABLES.items():
+        spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
 _SPARK = {"STR": "string", "EACH": "explode", "LIST": "array"}

@@ -69,13 +69,14 @@ def try_date(text: Column) -> Column:
     )
 
 
-def is_bad_date(text: Column) -> Column:
-    """True for text that is there and is not a date. Blank and not-a-time marks count as missing."""
+def is_bad_date(day: Column, text: Column) -> Column:
+    """True where ``text`` is there and ``day``, which ``try_date`` found in it, is not.
+    Blank text and not-a-time marks count as missing."""
     missing = F.lower(F.trim(text)).isin("", "nat", "nan")
-    return F.coalesce(try_date(text).isNull() & ~missing, F.lit(False))
+    return day.isNull() & F.coalesce(~missing, F.lit(False))
 
 
-def strict_date(text: Column) -> Column:
-    """As ``try_date``, but bad text fails the job in any session, ANSI or not."""
+def strict_date(day: Column, text: Column) -> Column:
+    """``day``, but bad text fails the job, in any session, ANSI or not."""
     failure = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")
-    return F.when(is_bad_date(text), failure).otherwise(try_date(text))
+    return F.when(is_bad_date(day, text), failure).otherwise(day)

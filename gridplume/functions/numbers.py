@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Letters and control characters that Spark's parser takes (type suffixes, hexadecimal floats,
-# control characters as blanks) and the wanted number format does not.
-_FOREIGN = r"[dDfFxX\x00-\x08\x0e-\x1f]"
+# Letters of the number formats that Spark's parser takes beyond plain decimals: type suffixes, hexadecimal floats.
+_FOREIGN = "dDfFxX"
 _INFINITY = r"(?i)^[+-]?inf(inity)?$"
+_INF = float("inf")
+
+
+def parsed(text: Column) -> Column:
+    """Text as a double wherever Spark finds one in it; ``plain`` then says which of these count."""
+    return text.try_cast("double")
 
 
-def to_number(text: Column, dtype: T.DataType = T.StringType()) -> Column:
-    """Text as double; text that is no plain decimal number gives NULL, and so does NaN.
+def plain(value: Column, text: Column, dtype: T.DataType) -> Column:
+    """``value``, as ``parsed`` from ``text``, where ``text`` is a plain decimal number; else NULL. NaN is NULL.
 
-    Infinity counts only when spelled out: a decimal too large for a double gives NULL.
-    ``dtype`` is the type of ``text``; a column that is numeric already skips the text rules.
+    Infinity counts only when spelled out: a decimal too large for a double gives NULL. Text of another type
+    than string has no spelling to test. ``value`` should be a column computed before: it occurs more than once
+    here, and Spark would parse the text as often.
     """
-    if isinstance(dtype, T.NumericType):
-        return F.nanvl(text.cast("double"), F.lit(None).cast("double"))
-    value = text.try_cast("double")
-    infinite = F.abs(value) == float("inf")
-    spelled = text.rlike(_INFINITY)
-    return F.when(F.isnan(value), None).when(infinite, F.when(spelled, value)).when(~text.rlike(_FOREIGN), value)
+    if not isinstance(dtype, T.StringType):
+        return F.nanvl(value, F.lit(None).cast("double"))
+    size = F.abs(value)
+    foreign = reduce(lambda found, letter: found | text.contains(letter), _FOREIGN[1:], text.contains(_FOREIGN[0]))
+    spelled_out = size.eqNullSafe(F.lit(_INF)) & text.rlike(_INFINITY)
+    return F.when((size < _INF) & ~foreign, value).when(spelled_out, value)
 
 
 def to_id(value: Column) -> Column:

@@ -34,13 +34,21 @@ def select_rename(df: DataFrame) -> DataFrame:
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
     """Facility id and measures as numbers; what is no number becomes NULL."""
-    return df.withColumns({c: numbers.to_number(F.col(c), df.schema[c].dataType) for c in NUMERIC})
+    # In two steps, so that each text is parsed once.
+    found = df.withColumns({f"_{c}": numbers.parsed(F.col(c)) for c in NUMERIC})
+    types = {c: df.schema[c].dataType for c in NUMERIC}
+    kept = {c: numbers.plain(F.col(f"_{c}"), F.col(c), types[c]) for c in NUMERIC}
+    return found.withColumns(kept).select(*df.columns)
+
+
+def _with_day(df: DataFrame) -> DataFrame:
+    return df.withColumn("_day", dates.try_date(F.col("date").cast("string")))
 
 
 def parse_date(df: DataFrame) -> DataFrame:
     """``date`` as a date. Bad text fails the job."""
-    text = F.col("date").cast("string")
-    return df.withColumn("date", dates.strict_date(text))
+    day = dates.strict_date(F.col("_day"), F.col("date").cast("string"))
+    return _with_day(df).withColumn("date", day).select(*df.columns)
 
 
 def flag_date(df: DataFrame) -> DataFrame:
@@ -48,12 +56,11 @@ def flag_date(df: DataFrame) -> DataFrame:
 
     The backfill uses this form: it fails the chunk that holds the row, not the whole job.
     """
-    text = F.col("date").cast("string")
-    bad = dates.is_bad_date(text)
+    bad = dates.is_bad_date(F.col("_day"), F.col("date").cast("string"))
     if _chunk_month(df):
         month = F.col("chunk_year") * 100 + F.col("chunk_month")
-        bad = bad | F.coalesce(dates.month_number(dates.try_date(text)) != month, F.lit(False))
-    return df.withColumns({"date": dates.try_date(text), "bad_date": bad})
+        bad = bad | F.coalesce(dates.month_number(F.col("_day")) != month, F.lit(False))
+    return _with_day(df).withColumns({"bad_date": bad, "date": F.col("_day")}).select(*df.columns, "bad_date")
 
 
 def measure_float64(df: DataFrame) -> DataFrame:

@@ -14,9 +14,7 @@ _GENERATION = "total_gross_load_mw"
 
 def date_range_filter(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
     """The dashboard's date control; an open end leaves that side unbounded."""
-    if first is None and last is None:
-        return df
-    return in_range(df, first or date(1, 1, 1), last or date(9999, 12, 31))
+    return in_range(df, first, last)
 
 
 def year_of_date(df: DataFrame) -> DataFrame:

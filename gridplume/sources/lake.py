@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridplume.operators.joins import keep_matching
@@ -59,14 +59,17 @@ def month_predicate(months: Iterable[tuple[int, int]]):
     return condition
 
 
-def in_range(df: DataFrame, first: date, last: date) -> DataFrame:
-    """Rows dated ``first`` to ``last``. Stored rows lie in the partition of their date's month, and a filter on
-    the date alone prunes no folder, so the months are named beside it."""
-    condition = F.col("date").between(F.lit(first), F.lit(last))
-    if set(MONTH_KEYS.names) <= set(df.columns):
-        month = F.col("year") * 100 + F.col("month")
-        condition = condition & month.between(first.year * 100 + first.month, last.year * 100 + last.month)
-    return df.where(condition)
+def in_range(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Rows dated ``first`` to ``last``; None leaves an end open. Stored rows lie in the partition of their date's
+    month, and a filter on the date alone prunes no folder, so the months are named beside it."""
+    stored = set(MONTH_KEYS.names) <= set(df.columns)
+    month = F.col("year") * 100 + F.col("month") if stored else None
+    for bound, passes in ((first, Column.__ge__), (last, Column.__le__)):
+        if bound is not None:
+            df = df.where(passes(F.col("date"), F.lit(bound)))
+            if stored:
+                df = df.where(passes(month, F.lit(bound.year * 100 + bound.month)))
+    return df
 
 
 def raw_layout(rows: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Landed readings: the files that a fetch left, one folder per (state, year, month).
 
-Layout: ``<root>/state=TX/year=2024/month=01/[snapshot=<n>/]*``. A re-fetch lands as a new snapshot; files never
-change. A flat folder works too: rows then belong to the month of their date.
+Layout: ``<root>/state=TX/year=2024/month=01/snapshot=<n>/*``. A re-fetch lands as a new snapshot; files never
+change. A landing that is never fetched again may leave out the snapshot level, everywhere. A fetch without rows lands too, as ``[]`` or as one empty line: Spark does not list files of no length.
+A flat folder can be scanned as well: its rows belong to the month of their date.
 """
 
 from __future__ import annotations
@@ -97,9 +98,9 @@ def read_landing(reader: DataFrameReader | DataStreamReader, root: str, fmt: str
 def missing_fields(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
     """Files in which some source field occurs in no record, as (path, field)."""
     if fmt == "json_array":
-        text = spark.read.option("wholetext", True).text(root)
-        keys = F.map_keys(F.explode(F.from_json("value", "array<map<string,string>>")))
-        records = text.select(F.input_file_name().alias("path"), "value").select("path", keys.alias("keys"))
+        text = spark.read.text(root, wholetext=True).withColumn("path", F.input_file_name())
+        record = F.explode(F.from_json("value", "array<map<string,string>>"))
+        records = text.select("path", record.alias("record")).select("path", F.map_keys("record").alias("keys"))
     else:
         text = spark.read.text(root)
         records = text.select(F.input_file_name().alias("path"), F.json_object_keys("value").alias("keys"))
