@@ -15,30 +15,32 @@ BROADCAST_ROWS = 1_000_000
 SALTS = 64
 
 
-def keep_matching(
+def semi_join(
     big: DataFrame,
     small: DataFrame,
     keys: list[str],
+    anti: bool = False,
     null_keys: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of ``big`` whose ``keys`` occur in ``small``; in ``null_keys`` NULL matches NULL.
+    """Rows of ``big`` whose ``keys`` occur in ``small``, or with ``anti`` do not; in ``null_keys`` NULL matches NULL.
 
     ``small`` is computed once into the shared folder and counted. Up to ``broadcast_rows`` rows it is
     broadcast, and ``big`` does not move. Beyond that both sides shuffle on the keys and a salt, so that
     one key with a large share of ``big`` spreads over many tasks.
     """
+    how = "left_anti" if anti else "left_semi"
     small = as_written(small.select(*keys).distinct(), "keys")
     if small.count() <= broadcast_rows:
-        if "year" in keys and "year" not in null_keys:
+        if not anti and "year" in keys and "year" not in null_keys:
             # Spark prunes the folders of ``big`` only when this side is filtered; every year passes.
             small = small.where(F.col("year") > -9999)
-        return big.join(F.broadcast(small), _same(big, small, keys, null_keys), "left_semi")
+        return big.join(F.broadcast(small), _same(big, small, keys, null_keys), how)
     rest = [c for c in big.columns if c not in keys]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(SALTS)).cast("int"))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     matches = _same(salted, spread, keys, null_keys) & (salted["_salt"] == spread["_salt"])
-    return salted.join(spread.hint("merge"), matches, "left_semi").drop("_salt")
+    return salted.join(spread.hint("merge"), matches, how).drop("_salt")
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], null_keys: Sequence[str]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridplume.operators.joins import BROADCAST_ROWS, keep_matching
+from gridplume.operators.joins import BROADCAST_ROWS, semi_join
 from gridplume.schemas import CHUNK
 
 
@@ -20,4 +20,4 @@ def latest_snapshot(
     """
     newest = df.groupBy(*chunk).agg(F.max(stamp).alias(stamp))
     keys = [*chunk, stamp]
-    return keep_matching(df, newest, keys, null_keys=keys, broadcast_rows=broadcast_rows)
+    return semi_join(df, newest, keys, null_keys=keys, broadcast_rows=broadcast_rows)

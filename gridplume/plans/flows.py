@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from gridplume.operators import chunks as ch
 from gridplume.operators import quality
+from gridplume.operators.joins import semi_join
 from gridplume.operators.shaping import daily_rows
 from gridplume.plans import models
 from gridplume.schemas import CHUNK, MONTH_KEYS, STATES
-from gridplume.session import as_written, path_exists
+from gridplume.session import as_written, path_exists, work_folder
 from gridplume.sources import lake
 from gridplume.sources.landing import hourly_scan, landed_files, newest_snapshots
 from gridplume.sources.ledger import append_ledger, attempt_rows, read_ledger
@@ -68,15 +69,16 @@ def backfill(
     because the verdict on a chunk needs all of its rows.
     """
     calendar = ch.backfill_calendar(spark, as_of, start, states)
-    todo = as_written(ch.remaining_chunks(calendar, read_ledger(spark, places.ledger)), "todo")
-    daily = as_written(daily_rows(newest_readings(spark, places, todo), run_ts, flag_dates=True), "daily")
-    counts = daily.groupBy(*CHUNK).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("bad_dates").cast("bigint").alias("bad_dates")
-    )
-    attempts = as_written(attempt_rows(todo, landed_files(spark, places.landing), counts, run_ts), "attempts")
-    bad = attempts.where(F.col("status") == "failed").select(*CHUNK)
-    lake.lake_write(daily.join(bad, CHUNK, "left_anti"), places.lake)
-    append_ledger(attempts, places.ledger)
+    with work_folder(spark, "backfill"):
+        todo = as_written(ch.remaining_chunks(calendar, read_ledger(spark, places.ledger)), "todo")
+        daily = as_written(daily_rows(newest_readings(spark, places, todo), run_ts, flag_dates=True), "daily")
+        counts = daily.groupBy(*CHUNK).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("bad_dates").cast("bigint").alias("bad_dates")
+        )
+        attempts = as_written(attempt_rows(todo, landed_files(spark, places.landing), counts, run_ts), "attempts")
+        bad = attempts.where(F.col("status") == "failed")
+        lake.lake_write(semi_join(daily, bad, CHUNK, anti=True), places.lake)
+        append_ledger(attempts, places.ledger)
     return ch.run_summary(calendar, read_ledger(spark, places.ledger), run_ts)
 
 
@@ -100,13 +102,14 @@ def daily_run(
     keeps its old lake files.
     """
     calendar = ch.lookback_calendar(spark, as_of, states)
-    daily = as_written(daily_rows(newest_readings(spark, places, calendar), run_ts), "daily")
-    if not quality.upload_gate(daily):
-        return False
-    lake.lake_write(daily, places.lake)
-    months = as_written(daily.select(*MONTH_KEYS.names).distinct(), "months")
-    lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
-    refresh_models(spark, places, months, publish_first)
+    with work_folder(spark, "daily"):
+        daily = as_written(daily_rows(newest_readings(spark, places, calendar), run_ts), "daily")
+        if not quality.upload_gate(daily):
+            return False
+        lake.lake_write(daily, places.lake)
+        months = as_written(daily.select(*MONTH_KEYS.names).distinct(), "months")
+        lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
+        refresh_models(spark, places, months, publish_first)
     return True
 
 
@@ -125,25 +128,31 @@ def refresh_models(
     raw = lake.raw_table(spark, places.raw) if first_time else lake.raw_scan_months(spark, places.raw, months)
     store_intermediate(raw, places.intermediate, whole=first_time)
     stored = spark.read.parquet(places.intermediate)
-    stg_rules = quality.RULES["stg_cems_daily"]
-    stg_counts = stored.agg(*[F.sum(f"failures_{i}").alias(f"failures_{i}") for i in range(len(stg_rules))])
-    results = quality.as_report(stg_counts, "stg_cems_daily", stg_rules)
-    staged = {}
-    for name in models.MARTS:
-        mart = models.source_ref(name, {"int_cems_aggregated": stored})
+    with work_folder(spark, "models"):
+        marts = {name: models.source_ref(name, {"int_cems_aggregated": stored}) for name in models.MARTS}
         if publish_first:
-            places.publish(name, mart)
-            staged[name] = spark.table(places.mart(name))
+            for name, mart in marts.items():
+                places.publish(name, mart)
+            marts = {name: spark.table(places.mart(name)) for name in marts}
         else:
-            staged[name] = as_written(mart, name)
-    results = as_written(results.unionByName(quality.report(staged)), "report")
-    quality.quality_gate(results)
-    if not publish_first:
-        for name, mart in staged.items():
-            places.publish(name, mart)
+            marts = {name: as_written(mart, name) for name, mart in marts.items()}
+        # Ten rows: one per test.
+        report = staging_report(stored).unionByName(quality.report(marts))
+        results = spark.createDataFrame(report.collect(), report.schema)
+        quality.quality_gate(results)
+        if not publish_first:
+            for name, mart in marts.items():
+                places.publish(name, mart)
     return results
 
 
+def staging_report(stored: DataFrame) -> DataFrame:
+    """The staging tests, from the failing rows counted beside the stored intermediate rows."""
+    rules = quality.RULES["stg_cems_daily"]
+    names = [f"failures_{i}" for i in range(len(rules))]
+    return quality.as_report(stored.agg(*[F.sum(n).alias(n) for n in names]), "stg_cems_daily", rules)
+
+
 def store_intermediate(raw: DataFrame, path: str, whole: bool) -> None:
     """Intermediate rows by month, with the failing staging rows of each group counted."""
     counts = quality.failure_counts(quality.RULES["stg_cems_daily"])

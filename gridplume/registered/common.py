@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridplume import fixtures as fx
 from gridplume.operators import shaping
-from gridplume.schemas import MEASURES, TOTALS
+from gridplume.schemas import FUEL_LABELS, MEASURES, OTHER_FUEL, TOTALS
 
 RUN_TS = datetime(2024, 3, 5, 6, 0, tzinfo=timezone.utc)
 TOTAL_NAMES = [f"total_{m}" for m in TOTALS]
@@ -109,12 +109,9 @@ def sql_over_time(int_rows: str) -> str:
     return f"select date, state, {_MART_SUMS} from ({int_rows}) group by date, state"
 
 
-# Written from the data model's description of the categories, as plain SQL.
-CATEGORY_SQL = """case when primary_fuel ilike '%natural gas%' then 'Natural Gas'
-  when primary_fuel ilike '%coal%' then 'Coal' when primary_fuel ilike '%oil%' then 'Oil'
-  when primary_fuel ilike '%nuclear%' then 'Nuclear' when primary_fuel ilike '%solar%' then 'Solar'
-  when primary_fuel ilike '%wind%' then 'Wind' when primary_fuel ilike '%biomass%' then 'Biomass'
-  when primary_fuel ilike '%hydro%' then 'Hydro' else 'Other' end"""
+_LABELS = ", ".join(f"'{label}'" for label in FUEL_LABELS)
+CATEGORY_SQL = f"""coalesce(list_filter([{_LABELS}], lambda label: contains(lower(primary_fuel), lower(label)))[1],
+  '{OTHER_FUEL}')"""
 
 
 def sql_by_fuel(int_rows: str) -> str:

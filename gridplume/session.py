@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,7 @@ _SETTINGS = {
 }
 
 _own_dirs: dict[str, str] = {}
+_folder: ContextVar[str | None] = ContextVar("work_folder", default=None)
 
 
 def build_session(name: str = "gridplume", master: str | None = None, **settings: str) -> SparkSession:
@@ -54,8 +58,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/gridplume/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, or in the running job's part of it."""
+    folder = _folder.get() or f"{shared_dir(spark)}/gridplume"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """Work tables made inside are deleted at the end; whatever is read from them must be done by then."""
+    path = work_path(spark, name)
+    token = _folder.set(path)
+    try:
+        yield
+    finally:
+        _folder.reset(token)
+        _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
 
 def as_written(df: DataFrame, name: str) -> DataFrame:
@@ -67,13 +84,12 @@ def as_written(df: DataFrame, name: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a work table of this library; anything outside the work folder is refused."""
-    if not path.startswith(f"{shared_dir(spark)}/gridplume/"):
-        raise ValueError(f"not a work path: {path}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())

@@ -1,0 +1,54 @@
+"""Lakes that other writers filled: ``facility_id`` is an integer in some files and a double in others.
+
+Spark cannot read both kinds in one scan, so each kind is read on its own and cast before the union. Use this once, to
+bring such a lake into the stored schema; files that ``lake_write`` wrote always hold a BIGINT.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gridplume.functions import numbers
+from gridplume.schemas import RAW
+
+_COLUMN = "facility_id"
+
+
+def _read_types(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The column's type in each file, from the file footers."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs, types
+
+    for batch in batches:
+        whole = []
+        for path in batch["path"]:
+            uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and "://" not in path else path
+            system, name = fs.FileSystem.from_uri(uri)
+            whole.append(types.is_integer(pq.read_schema(name, filesystem=system).field(_COLUMN).type))
+        yield pd.DataFrame({"path": batch["path"], "whole": whole})
+
+
+def file_types(spark: SparkSession, root: str) -> DataFrame:
+    """(path, whole): whether the file holds facility ids as integers. Tasks read the footers."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root).select("path")
+    return files.mapInPandas(_read_types, "path string, whole boolean")
+
+
+def raw_scan_mixed(spark: SparkSession, root: str) -> DataFrame:
+    """All daily rows of such a lake, in the stored schema. The driver holds the list of files, as for any scan."""
+    files = file_types(spark, root).collect()
+    parts = []
+    for dtype in (T.LongType(), T.DoubleType()):
+        paths = [f.path for f in files if f.whole == isinstance(dtype, T.LongType)]
+        if paths:
+            schema = T.StructType([T.StructField(f.name, dtype if f.name == _COLUMN else f.dataType) for f in RAW])
+            rows = spark.read.schema(schema).option("basePath", root).parquet(*paths)
+            number = numbers.plain(F.col(_COLUMN).cast("double"), F.col(_COLUMN), dtype)
+            parts.append(rows.withColumn(_COLUMN, numbers.to_id(number)))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RAW)

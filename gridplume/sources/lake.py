@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.operators.joins import keep_matching
+from gridplume.operators.joins import semi_join
 from gridplume.schemas import CHUNK, DAILY, MONTH_KEYS, RAW
 
 _CLUSTER = ["state", "facility_id", "date"]
@@ -41,7 +41,7 @@ def raw_scan_months(spark: SparkSession, root: str, months: Iterable[tuple[int,
     """The daily rows of some months, all states. Only their folders are read; a month without files gives no rows."""
     rows = raw_scan_all(spark, root)
     if isinstance(months, DataFrame):
-        return keep_matching(rows, months, ["year", "month"])
+        return semi_join(rows, months, ["year", "month"])
     return rows.where(month_predicate(months))
 
 

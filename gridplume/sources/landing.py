@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from gridplume.functions import dates
-from gridplume.operators.joins import keep_matching
+from gridplume.operators.joins import semi_join
 from gridplume.operators.shaping import MissingFields
 from gridplume.schemas import CHUNK, HOURLY, SOURCE_FIELDS
 from gridplume.session import path_exists
@@ -83,7 +83,7 @@ def hourly_scan(
         df = df.where(F.col("year") * 100 + F.col("month") <= last)
     if chunks is not None:
         keys = [k for k in _FOLDERS.names if k in chunks.columns]
-        df = keep_matching(df, chunks, keys, null_keys=["snapshot"])
+        df = semi_join(df, chunks, keys, null_keys=["snapshot"])
     return df.select(
         *SOURCE_FIELDS, F.col("state").alias("chunk_state"), F.col("year").alias("chunk_year"),
         F.col("month").alias("chunk_month"), "snapshot",

@@ -19,8 +19,7 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_ledger(attempts: DataFrame, path: str) -> None:
-    # One row per chunk of the calendar: a single small file per run.
-    attempts.select(*LEDGER.names).coalesce(1).write.mode("append").parquet(path)
+    attempts.select(*LEDGER.names).write.mode("append").parquet(path)
 
 
 def attempt_rows(chunks: DataFrame, landed: DataFrame, written: DataFrame, run_ts: datetime) -> DataFrame:

@@ -50,5 +50,4 @@ def daily_stream(spark: SparkSession, landing: str, updates: str, checkpoint: st
 def daily_state(spark: SparkSession, updates: str) -> DataFrame:
     """The daily rows as of the last batch: per key, the sums of the newest batch that changed it."""
     rows = spark.read.parquet(updates)
-    newest = F.max_by(F.struct(*MEASURES), "batch").alias("m")
-    return rows.groupBy(*DAILY_KEYS).agg(newest).select(*DAILY_KEYS, "m.*")
+    return rows.groupBy(*DAILY_KEYS).agg(*[F.max_by(m, "batch").alias(m) for m in MEASURES])

@@ -11,17 +11,18 @@ from pyspark.sql.streaming import StreamingQuery
 from gridplume.operators.shaping import daily_rows
 from gridplume.plans.flows import Places, newest_readings
 from gridplume.schemas import CHUNK, MONTH_KEYS
-from gridplume.session import as_written
+from gridplume.session import as_written, work_folder
 from gridplume.sources import lake
 from gridplume.sources.landing import read_landing
 
 
 def refresh_chunks(spark: SparkSession, places: Places, touched: DataFrame, run_ts: datetime) -> None:
     """Rebuild the touched chunks from their newest snapshots, in the lake and in the raw table."""
-    chunks = as_written(touched.where(F.col("year").isNotNull()).distinct(), "touched")
-    lake.lake_write(daily_rows(newest_readings(spark, places, chunks), run_ts), places.lake)
-    months = chunks.select(*MONTH_KEYS.names).distinct()
-    lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
+    with work_folder(spark, "snapshots"):
+        chunks = as_written(touched.where(F.col("year").isNotNull()).distinct(), "touched")
+        lake.lake_write(daily_rows(newest_readings(spark, places, chunks), run_ts), places.lake)
+        months = chunks.select(*MONTH_KEYS.names).distinct()
+        lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
 
 
 def snapshot_stream(spark: SparkSession, places: Places, checkpoint: str, run_ts: datetime | None = None) -> StreamingQuery:

@@ -1,0 +1,42 @@
+import os
+from datetime import date, datetime, timezone
+
+import pandas as pd
+
+from gridplume.schemas import DAILY, MEASURES
+from gridplume.sources import foreign, lake
+from tests.rows import daily_row
+
+
+def write(root, folder, ids):
+    """A month as a pandas writer leaves it: ids become floats where one is missing."""
+    place = os.path.join(root.removeprefix("file:"), folder)
+    os.makedirs(place, exist_ok=True)
+    rows = pd.DataFrame([{**{k: daily_row()[k] for k in DAILY.names}, "facility_id": i} for i in ids])
+    rows["facility_id"] = pd.to_numeric(rows["facility_id"], errors="coerce")
+    rows["ingested_at"] = pd.Timestamp(datetime(2024, 3, 5, tzinfo=timezone.utc)).as_unit("us")
+    rows.to_parquet(f"{place}/rows.parquet", index=False)
+
+
+def test_integer_and_double_files_come_together(spark, path):
+    root = path("lake")
+    write(root, "state=TX/year=2024/month=01", [1, 2])
+    write(root, "state=TX/year=2024/month=02", [3, None])
+    types = {(p.path.split("month=")[1][:2], p.whole) for p in foreign.file_types(spark, root).collect()}
+    assert types == {("01", True), ("02", False)}
+    rows = foreign.raw_scan_mixed(spark, root)
+    assert sorted((r.month, r.facility_id or 0, r.date) for r in rows.collect()) == [
+        (1, 1, date(2024, 1, 1)), (1, 2, date(2024, 1, 1)), (2, 0, date(2024, 1, 1)), (2, 3, date(2024, 1, 1)),
+    ]
+    assert dict(rows.dtypes)["facility_id"] == "bigint" and dict(rows.dtypes)[MEASURES[0]] == "double"
+    # The import writes over folders of the same names.
+    new = path("lake")
+    lake.lake_write(rows, new)
+    assert lake.raw_scan_all(spark, new).count() == 4
+    assert all("/month=0" in f for f in lake.raw_scan_all(spark, new).inputFiles())
+
+
+def test_a_lake_without_files(spark, path):
+    root = path("lake")
+    os.makedirs(root.removeprefix("file:"))
+    assert foreign.raw_scan_mixed(spark, root).isEmpty()

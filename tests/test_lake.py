@@ -3,7 +3,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from gridplume.operators.joins import keep_matching
+from gridplume.operators.joins import semi_join
 from gridplume.operators.snapshots import latest_snapshot
 from gridplume.plans import models
 from gridplume.session import as_written
@@ -156,7 +156,7 @@ def test_beyond_the_broadcast_bound_a_hot_key_is_salted(spark, setting):
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rows = as_written(many_rows(spark, 50_000), "rows")
     keys = rows.select("state", "year", "month").distinct()
-    kept = keep_matching(rows, keys, ["state", "year", "month"], broadcast_rows=0)
+    kept = semi_join(rows, keys, ["state", "year", "month"], broadcast_rows=0)
     text = plan(kept, "simple")
     assert "Broadcast" not in text and "_salt" in text
     assert kept.count() == 50_000
