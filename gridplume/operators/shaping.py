@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridplume.functions import dates, numbers
@@ -12,16 +13,19 @@ from gridplume.schemas import DAILY_KEYS, MEASURES, RAW, SOURCE_FIELDS
 
 NUMERIC = ["facility_id", *MEASURES]
 
-# The month a landing folder stands for. Present only where the folder names it.
-CHUNK_MONTH = ["chunk_year", "chunk_month"]
+# The chunk that a landing folder stands for. Present only where the folders name it.
+FOLDER = ["chunk_state", "chunk_year", "chunk_month"]
+
+# All bits of ``named`` set; see ``audit``.
+ALL_NAMED = 2 ** len(SOURCE_FIELDS) - 1
 
 
 class MissingFields(ValueError):
     pass
 
 
-def _chunk_month(df: DataFrame) -> list[str]:
-    return [name for name in CHUNK_MONTH if name in df.columns]
+def _folder(df: DataFrame) -> list[str]:
+    return [name for name in FOLDER if name in df.columns]
 
 
 def select_rename(df: DataFrame) -> DataFrame:
@@ -29,7 +33,7 @@ def select_rename(df: DataFrame) -> DataFrame:
     missing = [field for field in SOURCE_FIELDS if field not in df.columns]
     if missing:
         raise MissingFields(f"source fields missing: {', '.join(missing)}")
-    return df.select(*[F.col(f).alias(name) for f, name in SOURCE_FIELDS.items()], *_chunk_month(df))
+    return df.select(*[F.col(f).alias(name) for f, name in SOURCE_FIELDS.items()], *_folder(df))
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
@@ -51,26 +55,31 @@ def parse_date(df: DataFrame) -> DataFrame:
     return _with_day(df).withColumn("date", day).select(*df.columns)
 
 
-def flag_date(df: DataFrame) -> DataFrame:
-    """``date`` as a date, with ``bad_date`` set where the text is bad or lies outside the chunk's month.
+def audit(df: DataFrame) -> DataFrame:
+    """``date`` as a date, and two columns by which a whole chunk can be judged later.
 
-    The backfill uses this form: it fails the chunk that holds the row, not the whole job.
+    ``bad``: the date is no date, or the row belongs to another chunk than its folder. ``named``: one bit per
+    source field, set where the field has a value; a chunk in which a bit is never set may lack the field.
     """
+    bits = [F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(SOURCE_FIELDS.values())]
     bad = dates.is_bad_date(F.col("_day"), F.col("date").cast("string"))
-    if _chunk_month(df):
+    if _folder(df) == FOLDER:
         month = F.col("chunk_year") * 100 + F.col("chunk_month")
-        bad = bad | F.coalesce(dates.month_number(F.col("_day")) != month, F.lit(False))
-    return _with_day(df).withColumns({"bad_date": bad, "date": F.col("_day")}).select(*df.columns, "bad_date")
+        elsewhere = (dates.month_number(F.col("_day")) != month) | (F.col("state") != F.col("chunk_state"))
+        bad = bad | F.coalesce(elsewhere, F.lit(False))
+    marked = _with_day(df).withColumns({"bad": bad, "named": reduce(Column.__add__, bits)})
+    return marked.withColumn("date", F.col("_day")).drop("_day")
 
 
 def measure_float64(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in MEASURES})
 
 
-def shape_hourly(df: DataFrame, flag_dates: bool = False) -> DataFrame:
-    """Landed readings, typed."""
-    typed = coerce_numeric(select_rename(df))
-    return measure_float64(flag_date(typed) if flag_dates else parse_date(typed))
+def shape_hourly(df: DataFrame, audited: bool = False) -> DataFrame:
+    """Landed readings, typed. With ``audited`` a bad row is marked, else it fails the job."""
+    renamed = select_rename(df)
+    dated = audit(renamed) if audited else parse_date(renamed)
+    return measure_float64(coerce_numeric(dated))
 
 
 def hourly_to_daily(df: DataFrame) -> DataFrame:
@@ -80,9 +89,9 @@ def hourly_to_daily(df: DataFrame) -> DataFrame:
     sends one row per task and key into the shuffle.
     """
     sums = [numbers.zero_if_null(F.sum(c)).alias(c) for c in MEASURES]
-    if "bad_date" in df.columns:
-        sums.append(F.count_if("bad_date").alias("bad_dates"))
-    daily = df.groupBy(*DAILY_KEYS, *_chunk_month(df)).agg(*sums)
+    if "bad" in df.columns:
+        sums += [F.count_if("bad").alias("bad_rows"), F.bit_or("named").alias("named")]
+    daily = df.groupBy(*DAILY_KEYS, *_folder(df)).agg(*sums)
     return measure_float64(daily)
 
 
@@ -92,16 +101,17 @@ def stamp_ingested_at(df: DataFrame, run_ts: datetime) -> DataFrame:
 
 
 def to_raw_rows(df: DataFrame) -> DataFrame:
-    """Daily rows in the stored schema. A row belongs to its chunk's month, else to its date's."""
+    """Daily rows in the stored schema. A row belongs to its chunk's month, else to its date's.
+    What an audit needs stays beside it."""
     year, month = F.year("date"), F.month("date")
-    if _chunk_month(df):
+    if _folder(df):
         year, month = F.coalesce("chunk_year", year), F.coalesce("chunk_month", month)
     rows = df.withColumns({"facility_id": numbers.to_id(F.col("facility_id")), "year": year, "month": month})
-    extra = ["bad_dates"] if "bad_dates" in df.columns else []
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW], *extra)
+    beside = [c for c in ["chunk_state", "bad_rows", "named"] if "named" in df.columns and c in df.columns]
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW], *beside)
 
 
-def daily_rows(hourly: DataFrame, run_ts: datetime, flag_dates: bool = False) -> DataFrame:
+def daily_rows(hourly: DataFrame, run_ts: datetime, audited: bool = False) -> DataFrame:
     """Landed readings to stored daily rows: shape, roll up, stamp."""
-    daily = hourly_to_daily(shape_hourly(hourly, flag_dates))
+    daily = hourly_to_daily(shape_hourly(hourly, audited))
     return to_raw_rows(stamp_ingested_at(daily, run_ts))

@@ -6,18 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from gridplume.functions.dates import chunk_path
 from gridplume.operators import chunks as ch
 from gridplume.operators import quality
 from gridplume.operators.joins import semi_join
-from gridplume.operators.shaping import daily_rows
+from gridplume.operators.shaping import ALL_NAMED, daily_rows
 from gridplume.plans import models
 from gridplume.schemas import CHUNK, MONTH_KEYS, STATES
 from gridplume.session import as_written, path_exists, work_folder
 from gridplume.sources import lake
-from gridplume.sources.landing import hourly_scan, landed_files, newest_snapshots
+from gridplume.sources.landing import hourly_scan, landed_files, missing_fields, newest_snapshots
 from gridplume.sources.ledger import append_ledger, attempt_rows, read_ledger
 
 
@@ -48,12 +49,38 @@ class Places:
         return cls(*[f"{root}/{n}" for n in names], marts, landing_format, f"{root}/marts")
 
 
+class BadChunks(ValueError):
+    pass
+
+
 def newest_readings(spark: SparkSession, places: Places, chunks: DataFrame) -> DataFrame:
     """The landed readings of some chunks, each chunk by its newest snapshot."""
     newest = newest_snapshots(landed_files(spark, places.landing), chunks)
     return hourly_scan(spark, places.landing, places.landing_format, chunks=newest)
 
 
+def verdicts(spark: SparkSession, places: Places, daily: DataFrame) -> DataFrame:
+    """(state, year, month, rows, bad) of each chunk with rows. Bad: a row has a bad date or belongs to another
+    chunk, or no record names some source field.
+
+    Only chunks in which a field never has a value are read again, to tell a missing field from nulls.
+    """
+    counts = as_written(
+        daily.groupBy(F.col("chunk_state").alias("state"), "year", "month").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("bad_rows").alias("bad_rows"), F.bit_or("named").alias("named")
+        ),
+        "counts",
+    )
+    judged = counts.select(*CHUNK, "rows", (F.col("bad_rows") > 0).alias("bad"))
+    doubtful = counts.where(F.col("named") != ALL_NAMED)
+    if places.landing_format == "parquet" or doubtful.isEmpty():
+        return judged
+    newest = newest_snapshots(landed_files(spark, places.landing), doubtful)
+    missing = missing_fields(spark, places.landing, places.landing_format, newest).select(*CHUNK).distinct()
+    lacks = judged.join(missing.withColumn("lacks", F.lit(True)), CHUNK, "left")
+    return lacks.select(*CHUNK, "rows", (F.col("bad") | F.coalesce("lacks", F.lit(False))).alias("bad"))
+
+
 def backfill(
     spark: SparkSession,
     places: Places,
@@ -64,20 +91,19 @@ def backfill(
 ) -> DataFrame:
     """Bring every unfinished chunk from ``start`` on into the lake; returns the run's summary.
 
-    All chunks run as one job. A chunk with a bad date, or without a landed file, is entered as failed and
-    tried again by the next run; the others are written. The daily rows are written to the work folder once,
-    because the verdict on a chunk needs all of its rows.
+    All chunks run as one job. A bad chunk, or one without a landed file, is entered as failed and tried again by
+    the next run; the others are written. The daily rows are written to the work folder once, because the verdict
+    on a chunk needs all of its rows.
     """
     calendar = ch.backfill_calendar(spark, as_of, start, states)
     with work_folder(spark, "backfill"):
         todo = as_written(ch.remaining_chunks(calendar, read_ledger(spark, places.ledger)), "todo")
-        daily = as_written(daily_rows(newest_readings(spark, places, todo), run_ts, flag_dates=True), "daily")
-        counts = daily.groupBy(*CHUNK).agg(
-            F.count(F.lit(1)).alias("rows"), F.sum("bad_dates").cast("bigint").alias("bad_dates")
-        )
-        attempts = as_written(attempt_rows(todo, landed_files(spark, places.landing), counts, run_ts), "attempts")
-        bad = attempts.where(F.col("status") == "failed")
-        lake.lake_write(semi_join(daily, bad, CHUNK, anti=True), places.lake)
+        daily = as_written(daily_rows(newest_readings(spark, places, todo), run_ts, audited=True), "daily")
+        judged = verdicts(spark, places, daily)
+        attempts = as_written(attempt_rows(todo, landed_files(spark, places.landing), judged, run_ts), "attempts")
+        failed = attempts.where(F.col("status") == "failed").withColumnRenamed("state", "chunk_state")
+        good = semi_join(daily, failed, ["chunk_state", "year", "month"], anti=True)
+        lake.lake_write(good, places.lake)
         append_ledger(attempts, places.ledger)
     return ch.run_summary(calendar, read_ledger(spark, places.ledger), run_ts)
 
@@ -95,22 +121,29 @@ def daily_run(
     run_ts: datetime,
     states: Sequence[str] = STATES,
     publish_first: bool = False,
-) -> bool:
+) -> list[Row]:
     """Fetch the look-back months again, replace them in lake and raw table, rebuild the models.
 
-    Returns False, and touches nothing, when nothing was landed for those months. A state without new rows
-    keeps its old lake files.
+    Returns (chunk_path, rows) of the chunks it loaded. The list is empty, and nothing is touched, when nothing has
+    landed for those months. A state without new rows keeps its old lake files. A bad chunk stops the run before
+    it writes.
     """
     calendar = ch.lookback_calendar(spark, as_of, states)
     with work_folder(spark, "daily"):
-        daily = as_written(daily_rows(newest_readings(spark, places, calendar), run_ts), "daily")
+        daily = as_written(daily_rows(newest_readings(spark, places, calendar), run_ts, audited=True), "daily")
         if not quality.upload_gate(daily):
-            return False
+            return []
+        # At most one row per state and look-back month.
+        judged = verdicts(spark, places, daily).orderBy(*CHUNK)
+        path = chunk_path(*[F.col(c) for c in CHUNK]).alias("chunk_path")
+        chunks = judged.select(path, "rows", "bad").collect()
+        if any(c.bad for c in chunks):
+            raise BadChunks("bad dates, misplaced rows or missing fields: " + ", ".join(c.chunk_path for c in chunks if c.bad))
         lake.lake_write(daily, places.lake)
         months = as_written(daily.select(*MONTH_KEYS.names).distinct(), "months")
         lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
         refresh_models(spark, places, months, publish_first)
-    return True
+    return [Row(chunk_path=c.chunk_path, rows=c.rows) for c in chunks]
 
 
 def refresh_models(

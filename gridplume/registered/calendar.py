@@ -99,10 +99,10 @@ def sorted_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_chunk_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statuses over the calendar, for files landed in every month but May, of which some hold no row."""
+    """Statuses over the calendar, if files landed in every month but May, April's hold no row and February's are bad."""
     calendar = chunk_calendar(spark, sf_dir)
-    written = _row_chunks(spark, sf_dir).where("month <> 4").withColumn("bad_dates", F.when(F.col("month") == 2, 1).otherwise(0))
-    attempts = led.attempt_rows(calendar, calendar.where("month <> 5"), written, _SECOND_RUN)
+    judged = _row_chunks(spark, sf_dir).where("month <> 4").withColumn("bad", F.col("month") == 2)
+    attempts = led.attempt_rows(calendar, calendar.where("month <> 5"), judged, _SECOND_RUN)
     return attempts.select("chunk_key", "status", "rows")
 
 

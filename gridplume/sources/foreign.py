@@ -49,6 +49,8 @@ def raw_scan_mixed(spark: SparkSession, root: str) -> DataFrame:
         if paths:
             schema = T.StructType([T.StructField(f.name, dtype if f.name == _COLUMN else f.dataType) for f in RAW])
             rows = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-            number = numbers.plain(F.col(_COLUMN).cast("double"), F.col(_COLUMN), dtype)
-            parts.append(rows.withColumn(_COLUMN, numbers.to_id(number)))
+            if isinstance(dtype, T.DoubleType):
+                known = numbers.plain(F.col(_COLUMN), F.col(_COLUMN), dtype)
+                rows = rows.withColumn(_COLUMN, numbers.to_id(known))
+            parts.append(rows)
     return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RAW)

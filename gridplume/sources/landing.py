@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
@@ -45,10 +45,7 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
     if not path_exists(spark, root):
         return spark.createDataFrame([], T.StructType([*_FOLDERS.fields, *_FILE.fields]))
     files = spark.read.format("binaryFile").load(root)
-    folders = [
-        (F.col(f.name) if f.name in files.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in _FOLDERS
-    ]
-    return files.select(*folders, *_FILE.names)
+    return files.select(*_folder_columns(files), *_FILE.names)
 
 
 def newest_snapshots(files: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -69,7 +66,7 @@ def hourly_scan(
 
     ``as_of`` keeps months completed before that day; ``chunks`` keeps the listed (state, year, month), and of
     them the listed ``snapshot`` if there is such a column. Both reach the scan as partition filters.
-    ``strict_fields`` reads the landing once more to prove that every file names all 12 fields.
+    ``strict_fields`` reads the whole landing once more to prove that every chunk names all 12 fields.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
@@ -95,20 +92,29 @@ def read_landing(reader: DataFrameReader | DataStreamReader, root: str, fmt: str
     return reader.parquet(root) if fmt == "parquet" else reader.option("multiLine", fmt == "json_array").json(root)
 
 
-def missing_fields(spark: SparkSession, root: str, fmt: str = "json") -> DataFrame:
-    """Files in which some source field occurs in no record, as (path, field)."""
+def missing_fields(spark: SparkSession, root: str, fmt: str = "json", chunks: DataFrame | None = None) -> DataFrame:
+    """(state, year, month, field): source fields that no record of a chunk names, not even with a null.
+    ``chunks`` as for ``hourly_scan``."""
+    text = spark.read.text(root, wholetext=fmt == "json_array")
+    text = text.select(*_folder_columns(text), "value")
+    if chunks is not None:
+        keys = [k for k in _FOLDERS.names if k in chunks.columns]
+        text = semi_join(text, chunks, keys, null_keys=["snapshot"])
     if fmt == "json_array":
-        text = spark.read.text(root, wholetext=True).withColumn("path", F.input_file_name())
-        record = F.explode(F.from_json("value", "array<map<string,string>>"))
-        records = text.select("path", record.alias("record")).select("path", F.map_keys("record").alias("keys"))
+        records = text.select(*CHUNK, F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"))
+        records = records.select(*CHUNK, F.map_keys("record").alias("keys"))
     else:
-        text = spark.read.text(root)
-        records = text.select(F.input_file_name().alias("path"), F.json_object_keys("value").alias("keys"))
-    seen = records.groupBy("path").agg(
-        *[F.bool_or(F.array_contains("keys", field)).alias(field) for field in SOURCE_FIELDS]
+        records = text.where("trim(value) <> ''").select(*CHUNK, F.json_object_keys("value").alias("keys"))
+    seen = records.groupBy(*CHUNK).agg(
+        *[F.bool_or(F.array_contains("keys", field)).alias(f"has_{field}") for field in SOURCE_FIELDS]
     )
-    absent = F.array(*[F.when(~F.col(field), F.lit(field)) for field in SOURCE_FIELDS])
-    return seen.select("path", F.explode(F.array_compact(absent)).alias("field"))
+    absent = F.array(*[F.when(~F.col(f"has_{field}"), F.lit(field)) for field in SOURCE_FIELDS])
+    return seen.select(*CHUNK, F.explode(F.array_compact(absent)).alias("field"))
+
+
+def _folder_columns(df: DataFrame) -> list[Column]:
+    """The landing folder's keys, NULL where the landing has no such level."""
+    return [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in _FOLDERS]
 
 
 def _refuse_missing_fields(spark: SparkSession, root: str, fmt: str) -> None:

@@ -22,18 +22,16 @@ def append_ledger(attempts: DataFrame, path: str) -> None:
     attempts.select(*LEDGER.names).write.mode("append").parquet(path)
 
 
-def attempt_rows(chunks: DataFrame, landed: DataFrame, written: DataFrame, run_ts: datetime) -> DataFrame:
+def attempt_rows(chunks: DataFrame, landed: DataFrame, verdicts: DataFrame, run_ts: datetime) -> DataFrame:
     """What became of each chunk.
 
-    ``failed``: nothing landed, or a row has a bad date. ``empty``: files landed without a row. ``ok``: the rest.
-    ``landed`` lists the chunks with files; ``written`` has (state, year, month, rows, bad_dates) per chunk.
+    ``failed``: nothing landed, or what landed is bad. ``empty``: files landed without a row. ``ok``: the rest.
+    ``landed`` lists the chunks with files; ``verdicts`` has (state, year, month, rows, bad) per chunk with rows.
     """
     files = landed.select(*CHUNK).distinct().withColumn("has_files", F.lit(True))
-    joined = chunks.join(files, CHUNK, "left").join(written, CHUNK, "left")
+    joined = chunks.join(files, CHUNK, "left").join(verdicts, CHUNK, "left")
     status = (
-        F.when(F.col("has_files").isNull() | (F.col("bad_dates") > 0), "failed")
-        .when(F.col("rows").isNull(), "empty")
-        .otherwise("ok")
+        F.when(F.col("has_files").isNull() | F.col("bad"), "failed").when(F.col("rows").isNull(), "empty").otherwise("ok")
     )
     rows = F.when(status == "ok", F.col("rows")).otherwise(F.lit(0)).cast("bigint")
     stamp = F.lit(run_ts).cast("timestamp")

@@ -115,7 +115,7 @@ def test_ledger_round_trip(spark, path):
     calendar = chunks.chunk_calendar(chunks.states_frame(spark, ["TX"]), F.lit(date(2024, 1, 1)), F.lit(date(2024, 4, 1)))
     landed = calendar.where("month <> 4")
     written = spark.createDataFrame(
-        [("TX", 2024, 1, 10, 0), ("TX", 2024, 3, 4, 1)], "state string, year int, month int, rows long, bad_dates long"
+        [("TX", 2024, 1, 10, False), ("TX", 2024, 3, 4, True)], "state string, year int, month int, rows long, bad boolean"
     )
     attempts = attempt_rows(calendar, landed, written, datetime(2024, 6, 1))
     for _ in range(2):

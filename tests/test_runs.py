@@ -98,6 +98,22 @@ def test_months_outside_the_window_keep_their_marts(spark, places):
     assert as_set(spark.table(places.mart("mart_emissions_by_fuel"))) == full
 
 
+def test_a_chunk_that_lacks_a_field_is_bad_and_one_with_nulls_is_not(spark, places):
+    short = {k: v for k, v in reading().items() if k != "stateCode"}
+    nulls = [reading(stateCode="AK", unitType=None), reading(stateCode="AK", unitType=None, co2Mass=None)]
+    land_array(places.landing, "state=TX/year=2024/month=1/snapshot=1", [short], lines=True)
+    land_array(places.landing, "state=AK/year=2024/month=1/snapshot=1", nulls, lines=True)
+    assert flows.backfill(spark, places, date(2024, 2, 10), RUN_TS, date(2024, 1, 1), STATES).first().failed == 1
+    assert statuses(spark, places, RUN_TS) == {"AK-2024-01": ("ok", 1), "TX-2024-01": ("failed", 0)}
+    with pytest.raises(flows.BadChunks, match="state=TX"):
+        flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)
+    land_array(places.landing, "state=TX/year=2024/month=1/snapshot=2", [reading()], lines=True)
+    loaded = flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)
+    assert [(c.chunk_path, c.rows) for c in loaded] == [
+        ("state=AK/year=2024/month=01", 1), ("state=TX/year=2024/month=01", 1),
+    ]
+
+
 def test_nothing_landed_skips_load_and_models(spark, places):
     assert not flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)
     land(spark, places, reading(date="2020-01-01"))
@@ -108,7 +124,7 @@ def test_nothing_landed_skips_load_and_models(spark, places):
 def test_bad_date_stops_a_daily_run_before_it_writes(spark, places):
     land(spark, places, reading(stateCode="AK"))
     land_array(places.landing, "state=TX/year=2024/month=1", [reading(date="oops")], lines=True)
-    with pytest.raises(Exception, match="not a date"):
+    with pytest.raises(flows.BadChunks, match="state=TX/year=2024/month=01"):
         flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)
     assert not path_exists(spark, places.lake)
 

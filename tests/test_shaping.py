@@ -52,16 +52,25 @@ def test_extra_fields_are_dropped(spark):
 
 
 def test_missing_date_stays_in_its_chunk(spark):
-    rows = hourly(spark, reading(date=None)).withColumns({"chunk_year": F.lit(2024), "chunk_month": F.lit(2)})
+    rows = hourly(spark, reading(date=None)).withColumns({"chunk_state": F.lit("TX"), "chunk_year": F.lit(2024), "chunk_month": F.lit(2)})
     row = shaping.daily_rows(rows, RUN_TS).first()
     assert (row.date, row.year, row.month) == (None, 2024, 2)
 
 
-def test_flags_bad_and_misplaced_dates(spark):
-    rows = hourly(spark, reading(), reading(date="2024-02-01"), reading(date="oops"), reading(date=None))
-    rows = rows.withColumns({"chunk_year": F.lit(2024), "chunk_month": F.lit(1)})
-    flagged = shaping.daily_rows(rows, RUN_TS, flag_dates=True)
-    assert {(r.date, r.bad_dates) for r in flagged.collect()} == {(date(2024, 1, 1), 0), (date(2024, 2, 1), 1), (None, 1)}
+def test_audit_marks_bad_and_misplaced_rows(spark):
+    rows = hourly(
+        spark, reading(), reading(date="2024-02-01"), reading(date="oops"), reading(date=None, grossLoad=None),
+        reading(stateCode="AK"), reading(stateCode=None),
+    )
+    folder = {"chunk_state": F.lit("TX"), "chunk_year": F.lit(2024), "chunk_month": F.lit(1)}
+    audited = shaping.shape_hourly(rows.withColumns(folder), audited=True)
+    assert [(r.state, r.date, r.bad) for r in audited.collect()] == [
+        ("TX", date(2024, 1, 1), False), ("TX", date(2024, 2, 1), True), ("TX", None, True), ("TX", None, False),
+        ("AK", date(2024, 1, 1), True), (None, date(2024, 1, 1), False),
+    ]
+    assert audited.collect()[3].named == shaping.ALL_NAMED - (1 << 4) - (1 << 5), "no fifth and no sixth field"
+    daily = shaping.daily_rows(rows.withColumns(folder), RUN_TS, audited=True)
+    assert daily.agg(F.sum("bad_rows"), F.bit_or("named")).first()[:] == (3, shaping.ALL_NAMED)
 
 
 def test_stored_rows_have_the_stored_schema_and_one_stamp(spark):
