@@ -98,9 +98,11 @@ def project(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def land(readings: DataFrame, root: str, mode: str = "append") -> None:
-    """Write readings as JSON lines into landing folders. ``readings`` has the 12 fields and the folder keys."""
+    """Write readings as JSON lines into landing folders. ``readings`` has the 12 fields and the folder keys.
+    Nulls are written out: a field that no record names counts as missing."""
     keys = [k for k in ["state", "year", "month", "snapshot"] if k in readings.columns]
-    readings.hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(*keys).mode(mode).json(root)
+    rows = readings.hint("rebalance", *[F.col(k) for k in keys])
+    rows.write.partitionBy(*keys).mode(mode).option("ignoreNullFields", False).json(root)
 
 
 def with_folders(readings: DataFrame) -> DataFrame:
