@@ -20,7 +20,8 @@ def states_frame(spark: SparkSession, states: Sequence[str] = STATES) -> DataFra
 
 def chunk_calendar(states: DataFrame, first: Column, last: Column) -> DataFrame:
     """Every state with every month from ``first`` to ``last``. The months are exploded per state; nothing joins."""
-    months = states.select("state", F.explode(dates.month_range(dates.month_start(first), dates.month_start(last))).alias("m"))
+    every_month = dates.month_range(dates.month_start(first), dates.month_start(last))
+    months = states.select("state", F.explode(every_month).alias("m"))
     return with_key(months.select("state", F.year("m").alias("year"), F.month("m").alias("month")))
 
 

@@ -137,8 +137,9 @@ def daily_run(
         judged = verdicts(spark, places, daily).orderBy(*CHUNK)
         path = chunk_path(*[F.col(c) for c in CHUNK]).alias("chunk_path")
         chunks = judged.select(path, "rows", "bad").collect()
-        if any(c.bad for c in chunks):
-            raise BadChunks("bad dates, misplaced rows or missing fields: " + ", ".join(c.chunk_path for c in chunks if c.bad))
+        bad = [c.chunk_path for c in chunks if c.bad]
+        if bad:
+            raise BadChunks(f"bad dates, misplaced rows or missing fields: {', '.join(bad)}")
         lake.lake_write(daily, places.lake)
         months = as_written(daily.select(*MONTH_KEYS.names).distinct(), "months")
         lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)

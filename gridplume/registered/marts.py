@@ -141,7 +141,8 @@ ORACLE = {
     "date_range_filter": c.sql_round_all(f"select * from ({c.OVER_TIME_SQL}) where {_range}", c.TOTAL_NAMES),
     "year_of_date": f"select cast(year(date) as int) as year, count(*) as n from ({c.OVER_TIME_SQL}) group by 1",
     "tile_daily_generation": f"select date, {_gen} from ({c.OVER_TIME_SQL}) group by date",
-    "tile_daily_generation_by_state": f"select date, state, {_gen} from ({c.OVER_TIME_SQL}) where {_range} group by date, state",
+    "tile_daily_generation_by_state": f"""select date, state, {_gen} from ({c.OVER_TIME_SQL}) where {_range}
+      group by date, state""",
     "tile_yearly_fuel_mix": _mix,
     "fuel_share": f"""select *, round(total_gross_load_mw / nullif(sum(total_gross_load_mw) over (partition by year), 0), 8)
       + 0.0 as share from ({_mix})""",

@@ -74,7 +74,7 @@ def load_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per month, and files in which a row group could not be skipped by state because the file is unsorted."""
+    """Rows and states per month of the laid-out table."""
     root, table = _lake(spark, c.cems_daily(spark, sf_dir)), work_path(spark, "raw")
     lake.load_truncate(lake.raw_scan_all(spark, root), table)
     return lake.raw_table(spark, table).groupBy("year", "month").agg(

@@ -1,8 +1,9 @@
 """Landed readings: the files that a fetch left, one folder per (state, year, month).
 
-Layout: ``<root>/state=TX/year=2024/month=01/snapshot=<n>/*``. A re-fetch lands as a new snapshot; files never
-change. A landing that is never fetched again may leave out the snapshot level, everywhere. A fetch without rows lands too, as ``[]`` or as one empty line: Spark does not list files of no length.
-A flat folder can be scanned as well: its rows belong to the month of their date.
+Layout: ``<root>/state=TX/year=2024/month=01/snapshot=<n>/*``. A re-fetch lands as a new snapshot; files never change.
+A landing that is never fetched again may leave out the snapshot level, everywhere. A fetch without rows lands too, as
+``[]`` or as one empty line: Spark does not list files of no length. A flat folder can be scanned as well: its rows
+belong to the month of their date.
 """
 
 from __future__ import annotations

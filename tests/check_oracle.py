@@ -46,8 +46,8 @@ def compare(spark, con, name, query, sql, sf_dir) -> list[str]:
     problems = []
     if sorted(df.columns) != sorted(columns):
         problems.append(f"columns {sorted(df.columns)} != {sorted(columns)}")
-    types = dict(zip(columns, [str(t) for t in result.description and con.execute(f"describe {sql}").fetchnumpy()["column_type"]]))
-    if "HUGEINT" in types.values():
+    types = [row[:2] for row in con.execute(f"describe {sql}").fetchall()]
+    if "HUGEINT" in dict(types).values():
         problems.append(f"HUGEINT in {types}")
     if got != want:
         problems.append(f"{sum(got.values())} rows vs {sum(want.values())}; only spark {list((got - want).items())[:2]}; "
