@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import exact_dedup
+from gridplume.llm import exact_dedup, mixing
 from gridplume.llm.common import table
 
 
@@ -22,5 +22,67 @@ from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 window same as (partition by content)
 """
 
-QUERIES = {"op6_exact_dedup": op6_exact_dedup}
-ORACLE = {"op6_exact_dedup": OP6_SQL}
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+OP2_SQL = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    md5('mix|' || coalesce(cast(doc_id as varchar), '')) as key
+  from documents),
+ranked as (
+  select *, cast([5, 2, 1][(ix - 1) % 3 + 1] as bigint) as weight, source_size * 3 as most
+  from (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) as ix
+    from sized group by source)),
+levels as (
+  select *, cast(sum(source_size) over () - (sum(most) over before - most) as bigint)
+    / cast(sum(weight) over (order by most / weight, ix rows between current row and unbounded following) as bigint) as level
+  from ranked
+  window before as (order by most / weight, ix rows between unbounded preceding and current row)),
+targets as (
+  select *, cast(floor(target) as bigint) as words
+  from (select *, least(cast(most as double), max(level) over () * weight) as target from levels)),
+stretches as (
+  select *, coalesce(lag(high) over (order by ix), 0) as low
+  from (select ix, cast(floor(cast(sum(words) over (order by ix rows between unbounded preceding and current row) as bigint)
+      / cast(sum(words) over () as bigint) * 2147483648.0) as bigint) as high
+    from targets where words > 0)),
+points as (
+  select slot, ((slot + 1) % 2147483648) * 1327217885 % 2147483648 as u
+  from (select unnest(range(cast((sum(size) + 128) // 256 as bigint))) as slot from sized)),
+mapped as (
+  select slot, ix, row_number() over (partition by ix order by slot) - 1 as rank
+  from points join stretches on u >= low and u < high),
+slots as (
+  select ix, rank from mapped
+  union all select ix, 0 from targets where words > 0 and ix not in (select ix from mapped)),
+sources as (
+  select targets.*, least(coalesce(n, 0), words) as n
+  from targets left join (select ix, count(*) as n from slots group by ix) using (ix)),
+rows as (
+  select doc_id, size, s.*, row_number() over () as row_id,
+    cast(sum(size) over (partition by s.ix order by key, doc_id nulls first, size rows between unbounded preceding and current row)
+      as bigint) - size as start
+  from sized d join sources s on d.source is not distinct from s.source),
+passes as (
+  select *, pass * source_size + start as low, least(pass * source_size + start + size, words) as high,
+    words // n as base, words % n as more
+  from (select *, unnest(range((words - 1) // source_size + 1)) as pass from rows where size > 0 and n > 0)),
+cut as (
+  select row_id, ix, unnest(range(
+      case when low < more * (base + 1) then low // (base + 1) else more + (low - more * (base + 1)) // base end,
+      case when high - 1 < more * (base + 1) then (high - 1) // (base + 1)
+        else more + (high - 1 - more * (base + 1)) // base end + 1)) as rank,
+    low, high, base, more
+  from passes where low < high),
+pieces as (
+  select row_id, least(high, (rank + 1) * base + least(rank + 1, more)) - greatest(low, rank * base + least(rank, more)) as piece
+  from cut join slots using (ix, rank))
+select doc_id, size, source, source_size, target, cast(coalesce(taken, 0) as bigint) as taken
+from rows left join (select row_id, sum(piece) as taken from pieces group by row_id) using (row_id)
+"""
+
+QUERIES = {"op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
+ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
