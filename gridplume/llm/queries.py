@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import exact_dedup, mixing
+from gridplume.llm import exact_dedup, mixing, toxicity_crf
 from gridplume.llm.common import table
 
 
@@ -84,5 +84,11 @@ select doc_id, size, source, source_size, target, cast(coalesce(taken, 0) as big
 from rows left join (select row_id, sum(piece) as taken from pieces group by row_id) using (row_id)
 """
 
-QUERIES = {"op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
 ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
