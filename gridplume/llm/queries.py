@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import exact_dedup, mixing, toxicity_crf
+from gridplume.llm import dart_minhash, exact_dedup, mixing, toxicity_crf
 from gridplume.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dart_minhash.classes(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "class_id", "group_size", "kept")
+
+
 OP6_SQL = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(content) as text_sha256
@@ -90,5 +95,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
+QUERIES = {"op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
 ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
