@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import dart_minhash, exact_dedup, mixing, toxicity_crf
+from gridplume.llm import dart_minhash, decontaminate, exact_dedup, mixing, toxicity_crf
 from gridplume.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "class_id", "group_size", "kept")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 OP6_SQL = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(content) as text_sha256
@@ -95,5 +100,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
+QUERIES = {"op3_decontamination": op3_decontamination, "op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
 ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
