@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import dart_minhash, decontaminate, exact_dedup, mixing, toxicity_crf
+from gridplume.llm import dart_minhash, decontaminate, exact_dedup, mixing, token_count, toxicity_crf
 from gridplume.llm.common import table
 
 
@@ -24,6 +24,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = token_count.counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 OP6_SQL = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(content) as text_sha256
@@ -100,5 +107,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
+QUERIES = {"op5_token_counts": op5_token_counts, "op3_decontamination": op3_decontamination, "op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
 ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
