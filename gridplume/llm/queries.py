@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import dart_minhash, decontaminate, exact_dedup, html_blocks, language_id, mixing, pii_anchors, token_count, toxicity_crf
+from gridplume.llm import dart_minhash, decontaminate, exact_dedup, html_blocks, language_id, mixing, pii_anchors, secret_scan, token_count, toxicity_crf
 from gridplume.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "page_id")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 OP6_SQL = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   doc_id = max(doc_id) over same as kept, sha256(content) as text_sha256
@@ -120,5 +124,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op10_language_id": op10_language_id, "op8_personal_data": op8_personal_data, "op7_html_text": op7_html_text, "op5_token_counts": op5_token_counts, "op3_decontamination": op3_decontamination, "op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
+QUERIES = {"op4_secret_scan": op4_secret_scan, "op10_language_id": op10_language_id, "op8_personal_data": op8_personal_data, "op7_html_text": op7_html_text, "op5_token_counts": op5_token_counts, "op3_decontamination": op3_decontamination, "op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
 ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
