@@ -30,7 +30,7 @@ _NAMED = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]
 #: Runs of 12 or more key characters with a digit; values of 6 or more characters assigned to a telling name.
 CANDIDATE = (
     rf"(?<!{_KEY})(?=[A-Za-z+/_\-]*+[0-9]){_KEY}{{12,}}={{0,2}}"
-    rf"|(?i)(?<={_NAMED}[\"']?[=:][\"']?)[^\s\"'<>]{{6,}}"
+    rf"|(?<=(?i:{_NAMED})[\"']?[=:][\"']?)[^\s\"'<>]{{6,}}"
 )
 #: Characters of a candidate's neighbourhood that are looked at, on either side.
 AROUND = 48

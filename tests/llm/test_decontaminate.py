@@ -1,0 +1,92 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from gridplume.llm import decontaminate as dec
+from gridplume.llm.common import table
+from tests.llm.rows import LONG, awkward, none
+
+
+def index_of(rows):
+    words = [dec._words(t) for _, t in rows]
+    return dec.build(rows, Counter(w for own in words for w in set(own)), len(rows), sum(map(len, words)) / len(words), max(map(len, words)))
+
+
+@pytest.fixture(scope="module")
+def items():
+    rng = random.Random(5)
+    vocabulary = [f"w{int(rng.paretovariate(0.8))}" for _ in range(3000)]
+    return [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60)))) for k in range(150)]
+
+
+def test_wand_finds_all_that_brute_force_finds(items):
+    index, rng = index_of(items), random.Random(6)
+    for _ in range(300):
+        terms = rng.sample(range(len(index.words)), rng.randint(1, 60)) if rng.random() < 0.5 else sorted(
+            {index.words[w] for w in dec._words(rng.choice(items)[1])} | set(rng.sample(range(len(index.words)), 20)))
+        scores = defaultdict(float)
+        for t in terms:
+            for item, share in zip(index.items[t], index.shares[t]):
+                scores[item] += share
+        for threshold in (0.05, 0.2, 0.5, 0.9):
+            want = sorted((i, round(s, 9)) for i, s in scores.items() if s >= threshold - 1e-9)
+            assert sorted((i, round(s, 9)) for i, s in dec.wand(index, terms, threshold)) == want
+
+
+def test_no_passage_with_an_item_is_ruled_out(items):
+    searcher, rng = dec.Searcher(index_of(items)), random.Random(7)
+    noise = [w for _, t in items for w in t.split()]
+    for _ in range(60):
+        picked = rng.sample(items, 3)
+        text = " ".join(rng.choices(noise, k=rng.randint(0, 300)))
+        for _, item in picked:
+            text += f"\n{item.upper()}, " + " ".join(rng.choices(noise, k=rng.randint(0, 100)))
+        assert {i for i, _ in picked} <= {h[0] for h in next(searcher.search([text]))}
+
+
+def test_question_and_answer():
+    assert dec.question_and_answer("What is it? It is a cat.") == (["what", "is", "it"], ["it", "is", "a", "cat"])
+    assert dec.question_and_answer("one two three four five six seven eight") == (["one", "two", "three", "four", "five", "six"], ["seven", "eight"])
+    assert dec.question_and_answer("one") == (["one"], ["one"])
+    assert dec.question_and_answer(" \n ") == ([], [])
+
+
+def benchmark(spark):
+    rows = [(1, "What is the tallest tower of all the towers here? It stands in the old harbour town."), (2, None), (3, ""), (None, "no name at all here"),
+            (4, "short one"), (4, "short one"), (5, " ".join(LONG.split()[40_000:40_300]))]
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def test_awkward_rows(spark):
+    planted = spark.createDataFrame(
+        [(20, "Before it. what is the TALLEST tower of all the towers here? It stands in the old harbour town. After."),
+         (21, "What is the tallest tower of all the towers here? Nobody knows where it may stand."), (22, "a short one")], "doc_id long, text string")
+    docs = awkward(spark).unionByName(planted, allowMissingColumns=True)
+    found = sorted((r["id"], r["item_id"]) for r in dec.contaminated(docs, benchmark(spark)).collect())
+    assert found == [(7, 5), (20, 1), (22, 4)], "21 has the question and not the answer"
+    kept = dec.keep_clean(docs, benchmark(spark))
+    assert kept.columns == docs.columns
+    assert Counter(r["doc_id"] for r in docs.collect()) - Counter(r["doc_id"] for r in kept.collect()) == Counter([7, 20, 22])
+
+
+def test_empty_tables(spark):
+    assert dec.contaminated(none(spark), benchmark(spark)).count() == 0
+    assert dec.contaminated(awkward(spark), benchmark(spark).limit(0)).count() == 0
+    assert dec.keep_clean(awkward(spark), benchmark(spark).limit(0)).count() == awkward(spark).count()
+
+
+def test_shards_change_nothing_and_tables_equal_brute_force(spark):
+    docs, items = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "benchmark"))
+    shards = list(dec.indexes(items, shard_words=300))
+    assert len(shards) > 2
+    texts = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    found = set()
+    for index in shards:
+        for (i, _), hits in zip(texts, dec.Searcher(index).search([t for _, t in texts])):
+            found |= {(i, h[0], round(h[1], 9)) for h in hits}
+    whole = {(r["id"], r["item_id"], round(r["score"], 9)) for r in dec.contaminated(docs, items).collect()}
+    assert found == whole
+    grams = {r["item_id"]: dec.grams(dec._words(r["text"]), 5) for r in items.collect()}
+    want = {(i, k) for i, t in texts for k, own in grams.items() if own and len(own & dec.grams(dec._words(t), 5)) >= 0.7 * len(own)}
+    assert want == {(i, k) for i, k, _ in whole}

@@ -1,0 +1,76 @@
+from collections import Counter
+
+import pytest
+
+from gridplume.llm import language_id as li
+from gridplume.llm.common import table
+from tests.llm.rows import awkward, none
+
+D = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return li.learn(table(spark, D, "documents"))
+
+
+def test_text_model_on_documents_it_has_not_seen(spark, model):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").where("length(text) > 100").collect()
+    right = sum(model.languages[int(model.table[:, li.trigrams(r["text"])].sum(axis=1).argmax())] == r["lang"] for r in docs)
+    assert right >= 0.95 * len(docs)
+
+
+def test_pages(spark, model):
+    rows = li.identify(table(spark, D, "pages"), table(spark, D, "documents"), model=model).collect()
+    assert sum(r["lang"] == r["url"].split("/")[3] for r in rows) >= 0.98 * len(rows)
+    assert all(0 < r["probability"] <= 1 + 1e-9 and 0 < r["host_prior"] <= 1 for r in rows)
+
+
+def page(text, lang=None):
+    return f"<html{f' lang={lang}' if lang else ''}><body><article><p>{text}</p></article></body></html>"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r["lang"]: " ".join(r["text"].split()[:60]) for r in table(spark, D, "documents").where("lang is not null and length(text) > 800").collect()}
+
+
+def test_declaration_and_neighbours_decide_where_the_text_is_silent(spark, model, texts):
+    rows = [(k, f"http://www.a.example.de/{k}", page(texts["de"], "de")) for k in range(12)]
+    rows += [(20 + k, f"http://b.example.org/{k}", page(texts["fr"], "fr")) for k in range(12)]
+    rows += [(40, "http://www.a.example.de/x", page("")), (41, "http://new.b.example.org/x", page("")), (42, "http://www.a.example.de/y", page("", "fr")),
+             (43, "http://www.a.example.de/z", page(texts["en"], "de"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["id"]: r for r in li.identify(pages, None, model=model).collect()}
+    assert found[40]["lang"] == "de" and found[40]["text_lang"] is None, "the host's other pages"
+    assert found[41]["lang"] == "fr", "a new host of a known domain"
+    assert found[42]["lang"] == "fr", "the declaration against the host"
+    assert found[43]["lang"] == "en", "a long text against both"
+    assert found[40]["probability"] < found[43]["probability"]
+
+
+def test_a_page_does_not_vote_for_itself(spark, model, texts):
+    pages = spark.createDataFrame([(1, "http://one.example.com/", page(texts["es"]))], "page_id long, url string, html string")
+    row = li.identify(pages, None, model=model).first()
+    assert row["lang"] == "es" and row["host_prior"] < 0.5
+
+
+def test_awkward_rows(spark, model):
+    rows = [(1, None, None), (2, "", ""), (None, "not an address", "<html lang=xx>"), (4, "http://h.example.com:80/", "<p>x"), (4, "http://h.example.com:80/", "<p>x"),
+            (5, "HTTP://user@Host.Example.COM", page("word " * 50_000, "en"))]
+    pages = spark.createDataFrame([(*r, "l", "d") for r in rows], "page_id long, url string, html string, lang string, declared string")
+    found = li.identify(pages, None, model=model).collect()
+    assert Counter(r["id"] for r in found) == Counter(r[0] for r in rows)
+    assert all(r["lang"] in model.languages for r in found)
+    assert li.identify(pages.limit(0), None, model=model).count() == 0
+    silent = li.identify(pages, none(spark)).collect()
+    assert len(silent) == len(rows) and {r["lang"] for r in silent} == {None}
+    assert set(li.learn(awkward(spark)).languages) == {"en", "fr", "de"}
+
+
+def test_hosts(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("https://u:p@A.b.C:8080/x?y", "a.b.c"), ("http://a.b", "a.b"), ("ftp://x.y#z", "x.y"), ("no", ""), (None, "")]
+    found = spark.createDataFrame(rows, "u string, want string").select(li.host_of(F.col("u")).alias("got"), "want").collect()
+    assert all(r["got"] == r["want"] for r in found)

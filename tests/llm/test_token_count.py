@@ -1,0 +1,64 @@
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+
+from gridplume.llm import token_count as tc
+from tests.llm.rows import awkward, none
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return tc.Counter(tc.prepare(PATH))
+
+
+def library(counter, text):
+    return len(counter.library.encode(text, add_special_tokens=False).ids)
+
+
+def test_every_whole_token_is_one_token(counter):
+    assert len(counter.whole) > 49_000
+    whole = sorted(counter.whole)
+    assert all(len(e.ids) == 1 for e in counter.library.encode_batch(whole, add_special_tokens=False))
+
+
+def test_settled_characters_are_split_as_the_library_splits(counter):
+    """Each settled character beside a letter, a digit, a sign and a blank."""
+    settled = [chr(c) for c in range(1, 0xD7A4) if tc._SETTLED.fullmatch(chr(c))]
+    assert len(settled) > 30_000
+    for start in range(0, len(settled), 500):
+        text = "".join(f"a{c}1{c}!{c} {c}" for c in settled[start : start + 500])
+        own = [m.span() for m in tc.regex.finditer(tc._SPLIT, text)]
+        assert own == [place for _, place in counter.library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+@pytest.mark.parametrize("alphabet", [[chr(c) for c in range(1, 128)], [chr(c) for c in range(1, 0x530)] + list("中あ’€՚\U0001f600࢏́힣�")])
+def test_random_texts(counter, alphabet):
+    rng = random.Random(4)
+    pieces = alphabet + ["<|endoftext|>", "<|endoftext", "'s", "'LL", "  ", "\n", " the", "ing", "\r\n"] * 5
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))
+        assert counter.count(text) == library(counter, text), repr(text)
+
+
+def test_forgetting_changes_nothing(counter, monkeypatch):
+    monkeypatch.setattr(tc, "_REMEMBERED", 3)
+    for text in ("Qwzx yvvk jjqp uuvw", "Qwzx abcz", "jjqp Qwzx zzzk"):
+        assert counter.count(text) == library(counter, text)
+
+
+def test_awkward_rows(spark, counter):
+    docs = awkward(spark)
+    want = Counter((r["doc_id"], len((r["text"] or "").encode()), library(counter, r["text"] or "")) for r in docs.collect())
+    rows = tc.counts(docs, PATH).collect()
+    assert Counter((r["id"], r["n_bytes"], r["n_tokens"]) for r in rows) == want
+    assert all(r["over_limit"] == (r["n_tokens"] > 512) for r in rows)
+    assert tc.counts(none(spark), PATH).count() == 0
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        tc.prepare(public_tokenizers.path("word_bpe_49k.json"))
