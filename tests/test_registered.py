@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from gridplume.registered import ORACLE, QUERIES
 from tests.check_oracle import compare, duckdb_over
 from tests.rows import plan
 
@@ -16,18 +17,18 @@ def duck():
 
 
 def test_all_have_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_rows_equal_the_sql(spark, duck, name):
-    assert compare(spark, duck, name, queries()[name], oracle_sql()[name], SF_DIR) == []
+    assert compare(spark, duck, name, QUERIES[name], ORACLE[name], SF_DIR) == []
 
 
 @pytest.mark.parametrize("name", ["int_cems_aggregated", "mart_emissions_by_fuel", "hourly_to_daily", "latest_snapshot",
                                   "run_summary", "remaining_chunks", "chunk_calendar", "not_null", "fuel_share"])
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF_DIR), "simple")
+    text = plan(QUERIES[name](spark, SF_DIR), "simple")
     assert not [word for word in FORBIDDEN if word in text]
 
 
