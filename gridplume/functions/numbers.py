@@ -34,9 +34,14 @@ def plain(value: Column, text: Column, dtype: T.DataType) -> Column:
     return F.when((size < _INF) & ~foreign, value).when(spelled_out, value)
 
 
+def is_id(value: Column) -> Column:
+    """Whether a number fits a BIGINT once rounded."""
+    return (value > -(2.0**63)) & (value < 2.0**63)
+
+
 def to_id(value: Column) -> Column:
-    """Number as BIGINT, halves rounded away from zero."""
-    return F.round(value).cast("bigint")
+    """Number as BIGINT, halves rounded away from zero; NULL where it does not fit."""
+    return F.round(value).try_cast("bigint")
 
 
 def zero_if_null(value: Column) -> Column:

@@ -1,4 +1,4 @@
-"""A join with a small table whose size is measured, not assumed."""
+"""A semi-join with a table of keys that is expected to be small and need not be."""
 
 from __future__ import annotations
 
@@ -10,37 +10,26 @@ from pyspark.sql import functions as F
 
 from gridplume.session import as_written
 
-# Rows of a few short columns: about 100 MB in an executor's memory.
-BROADCAST_ROWS = 1_000_000
-SALTS = 64
-
 
 def semi_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    anti: bool = False,
-    null_keys: Sequence[str] = (),
-    broadcast_rows: int = BROADCAST_ROWS,
+    big: DataFrame, small: DataFrame, keys: list[str], anti: bool = False, null_keys: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of ``big`` whose ``keys`` occur in ``small``, or with ``anti`` do not; in ``null_keys`` NULL matches NULL.
 
-    ``small`` is computed once into the shared folder and counted. Up to ``broadcast_rows`` rows it is
-    broadcast, and ``big`` does not move. Beyond that both sides shuffle on the keys and a salt, so that
-    one key with a large share of ``big`` spreads over many tasks.
+    ``small`` is computed once into the shared folder, so that Spark knows its bytes: up to
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and ``big`` does not move, beyond that both sides
+    shuffle on the keys and adaptive execution splits a key with a large share of ``big``. Either way the rows are the same.
+    Where the years are among the keys, both sides are also bounded by the first and last of ``small``: folders of
+    other years are not read, and a broadcast prunes the rest.
     """
     how = "left_anti" if anti else "left_semi"
     small = as_written(small.select(*keys).distinct(), "keys")
-    if small.count() <= broadcast_rows:
-        if not anti and "year" in keys and "year" not in null_keys:
-            # Spark prunes the folders of ``big`` only when this side is filtered; every year passes.
-            small = small.where(F.col("year") > -9999)
-        return big.join(F.broadcast(small), _same(big, small, keys, null_keys), how)
-    rest = [c for c in big.columns if c not in keys]
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(SALTS)).cast("int"))
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    matches = _same(salted, spread, keys, null_keys) & (salted["_salt"] == spread["_salt"])
-    return salted.join(spread.hint("merge"), matches, how).drop("_salt")
+    if not anti and "year" in keys and "year" not in null_keys:
+        first, last = small.agg(F.min("year"), F.max("year")).first()
+        if first is None:
+            return big.limit(0)
+        big, small = (df.where(F.col("year").between(first, last)) for df in (big, small))
+    return big.join(small, _same(big, small, keys, null_keys), how)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], null_keys: Sequence[str]) -> Column:

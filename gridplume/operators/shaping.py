@@ -28,12 +28,17 @@ def _folder(df: DataFrame) -> list[str]:
     return [name for name in FOLDER if name in df.columns]
 
 
+def _marks(df: DataFrame) -> list[str]:
+    """The mark of records that could not be read, where an audited scan has set it."""
+    return [name for name in ["corrupt"] if name in df.columns]
+
+
 def select_rename(df: DataFrame) -> DataFrame:
     """Keep the 12 source fields under their daily names; a missing field is an error."""
     missing = [field for field in SOURCE_FIELDS if field not in df.columns]
     if missing:
         raise MissingFields(f"source fields missing: {', '.join(missing)}")
-    return df.select(*[F.col(f).alias(name) for f, name in SOURCE_FIELDS.items()], *_folder(df))
+    return df.select(*[F.col(f).alias(name) for f, name in SOURCE_FIELDS.items()], *_folder(df), *_marks(df))
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
@@ -58,8 +63,9 @@ def parse_date(df: DataFrame) -> DataFrame:
 def audit(df: DataFrame) -> DataFrame:
     """``date`` as a date, and two columns by which a whole chunk can be judged later.
 
-    ``bad``: the date is no date, or the row belongs to another chunk than its folder. ``named``: one bit per
-    source field, set where the field has a value; a chunk in which a bit is never set may lack the field.
+    ``bad``: the record could not be read, the date is no date, or the row belongs to another chunk than its folder.
+    ``named``: one bit per source field, set where the field has a value; a chunk in which a bit is never set may lack
+    the field.
     """
     bits = [F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(SOURCE_FIELDS.values())]
     bad = dates.is_bad_date(F.col("_day"), F.col("date").cast("string"))
@@ -67,8 +73,15 @@ def audit(df: DataFrame) -> DataFrame:
         month = F.col("chunk_year") * 100 + F.col("chunk_month")
         elsewhere = (dates.month_number(F.col("_day")) != month) | (F.col("state") != F.col("chunk_state"))
         bad = bad | F.coalesce(elsewhere, F.lit(False))
+    for mark in _marks(df):
+        bad = bad | F.col(mark)
     marked = _with_day(df).withColumns({"bad": bad, "named": reduce(Column.__add__, bits)})
-    return marked.withColumn("date", F.col("_day")).drop("_day")
+    return marked.withColumn("date", F.col("_day")).drop("_day", *_marks(df))
+
+
+def audit_ids(df: DataFrame) -> DataFrame:
+    """Marks rows whose facility id is a number that no BIGINT holds, infinity too."""
+    return df.withColumn("bad", F.col("bad") | F.coalesce(~numbers.is_id(F.col("facility_id")), F.lit(False)))
 
 
 def measure_float64(df: DataFrame) -> DataFrame:
@@ -78,8 +91,8 @@ def measure_float64(df: DataFrame) -> DataFrame:
 def shape_hourly(df: DataFrame, audited: bool = False) -> DataFrame:
     """Landed readings, typed. With ``audited`` a bad row is marked, else it fails the job."""
     renamed = select_rename(df)
-    dated = audit(renamed) if audited else parse_date(renamed)
-    return measure_float64(coerce_numeric(dated))
+    typed = measure_float64(coerce_numeric(audit(renamed) if audited else parse_date(renamed)))
+    return audit_ids(typed) if audited else typed
 
 
 def hourly_to_daily(df: DataFrame) -> DataFrame:

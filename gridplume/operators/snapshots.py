@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridplume.operators.joins import BROADCAST_ROWS, semi_join
+from gridplume.operators.joins import semi_join
 from gridplume.schemas import CHUNK
 
 
-def latest_snapshot(
-    df: DataFrame, chunk: list[str] = CHUNK, stamp: str = "ingested_at", broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def latest_snapshot(df: DataFrame, chunk: list[str] = CHUNK, stamp: str = "ingested_at") -> DataFrame:
     """Per chunk, the rows that carry its newest stamp.
 
     The rule is per snapshot, not per row: a row that the newer snapshot withdrew must vanish. The newest
@@ -20,4 +18,4 @@ def latest_snapshot(
     """
     newest = df.groupBy(*chunk).agg(F.max(stamp).alias(stamp))
     keys = [*chunk, stamp]
-    return semi_join(df, newest, keys, null_keys=keys, broadcast_rows=broadcast_rows)
+    return semi_join(df, newest, keys, null_keys=keys)

@@ -18,7 +18,7 @@ from gridplume.plans import models
 from gridplume.schemas import CHUNK, MONTH_KEYS, STATES
 from gridplume.session import as_written, path_exists, work_folder
 from gridplume.sources import lake
-from gridplume.sources.landing import hourly_scan, landed_files, missing_fields, newest_snapshots
+from gridplume.sources.landing import hourly_scan, landed_files, missing_fields, month_folders, newest_snapshots
 from gridplume.sources.ledger import append_ledger, attempt_rows, read_ledger
 
 
@@ -53,15 +53,20 @@ class BadChunks(ValueError):
     pass
 
 
-def newest_readings(spark: SparkSession, places: Places, chunks: DataFrame) -> DataFrame:
-    """The landed readings of some chunks, each chunk by its newest snapshot."""
-    newest = newest_snapshots(landed_files(spark, places.landing), chunks)
-    return hourly_scan(spark, places.landing, places.landing_format, chunks=newest)
+def newest_readings(
+    spark: SparkSession, places: Places, files: DataFrame, chunks: DataFrame, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """The landed readings of some chunks, each chunk by its newest snapshot, for an audit. ``files`` lists what has
+    landed, in ``folders`` if they are given."""
+    newest = newest_snapshots(files, chunks)
+    return hourly_scan(spark, places.landing, places.landing_format, chunks=newest, audited=True, folders=folders)
 
 
-def verdicts(spark: SparkSession, places: Places, daily: DataFrame) -> DataFrame:
-    """(state, year, month, rows, bad) of each chunk with rows. Bad: a row has a bad date or belongs to another
-    chunk, or no record names some source field.
+def verdicts(
+    spark: SparkSession, places: Places, daily: DataFrame, files: DataFrame, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """(state, year, month, rows, bad) of each chunk with rows. Bad: a record could not be read, a row has a bad date,
+    an id out of range or belongs to another chunk, or no record names some source field.
 
     Only chunks in which a field never has a value are read again, to tell a missing field from nulls.
     """
@@ -71,16 +76,35 @@ def verdicts(spark: SparkSession, places: Places, daily: DataFrame) -> DataFrame
         ),
         "counts",
     )
-    judged = counts.select(*CHUNK, "rows", (F.col("bad_rows") > 0).alias("bad"))
-    doubtful = counts.where(F.col("named") != ALL_NAMED)
-    if places.landing_format == "parquet" or doubtful.isEmpty():
+    judged = counts.select(*CHUNK, "rows", ((F.col("bad_rows") > 0) | (F.col("named") == 0)).alias("bad"))
+    doubtful = counts.where((F.col("named") != ALL_NAMED) & (F.col("named") != 0))
+    if doubtful.isEmpty():
         return judged
-    newest = newest_snapshots(landed_files(spark, places.landing), doubtful)
-    missing = missing_fields(spark, places.landing, places.landing_format, newest).select(*CHUNK).distinct()
+    newest = newest_snapshots(files, doubtful)
+    missing = missing_fields(spark, places.landing, places.landing_format, newest, folders).select(*CHUNK).distinct()
     lacks = judged.join(missing.withColumn("lacks", F.lit(True)), CHUNK, "left")
     return lacks.select(*CHUNK, "rows", (F.col("bad") | F.coalesce("lacks", F.lit(False))).alias("bad"))
 
 
+def take_in(
+    spark: SparkSession, places: Places, chunks: DataFrame, run_ts: datetime, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """Bring the newest snapshots of ``chunks`` into the lake, each chunk by itself; returns the attempts.
+
+    A bad chunk, or one without a landed file, is entered in the ledger as failed and leaves no row; the others are
+    written. The daily rows are written to the work folder once, because the verdict on a chunk needs all of its rows. The
+    ledger comes last: a run that dies is repeated. Call it inside a ``work_folder``.
+    """
+    files = as_written(landed_files(spark, places.landing, folders), "files")
+    daily = as_written(daily_rows(newest_readings(spark, places, files, chunks, folders), run_ts, audited=True), "daily")
+    judged = verdicts(spark, places, daily, files, folders)
+    attempts = as_written(attempt_rows(chunks, files, judged, run_ts), "attempts")
+    failed = attempts.where(F.col("status") == "failed").withColumnRenamed("state", "chunk_state")
+    lake.lake_write(semi_join(daily, failed, ["chunk_state", "year", "month"], anti=True), places.lake)
+    append_ledger(attempts, places.ledger)
+    return attempts
+
+
 def backfill(
     spark: SparkSession,
     places: Places,
@@ -91,20 +115,12 @@ def backfill(
 ) -> DataFrame:
     """Bring every unfinished chunk from ``start`` on into the lake; returns the run's summary.
 
-    All chunks run as one job. A bad chunk, or one without a landed file, is entered as failed and tried again by
-    the next run; the others are written. The daily rows are written to the work folder once, because the verdict
-    on a chunk needs all of its rows.
+    All chunks run as one job; see ``take_in``. A failed chunk is tried again by the next run.
     """
     calendar = ch.backfill_calendar(spark, as_of, start, states)
     with work_folder(spark, "backfill"):
         todo = as_written(ch.remaining_chunks(calendar, read_ledger(spark, places.ledger)), "todo")
-        daily = as_written(daily_rows(newest_readings(spark, places, todo), run_ts, audited=True), "daily")
-        judged = verdicts(spark, places, daily)
-        attempts = as_written(attempt_rows(todo, landed_files(spark, places.landing), judged, run_ts), "attempts")
-        failed = attempts.where(F.col("status") == "failed").withColumnRenamed("state", "chunk_state")
-        good = semi_join(daily, failed, ["chunk_state", "year", "month"], anti=True)
-        lake.lake_write(good, places.lake)
-        append_ledger(attempts, places.ledger)
+        take_in(spark, places, todo, run_ts)
     return ch.run_summary(calendar, read_ledger(spark, places.ledger), run_ts)
 
 
@@ -126,20 +142,24 @@ def daily_run(
 
     Returns (chunk_path, rows) of the chunks it loaded. The list is empty, and nothing is touched, when nothing has
     landed for those months. A state without new rows keeps its old lake files. A bad chunk stops the run before
-    it writes.
+    it writes. Of the landing only the look-back months are listed.
     """
     calendar = ch.lookback_calendar(spark, as_of, states)
     with work_folder(spark, "daily"):
-        daily = as_written(daily_rows(newest_readings(spark, places, calendar), run_ts, audited=True), "daily")
+        window = [(r.year, r.month) for r in calendar.select("year", "month").distinct().collect()]
+        folders = month_folders(spark, places.landing, sorted(window))
+        files = as_written(landed_files(spark, places.landing, folders), "files")
+        readings = newest_readings(spark, places, files, calendar, folders)
+        daily = as_written(daily_rows(readings, run_ts, audited=True), "daily")
         if not quality.upload_gate(daily):
             return []
         # At most one row per state and look-back month.
-        judged = verdicts(spark, places, daily).orderBy(*CHUNK)
+        judged = verdicts(spark, places, daily, files, folders).orderBy(*CHUNK)
         path = chunk_path(*[F.col(c) for c in CHUNK]).alias("chunk_path")
         chunks = judged.select(path, "rows", "bad").collect()
         bad = [c.chunk_path for c in chunks if c.bad]
         if bad:
-            raise BadChunks(f"bad dates, misplaced rows or missing fields: {', '.join(bad)}")
+            raise BadChunks(f"broken records, bad dates or ids, misplaced rows or missing fields: {', '.join(bad)}")
         lake.lake_write(daily, places.lake)
         months = as_written(daily.select(*MONTH_KEYS.names).distinct(), "months")
         lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from gridplume import fixtures as fx
 from gridplume.plans import flows
 from gridplume.registered import common as c
-from gridplume.schemas import MEASURES
+from gridplume.schemas import MEASURES, SOURCE_FIELDS
 from gridplume.session import work_path
+from gridplume.sources import lake
+from gridplume.sources.ledger import read_ledger
 from gridplume.streaming.daily import daily_state, daily_stream
 from gridplume.streaming.snapshots import snapshot_stream
 
@@ -71,7 +73,36 @@ def daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.rounded(spark.table(places.mart("mart_emissions_by_fuel")), *c.TOTAL_NAMES)
 
 
+def corrupt_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading lands in its chunk's folder; the records of each tenth facility are cut short. How the ledger has the chunks."""
+    places = _places(spark)
+    readings = fx.with_folders(c.cems_hourly(spark, sf_dir))
+    line = F.to_json(F.struct(*[F.col(f) for f in SOURCE_FIELDS]), {"ignoreNullFields": "false"})
+    cut = F.when(F.col("facilityId").cast("bigint") % 100 == 0, F.substring(line, 1, 40)).otherwise(line)
+    readings.select("state", "year", "month", cut.alias("value")).write.partitionBy("state", "year", "month").text(places.landing)
+    flows.backfill(spark, places, _AS_OF, c.RUN_TS, date(2024, 1, 1), _states(spark))
+    attempts = read_ledger(spark, places.ledger).where("month = 1").groupBy("status")
+    return attempts.agg(F.count(F.lit(1)).alias("chunks"), F.sum("rows").alias("rows"))
+
+
+def misplaced_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed load, after a landing in which some states' files hold a row of another state: those chunks fail, and no other
+    chunk loses its rows."""
+    places, checkpoint = _places(spark), work_path(spark, "checkpoint")
+    readings = fx.with_folders(c.cems_hourly(spark, sf_dir))
+    fx.land(readings.where("state <= 'NATION_2'").withColumn("snapshot", F.lit(1)), places.landing)
+    snapshot_stream(spark, places, checkpoint, c.RUN_TS).awaitTermination()
+    later = readings.where("state > 'NATION_2'")
+    strays = later.where("facilityId % 10 = 0 and state > 'NATION_22'").withColumn("stateCode", F.lit("NATION_1"))
+    fx.land(later.unionByName(strays).withColumn("snapshot", F.lit(1)), places.landing)
+    snapshot_stream(spark, places, checkpoint, c.RUN_TS).awaitTermination()
+    rows = lake.raw_scan_all(spark, places.lake)
+    return c.rounded(rows.groupBy("state").agg(F.count(F.lit(1)).alias("rows"), F.sum("gross_load_mw").alias("gross_load_mw")), "gross_load_mw")
+
+
 QUERIES = {
+    "corrupt_chunks": corrupt_chunks,
+    "misplaced_rows": misplaced_rows,
     "daily_stream": daily_stream_query,
     "snapshot_stream": snapshot_stream_query,
     "historical_backfill": historical_backfill,
@@ -82,7 +113,17 @@ _again = "unit_id = 'U1' and facility_id % 2 = 0 and state <= 'NATION_2'"
 _newest = f"""select * from ({c.TYPED_SQL}) where {_again}
   or state not in (select distinct state from ({c.TYPED_SQL}) where {_again})"""
 _newest_daily = c.sql_daily(_newest)
+_cut = f"select distinct stateCode as state from ({c.HOURLY_SQL}) where cast(facilityId as bigint) % 100 = 0"
+_strays = f"""select distinct stateCode as state from ({c.HOURLY_SQL})
+  where cast(facilityId as bigint) % 10 = 0 and stateCode > 'NATION_22'"""
 ORACLE = {
+    "corrupt_chunks": f"""select status, count(*) as chunks, cast(sum("rows") as bigint) as "rows" from (
+      select n_name, case when d.state is null or n_name in ({_cut}) then 'failed' else 'ok' end as status,
+        case when d.state is null or n_name in ({_cut}) then 0 else "rows" end as "rows"
+      from nation left join (select state, count(*) as "rows" from ({c.ROLLED_SQL}) group by state) d on n_name = d.state)
+      group by status""",
+    "misplaced_rows": f"""select state, count(*) as "rows", round(sum(gross_load_mw), 4) + 0.0 as gross_load_mw
+      from ({c.ROLLED_SQL}) where state not in ({_strays}) group by state""",
     "daily_stream": c.sql_round_all(c.ROLLED_SQL, MEASURES),
     "snapshot_stream": c.sql_round_all(_newest_daily, MEASURES),
     "historical_backfill": f"""select (select count(*) * 2 from nation) as total, 0 as already_done,

@@ -87,6 +87,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a Hadoop pattern matches, in order."""
+    found = _file_system(spark, pattern).globStatus(_hadoop_path(spark, pattern))
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridplume.operators.joins import semi_join
 from gridplume.schemas import CHUNK, DAILY, MONTH_KEYS, RAW
 
 _CLUSTER = ["state", "facility_id", "date"]
+_LAKE = T.StructType([*RAW.fields, T.StructField("stateless", T.BooleanType())])
+# Bytes of a stored row, about; for the number of files.
+_ROW_BYTES = 64
 
 
 def lake_write(daily: DataFrame, root: str) -> None:
     """Write daily rows into ``state=/year=/month=MM``. Chunks in ``daily`` are replaced, all others kept.
 
+    A row lies in the folder of the chunk it came from: ``chunk_state`` where an audit has left it, else its own state. A
+    row without a state of its own says so in ``stateless``, as the folder cannot.
+
     Rebalancing sends a chunk to one task, so a small one is one file; adaptive execution splits a chunk
     that is larger than the advisory size, so no task ever holds a large one whole.
     """
-    rows = daily.select(*[F.col(f.name).cast(f.dataType) for f in RAW])
+    owner = F.coalesce("chunk_state", "state") if "chunk_state" in daily.columns else F.col("state")
+    rows = daily.select(
+        *[F.col(f.name).cast(f.dataType) for f in RAW if f.name != "state"], owner.alias("state"), F.col("state").isNull().alias("stateless")
+    )
     padded = rows.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
     (
         padded.hint("rebalance", *[F.col(c) for c in CHUNK])
@@ -32,9 +43,15 @@ def lake_write(daily: DataFrame, root: str) -> None:
     )
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Rows of lake files in the stored schema, each with its own state."""
+    state = F.when(~F.coalesce("stateless", F.lit(False)), F.col("state")).alias("state")
+    return rows.select(*[state if f.name == "state" else F.col(f.name) for f in RAW])
+
+
 def raw_scan_all(spark: SparkSession, root: str) -> DataFrame:
     """Every daily row of the lake."""
-    return spark.read.schema(RAW).parquet(root)
+    return _stored(spark.read.schema(_LAKE).parquet(root))
 
 
 def raw_scan_months(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | DataFrame) -> DataFrame:
@@ -48,7 +65,7 @@ def raw_scan_months(spark: SparkSession, root: str, months: Iterable[tuple[int,
 def raw_scan_paths(spark: SparkSession, root: str, paths: str | list[str]) -> DataFrame:
     """The daily rows of one or more files or folders of the lake."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.schema(RAW).option("basePath", root).parquet(*paths)
+    return _stored(spark.read.schema(_LAKE).option("basePath", root).parquet(*paths))
 
 
 def month_predicate(months: Iterable[tuple[int, int]]):
@@ -73,13 +90,24 @@ def in_range(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
 
 
 def raw_layout(rows: DataFrame) -> DataFrame:
-    """Rows in the raw table's layout: by month, and sorted by state, facility and date inside a file, so that a
-    reader skips row groups by their minimum and maximum."""
+    """Rows in the raw table's layout: by month, and in each month by state, facility and date.
+
+    Rows are dealt by ranges of these columns, into as many tasks as files of the advisory size are needed: a month of many files
+    has few states in each, a large state spans several, and a reader skips files and row groups by their minimum and maximum.
+    """
     months = MONTH_KEYS.names
-    ordered = rows.select(*DAILY.names, *months).hint("rebalance", *[F.col(c) for c in months])
+    size = rows.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = max(1, -(-rows.count() * _ROW_BYTES // _bytes(size)))
+    ordered = rows.select(*DAILY.names, *months).repartitionByRange(files, *months, *_CLUSTER, "unit_id")
     return ordered.sortWithinPartitions(*months, *_CLUSTER)
 
 
+def _bytes(size: str) -> int:
+    """A size as Spark settings spell it."""
+    found = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", size.strip().lower())
+    return int(found[1]) * 1024 ** " kmgt".index(found[2] or " ")
+
+
 def raw_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
 

@@ -8,6 +8,7 @@ belong to the month of their date.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -19,13 +20,10 @@ from gridplume.functions import dates
 from gridplume.operators.joins import semi_join
 from gridplume.operators.shaping import MissingFields
 from gridplume.schemas import CHUNK, HOURLY, SOURCE_FIELDS
-from gridplume.session import path_exists
+from gridplume.session import as_written, glob_paths, path_exists
 
 FORMATS = ("json", "json_array", "parquet")
 
-# A JSON array is decoded whole by one task. Larger fetches must land as JSON lines or Parquet, which split.
-MAX_ARRAY_BYTES = 512 * 1024 * 1024
-
 _FOLDERS = T.StructType(
     [
         T.StructField("state", T.StringType()),
@@ -35,17 +33,33 @@ _FOLDERS = T.StructType(
     ]
 )
 _FILE = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
+# Where a JSON reader leaves the text of a record that it cannot read.
+_BROKEN = T.StructField("_corrupt_record", T.StringType())
+
+
+class CorruptRecords(ValueError):
+    pass
+
 
+def landing_schema(broken: bool = False) -> T.StructType:
+    return T.StructType([*HOURLY.fields, *_FOLDERS.fields, *([_BROKEN] if broken else [])])
 
-def landing_schema() -> T.StructType:
-    return T.StructType(HOURLY.fields + _FOLDERS.fields)
 
+def month_folders(spark: SparkSession, root: str, months: Iterable[tuple[int, int]]) -> list[str]:
+    """The landing folders of some months, all states. Nothing of other years is listed."""
+    found = []
+    for year, month in months:
+        spellings = ",".join(sorted({str(month), f"{month:02d}"}))
+        found += glob_paths(spark, f"{root}/state=*/year={year}/month={{{spellings}}}")
+    return found
 
-def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """(state, year, month, snapshot, path, length) of every landed file. Lists; reads no content."""
-    if not path_exists(spark, root):
+
+def landed_files(spark: SparkSession, root: str, folders: Sequence[str] | None = None) -> DataFrame:
+    """(state, year, month, snapshot, path, length) of every landed file, or of those in some folders.
+    Lists; reads no content."""
+    if (folders is not None and not folders) or not path_exists(spark, root):
         return spark.createDataFrame([], T.StructType([*_FOLDERS.fields, *_FILE.fields]))
-    files = spark.read.format("binaryFile").load(root)
+    files = spark.read.format("binaryFile").option("basePath", root).load(list(folders or [root]))
     return files.select(*_folder_columns(files), *_FILE.names)
 
 
@@ -62,72 +76,164 @@ def hourly_scan(
     as_of: date | None = None,
     chunks: DataFrame | None = None,
     strict_fields: bool = False,
+    audited: bool = False,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """All landed readings in one scan, with the folder's month as ``chunk_year``, ``chunk_month`` and ``snapshot``.
 
     ``as_of`` keeps months completed before that day; ``chunks`` keeps the listed (state, year, month), and of
-    them the listed ``snapshot`` if there is such a column. Both reach the scan as partition filters.
-    ``strict_fields`` reads the whole landing once more to prove that every chunk names all 12 fields.
+    them the listed ``snapshot`` if there is such a column. Both reach the scan as partition filters. ``folders`` are
+    all that is listed and read. A record that is no JSON object fails the job; with ``audited`` it is a row without values in
+    which the column ``corrupt`` is true. ``strict_fields`` reads the chosen chunks once more to prove that each names all
+    12 fields.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
-    if fmt == "json_array":
-        _refuse_large_arrays(spark, root)
+    if (folders is not None and not folders) or not path_exists(spark, root):
+        df = spark.createDataFrame([], T.StructType([*landing_schema().fields, T.StructField("corrupt", T.BooleanType())]))
+        return _named(df, audited)
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        if as_of is not None:
+            last = dates.month_number(dates.last_completed_month(F.lit(as_of)))
+            rows = rows.where(F.col("year") * 100 + F.col("month") <= last)
+        return rows if chunks is None else _in_chunks(rows, chunks)
+
     if strict_fields:
-        _refuse_missing_fields(spark, root, fmt)
-    df = read_landing(spark.read, root, fmt) if path_exists(spark, root) else spark.createDataFrame([], landing_schema())
-    if as_of is not None:
-        last = dates.month_number(dates.last_completed_month(F.lit(as_of)))
-        df = df.where(F.col("year") * 100 + F.col("month") <= last)
-    if chunks is not None:
-        keys = [k for k in _FOLDERS.names if k in chunks.columns]
-        df = semi_join(df, chunks, keys, null_keys=["snapshot"])
+        _refuse_missing_fields(spark, root, fmt, chosen, folders)
+    if fmt == "json_array":
+        return _named(_array_rows(spark, root, chosen, audited, folders), audited)
+    reader = spark.read.option("basePath", root)
+    if fmt == "json" and not audited:
+        reader = reader.option("mode", "FAILFAST")
+    return _named(chosen(read_landing(reader, root, fmt, folders, broken=audited)), audited)
+
+
+def _named(df: DataFrame, audited: bool) -> DataFrame:
+    if audited and "corrupt" not in df.columns:
+        df = df.withColumn("corrupt", F.col(_BROKEN.name).isNotNull() if _BROKEN.name in df.columns else F.lit(False))
     return df.select(
         *SOURCE_FIELDS, F.col("state").alias("chunk_state"), F.col("year").alias("chunk_year"),
-        F.col("month").alias("chunk_month"), "snapshot",
+        F.col("month").alias("chunk_month"), "snapshot", *(["corrupt"] if audited else []),
     )
 
 
-def read_landing(reader: DataFrameReader | DataStreamReader, root: str, fmt: str) -> DataFrame:
-    reader = reader.schema(landing_schema())
-    return reader.parquet(root) if fmt == "parquet" else reader.option("multiLine", fmt == "json_array").json(root)
+def _in_chunks(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    keys = [k for k in _FOLDERS.names if k in chunks.columns]
+    return semi_join(rows, chunks, keys, null_keys=["snapshot"])
+
 
+def read_landing(
+    reader: DataFrameReader | DataStreamReader, root: str, fmt: str, folders: Sequence[str] | None = None, broken: bool = False
+) -> DataFrame:
+    """Landed rows of a format that splits, with their folders' keys; ``broken`` adds the text of broken records."""
+    paths = list(folders) if folders else root
+    if fmt == "parquet":
+        return reader.schema(landing_schema()).parquet(*([paths] if isinstance(paths, str) else paths))
+    return reader.schema(landing_schema(broken)).json(paths)
 
-def missing_fields(spark: SparkSession, root: str, fmt: str = "json", chunks: DataFrame | None = None) -> DataFrame:
+
+def touched_chunks(reader: DataStreamReader, root: str, fmt: str) -> DataFrame:
+    """(state, year, month) of what landed, a row or more for each file, whatever it holds."""
+    if fmt == "parquet":
+        return read_landing(reader, root, fmt).select(*CHUNK)
+    return reader.schema(T.StructType([T.StructField("value", T.StringType()), *_FOLDERS.fields])).text(root).select(*CHUNK)
+
+
+def _array_rows(spark: SparkSession, root: str, chosen, audited: bool, folders: Sequence[str] | None) -> DataFrame:
+    """The readings of JSON arrays, record by record: a file is split at closing braces, wherever it is cut for tasks.
+
+    A file must open and close its array once; one that does not is corrupt as a whole and gives one row without values. In a file whose
+    array is whole but in which such a record is no object (a brace in a text, a nested object), the records cannot be told
+    apart this way: only those files are decoded whole.
+    """
+    pieces = spark.read.option("basePath", root).option("lineSep", "}").text(list(folders) if folders else root)
+    pieces = pieces.select("value", *_folder_columns(pieces), F.col("_metadata.file_path").alias("file"))
+    pieces = chosen(pieces)
+    text = F.trim(F.regexp_replace("value", r"[\s\uFEFF]+", " "))
+    schema = T.StructType([*HOURLY.fields, _BROKEN])
+    record = F.from_json(F.concat(F.regexp_replace("value", r"^[\s\uFEFF]*[\[,]", ""), F.lit("}")), schema)
+    parsed = pieces.select(*_FOLDERS.names, "file", text.alias("text"), record.alias("record"))
+    marked = parsed.withColumns({
+        "opens": F.col("text").startswith("["),
+        "closes": F.col("text").isin("]", "[]", "[ ]"),
+        "is_record": F.col("text").rlike(r"^[\[,] ?\{"),
+    })
+    broken = F.col("is_record") & (F.col("record").isNull() | F.col(f"record.{_BROKEN.name}").isNotNull())
+    judged = marked.groupBy("file", *_FOLDERS.names).agg(
+        F.count_if("opens").alias("opens"), F.count_if("closes").alias("closes"),
+        F.count_if(broken | (~F.col("is_record") & ~F.col("closes") & (F.col("text") != ""))).alias("odd"),
+    )
+    whole = (F.col("opens") == 1) & (F.col("closes") == 1)
+    doubtful = judged.where(~whole | (F.col("odd") > 0)).select("file", *_FOLDERS.names, whole.alias("whole")).collect()
+    cut = [r for r in doubtful if not r["whole"]]
+    nested = [r["file"] for r in doubtful if r["whole"]]
+    if cut and not audited:
+        raise CorruptRecords(f"not a whole JSON array: {', '.join(sorted(r['file'] for r in cut)[:10])}")
+    rows = marked.where("is_record").withColumn("corrupt", F.lit(False))
+    if doubtful:
+        rows = rows.where(~F.col("file").isin([r["file"] for r in doubtful]))
+    rows = rows.select("record.*", *_FOLDERS.names, "corrupt").drop(_BROKEN.name)
+    if nested:
+        reader = spark.read.option("basePath", root).option("multiLine", True)
+        decoded = (reader if audited else reader.option("mode", "FAILFAST")).schema(landing_schema(audited)).json(nested)
+        corrupt = F.col(_BROKEN.name).isNotNull() if audited else F.lit(False)
+        rows = rows.unionByName(decoded.select(*HOURLY.names, *_FOLDERS.names, corrupt.alias("corrupt")))
+    if cut:
+        marks = spark.createDataFrame([(*[r[k] for k in _FOLDERS.names], True) for r in cut], T.StructType([*_FOLDERS.fields, T.StructField("corrupt", T.BooleanType())]))
+        rows = rows.unionByName(marks, allowMissingColumns=True)
+    return rows
+
+
+def missing_fields(
+    spark: SparkSession, root: str, fmt: str = "json", chunks: DataFrame | None = None, folders: Sequence[str] | None = None
+) -> DataFrame:
     """(state, year, month, field): source fields that no record of a chunk names, not even with a null.
-    ``chunks`` as for ``hourly_scan``."""
-    text = spark.read.text(root, wholetext=fmt == "json_array")
-    text = text.select(*_folder_columns(text), "value")
-    if chunks is not None:
-        keys = [k for k in _FOLDERS.names if k in chunks.columns]
-        text = semi_join(text, chunks, keys, null_keys=["snapshot"])
+    ``chunks`` and ``folders`` as for ``hourly_scan``."""
+    return _missing(spark, root, fmt, lambda rows: rows if chunks is None else _in_chunks(rows, chunks), folders)
+
+
+def _missing(spark: SparkSession, root: str, fmt: str, chosen, folders: Sequence[str] | None) -> DataFrame:
+    if fmt == "parquet":
+        return _missing_columns(spark, root, chosen(landed_files(spark, root, folders)))
+    paths = list(folders) if folders else root
+    text = spark.read.option("basePath", root).option("lineSep", "}" if fmt == "json_array" else "\n").text(paths)
+    text = chosen(text.select(*_folder_columns(text), "value"))
+    if fmt == "json_array":
+        # What is behind the last brace closes the array and names nothing.
+        value = F.concat(F.regexp_replace("value", r"^[\s\uFEFF]*[\[,]", ""), F.lit("}"))
+        text = text.where(~F.col("value").rlike(r"^[\s\uFEFF]*(?:\[\s*)?\]?\s*$")).withColumn("value", value)
+    records = text.where("trim(value) <> ''").select(*CHUNK, F.json_object_keys("value").alias("keys"))
     if fmt == "json_array":
-        records = text.select(*CHUNK, F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"))
-        records = records.select(*CHUNK, F.map_keys("record").alias("keys"))
-    else:
-        records = text.where("trim(value) <> ''").select(*CHUNK, F.json_object_keys("value").alias("keys"))
+        # A brace inside a record has cut it. Such chunks are few, and only theirs are decoded whole.
+        odd = as_written(records.where("keys is null").select(*CHUNK).distinct(), "odd")
+        if not odd.isEmpty():
+            whole = spark.read.option("basePath", root).text(paths, wholetext=True)
+            whole = semi_join(chosen(whole.select(*_folder_columns(whole), "value")), odd, CHUNK)
+            decoded = whole.select(*CHUNK, F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"))
+            records = records.where("keys is not null").unionByName(decoded.select(*CHUNK, F.map_keys("record").alias("keys")))
     seen = records.groupBy(*CHUNK).agg(
         *[F.bool_or(F.array_contains("keys", field)).alias(f"has_{field}") for field in SOURCE_FIELDS]
     )
-    absent = F.array(*[F.when(~F.col(f"has_{field}"), F.lit(field)) for field in SOURCE_FIELDS])
+    absent = F.array(*[F.when(~F.coalesce(f"has_{field}", F.lit(False)), F.lit(field)) for field in SOURCE_FIELDS])
     return seen.select(*CHUNK, F.explode(F.array_compact(absent)).alias("field"))
 
 
+def _missing_columns(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """As ``_missing``, by the files' schemas. The files of a chunk are looked at together, chunk by chunk."""
+    absent = []
+    for row in files.groupBy(*CHUNK).agg(F.collect_list("path").alias("paths")).collect():
+        named = spark.read.option("mergeSchema", True).parquet(*row["paths"]).columns
+        absent += [(*[row[k] for k in CHUNK], f) for f in SOURCE_FIELDS if f not in named]
+    return spark.createDataFrame(absent, T.StructType([*_FOLDERS.fields[:3], T.StructField("field", T.StringType())]))
+
+
 def _folder_columns(df: DataFrame) -> list[Column]:
     """The landing folder's keys, NULL where the landing has no such level."""
     return [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in _FOLDERS]
 
 
-def _refuse_missing_fields(spark: SparkSession, root: str, fmt: str) -> None:
-    if fmt == "parquet":
-        absent = [f for f in SOURCE_FIELDS if f not in spark.read.parquet(root).columns]
-    else:
-        absent = [r.field for r in missing_fields(spark, root, fmt).select("field").distinct().collect()]
+def _refuse_missing_fields(spark: SparkSession, root: str, fmt: str, chosen, folders: Sequence[str] | None) -> None:
+    absent = [r.field for r in _missing(spark, root, fmt, chosen, folders).select("field").distinct().collect()]
     if absent:
         raise MissingFields(f"source fields missing: {', '.join(sorted(absent))}")
-
-
-def _refuse_large_arrays(spark: SparkSession, root: str) -> None:
-    large = landed_files(spark, root).where(F.col("length") > MAX_ARRAY_BYTES).first()
-    if large:
-        raise ValueError(f"{large.path}: JSON arrays over {MAX_ARRAY_BYTES} bytes must land as JSON lines or Parquet")

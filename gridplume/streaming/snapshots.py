@@ -8,21 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridplume.operators.shaping import daily_rows
-from gridplume.plans.flows import Places, newest_readings
+from gridplume.operators.chunks import with_key
+from gridplume.plans.flows import Places, take_in
 from gridplume.schemas import CHUNK, MONTH_KEYS
 from gridplume.session import as_written, work_folder
 from gridplume.sources import lake
-from gridplume.sources.landing import read_landing
+from gridplume.sources.landing import month_folders, touched_chunks
 
 
 def refresh_chunks(spark: SparkSession, places: Places, touched: DataFrame, run_ts: datetime) -> None:
-    """Rebuild the touched chunks from their newest snapshots, in the lake and in the raw table."""
+    """Rebuild the touched chunks from their newest snapshots, in the lake and in the raw table.
+
+    A bad chunk is entered in the ledger as failed and keeps the rows it had; the next snapshot of it is tried again.
+    """
     with work_folder(spark, "snapshots"):
-        chunks = as_written(touched.where(F.col("year").isNotNull()).distinct(), "touched")
-        lake.lake_write(daily_rows(newest_readings(spark, places, chunks), run_ts), places.lake)
+        chunks = as_written(with_key(touched.where(F.col("year").isNotNull()).distinct()), "touched")
         months = chunks.select(*MONTH_KEYS.names).distinct()
-        lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
+        folders = month_folders(spark, places.landing, [tuple(r) for r in months.collect()])
+        attempts = take_in(spark, places, chunks, run_ts, folders)
+        good = attempts.where("status = 'ok'").select(*MONTH_KEYS.names).distinct()
+        if not good.isEmpty():
+            lake.load_replace(lake.raw_scan_months(spark, places.lake, good), places.raw)
 
 
 def snapshot_stream(spark: SparkSession, places: Places, checkpoint: str, run_ts: datetime | None = None) -> StreamingQuery:
@@ -31,7 +37,7 @@ def snapshot_stream(spark: SparkSession, places: Places, checkpoint: str, run_ts
     A micro-batch only tells which chunks are touched. Their rows are read from the landing itself, so a snapshot
     that arrives in two batches ends up whole, and a repeated batch writes the same again.
     """
-    stream = read_landing(spark.readStream, places.landing, places.landing_format)
+    stream = touched_chunks(spark.readStream, places.landing, places.landing_format)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         stamp = run_ts or datetime.now(timezone.utc)

@@ -134,10 +134,14 @@ def versions(spark):
     )
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_latest_snapshot_is_per_chunk(spark, broadcast_rows):
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_latest_snapshot_is_per_chunk(spark, setting, threshold):
+    setting(THRESHOLD, threshold)
     rows = versions(spark)
-    newest = latest_snapshot(rows, broadcast_rows=broadcast_rows)
+    newest = latest_snapshot(rows)
     found = sorted((r.state or "", r.month or 0, r.unit_id, r.gross_load_mw) for r in newest.collect())
     assert found == [
         ("", 1, "U1", 10.0), ("AK", 1, "U1", 10.0), ("HI", 1, "U1", 10.0), ("TX", 0, "U1", 10.0),
@@ -146,18 +150,62 @@ def test_latest_snapshot_is_per_chunk(spark, broadcast_rows):
     assert newest.columns == rows.columns
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+@pytest.mark.parametrize("anti", [False, True])
+def test_a_side_of_key_columns_alone(spark, setting, threshold, anti):
+    setting(THRESHOLD, threshold)
+    keys = ["state", "year", "month"]
+    big = raw(spark, JAN, FEB, AK, {**AK, "year": None}).select(*keys)
+    small = raw(spark, JAN, AK).select(*keys)
+    want = [(0, "AK"), (2, "TX")] if anti else [(1, "AK"), (1, "TX")]
+    found = semi_join(big, small, keys, anti).collect()
+    assert sorted((r.month if r.year else 0, r.state) for r in found) == want
+    assert semi_join(big, small.limit(0), keys, anti).count() == (4 if anti else 0)
+
+
 def test_latest_snapshot_does_not_move_the_rows(spark):
     newest = latest_snapshot(as_written(many_rows(spark, 100), "rows"))
     text = plan(newest, "simple")
     assert "BroadcastHashJoin" in text and "Window" not in text and "hashpartitioning" not in text
 
 
-def test_beyond_the_broadcast_bound_a_hot_key_is_salted(spark, setting):
+def test_beyond_the_broadcast_bound_a_hot_group_of_equal_rows_is_split(spark, setting):
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    rows = as_written(many_rows(spark, 50_000), "rows")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "4k")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    setting(THRESHOLD, "-1")
+    equal = many_rows(spark, 50_000).withColumns({"facility_id": F.lit(1), "gross_load_mw": F.lit(1.0), "facility_name": F.lit("P")})
+    rows = as_written(equal.unionByName(raw(spark, FEB, AK)), "rows")
     keys = rows.select("state", "year", "month").distinct()
-    kept = semi_join(rows, keys, ["state", "year", "month"], broadcast_rows=0)
-    text = plan(kept, "simple")
-    assert "Broadcast" not in text and "_salt" in text
-    assert kept.count() == 50_000
-    assert kept.select(F.spark_partition_id().alias("p")).distinct().count() > 1, "one chunk, many tasks"
+    kept = semi_join(rows, keys, ["state", "year", "month"])
+    assert "Broadcast" not in plan(kept, "simple")
+    assert kept.count() == 50_002
+    hot = kept.where("state = 'TX' and month = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot > 1, "one chunk, many tasks"
+
+
+def test_files_of_a_month_hold_few_states_and_a_large_state_is_split(spark, path, setting):
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    table = path("raw")
+    states = F.when(F.col("facility_id") % 3 == 0, "S00").otherwise(F.format_string("S%02d", F.col("facility_id") % 50))
+    rows = many_rows(spark, 60_000).withColumn("state", states)
+    lake.load_truncate(rows, table)
+    stored = lake.raw_table(spark, table)
+    by_file = stored.select("state", F.input_file_name().alias("f")).groupBy("f").agg(F.count_distinct("state").alias("states"), F.count(F.lit(1)).alias("n"))
+    files = by_file.collect()
+    assert stored.count() == 60_000 and len(files) > 30
+    assert sum(f["states"] for f in files) <= len(files) + 50, "ranges of states overlap at their ends only"
+    assert stored.where("state = 'S00'").select(F.input_file_name()).distinct().count() > 5
+
+
+def test_rows_without_a_state_stay_in_their_chunk(spark, path):
+    root = path("lake")
+    nameless = {**JAN, "state": None}
+    owned = raw(spark, nameless, JAN).withColumn("chunk_state", F.lit("TX"))
+    other = raw(spark, {**nameless, "unit_id": "U9"}).withColumn("chunk_state", F.lit("AK"))
+    lake.lake_write(owned, root)
+    lake.lake_write(other, root)
+    found = sorted((r.state or "", r.unit_id) for r in lake.raw_scan_all(spark, root).collect())
+    assert found == [("", "U1"), ("", "U9"), ("TX", "U1")]
+    assert lake.raw_scan_paths(spark, root, f"{root}/state=TX").count() == 2

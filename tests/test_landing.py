@@ -75,12 +75,79 @@ def test_missing_fields_are_found(spark, path, fmt):
         landing.hourly_scan(spark, root, fmt, strict_fields=True)
 
 
-def test_large_arrays_are_refused(spark, path, monkeypatch):
+def text_file(root, folder, text, name="a.json"):
+    place = os.path.join(root.removeprefix("file:"), folder)
+    os.makedirs(place, exist_ok=True)
+    with open(os.path.join(place, name), "w") as f:
+        f.write(text)
+
+
+JAN = "state=TX/year=2024/month=01"
+LINES = json.dumps(reading()) + "\n" + json.dumps(reading(unitId="U2")) + "\n"
+BROKEN = {
+    "json": [LINES[:-30] + "\n" + LINES, "<html>\n<body>503</body></html>\n", LINES + "17\n"],
+    "json_array": [json.dumps([reading(), reading()])[:-1], json.dumps([reading(), reading()])[:-40], "<html>503</html>", "[" + LINES],
+}
+
+
+@pytest.mark.parametrize("fmt", ["json", "json_array"])
+def test_records_that_cannot_be_read(spark, path, fmt):
+    for text in BROKEN[fmt]:
+        root = path("landing")
+        text_file(root, JAN, text)
+        assert any(r.corrupt for r in landing.hourly_scan(spark, root, fmt, audited=True).collect()), text
+        with pytest.raises(Exception):
+            landing.hourly_scan(spark, root, fmt).collect()
+
+
+ARRAYS = [
+    "[]", " [ ] \n", json.dumps([reading()]), json.dumps([reading(), reading(grossLoad=3)], indent=2), "\ufeff" + json.dumps([reading()]),
+    json.dumps([reading(facilityName="a } b"), reading(facilityName='{"x": [1]}')]), json.dumps([reading(extra={"a": {"b": []}}), reading()]),
+    json.dumps([reading(unitType=None)]), json.dumps([reading() for _ in range(300)]),
+]
+
+
+def test_arrays_come_apart_record_by_record(spark, path):
+    """Whatever stands in the records, and wherever the files are cut for tasks."""
+    root = path("landing")
+    for k, text in enumerate(ARRAYS):
+        text_file(root, f"state=S{k}/year=2024/month=01", text)
+    rows = landing.hourly_scan(spark, root, "json_array", audited=True)
+    want = sorted((f"S{k}", r["facilityName"], str(r["grossLoad"])) for k, text in enumerate(ARRAYS) for r in json.loads(text.lstrip("\ufeff")))
+    assert sorted((r.chunk_state, r.facilityName, r.grossLoad) for r in rows.collect()) == want
+    assert not any(r.corrupt for r in rows.collect()) and landing.missing_fields(spark, root, "json_array").isEmpty()
+
+
+def test_a_large_array_is_read_by_many_tasks(spark, path, setting):
+    setting("spark.sql.files.maxPartitionBytes", "64k")
+    root = path("landing")
+    text_file(root, JAN, json.dumps([reading(unitId=str(k)) for k in range(3000)]))
+    rows = landing.hourly_scan(spark, root, "json_array", audited=True)
+    assert rows.count() == 3000 and rows.select("unitId").distinct().count() == 3000
+    assert rows.rdd.getNumPartitions() > 4
+
+
+def test_parquet_files_without_a_field(spark, path):
+    root = path("landing")
+    whole, short = hourly(spark, reading()), hourly(spark, reading()).drop("so2Mass")
+    whole.write.parquet(f"{root}/state=AK/year=2024/month=1")
+    short.write.parquet(f"{root}/state=TX/year=2024/month=1")
+    whole.write.mode("append").parquet(f"{root}/state=WY/year=2024/month=1")
+    short.write.mode("append").parquet(f"{root}/state=WY/year=2024/month=1")
+    assert [tuple(r) for r in landing.missing_fields(spark, root, "parquet").collect()] == [("TX", 2024, 1, "so2Mass")]
+    with pytest.raises(MissingFields, match="so2Mass"):
+        landing.hourly_scan(spark, root, "parquet", strict_fields=True)
+
+
+def test_folders_of_some_months(spark, path):
     root = path("landing")
-    land_array(root, "state=TX/year=2024/month=01", [reading()])
-    monkeypatch.setattr(landing, "MAX_ARRAY_BYTES", 10)
-    with pytest.raises(ValueError, match="JSON lines or Parquet"):
-        landing.hourly_scan(spark, root, "json_array")
+    for folder in ("state=TX/year=2024/month=01", "state=AK/year=2024/month=1", "state=TX/year=2024/month=10", "state=TX/year=2023/month=01"):
+        land_array(root, folder, [reading()])
+    found = landing.month_folders(spark, root, [(2024, 1), (2024, 2)])
+    assert [f.split("/state=")[1] for f in found] == ["AK/year=2024/month=1", "TX/year=2024/month=01"]
+    assert landing.landed_files(spark, root, found).count() == 2
+    assert landing.landed_files(spark, root, []).isEmpty() and landing.hourly_scan(spark, root, folders=[]).isEmpty()
+    assert landing.hourly_scan(spark, root, "json_array", folders=found).count() == 2
 
 
 def test_unknown_format(spark, path):

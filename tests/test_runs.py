@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -14,7 +15,7 @@ from gridplume.streaming.daily import daily_state, daily_stream
 from gridplume.streaming.snapshots import snapshot_stream
 from gridplume.schemas import DAILY_KEYS, MEASURES
 from tests.rows import RUN_TS, as_set, hourly, reading
-from tests.test_landing import land_array
+from tests.test_landing import BROKEN, land_array, text_file
 
 AS_OF = date(2024, 4, 10)  # look-back: January to March 2024
 STATES = ["AK", "TX"]
@@ -172,3 +173,79 @@ def test_streamed_snapshots_equal_the_daily_load(spark, places, path):
     # A run without new files does nothing.
     snapshot_stream(spark, places, checkpoint, RUN_TS).awaitTermination()
     assert lake.raw_table(spark, places.raw).count() == 3
+
+
+@pytest.mark.parametrize("fmt, broken", [(fmt, text) for fmt, texts in BROKEN.items() for text in texts[:3]])
+def test_a_broken_fetch_fails_its_chunk_and_is_tried_again(spark, places, fmt, broken):
+    places = replace(places, landing_format=fmt)
+    lines = fmt == "json"
+    text_file(places.landing, "state=TX/year=2024/month=1/snapshot=1", broken)
+    land_array(places.landing, "state=AK/year=2024/month=1/snapshot=1", [reading(stateCode="AK")], lines=lines)
+    as_of = date(2024, 2, 10)
+    assert flows.backfill(spark, places, as_of, RUN_TS, date(2024, 1, 1), STATES).first().failed == 1
+    assert statuses(spark, places, RUN_TS) == {"AK-2024-01": ("ok", 1), "TX-2024-01": ("failed", 0)}
+    assert {r[0] for r in stored(spark, places)} == {"AK"}
+    with pytest.raises(flows.BadChunks, match="state=TX"):
+        flows.daily_run(spark, places, as_of, RUN_TS, STATES)
+    land_array(places.landing, "state=TX/year=2024/month=1/snapshot=2", [reading()], lines=lines)
+    assert flows.backfill(spark, places, as_of, RUN_TS + timedelta(days=1), date(2024, 1, 1), STATES).first().failed == 0
+    assert {r[0] for r in stored(spark, places)} == {"AK", "TX"}
+
+
+def test_a_parquet_fetch_without_a_field_fails(spark, places):
+    places = replace(places, landing_format="parquet")
+    folder = f"{places.landing}/state=TX/year=2024/month=1/snapshot="
+    hourly(spark, reading()).drop("so2Mass").write.parquet(f"{folder}1")
+    hourly(spark, reading(stateCode="AK", so2Mass=None)).write.parquet(folder.replace("TX", "AK") + "1")
+    flows.backfill(spark, places, date(2024, 2, 10), RUN_TS, date(2024, 1, 1), STATES)
+    assert statuses(spark, places, RUN_TS) == {"AK-2024-01": ("ok", 1), "TX-2024-01": ("failed", 0)}
+    hourly(spark, reading()).write.parquet(f"{folder}2")
+    flows.backfill(spark, places, date(2024, 2, 10), RUN_TS + timedelta(days=1), date(2024, 1, 1), STATES)
+    assert len(stored(spark, places)) == 2
+
+
+@pytest.mark.parametrize("odd", ["1e30", "inf", "-9223372036854775809000"])
+def test_an_id_out_of_range_fails_its_chunk(spark, places, odd):
+    land(spark, places, reading(facilityId=odd), snapshot=1)
+    land(spark, places, reading(stateCode="AK"), snapshot=1)
+    flows.backfill(spark, places, date(2024, 2, 10), RUN_TS, date(2024, 1, 1), STATES)
+    assert statuses(spark, places, RUN_TS) == {"AK-2024-01": ("ok", 1), "TX-2024-01": ("failed", 0)}
+
+
+def test_rows_without_a_state_belong_to_their_chunks(spark, places):
+    for state, unit in (("TX", "U1"), ("AK", "U2")):
+        land_array(places.landing, f"state={state}/year=2024/month=1/snapshot=1",
+                   [reading(stateCode=None, unitId=unit), reading(stateCode=state)], lines=True)
+        flows.backfill(spark, places, date(2024, 2, 10), RUN_TS, date(2024, 1, 1), [state])
+    found = sorted((r.state or "", r.unit_id) for r in lake.raw_scan_all(spark, places.lake).collect())
+    assert found == [("", "U1"), ("", "U2"), ("AK", "U1"), ("TX", "U1")]
+    assert sum(r.rows for r in read_ledger(spark, places.ledger).collect()) == 4
+
+
+def test_streamed_chunks_are_judged_one_by_one(spark, places, path):
+    """A misplaced row destroys no other chunk, and a bad date holds up no good one."""
+    checkpoint = path("checkpoint")
+    land(spark, places, reading(stateCode="CA"), reading(stateCode="CA", unitId="U2"), snapshot=1)
+    snapshot_stream(spark, places, checkpoint, RUN_TS).awaitTermination()
+    land_array(places.landing, "state=TX/year=2024/month=1/snapshot=1", [reading(), reading(stateCode="CA", unitId="U9")], lines=True)
+    land_array(places.landing, "state=WY/year=2024/month=1/snapshot=1", [reading(stateCode="WY", date="oops")], lines=True)
+    land(spark, places, reading(stateCode="AK"), snapshot=1)
+    later = RUN_TS + timedelta(days=1)
+    snapshot_stream(spark, places, checkpoint, later).awaitTermination()
+    assert [(r[0], r[2]) for r in stored(spark, places)] == [("AK", "U1"), ("CA", "U1"), ("CA", "U2")]
+    assert statuses(spark, places, later) == {"AK-2024-01": ("ok", 1), "TX-2024-01": ("failed", 0), "WY-2024-01": ("failed", 0)}
+    land_array(places.landing, "state=TX/year=2024/month=1/snapshot=2", [reading()], lines=True)
+    snapshot_stream(spark, places, checkpoint, later + timedelta(days=1)).awaitTermination()
+    assert [r[0] for r in stored(spark, places)] == ["AK", "CA", "CA", "TX"]
+    assert lake.raw_table(spark, places.raw).count() == 4
+
+
+def test_a_daily_run_lists_its_months_only(spark, places, monkeypatch):
+    land(spark, places, reading(), snapshot=1)
+    # Listed with the others, this folder would be taken for a month of its year and be read.
+    text_file(places.landing, "state=TX/year=2016/month=01/snapshot=oops", "not json at all")
+    listed = []
+    real = flows.landed_files
+    monkeypatch.setattr(flows, "landed_files", lambda spark, root, folders=None: (listed.append(folders), real(spark, root, folders))[1])
+    assert len(flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)) == 1
+    assert len(listed) == 1 and listed[0] and all("/year=2024/" in f for f in listed[0])
