@@ -29,8 +29,13 @@ def accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What stops a run: the input holds rows without a facility on purpose."""
-    results = quality.check(stg(spark, sf_dir), "stg_cems_daily")
+    """What stops a run, of all tests of the three tables: the input holds rows without a facility on purpose."""
+    tables = {
+        "stg_cems_daily": stg(spark, sf_dir),
+        "mart_emissions_over_time": over_time(spark, sf_dir),
+        "mart_emissions_by_fuel": by_fuel(spark, sf_dir),
+    }
+    results = quality.report(tables)
     try:
         quality.quality_gate(results)
         failed = []
@@ -65,20 +70,21 @@ def _missing(table: str, sql: str, columns: list[str]) -> list[str]:
 
 
 _STG = _missing("stg_cems_daily", c.STG_SQL, ["state", "date", "facility_id", "unit_id"])
-_accepted = ", ".join(f"'{label}'" for label in [*FUEL_LABELS, OTHER_FUEL])
+_MARTS = _missing("mart_emissions_over_time", c.OVER_TIME_SQL, ["date", "state"]) + _missing(
+    "mart_emissions_by_fuel", c.BY_FUEL_SQL, ["date", "state", "fuel_category"]
+)
+_CATEGORY = _line(
+    "mart_emissions_by_fuel", c.BY_FUEL_SQL, "fuel_category", "accepted_values", f"fuel_category not in ({c.SQL_CATEGORIES})"
+)
 ORACLE = {
-    "not_null": " union all ".join(
-        _STG
-        + _missing("mart_emissions_over_time", c.OVER_TIME_SQL, ["date", "state"])
-        + _missing("mart_emissions_by_fuel", c.BY_FUEL_SQL, ["date", "state", "fuel_category"])
-    ),
+    "not_null": " union all ".join(_STG + _MARTS),
     "accepted_values": " union all ".join(
         [
-            _line("mart_emissions_by_fuel", c.BY_FUEL_SQL, "fuel_category", "accepted_values",
-                  f"fuel_category not in ({_accepted})"),
-            _line("stg_cems_daily", c.STG_SQL, "primary_fuel", "accepted_values", f"primary_fuel not in ({_accepted})"),
+            _CATEGORY,
+            _line("stg_cems_daily", c.STG_SQL, "primary_fuel", "accepted_values",
+                  f"primary_fuel not in ({c.SQL_CATEGORIES})"),
         ]
     ),
-    "quality_gate": f"select * from ({' union all '.join(_STG)}) where failures > 0",
+    "quality_gate": f"select * from ({' union all '.join([*_STG, *_MARTS, _CATEGORY])}) where failures > 0",
     "upload_gate": f'select state, count(*) as "rows", 1 as loads from ({c.ROLLED_SQL}) group by state',
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridplume import fixtures as fx
 from gridplume.operators import profile, shaping
 from gridplume.registered import common as c
-from gridplume.schemas import DAILY_KEYS, MEASURES, SOURCE_FIELDS
+from gridplume.schemas import DAILY_KEYS, MEASURES
 from gridplume.session import work_path
 from gridplume.sources import landing
 
@@ -72,21 +72,21 @@ QUERIES = {
     "head_sample": head_sample,
 }
 
-_types = ", ".join(f"'double' as type_{m}" for m in MEASURES)
-_columns = ",".join([*DAILY_KEYS, *MEASURES])
+_types = ", ".join(f"'double' as type_{m}" for m in c.SQL_MEASURES)
+_columns = ",".join([*c.SQL_KEYS, *c.SQL_MEASURES])
 ORACLE = {
-    "hourly_scan": f"""select {", ".join(SOURCE_FIELDS)}, cast(year(cast(date as date)) as int) as chunk_year,
+    "hourly_scan": f"""select {c.SQL_FIELDS}, cast(year(cast(date as date)) as int) as chunk_year,
       cast(month(cast(date as date)) as int) as chunk_month from ({c.HOURLY_SQL})""",
     "select_rename": c.RENAMED_SQL,
     "coerce_numeric": c.COERCED_SQL,
     "parse_date": f"select date, count(*) as readings from ({c.TYPED_SQL}) group by date",
-    "measure_float64": f"select state, {_types}, {', '.join(MEASURES)} from ({c.COERCED_SQL})",
+    "measure_float64": f"select state, {_types}, {', '.join(c.SQL_MEASURES)} from ({c.COERCED_SQL})",
     "stamp_ingested_at": f"""select state, cast(epoch(timestamp '2024-03-05 06:00:00') as bigint) as ingested_at_seconds,
       count(*) as readings from ({c.RENAMED_SQL}) group by state""",
-    "hourly_to_daily": c.sql_round_all(c.ROLLED_SQL, MEASURES),
+    "hourly_to_daily": c.sql_round_all(c.ROLLED_SQL, c.SQL_MEASURES),
     "frame_profile": f"""select count(*) as "rows", min(date) as min_date, max(date) as max_date,
       '{_columns}' as columns from ({c.ROLLED_SQL})""",
     "head_sample": c.sql_round_all(
-        f"select * from ({c.ROLLED_SQL}) order by {', '.join(k + ' nulls last' for k in DAILY_KEYS)} limit 5", MEASURES
+        f"select * from ({c.ROLLED_SQL}) order by {', '.join(k + ' nulls last' for k in c.SQL_KEYS)} limit 5", c.SQL_MEASURES
     ),
 }

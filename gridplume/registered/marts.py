@@ -11,7 +11,7 @@ from gridplume.functions.fuels import fuel_category as category
 from gridplume.plans import models, tiles
 from gridplume.registered import common as c
 from gridplume.schemas import MEASURES
-from gridplume.session import work_path
+from gridplume.session import as_written, work_path
 
 _FIRST, _LAST = date(1997, 3, 15), date(1999, 8, 20)
 
@@ -88,8 +88,18 @@ def facility_count_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.facility_count_exact(stg(spark, sf_dir))
 
 
+def source_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marts resolved from stored intermediate rows, without the raw rows behind them, side by side."""
+    known = {"int_cems_aggregated": as_written(_model("int_cems_aggregated", spark, sf_dir), "int")}
+    fuels = models.source_ref("mart_emissions_by_fuel", known).groupBy("date", "state").agg(
+        F.count("fuel_category").alias("fuels"), F.sum("facility_count").alias("facilities_by_fuel")
+    )
+    over_time = models.source_ref("mart_emissions_over_time", known).select("date", "state", "facility_count")
+    return over_time.join(fuels, ["date", "state"])
+
+
 QUERIES = {
-    "source_ref": lambda s, d: _totals(by_fuel(s, d)),
+    "source_ref": source_ref,
     "stg_project": stg,
     "cast_facility_id": cast_facility_id,
     "cast_date": cast_date,
@@ -117,13 +127,15 @@ _gen = "round(sum(total_gross_load_mw), 4) + 0.0 as total_gross_load_mw"
 _mix = f"""select cast(year(date) as int) as year, fuel_category, {_gen} from ({c.BY_FUEL_SQL})
   group by year(date), fuel_category"""
 ORACLE = {
-    "source_ref": c.sql_round_all(c.BY_FUEL_SQL, c.TOTAL_NAMES),
+    "source_ref": f"""select o.date, o.state, o.facility_count, f.fuels, f.facilities_by_fuel from ({c.OVER_TIME_SQL}) o
+      join (select date, state, count(*) as fuels, cast(sum(facility_count) as bigint) as facilities_by_fuel
+        from ({c.BY_FUEL_SQL}) group by date, state) f on o.date = f.date and o.state = f.state""",
     "stg_project": c.STG_SQL,
     "cast_facility_id": f"""select cast(round(facility_id / 2.0) as bigint) as facility_id, count(*) as n
       from ({c.DAILY_SQL}) group by 1""",
     "cast_date": f"select cast(date as date) as date, count(*) as n from ({c.DAILY_SQL}) group by 1",
     "coalesce_zero": f"""select state, facility_name, unit_id, date,
-      {", ".join(f"coalesce({m}, 0) as {m}" for m in MEASURES)} from ({c.DAILY_SQL})""",
+      {", ".join(f"coalesce({m}, 0) as {m}" for m in c.SQL_MEASURES)} from ({c.DAILY_SQL})""",
     "required_filter": f"""select state, date, count(*) as n, count(facility_id) as with_facility
       from ({c.DAILY_SQL}) where date is not null and state is not null group by state, date""",
     "fuel_category": f"""select primary_fuel, {c.CATEGORY_SQL} as fuel_category, count(*) as n
@@ -132,13 +144,13 @@ ORACLE = {
       from (select primary_fuel, count(*) as n from ({c.STG_SQL}) group by primary_fuel) s
       join (select primary_fuel, sum(facility_count) as facility_days from ({c.INT_SQL}) group by primary_fuel) i
       on s.primary_fuel is not distinct from i.primary_fuel""",
-    "model_table": c.sql_round_all(c.OVER_TIME_SQL, c.TOTAL_NAMES),
-    "int_cems_aggregated": c.sql_round_all(c.INT_SQL, c.TOTAL_NAMES),
-    "mart_emissions_over_time": c.sql_round_all(c.OVER_TIME_SQL, c.TOTAL_NAMES),
-    "mart_emissions_by_fuel": c.sql_round_all(c.BY_FUEL_SQL, c.TOTAL_NAMES),
+    "model_table": c.sql_round_all(c.OVER_TIME_SQL, c.SQL_TOTALS),
+    "int_cems_aggregated": c.sql_round_all(c.INT_SQL, c.SQL_TOTALS),
+    "mart_emissions_over_time": c.sql_round_all(c.OVER_TIME_SQL, c.SQL_TOTALS),
+    "mart_emissions_by_fuel": c.sql_round_all(c.BY_FUEL_SQL, c.SQL_TOTALS),
     "facility_count_exact": f"""select date, state, count(distinct facility_id) as facility_count_exact
       from ({c.STG_SQL}) group by date, state""",
-    "date_range_filter": c.sql_round_all(f"select * from ({c.OVER_TIME_SQL}) where {_range}", c.TOTAL_NAMES),
+    "date_range_filter": c.sql_round_all(f"select * from ({c.OVER_TIME_SQL}) where {_range}", c.SQL_TOTALS),
     "year_of_date": f"select cast(year(date) as int) as year, count(*) as n from ({c.OVER_TIME_SQL}) group by 1",
     "tile_daily_generation": f"select date, {_gen} from ({c.OVER_TIME_SQL}) group by date",
     "tile_daily_generation_by_state": f"""select date, state, {_gen} from ({c.OVER_TIME_SQL}) where {_range}

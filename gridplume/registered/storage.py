@@ -131,6 +131,6 @@ ORACLE = {
     "month_predicate": c.sql_by_chunk(
         f"select * from ({_month}) where (year, month) in ((1996, 2), (1997, 7), (2000, 12))"
     ),
-    "latest_snapshot": f"""select state, facility_id, unit_id, date, year, month, ver, {", ".join(MEASURES)}
+    "latest_snapshot": f"""select state, facility_id, unit_id, date, year, month, ver, {", ".join(c.SQL_MEASURES)}
       from ({_newest})""",
 }

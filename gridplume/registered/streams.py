@@ -124,10 +124,10 @@ ORACLE = {
       group by status""",
     "misplaced_rows": f"""select state, count(*) as "rows", round(sum(gross_load_mw), 4) + 0.0 as gross_load_mw
       from ({c.ROLLED_SQL}) where state not in ({_strays}) group by state""",
-    "daily_stream": c.sql_round_all(c.ROLLED_SQL, MEASURES),
-    "snapshot_stream": c.sql_round_all(_newest_daily, MEASURES),
+    "daily_stream": c.sql_round_all(c.ROLLED_SQL, c.SQL_MEASURES),
+    "snapshot_stream": c.sql_round_all(_newest_daily, c.SQL_MEASURES),
     "historical_backfill": f"""select (select count(*) * 2 from nation) as total, 0 as already_done,
       (select count(*) * 2 from nation) as remaining, count(distinct state) as succeeded, 0 as empty,
       (select count(*) * 2 from nation) - count(distinct state) as failed, count(*) as "rows" from ({c.ROLLED_SQL})""",
-    "daily_refresh": c.sql_round_all(c.sql_by_fuel(c.sql_int(c.sql_stg(_newest_daily))), c.TOTAL_NAMES),
+    "daily_refresh": c.sql_round_all(c.sql_by_fuel(c.sql_int(c.sql_stg(_newest_daily))), c.SQL_TOTALS),
 }

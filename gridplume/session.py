@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ _SETTINGS = {
 }
 
 _own_dirs: dict[str, str] = {}
+_session_folders: dict[str, str] = {}
 _folder: ContextVar[str | None] = ContextVar("work_folder", default=None)
 
 
@@ -59,8 +62,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, or in the running job's part of it."""
-    folder = _folder.get() or f"{shared_dir(spark)}/gridplume"
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    folder = _folder.get()
+    if folder:
+        return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """Where this process keeps work tables that lazy results still read; deleted when it exits."""
+    app = spark.sparkContext.applicationId
+    if app not in _session_folders:
+        _session_folders[app] = f"{shared_dir(spark)}/gridplume/{app}-{uuid.uuid4().hex}"
+        atexit.register(_delete_at_exit, spark, _session_folders[app], _own_dirs.get(app))
+    return _session_folders[app]
+
+
+def _delete_at_exit(spark: SparkSession, path: str, own: str | None) -> None:
+    # The JVM outlives the session; where it has ended first there is nobody left to ask.
+    with suppress(Exception):
+        delete_path(spark, path)
+    if own:
+        shutil.rmtree(own, ignore_errors=True)
 
 
 @contextmanager
@@ -72,7 +94,7 @@ def work_folder(spark: SparkSession, name: str) -> Iterator[None]:
         yield
     finally:
         _folder.reset(token)
-        _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+        delete_path(spark, path)
 
 
 def as_written(df: DataFrame, name: str) -> DataFrame:
@@ -83,6 +105,11 @@ def as_written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, if it is there."""
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 

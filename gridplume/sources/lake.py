@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,27 +112,30 @@ def raw_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
 
 
-def load_truncate(lake_rows: DataFrame, table: str) -> None:
-    """Replace the whole raw table."""
-    raw_layout(lake_rows).write.partitionBy(*MONTH_KEYS.names).mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(table)
+def load_truncate(lake_rows: DataFrame, table: str) -> int:
+    """Replace the whole raw table. Returns the rows written, as the other loads do."""
+    return _load(lake_rows, table, "overwrite", "static")
 
 
-def load_append(lake_rows: DataFrame, table: str) -> None:
+def load_append(lake_rows: DataFrame, table: str) -> int:
     """Add rows to the raw table. Loading a month twice doubles it; see ``load_replace``."""
-    raw_layout(lake_rows).write.partitionBy(*MONTH_KEYS.names).mode("append").parquet(table)
+    return _load(lake_rows, table, "append", "static")
 
 
-def load_replace(lake_rows: DataFrame, table: str) -> None:
+def load_replace(lake_rows: DataFrame, table: str) -> int:
     """Replace the months that ``lake_rows`` holds and keep all others.
 
     ``lake_rows`` must hold those months whole and must come from the lake, never from the table that is
     being replaced. A month without rows in the lake keeps what the table has.
     """
-    raw_layout(lake_rows).write.partitionBy(*MONTH_KEYS.names).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(table)
+    return _load(lake_rows, table, "overwrite", "dynamic")
+
+
+def _load(lake_rows: DataFrame, table: str, mode: str, overwrite: str) -> int:
+    written = Observation()
+    rows = raw_layout(lake_rows).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows.write.partitionBy(*MONTH_KEYS.names).mode(mode).option("partitionOverwriteMode", overwrite).parquet(table)
+    return written.get["rows"]
 
 
 def load_row_count(spark: SparkSession, table: str) -> DataFrame:

@@ -99,7 +99,7 @@ def totals(spark, table):
 def test_append_doubles_sums_and_replace_does_not(spark, path):
     root, table = tables(spark, path)
     before = totals(spark, table)
-    lake.load_replace(lake.raw_scan_months(spark, root, [(2024, 1)]), table)
+    assert lake.load_replace(lake.raw_scan_months(spark, root, [(2024, 1)]), table) == 2, "rows written"
     assert totals(spark, table) == before
     lake.load_append(lake.raw_scan_months(spark, root, [(2024, 1)]), table)
     after = totals(spark, table)
@@ -113,7 +113,7 @@ def test_loading_a_month_without_files_changes_nothing(spark, path):
     root, table = tables(spark, path)
     before = totals(spark, table)
     for load in (lake.load_append, lake.load_replace):
-        load(lake.raw_scan_months(spark, root, [(2031, 5)]), table)
+        assert load(lake.raw_scan_months(spark, root, [(2031, 5)]), table) == 0
     assert totals(spark, table) == before
 
 

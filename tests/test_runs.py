@@ -11,7 +11,7 @@ from gridplume.plans import flows
 from gridplume.session import path_exists
 from gridplume.sources import lake
 from gridplume.sources.ledger import read_ledger
-from gridplume.streaming.daily import daily_state, daily_stream
+from gridplume.streaming.daily import compact_updates, daily_state, daily_stream, run_daily
 from gridplume.streaming.snapshots import snapshot_stream
 from gridplume.schemas import DAILY_KEYS, MEASURES
 from tests.rows import RUN_TS, as_set, hourly, reading
@@ -249,3 +249,28 @@ def test_a_daily_run_lists_its_months_only(spark, places, monkeypatch):
     monkeypatch.setattr(flows, "landed_files", lambda spark, root, folders=None: (listed.append(folders), real(spark, root, folders))[1])
     assert len(flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)) == 1
     assert len(listed) == 1 and listed[0] and all("/year=2024/" in f for f in listed[0])
+
+
+def test_streamed_days_without_bad_and_late_readings(spark, path):
+    """A bad date holds nothing up; bad readings lie aside, late ones are counted; folding batches changes nothing."""
+    landing, updates, rejected, checkpoint = (path(n) for n in ("landing", "updates", "rejected", "checkpoint"))
+    rounds = [
+        ([reading(), reading(date="oops", unitId="U2")], (1, 0)),
+        ([reading(date="2024-06-01"), reading()], (1, 0)),
+        ([reading(date="2024-06-01")], (1, 0)),
+        ([reading(unitId="late"), reading(facilityId="1e30"), reading(date="2024-06-02")], (2, 1)),
+    ]
+    for k, (part, want) in enumerate(rounds):
+        hourly(spark, *part).write.mode("append").json(landing)
+        if k == 2:
+            text_file(landing, ".", "{cut short", name="x.json")
+        result = run_daily(spark, landing, updates, rejected, checkpoint)
+        assert tuple(result) == (want[0] + (k >= 2), want[1])
+        state = as_set(daily_state(spark, updates))
+        if k % 2:
+            compact_updates(spark, updates)
+            compact_updates(spark, updates)
+            assert as_set(daily_state(spark, updates)) == state
+            assert not [f for f in daily_state(spark, updates).inputFiles() if "/batch=" in f]
+    found = {(str(r.date), r.unit_id): r.gross_load_mw for r in daily_state(spark, updates).collect()}
+    assert found == {("2024-01-01", "U1"): 20.0, ("2024-06-01", "U1"): 20.0, ("2024-06-02", "U1"): 10.0}
