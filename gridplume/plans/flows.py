@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -39,8 +40,10 @@ class Places:
     def mart(self, name: str) -> str:
         return f"{self.marts}.{name}"
 
-    def publish(self, name: str, mart: DataFrame) -> None:
-        models.model_table(mart, self.mart(name), self.mart_root and f"{self.mart_root}/{name}")
+    def versions(self, spark: SparkSession, name: str) -> str:
+        """The folder below which a mart's versions lie."""
+        root = self.mart_root or f"{spark.conf.get('spark.sql.warehouse.dir')}/{self.marts}-versions"
+        return f"{root}/{name}"
 
     @classmethod
     def below(cls, root: str, marts: str, landing_format: str = "json") -> Places:
@@ -170,33 +173,41 @@ def daily_run(
 def refresh_models(
     spark: SparkSession, places: Places, months: DataFrame | None = None, publish_first: bool = False
 ) -> DataFrame:
-    """Rebuild both marts and run the data tests; returns the test report, or raises on a failing test.
+    """Rebuild both marts, or some months of them, and run the data tests; returns the test report, or raises on a failing test.
 
-    The intermediate rows are stored by month. All models group by date, so only ``months`` need the raw
-    rows again; the marts are then rebuilt whole from the stored intermediate rows, which are few. The staging
-    tests are counted inside the same aggregate and stored beside it, so the raw rows are read once.
+    The intermediate rows and the marts are stored by month. All models group by date, so only ``months`` are read,
+    recomputed and written; without them everything is. The staging tests are counted inside the same aggregate and
+    stored beside it, so the raw rows are read once.
 
-    The marts are tested before they replace the published ones; ``publish_first`` replaces them first.
+    New months of both marts are written beside the published ones and tested there; then the catalog is pointed to them, mart after
+    mart, without moving a row. ``publish_first`` does that before the tests.
     """
     first_time = months is None or not path_exists(spark, places.intermediate)
     raw = lake.raw_table(spark, places.raw) if first_time else lake.raw_scan_months(spark, places.raw, months)
     store_intermediate(raw, places.intermediate, whole=first_time)
     stored = spark.read.parquet(places.intermediate)
+    touched = [] if first_time else sorted((r.year, r.month) for r in months.select("year", "month").distinct().collect())
+    fresh = stored if first_time else stored.where(lake.month_predicate(touched))
+    version = uuid.uuid4().hex
+    roots = {name: places.versions(spark, name) for name in models.MARTS}
+    paths = {name: f"{root}/version={version}" for name, root in roots.items()}
+    staged = {
+        name: models.stage_mart(models.source_ref(name, {"int_cems_aggregated": fresh}), path) for name, path in paths.items()
+    }
+
+    def publish() -> None:
+        for name, mart in staged.items():
+            models.swap_months(mart, places.mart(name), roots[name], paths[name], first_time, touched)
+
     with work_folder(spark, "models"):
-        marts = {name: models.source_ref(name, {"int_cems_aggregated": stored}) for name in models.MARTS}
         if publish_first:
-            for name, mart in marts.items():
-                places.publish(name, mart)
-            marts = {name: spark.table(places.mart(name)) for name in marts}
-        else:
-            marts = {name: as_written(mart, name) for name, mart in marts.items()}
+            publish()
         # Ten rows: one per test.
-        report = staging_report(stored).unionByName(quality.report(marts))
+        report = staging_report(stored).unionByName(quality.report(staged))
         results = spark.createDataFrame(report.collect(), report.schema)
         quality.quality_gate(results)
         if not publish_first:
-            for name, mart in marts.items():
-                places.publish(name, mart)
+            publish()
     return results
 
 

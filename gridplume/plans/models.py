@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridplume.functions import numbers
 from gridplume.functions.fuels import fuel_category
-from gridplume.schemas import MEASURES, TOTALS
+from gridplume.schemas import MEASURES, MONTH_KEYS, TOTALS
+from gridplume.session import delete_path, glob_paths
 
 _TOTAL_NAMES = [f"total_{m}" for m in TOTALS]
 
@@ -98,6 +99,67 @@ def model_views(spark: SparkSession, raw: DataFrame) -> None:
     int_cems_aggregated(stg).createOrReplaceTempView("int_cems_aggregated")
 
 
+def stage_mart(mart: DataFrame, path: str) -> DataFrame:
+    """A mart's rows as a new version, by month and sorted by date; returns what is written. Nobody reads it yet."""
+    months = MONTH_KEYS.names
+    dated = mart.withColumns({"year": F.year("date"), "month": F.month("date")})
+    dated.hint("rebalance", *[F.col(c) for c in months]).sortWithinPartitions(*months, "date").write.partitionBy(*months).parquet(path)
+    return mart.sparkSession.read.schema(dated.schema).parquet(path)
+
+
+def swap_months(staged: DataFrame, name: str, root: str, path: str, whole: bool, months: Sequence[tuple[int, int]] = ()) -> None:
+    """Point a mart's months to the folders of a version below ``root``; of the others only the catalog knows, and they stay.
+
+    No row moves and the table is never missing. With ``whole`` the version holds all months; else those of ``months`` that it lacks
+    have no rows any more.
+    """
+    spark = staged.sparkSession
+    known = _create_by_month(staged, name, f"{root}/table")
+    # At most a row per month.
+    held = {tuple(r) for r in staged.select(*MONTH_KEYS.names).distinct().collect()}
+    folder = f"{path}/year={{0}}/month={{1}}"
+    for month in sorted(held):
+        spec, place = _spec(*month), folder.format(*month)
+        change = f"partition ({spec}) set location" if month in known else f"add partition ({spec}) location"
+        spark.sql(f"alter table {name} {change} '{place}'")
+    for month in (known if whole else known & set(months)) - held:
+        spark.sql(f"alter table {name} drop partition ({_spec(*month)})")
+    spark.catalog.refreshTable(name)
+
+
+def drop_unused(spark: SparkSession, name: str, root: str) -> None:
+    """Delete the versions' month folders that no month of the mart points to. Readers of older versions must be done."""
+    used = set()
+    for month in _months_of(spark, name):
+        rows = spark.sql(f"describe formatted {name} partition ({_spec(*month)})").where("col_name = 'Location'")
+        used.add(rows.first()["data_type"].split("/version=")[-1])
+    for place in glob_paths(spark, f"{root}/version=*/year=*/month=*"):
+        if place.split("/version=")[-1] not in used:
+            delete_path(spark, place)
+
+
+def _spec(year: int, month: int) -> str:
+    return f"year={year}, month={month}"
+
+
+def _months_of(spark: SparkSession, name: str) -> set[tuple[int, int]]:
+    return {tuple(int(part.split("=")[1]) for part in r[0].split("/")) for r in spark.sql(f"show partitions {name}").collect()}
+
+
+def _create_by_month(staged: DataFrame, name: str, path: str) -> set[tuple[int, int]]:
+    """Make sure that the mart is a table by month; returns the months it has."""
+    spark = staged.sparkSession
+    spark.sql(f"create database if not exists {name.rsplit('.', 1)[0]}")
+    if spark.catalog.tableExists(name):
+        by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        if by == MONTH_KEYS.names and spark.table(name).columns == staged.columns:
+            return _months_of(spark, name)
+        spark.sql(f"drop table {name}")
+    columns = ", ".join(f"{c} {t}" for c, t in staged.dtypes)
+    spark.sql(f"create table {name} ({columns}) using parquet partitioned by ({', '.join(MONTH_KEYS.names)}) location '{path}'")
+    return set()
+
+
 def model_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """A mart as a table, rebuilt whole; in the catalog's own folder, or in ``path``."""
     if "." in name:

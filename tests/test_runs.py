@@ -274,3 +274,26 @@ def test_streamed_days_without_bad_and_late_readings(spark, path):
             assert not [f for f in daily_state(spark, updates).inputFiles() if "/batch=" in f]
     found = {(str(r.date), r.unit_id): r.gross_load_mw for r in daily_state(spark, updates).collect()}
     assert found == {("2024-01-01", "U1"): 20.0, ("2024-06-01", "U1"): 20.0, ("2024-06-02", "U1"): 10.0}
+
+
+def test_marts_change_by_month_and_their_date_filter_prunes(spark, places):
+    from gridplume.plans import models, tiles
+    from tests.rows import plan
+
+    land(spark, places, reading(), reading(date="2024-02-01"), snapshot=1)
+    flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)
+    name = "mart_emissions_over_time"
+    table, root = spark.table(places.mart(name)), places.versions(spark, name)
+    tile = tiles.daily_generation(table, date(2024, 2, 1), date(2024, 2, 29))
+    assert "202402" in plan(tile).split("PartitionFilters")[1].split("\n")[0] and tile.count() == 1
+    january = [f for f in table.inputFiles() if "/month=1/" in f]
+    months = spark.createDataFrame([(2024, 2)], "year int, month int")
+    land(spark, places, reading(date="2024-02-01", grossLoad="33"), snapshot=2)
+    flows.daily_run(spark, places, AS_OF, RUN_TS + timedelta(days=1), STATES)
+    flows.refresh_models(spark, places, months)
+    again = spark.table(places.mart(name))
+    assert mart(spark, places) == {("2024-01-01", "TX"): 10.0, ("2024-02-01", "TX"): 33.0}
+    assert [f for f in again.inputFiles() if "/month=2/" in f] and len(again.inputFiles()) == 2
+    before = as_set(again)
+    models.drop_unused(spark, places.mart(name), root)
+    assert as_set(spark.table(places.mart(name))) == before and january
