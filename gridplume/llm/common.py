@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,6 +47,19 @@ def without(docs: DataFrame, place: Column, dropped: DataFrame) -> DataFrame:
     return kept.select(*names)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs that run inside."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def words_of(text: Column) -> Column:
     """The lower-cased words of a text as an array; null and empty texts have none."""
     parts = F.split(F.lower(F.coalesce(text, F.lit(""))), GAP)

@@ -9,11 +9,14 @@ where a coordinate stays empty the rank is doubled.
 Documents with the same words are one node. Nodes meet in buckets, one per band of the signature, and every
 candidate pair is verified on its shingles:
 
-1. each member of a bucket against the bucket's first member; verified links give classes;
-2. where a bucket still holds several classes, each member outside its largest class against all members of other classes.
+1. each member of a bucket against the bucket's hub, the member that meets most others; verified links give classes;
+2. where a bucket still holds several classes, each member outside its largest class against all members of other classes,
+   in the first bucket that the two share.
 
 So a bucket with a large group of near copies costs a pair per member, and no pair of different classes that meets in a
-bucket stays unverified. Nothing is capped. Links between classes then join them.
+bucket is passed over. Nothing is capped. Links between classes then join them. Before texts are fetched, a pair's similarity is
+estimated from the whole signatures, four bits a sample; it is given up where the estimate is more than four standard
+errors below the threshold (``far``), which a pair at the threshold has a chance of 3 in 100,000 of.
 
 Defined results: words are lower-cased and split at ASCII white space; fewer than five words are one shingle; texts without words (null, empty) are
 equal to each other; in a class the row with the least identifier stays (null last; of equal ones the first row); an empty table gives an empty
@@ -32,14 +35,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridplume.llm.common import components, located, words_of
+from gridplume.llm.common import components, located, settings, words_of
 from gridplume.session import as_written
 
 SHINGLE = 5
 #: 40 bands of 7: a pair of similarity 0.8 is missed with a chance of 8 in 100,000.
 BANDS, BAND_ROWS = 40, 7
-#: Words that are worked on at once in a task, about.
-PORTION = 200_000
+#: Samples in a long, of four bits each.
+PACKED = 16
+#: Words that are worked on at once in a task, about. Documents of few words take many throws and are worked on together.
+PORTION, FEW = 50_000, 40
+#: Rows that go to a Python worker at once.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 #: A hub with more pairs than this is copied, so that each copy meets about so many.
 PAIRS_PER_COPY = 1000
 
@@ -134,38 +141,77 @@ def band_keys(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def packed(samples: np.ndarray) -> np.ndarray:
+    """(n_docs, longs): the last four bits of each sample, side by side; filled up with zeros."""
+    n, size = samples.shape
+    longs = -(-size // PACKED)
+    bits = np.zeros((n, longs * PACKED), dtype=_U)
+    bits[:, :size] = samples & _U(15)
+    return (bits.reshape(n, longs, PACKED) << (np.arange(PACKED, dtype=_U) * _U(4))).sum(axis=2, dtype=_U)
+
+
+def far(a: Column, b: Column, size: int, threshold: float) -> Column:
+    """Whether two packed signatures of ``size`` samples differ too much for a similarity of ``threshold``."""
+    error = (threshold * (1 - threshold) / size) ** 0.5
+    # Samples that differ have the same four bits once in 16 times.
+    most = size * (1 - (threshold - 4 * error)) * 15 / 16
+    differ = F.lit(0)
+    for k in range(-(-size // PACKED)):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return differ > most
+
+
+def _lists(rows: np.ndarray, has: np.ndarray) -> pa.ListArray:
+    """A list for each document; an empty one for those without a row."""
+    ends = np.concatenate([[0], np.cumsum(has * rows.shape[1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.reshape(-1).view(np.int64)))
+
+
+def _portions(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """The numbers of the documents that have words, in portions."""
+    few = np.flatnonzero((lengths > 0) & (lengths < FEW))
+    many = np.flatnonzero(lengths >= FEW)
+    if len(few):
+        yield few
+    part = np.cumsum(lengths[many]) // PORTION
+    yield from (many[part == p] for p in np.unique(part))
+
+
 def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    size = bands * rows
     for batch in batches:
         column = batch.column("words")
         offsets = column.offsets.to_numpy()
         words = column.values.to_numpy().view(_U)
-        keys: list[np.ndarray] = []
         lengths = np.diff(offsets)
-        at = 0
-        while at < len(lengths):
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PORTION, side="right")) - 1)
-            own = words[offsets[at] : offsets[stop]]
-            hashes, owner = shingles(own, lengths[at:stop])
-            samples = signatures(units(hashes, owner), owner, stop - at, bands * rows)
-            keys.append(band_keys(samples, bands, rows))
-            at = stop
         has = lengths > 0
-        flat = np.concatenate([k[h] for k, h in zip(keys, np.split(has, np.cumsum([len(k) for k in keys])[:-1]))]) if keys else np.zeros((0, bands), _U)
-        ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.reshape(-1).view(np.int64)))
-        arrays = [lists if name == "words" else batch.column(name) for name in batch.schema.names]
-        yield pa.RecordBatch.from_arrays(arrays, names=["keys" if n == "words" else n for n in batch.schema.names])
+        keys = np.zeros((len(lengths), bands), _U)
+        samples = np.zeros((len(lengths), -(-size // PACKED)), _U)
+        for own in _portions(lengths):
+            mine = np.concatenate([words[offsets[k] : offsets[k + 1]] for k in own])
+            hashes, owner = shingles(mine, lengths[own])
+            drawn = signatures(units(hashes, owner), owner, len(own), size)
+            keys[own] = band_keys(drawn, bands, rows)
+            samples[own] = packed(drawn)
+        added = {"keys": _lists(keys[has], has), "samples": _lists(samples[has], has)}
+        kept = [n for n in batch.schema.names if n != "words"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *added.values()], names=[*kept, *added])
 
 
 def signed(docs: DataFrame, place: Column, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
-    """A written table with a row for each document: row_id, id, place, digest (of the words), keys (of the buckets)."""
+    """A written table with a row for each document: row_id, id, place, digest (of the words), keys (of the buckets),
+    samples (packed)."""
     words = words_of(docs[text_col])
     read = docs.select(
         docs[id_col].cast("long").alias("id"), place.alias("place"), words.alias("w")
     ).select("id", "place", F.md5(F.array_join("w", " ").cast("binary")).alias("digest"), F.transform("w", lambda w: F.xxhash64(w)).alias("words"))
-    schema = "id long, place struct<file: string, row: long>, digest string, keys array<long>"
+    schema = "id long, place struct<file: string, row: long>, digest string, keys array<long>, samples array<long>"
     keyed = read.mapInArrow(lambda batches: _sign(batches, bands, rows), schema)
-    return as_written(keyed.select(F.monotonically_increasing_id().alias("row_id"), "*"), "signed")
+    with settings(docs.sparkSession, _BATCH):
+        return as_written(keyed.select(F.monotonically_increasing_id().alias("row_id"), "*"), "signed")
 
 
 @lru_cache(maxsize=64)
@@ -212,30 +258,50 @@ def _texts(docs: DataFrame, place: Column, text_col: str, nodes: DataFrame, pair
     return as_written(read.join(wanted, ["file", "row"]).select("node", "text"), "texts")
 
 
-def links(docs: DataFrame, place: Column, text_col: str, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Verified links (a, b) that connect the nodes (node, place, keys) of each class."""
+def links(docs: DataFrame, place: Column, text_col: str, nodes: DataFrame, threshold: float, bands: int, band_rows: int) -> DataFrame:
+    """Verified links (a, b) that connect the nodes (node, place, keys, samples) of each class."""
+    size = bands * band_rows
     spread = nodes.select("node", F.explode("keys").alias("key"))
-    hubs = spread.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
-    met = as_written(spread.join(hubs, "key"), "met")
-    pairs = as_written(met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-    first = as_written(verify(pairs, _texts(docs, place, text_col, nodes, pairs), threshold), "links")
-    more = as_written(_unsettled(met, components(first), pairs), "pairs")
-    second = verify(more, _texts(docs, place, text_col, nodes, more), threshold)
-    return as_written(first.unionByName(second), "links")
-
-
-def _unsettled(met: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of different classes that meet in a bucket and aren't tested yet."""
+    sizes = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = as_written(spread.join(sizes, "key"), "shared")
+    # The member that meets most others is the likeliest to resemble them: an original among its copies.
+    central = shared.groupBy("node").agg(F.sum("n").alias("meets"))
+    hubs = shared.join(central, "node").groupBy("key").agg(F.max(F.struct("meets", -F.col("node")))["col2"].alias("hub"))
+    met = as_written(shared.join(hubs.select("key", (-F.col("hub")).alias("hub")), "key"), "met")
+    stars = met.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    signed_a = nodes.select(F.col("node").alias("a"), F.col("samples").alias("samples_a"))
+    signed_b = nodes.select(F.col("node").alias("b"), F.col("samples").alias("samples_b"))
+    near = stars.join(signed_a, "a").join(signed_b, "b").where(~far(F.col("samples_a"), F.col("samples_b"), size, threshold))
+    pairs = as_written(near.select("a", "b"), "pairs")
+    with settings(docs.sparkSession, _BATCH):
+        first = as_written(verify(pairs, _texts(docs, place, text_col, nodes, pairs), threshold), "links")
+    more = as_written(_unsettled(met, components(first), nodes, pairs, threshold, bands, size), "pairs")
+    with settings(docs.sparkSession, _BATCH):
+        second = verify(more, _texts(docs, place, text_col, nodes, more), threshold)
+        return as_written(first.unionByName(second), "links")
+
+
+def _unsettled(met: DataFrame, found: DataFrame, nodes: DataFrame, tested: DataFrame, threshold: float, bands: int, size: int) -> DataFrame:
+    """Pairs of different classes that meet in a bucket, aren't far and aren't tested yet; each in its first bucket."""
     labelled = as_written(
         met.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled"
     )
     sizes = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("core")).where("roots > 1")
-    rows = labelled.join(mixed.select("key", "core"), "key")
-    outside = rows.where("root <> core").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    others = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), (F.col("root") == F.col("core")).alias("in_core"))
-    pairs = outside.join(others, "key").where("root_a <> root_b and (in_core or a > b)")
-    ordered = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    rows = labelled.join(mixed.select("key", "core"), "key").join(nodes.select("node", "keys", "samples"), "node")
+    sides = [
+        rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "core", "keys", "samples")]) for side in "ab"
+    ]
+    outside = sides[0].where("root_a <> core_a")
+    first = F.coalesce(
+        *[F.when(F.get("keys_a", F.lit(k)) == F.get("keys_b", F.lit(k)), F.get("keys_a", F.lit(k))) for k in range(bands)]
+    )
+    wanted = (
+        (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("core_b")) | (F.col("node_a") > F.col("node_b")))
+        & (outside["key"] == first) & ~far(F.col("samples_a"), F.col("samples_b"), size, threshold)
+    )
+    pairs = outside.join(sides[1], (outside["key"] == sides[1]["key"]) & wanted)
+    ordered = pairs.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
     return ordered.join(tested, ["a", "b"], "left_anti")
 
 
@@ -248,8 +314,8 @@ def classes(
     same = table.groupBy("digest").agg(F.min("row_id").alias("node"))
     members = as_written(table.select("row_id", "id", "place", "digest").join(same, "digest").drop("digest"), "members")
     first = members.where("row_id = node").select("node")
-    nodes = as_written(table.select(F.col("row_id").alias("node"), "place", "keys").join(first, "node", "left_semi"), "nodes")
-    found = components(links(docs, place, text_col, nodes, threshold))
+    nodes = as_written(table.select(F.col("row_id").alias("node"), "place", "keys", "samples").join(first, "node", "left_semi"), "nodes")
+    found = components(links(docs, place, text_col, nodes, threshold, bands, band_rows))
     classed = members.join(found, "node", "left").select("row_id", "id", "place", F.coalesce("root", "node").alias("root"))
     rank = F.struct(F.col("id").isNull().alias("without"), F.col("id").alias("id"), F.col("row_id").alias("row_id"))
     heads = classed.groupBy("root").agg(F.min(rank).alias("head"), F.count(F.lit(1)).alias("group_size"))

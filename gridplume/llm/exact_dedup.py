@@ -12,13 +12,10 @@ that are named are not looked at, whatever they are called.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm.common import located
+from gridplume.llm.common import located, settings
 from gridplume.session import as_written, work_path
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -69,7 +66,7 @@ def take_in(spark: SparkSession, landing: DataFrame, path: str, checkpoint: str,
         .groupBy("digest")
         .agg(F.max(F.struct("id", "place")).alias("last"), F.count(F.lit(1)).alias("copies"))
     )
-    with _settings(spark, _STATE):
+    with settings(spark, _STATE):
         query = (
             keyed.writeStream.outputMode("update").format("noop")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -127,14 +124,3 @@ def _by_bytes(docs: DataFrame, place: Column, id_col: str, text_col: str, clash:
     whole = rows.groupBy("digest", "content").agg(F.max(F.struct("id", "place")).alias("last"), F.count(F.lit(1)).alias("copies"))
     return rows.join(whole, ["digest", "content"]).select("digest", "id", "place", "last", "copies")
 
-
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    old = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
