@@ -30,7 +30,7 @@ _NAMED = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]
 #: Runs of 12 or more key characters with a digit; values of 6 or more characters assigned to a telling name.
 CANDIDATE = (
     rf"(?<!{_KEY})(?=[A-Za-z+/_\-]*+[0-9]){_KEY}{{12,}}={{0,2}}"
-    rf"|(?<=(?i:{_NAMED})[\"']?[=:][\"']?)[^\s\"'<>]{{6,}}"
+    rf"|(?<=[=:\"'])(?<=(?i:{_NAMED})[\"']?[=:][\"']?)[^\s\"'<>]{{6,}}"
 )
 #: Characters of a candidate's neighbourhood that are looked at, on either side.
 AROUND = 48
@@ -50,7 +50,8 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
     docs, place = located(docs)
     path = docs[path_col].cast("string") if path_col else F.lit("")
     read = docs.select(docs[id_col].alias("id"), place.alias("place"), F.coalesce(path, F.lit("")).alias("path"), docs[text_col].alias("text"))
-    found = read.withColumn("values", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).where(F.size("values") > 0)
+    # Most texts have no candidate; they are searched once and not taken apart.
+    found = read.where(F.col("text").rlike(CANDIDATE)).withColumn("values", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
     gaps = F.split("text", CANDIDATE, -1)
     beside = F.transform(gaps, lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(AROUND)).alias("tail"), F.left(g, F.lit(AROUND)).alias("head")))
     each = found.select("id", "place", "path", "values", beside.alias("beside")).select(
