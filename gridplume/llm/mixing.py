@@ -28,7 +28,7 @@ from gridplume.session import as_written
 GRID = 2**31
 STEP = 1327217885
 #: Rows of a lane of shuffled rows, about, and slots of a lane of the schedule.
-LANE_ROWS = 4096
+LANE_ROWS = 1024
 LANE_SLOTS = 65536
 
 
