@@ -99,6 +99,22 @@ def model_views(spark: SparkSession, raw: DataFrame) -> None:
     int_cems_aggregated(stg).createOrReplaceTempView("int_cems_aggregated")
 
 
+def layer_views(spark: SparkSession, raw_path: str, schema: str) -> None:
+    """Staging and intermediate models as lasting views over the stored raw table, each layer in a schema of its own:
+    ``<schema>_staging.stg_cems_daily`` and ``<schema>_intermediate.int_cems_aggregated``."""
+    zeros = ", ".join(f"coalesce({m}, 0.0) as {m}" for m in MEASURES)
+    totals = ", ".join(f"sum({m}) as total_{m}" for m in TOTALS)
+    stg, aggregated = f"{schema}_staging.stg_cems_daily", f"{schema}_intermediate.int_cems_aggregated"
+    for name in (stg, aggregated):
+        spark.sql(f"create database if not exists {name.split('.')[0]}")
+    spark.sql(f"""create or replace view {stg} as
+        select state, facility_name, facility_id, unit_id, cast(date as date) as date, primary_fuel, unit_type, {zeros}, ingested_at
+        from parquet.`{raw_path}` where date is not null and state is not null""")
+    spark.sql(f"""create or replace view {aggregated} as
+        select state, date, primary_fuel, count(distinct facility_id) as facility_count, {totals}
+        from {stg} group by state, date, primary_fuel""")
+
+
 def stage_mart(mart: DataFrame, path: str) -> DataFrame:
     """A mart's rows as a new version, by month and sorted by date; returns what is written. Nobody reads it yet."""
     months = MONTH_KEYS.names

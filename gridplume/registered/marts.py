@@ -12,6 +12,7 @@ from gridplume.plans import models, tiles
 from gridplume.registered import common as c
 from gridplume.schemas import MEASURES
 from gridplume.session import as_written, work_path
+from gridplume.sources import lake
 
 _FIRST, _LAST = date(1997, 3, 15), date(1999, 8, 20)
 
@@ -66,11 +67,15 @@ def fuel_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models.model_views(spark, c.cems_daily(spark, sf_dir))
+    """The views of both layers over a stored raw table."""
+    raw = work_path(spark, "raw")
+    lake.load_truncate(c.cems_daily(spark, sf_dir), raw)
+    models.layer_views(spark, raw, "query")
     return spark.sql("""
         select s.primary_fuel, s.n, i.facility_days
-        from (select primary_fuel, count(*) as n from stg_cems_daily group by primary_fuel) s
-        join (select primary_fuel, sum(facility_count) as facility_days from int_cems_aggregated group by primary_fuel) i
+        from (select primary_fuel, count(*) as n from query_staging.stg_cems_daily group by primary_fuel) s
+        join (select primary_fuel, sum(facility_count) as facility_days from query_intermediate.int_cems_aggregated
+          group by primary_fuel) i
         on s.primary_fuel <=> i.primary_fuel""")
 
 

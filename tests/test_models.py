@@ -113,3 +113,16 @@ def test_one_measure_reads_few_columns(spark, path):
     assert "ReadSchema: struct<state:string,date:date,gross_load_mw:double,primary_fuel:string>" in text
     assert "GreaterThanOrEqual(date,2024-01-01)" in text, "the date filter reaches the scan through both sums"
     assert "facility_id" not in text.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_views_of_both_layers_give_the_models_rows(spark, path):
+    from gridplume.sources import lake
+
+    rows = raw(spark, daily_row(), daily_row(gross_load_mw=None, facility_id=2), daily_row(state=None), daily_row(date=None))
+    table = path("raw")
+    lake.load_truncate(rows, table)
+    models.layer_views(spark, table, "layers")
+    known = {"raw_cems_daily": lake.raw_table(spark, table)}
+    for name, view in (("stg_cems_daily", "layers_staging.stg_cems_daily"), ("int_cems_aggregated", "layers_intermediate.int_cems_aggregated")):
+        model, stored = models.source_ref(name, known), spark.table(view)
+        assert as_set(stored.select(*model.columns)) == as_set(model) and set(stored.columns) == set(model.columns)
