@@ -35,7 +35,8 @@ def located(docs: DataFrame) -> tuple[DataFrame, Column]:
 
 
 def without(docs: DataFrame, place: Column, dropped: DataFrame) -> DataFrame:
-    """``docs`` (from ``located``) without the rows whose place is in ``dropped.place``; all columns stay as they are."""
+    """``docs`` (from ``located``) without the rows whose place is in ``dropped.place``; all columns stay as they
+    are."""
     names = docs.columns
     marked = docs.select(*[docs[c] for c in names], place.alias("_own_place"))
     gone = dropped.select(F.col("place").alias("_gone_place"))
@@ -86,7 +87,8 @@ def running_total(
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges`` (a, b: long): one row (node, root) for each node of an edge, root the least node.
+    """Connected components of ``edges`` (a, b: long): one row (node, root) for each node of an edge, root the least
+    node.
 
     Alternates large-star and small-star steps. Each is a minimum per node, combined before the shuffle, and a join that
     adaptive execution splits for hot nodes; each round is a written table. Rounds grow as the logarithm of the

@@ -1,26 +1,26 @@
 """Near-duplicate classes by DartMinHash signatures and banded joining.
 
-A document is the multiset of its five-word shingles; the similarity of two is the weighted Jaccard similarity, sum of least counts over
-sum of largest. Each unit of weight of a shingle is a region that hashed darts hit: their ranks are a Poisson process, and each has a
-coordinate. Per coordinate the earliest dart of a document is its sample, and two documents share a sample with a chance equal
-to their similarity. Darts are thrown up to the rank where about ``size (ln size + 3)`` of them fall on the document, however heavy it is;
-where a coordinate stays empty the rank is doubled.
+A document is the multiset of its five-word shingles; the similarity of two is the weighted Jaccard similarity, sum of
+least counts over sum of largest. Each unit of weight of a shingle is a region that hashed darts hit: their ranks are a
+Poisson process, and each has a coordinate. Per coordinate the earliest dart of a document is its sample, and two
+documents share a sample with a chance equal to their similarity. Darts are thrown up to the rank where about ``size
+(ln size + 3)`` of them fall on the document, however heavy it is; where a coordinate stays empty the rank is doubled.
 
 Documents with the same words are one node. Nodes meet in buckets, one per band of the signature, and every
 candidate pair is verified on its shingles:
 
 1. each member of a bucket against the bucket's hub, the member that meets most others; verified links give classes;
-2. where a bucket still holds several classes, each member outside its largest class against all members of other classes,
-   in the first bucket that the two share.
+2. where a bucket still holds several classes, each member outside its largest class against all members of other
+   classes, in the first bucket that the two share.
 
 So a bucket with a large group of near copies costs a pair per member, and no pair of different classes that meets in a
-bucket is passed over. Nothing is capped. Links between classes then join them. Before texts are fetched, a pair's similarity is
-estimated from the whole signatures, four bits a sample; it is given up where the estimate is more than four standard
-errors below the threshold (``far``), which a pair at the threshold has a chance of 3 in 100,000 of.
+bucket is passed over. Nothing is capped. Links between classes then join them. Before texts are fetched, a pair's
+similarity is estimated from the whole signatures, four bits a sample; it is given up where the estimate is more than
+four standard errors below the threshold (``far``), which a pair at the threshold has a chance of 3 in 100,000 of.
 
-Defined results: words are lower-cased and split at ASCII white space; fewer than five words are one shingle; texts without words (null, empty) are
-equal to each other; in a class the row with the least identifier stays (null last; of equal ones the first row); an empty table gives an empty
-result; other columns are not looked at.
+Defined results: words are lower-cased and split at ASCII white space; fewer than five words are one shingle; texts
+without words (null, empty) are equal to each other; in a class the row with the least identifier stays (null last; of
+equal ones the first row); an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ SHINGLE = 5
 BANDS, BAND_ROWS = 40, 7
 #: Samples in a long, of four bits each.
 PACKED = 16
-#: Words that are worked on at once in a task, about. Documents of few words take many throws and are worked on together.
+#: Words that are worked on at once in a task, about. Documents of few words take many throws and are worked on
+#: together.
 PORTION, FEW = 50_000, 40
 #: Rows that go to a Python worker at once.
 _BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
@@ -236,7 +237,8 @@ def similar(a: str, b: str, threshold: float) -> bool:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts (node, text) are similar. Many pairs may share one ``b``: its text is copied and dealt out."""
+    """The pairs (a, b) whose texts (node, text) are similar. Many pairs may share one ``b``: its text is copied and
+    dealt out."""
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -252,7 +254,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 def _texts(docs: DataFrame, place: Column, text_col: str, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, text) of the nodes in ``pairs``; ``nodes`` has each node's place."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
+    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct().join(nodes, "node")
     wanted = wanted.select("node", F.col("place.file").alias("file"), F.col("place.row").alias("row"))
     read = docs.select(place.alias("p"), F.lower(docs[text_col]).alias("text")).select(F.col("p.file").alias("file"), F.col("p.row").alias("row"), "text")
     return as_written(read.join(wanted, ["file", "row"]).select("node", "text"), "texts")

@@ -1,17 +1,19 @@
 """Benchmark decontamination: training passages are queries to a BM25 index of the test items, by block-max WAND.
 
-The index holds, for each word, the items it occurs in (postings, in item order) with the share that the word has in the item's own
-BM25 score, so that an item's score is 1 for a passage with all its words. Postings lie in blocks of items with their largest share.
-A passage is a window of a text; windows overlap by half, and an item of ordinary length lies whole in one. All items that score
-``THRESHOLD`` or more are retrieved, none is left out for rank: first a bound per passage and block of items (sum of
-the blocks' largest shares), then WAND with block maxima on the passages that the bound lets through. A
-retrieved item is verified by word triples: enough of its question and of its answer must stand in the passage.
-
-The index is small by construction: items are dealt to shards of at most ``SHARD_WORDS`` words, and the texts are passed over once per
-shard. Word statistics are of all items, so that scores don't depend on shards. No text is moved.
-
-Defined results: null and empty texts and items match nothing; a text is reported once per item, with its best passage; rows that
-repeat are reported each; rows of one item_id are items of their own under one name; other columns are not looked at.
+The index holds, for each word, the items it occurs in (postings, in item order) with the share that the word has in
+the item's own BM25 score, so that an item's score is 1 for a passage with all its words. Postings lie in blocks of
+items with their largest share. A passage is a window of a text; windows overlap by half, and an item of ordinary
+length lies whole in one. All items that score ``THRESHOLD`` or more are retrieved, none is left out for rank: first a
+bound per passage and block of items (sum of the blocks' largest shares), then WAND with block maxima on the passages
+that the bound lets through. A retrieved item is verified by word triples: enough of its question and of its answer
+must stand in the passage.
+
+The index is small by construction: items are dealt to shards of at most ``SHARD_WORDS`` words, and the texts are
+passed over once per shard. Word statistics are of all items, so that scores don't depend on shards. No text is moved.
+
+Defined results: null and empty texts and items match nothing; a text is reported once per item, with its best passage;
+rows that repeat are reported each; rows of one item_id are items of their own under one name; other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -69,7 +71,8 @@ def overlap(part: Sequence[str], passage: Sequence[str]) -> float:
 
 @dataclass
 class Index:
-    """Postings of the items' words. ``words`` gives a word's number; ``items``, ``shares`` and ``blocks`` are by that number."""
+    """Postings of the items' words. ``words`` gives a word's number; ``items``, ``shares`` and ``blocks`` are by that
+    number."""
 
     names: list
     texts: list[str]
@@ -119,8 +122,8 @@ def build(rows: list[tuple], df: dict[str, int], n_items: int, mean_length: floa
 def wand(index: Index, terms: Sequence[int], threshold: float) -> list[tuple[int, float]]:
     """All items that score ``threshold`` or more for the words ``terms``.
 
-    Cursors stand in the words' postings. The pivot is the first item that the words' largest shares let reach the threshold;
-    if the block maxima there don't, all cursors before the end of the shortest block are moved past it.
+    Cursors stand in the words' postings. The pivot is the first item that the words' largest shares let reach the
+    threshold; if the block maxima there don't, all cursors before the end of the shortest block are moved past it.
     """
     cursors = [[index.items[t][0], 0, t] for t in terms]
     found = []
@@ -178,7 +181,8 @@ class Searcher:
         for row, t in enumerate(numbers):
             for block, share in index.blocks[t].items():
                 self.matrix[row, block] = share
-        # By word, with a last entry for unknown words, numbered -1: the row in the matrix or -1, and whether it is rare.
+        # By word, with a last entry for unknown words, numbered -1: the row in the matrix or -1, and whether it is
+        # rare.
         self.row = np.append(np.where(common, np.cumsum(common) - 1, -1), -1)
         self.is_rare = np.append(~common, False)
         kept = [sorted(b.items()) if not c else [] for b, c in zip(index.blocks, common)]

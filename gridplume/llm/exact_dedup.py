@@ -1,13 +1,13 @@
 """Exact deduplication by a stream with keyed state that never expires.
 
 The rows to look at land as (digest, identifier, place of the content). A stateful stream takes in what has landed since
-its last run: the state, on disk in RocksDB, holds for each digest the number of rows and the identifier and place of the
-row that stays. The state is read back as a table. On hits, digests with more than one row, the full bytes are compared;
-texts that share a digest and differ are told apart by the bytes themselves.
+its last run: the state, on disk in RocksDB, holds for each digest the number of rows and the identifier and place of
+the row that stays. The state is read back as a table. On hits, digests with more than one row, the full bytes are
+compared; texts that share a digest and differ are told apart by the bytes themselves.
 
-Everything is DataFrame work. Defined results: a null text counts as empty; of equal texts the largest identifier stays (null is below all),
-and of equal identifiers the row at the last place; an empty table gives an empty result; columns besides the two
-that are named are not looked at, whatever they are called.
+Everything is DataFrame work. Defined results: a null text counts as empty; of equal texts the largest identifier stays
+(null is below all), and of equal identifiers the row at the last place; an empty table gives an empty result; columns
+besides the two that are named are not looked at, whatever they are called.
 """
 
 from __future__ import annotations

@@ -1,12 +1,13 @@
 """Main text of web pages from flat text blocks.
 
-A page is read as a sequence of text blocks: what stands between block-level tags. Each block has a few shallow features: its words, the
-share of them in links, the same of the block before and the block after, and what it lies in (article, page furniture). A decision
-tree says which blocks are main text. It is trained on the small labelled table ``LABELLED``, once, on the driver.
-
-Defined results: a null or empty page, and a page without main text, give an empty text; broken mark-up is read on (an unclosed tag stays open until its
-parent closes, an unclosed script or comment takes the rest of the page); pages of any length are read whole; rows that repeat are
-extracted each; other columns are not looked at.
+A page is read as a sequence of text blocks: what stands between block-level tags. Each block has a few shallow
+features: its words, the share of them in links, the same of the block before and the block after, and what it lies in
+(article, page furniture). A decision tree says which blocks are main text. It is trained on the small labelled table
+``LABELLED``, once, on the driver.
+
+Defined results: a null or empty page, and a page without main text, give an empty text; broken mark-up is read on (an
+unclosed tag stays open until its parent closes, an unclosed script or comment takes the rest of the page); pages of
+any length are read whole; rows that repeat are extracted each; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -51,7 +52,8 @@ MAIN_WORDS = frozenset("article content entry main post story".split())
 
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "in_furniture", "page_has_main", "heading"]
 
-#: The labelled table: a row per block (FEATURES, then 1 for main text). Links are shares of the words. Labelled by hand.
+#: The labelled table: a row per block (FEATURES, then 1 for main text). Links are shares of the words. Labelled by
+#: hand.
 LABELLED = [
     # Pages with an article: paragraphs of all lengths, headings, lists, links in the text.
     (80, 0.00, 9, 0.0, 60, 0.0, 1, 0, 1, 0, 1), (1, 0.00, 40, 0.0, 33, 0.0, 1, 0, 1, 0, 1), (9, 0.00, 7, 0.0, 12, 0.0, 1, 0, 1, 1, 1),
@@ -176,7 +178,8 @@ def features(blocks: Sequence[Block]) -> list[tuple]:
 
 
 def train(table: Sequence[tuple], most_depth: int = 8):
-    """A decision tree: (feature, bound, tree up to the bound, tree above it), or the label of a leaf. Splits by Gini impurity."""
+    """A decision tree: (feature, bound, tree up to the bound, tree above it), or the label of a leaf. Splits by Gini
+    impurity."""
     labels = [row[-1] for row in table]
     share = sum(labels) / len(labels)
     if most_depth == 0 or share in (0.0, 1.0):

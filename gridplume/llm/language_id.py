@@ -1,18 +1,22 @@
 """Language of web pages by Bayesian fusion of four kinds of evidence.
 
-* Text: likelihood of the character trigrams of a page's main text, by a model of each language learnt from labelled documents.
+* Text: likelihood of the character trigrams of a page's main text, by a model of each language learnt from labelled
+  documents.
 * Mark-up: the language a page declares. How far each declaration is to be believed is counted over all pages.
 * Address: the suffix of the host's name, and
-* host: priors of languages per host, smoothed towards those of its domain, these towards those of its suffix, these towards all pages'.
+* host: priors of languages per host, smoothed towards those of its domain, these towards those of its suffix, these
+  towards all pages'.
 
-The priors are sums of the text's posteriors, grouped by host, domain and suffix; a page's own part is taken out before its prior is formed, so no page
-votes for itself. A hot host combines before the shuffle. The logarithms of text likelihood, declaration and prior add up.
+The priors are sums of the text's posteriors, grouped by host, domain and suffix; a page's own part is taken out before
+its prior is formed, so no page votes for itself. A hot host combines before the shuffle. The logarithms of text
+likelihood, declaration and prior add up.
 
-The trigram model is fitted on a bounded sample of labelled documents (``Sample``); all counts over pages are of all pages.
+The trigram model is fitted on a bounded sample of labelled documents (``Sample``); all counts over pages are of all
+pages.
 
-Defined results: a null or empty page is judged by address and neighbours alone; a null address has the empty host; without labelled
-documents there are no languages and the result is null with probability null; ties go to the language that comes first; rows that
-repeat are judged each; other columns are not looked at.
+Defined results: a null or empty page is judged by address and neighbours alone; a null address has the empty host;
+without labelled documents there are no languages and the result is null with probability null; ties go to the language
+that comes first; rows that repeat are judged each; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -66,7 +70,8 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: Sample = Sample()) -> TextModel:
-    """Counts trigrams of a sample of the labelled documents, chosen by a hash of their identifiers, language by language."""
+    """Counts trigrams of a sample of the labelled documents, chosen by a hash of their identifiers, language by
+    language."""
     marked = docs.where(docs[lang_col].isNotNull())
     sizes = {r[0]: r[1] for r in marked.groupBy(docs[lang_col]).agg(F.count(F.lit(1))).limit(MOST_LANGUAGES + 1).collect()}
     if len(sizes) > MOST_LANGUAGES:
@@ -114,7 +119,8 @@ def host_of(url: Column) -> Column:
 
 
 def _seen(pages: DataFrame, model: TextModel, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """A written row per page: id, url, host, domain, suffix, declared, logs (text, by language), own (the text's posteriors)."""
+    """A written row per page: id, url, host, domain, suffix, declared, logs (text, by language), own (the text's
+    posteriors)."""
     shared = pages.sparkSession.sparkContext.broadcast(model.table)
     tree = html_blocks.train(html_blocks.LABELLED)
 
@@ -155,7 +161,8 @@ def _smoothed(counts: Column, own: Column, prior: Column) -> Column:
 def identify(
     pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: TextModel | None = None
 ) -> DataFrame:
-    """One row for each row of ``pages``: id, url, lang, probability, declared, text_lang (by the text alone), host_prior (of lang)."""
+    """One row for each row of ``pages``: id, url, lang, probability, declared, text_lang (by the text alone),
+    host_prior (of lang)."""
     model = model or learn(docs)
     n = len(model.languages)
     if not n:

@@ -1,16 +1,16 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Slot k of the schedule is the point k * phi mod 1 (golden ratio, in whole numbers of 2^-31). Cumulative targets cut the unit
-interval into one stretch per source, and the stretch that a point falls into names the slot's source. So any run of slots
-holds the sources in nearly their target shares. A source's rows, shuffled by a hash, make a stream of words that starts
-again at its end; the stream is cut into blocks of equal size, one for each of the source's slots, and the slot of rank
-j takes block j. The blocks of a source together are its target, to the word.
+Slot k of the schedule is the point k * phi mod 1 (golden ratio, in whole numbers of 2^-31). Cumulative targets cut the
+unit interval into one stretch per source, and the stretch that a point falls into names the slot's source. So any run
+of slots holds the sources in nearly their target shares. A source's rows, shuffled by a hash, make a stream of words
+that starts again at its end; the stream is cut into blocks of equal size, one for each of the source's slots, and the
+slot of rank j takes block j. The blocks of a source together are its target, to the word.
 
-Everything is DataFrame work. No task holds a source: offsets and ranks are running totals over lanes (``running_total``). One row per
-source passes through a single task; that many sources must fit there.
+Everything is DataFrame work. No task holds a source: offsets and ranks are running totals over lanes
+(``running_total``). One row per source passes through a single task; that many sources must fit there.
 
-Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its own, last in order; rows that
-repeat are rows of their own; an empty table gives an empty mix; other columns are not looked at.
+Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its own, last in
+order; rows that repeat are rows of their own; an empty table gives an empty mix; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -52,8 +52,8 @@ def with_targets(sizes: DataFrame, weights: Sequence[int], ceiling: int) -> Data
     """Adds ix, target and words to one row per source (source, source_size).
 
     The total is shared by weight, and no target exceeds ``ceiling`` times its source's size: targets are
-    min(ceiling * size, level * weight). In the order of ceiling * size / weight the sources at their ceiling come first;
-    taking the first i as such gives a level, and the right one is the largest.
+    min(ceiling * size, level * weight). In the order of ceiling * size / weight the sources at their ceiling come
+    first; taking the first i as such gives a level, and the right one is the largest.
     """
     ix = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.pmod(F.col("ix") - 1, F.lit(len(weights))) + 1)

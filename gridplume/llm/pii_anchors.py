@@ -2,16 +2,16 @@
 
 One Aho-Corasick automaton runs over a text and reports anchors: at-signs, digits that begin or go on a number in a
 telling way, plus signs before digits, schemes, and cue words for identifiers. A local parser for each kind of anchor
-walks outward from it, character by character, finds where the email, address, number or account begins and ends, and validates it.
-Nothing else of the text is looked at, and a place is parsed once.
+walks outward from it, character by character, finds where the email, address, number or account begins and ends, and
+validates it. Nothing else of the text is looked at, and a place is parsed once.
 
-Kinds in order. Base kinds, as the patterns of the contract have them (leftmost, not overlapping, validated after the match): email,
-ip (four parts of at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits). Added kinds: account
-(an IBAN that passes mod 97, or a number of 6 to 18 digits right behind a cue such as "account no."), ssn (3-2-4 digits right behind a cue), login (the
-``user:password`` of an address with a scheme).
+Kinds in order. Base kinds, as the patterns of the contract have them (leftmost, not overlapping, validated after the
+match): email, ip (four parts of at most 255), card (16 to 19 digits, Luhn), phone (8 to 15 digits). Added kinds:
+account (an IBAN that passes mod 97, or a number of 6 to 18 digits right behind a cue such as "account no."), ssn
+(3-2-4 digits right behind a cue), login (the ``user:password`` of an address with a scheme).
 
-Defined results: a null text counts as empty and has no spans; offsets are code points, end exclusive; texts of any length are read
-whole; rows that repeat are scanned each; other columns are not looked at.
+Defined results: a null text counts as empty and has no spans; offsets are code points, end exclusive; texts of any
+length are read whole; rows that repeat are scanned each; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -150,7 +150,8 @@ def _mod97(code: str) -> bool:
 
 
 def cued_number(text: str, behind: int) -> tuple[int, int, str] | None:
-    """The run of digits that begins within reach behind a cue, with nothing but glue and "no", "number" or the like between."""
+    """The run of digits that begins within reach behind a cue, with nothing but glue and "no", "number" or the like
+    between."""
     place = behind
     for word in ("number", "nummer", "num", "no", "nr", "id", "is"):
         skipped = place
@@ -263,6 +264,7 @@ def _report(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: id, n_email, n_ip, n_card, n_phone, base_sha256 (of the base spans), spans (all)."""
+    """One row for each row of ``docs``: id, n_email, n_ip, n_card, n_phone, base_sha256 (of the base spans), spans
+    (all)."""
     report = F.pandas_udf(_report, REPORT)
     return docs.select(docs[id_col].alias("id"), report(docs[text_col]).alias("r")).select("id", "r.*")

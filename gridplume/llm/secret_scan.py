@@ -1,14 +1,15 @@
 """Secrets in texts: wide candidate search, then a random forest that removes false positives.
 
-A candidate is a long run of key characters with a digit in it, or whatever is assigned to a name such as ``password``. The forest sees
-its length, how its characters follow each other (changes of class; likelihood of its letter pairs in the corpus' own words), how
-much of it dictionary words cover, the path it was found under, and the words around it. It is trained from labelled
-findings: rows of a text with one candidate, its path, and whether it is a secret.
+A candidate is a long run of key characters with a digit in it, or whatever is assigned to a name such as ``password``.
+The forest sees its length, how its characters follow each other (changes of class; likelihood of its letter pairs in
+the corpus' own words), how much of it dictionary words cover, the path it was found under, and the words around it. It
+is trained from labelled findings: rows of a text with one candidate, its path, and whether it is a secret.
 
-Everything is DataFrame work, the forest is Spark ML's. The dictionary is the ``DICTIONARY`` most frequent words of the whole corpus.
+Everything is DataFrame work, the forest is Spark ML's. The dictionary is the ``DICTIONARY`` most frequent words of the
+whole corpus.
 
-Defined results: null and empty texts have no candidates; a null path is an empty one; offsets are code points, end exclusive; equal rows are
-scanned each; texts of any length are read whole; other columns are not looked at.
+Defined results: null and empty texts have no candidates; a null path is an empty one; offsets are code points, end
+exclusive; equal rows are scanned each; texts of any length are read whole; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -45,7 +46,8 @@ FEATURES = [
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
     """A row for each candidate: id, place, path, value, start, end, before, after.
 
-    What stands between two candidates gives the offsets and the neighbourhood: lengths add up along the text's own candidates.
+    What stands between two candidates gives the offsets and the neighbourhood: lengths add up along the text's own
+    candidates.
     """
     docs, place = located(docs)
     path = docs[path_col].cast("string") if path_col else F.lit("")
@@ -130,7 +132,8 @@ def with_features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
 
 
 def labelled_findings() -> list[tuple[str, str, str, int]]:
-    """(before, value, after, path, 1 for a secret): findings as reviewers label them, 40 of a kind, with values made from digests."""
+    """(before, value, after, path, 1 for a secret): findings as reviewers label them, 40 of a kind, with values made
+    from digests."""
     rows = []
     for k in range(40):
         digest = hashlib.sha256(f"finding {k}".encode()).hexdigest()
@@ -176,7 +179,8 @@ def train(spark: SparkSession, words: list[tuple[str, int]], findings: list[tupl
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
-    """A row for each candidate: id, start, end, value_sha256 (the value itself is not passed on), probability, secret."""
+    """A row for each candidate: id, start, end, value_sha256 (the value itself is not passed on), probability,
+    secret."""
     words = dictionary(docs, text_col)
     model = train(docs.sparkSession, words)
     table = with_features(candidates(docs, id_col, text_col, path_col), words)

@@ -1,14 +1,16 @@
 """Token counts of a byte-level BPE vocabulary by the whole-token shortcut.
 
-Offline, every vocabulary string that encodes alone as one token is proven to do so, by encoding it. A text is split into pre-tokens
-as the tokenizer splits it; pre-tokens that are proven count one, and only the rest are merged by the library, each distinct one once
-while it is remembered. A special string in a text is one token and parts the text, as the library has it by default.
+Offline, every vocabulary string that encodes alone as one token is proven to do so, by encoding it. A text is split
+into pre-tokens as the tokenizer splits it; pre-tokens that are proven count one, and only the rest are merged by the
+library, each distinct one once while it is remembered. A special string in a text is one token and parts the text, as
+the library has it by default.
 
-The split is done here for texts of scripts whose letters and numbers have long been settled (``_SETTLED``). The library and ours may know
-different versions of Unicode: any other text is encoded by the library whole, with the same result.
+The split is done here for texts of scripts whose letters and numbers have long been settled (``_SETTLED``). The
+library and ours may know different versions of Unicode: any other text is encoded by the library whole, with the same
+result.
 
-Defined results: a null or empty text has no tokens; there is no truncation, and the length of a text has no bound; rows that repeat are counted
-each; other columns are not looked at.
+Defined results: a null or empty text has no tokens; there is no truncation, and the length of a text has no bound;
+rows that repeat are counted each; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -43,7 +45,8 @@ class Vocabulary:
 
 
 def prepare(path: str) -> Vocabulary:
-    """Reads a tokenizer file and proves its whole tokens. Raises for tokenizers that don't split as this method does."""
+    """Reads a tokenizer file and proves its whole tokens. Raises for tokenizers that don't split as this method
+    does."""
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as source:

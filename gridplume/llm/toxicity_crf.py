@@ -2,15 +2,17 @@
 
 Labels are per document, so words are labelled first: a word, or the beginning of a word, that occurs in so many
 documents labelled toxic and in so few others that chance can't explain it marks its words as toxic, there and
-nowhere else. A chain of two tags (other, toxic) is trained on windows of such labelled words. Over a whole text the forward-backward
-pass gives each word's marginal probability; a small logistic model turns their sum, their largest and their density into the
-document's score, and runs of words with a marginal of a half or more are the offending spans (code points, end exclusive).
+nowhere else. A chain of two tags (other, toxic) is trained on windows of such labelled words. Over a whole text the
+forward-backward pass gives each word's marginal probability; a small logistic model turns their sum, their largest and
+their density into the document's score, and runs of words with a marginal of a half or more are the offending spans
+(code points, end exclusive).
 
-The model is fitted on the driver from a bounded sample of labelled rows (``Limits``); scoring is one pass over the rows in Arrow batches, without a shuffle.
-Only the text is an input of a score.
+The model is fitted on the driver from a bounded sample of labelled rows (``Limits``); scoring is one pass over the
+rows in Arrow batches, without a shuffle. Only the text is an input of a score.
 
-Defined results: a null text counts as empty; a text without words has no spans and the score of "nothing found"; without a toxic
-label to learn from every score is the share of toxic labels (0 without labels); rows that repeat get equal scores; other columns are not looked at.
+Defined results: a null text counts as empty; a text without words has no spans and the score of "nothing found";
+without a toxic label to learn from every score is the share of toxic labels (0 without labels); rows that repeat get
+equal scores; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ _WORDS_KEPT = 200_000
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of the sample that the model is fitted on: labelled rows, and characters of a row's text from its start."""
+    """Bounds of the sample that the model is fitted on: labelled rows, and characters of a row's text from its
+    start."""
 
     rows: int = 6000
     chars: int = 20_000
@@ -76,8 +79,9 @@ def _words(text: str) -> list[str]:
 def chain(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over many sequences that lie one after another in ``emission``.
 
-    Two tags need only log-odds: returns the forward and backward log-odds of each word, whose sum is the log-odds of its
-    marginal, and the order of the sequences. Sequences advance together, longest first, so that each step is over arrays.
+    Two tags need only log-odds: returns the forward and backward log-odds of each word, whose sum is the log-odds of
+    its marginal, and the order of the sequences. Sequences advance together, longest first, so that each step is over
+    arrays.
     """
     oo, ot, to, tt = change
     order = np.argsort(-lengths, kind="stable")
@@ -104,7 +108,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def label_words(texts: list[str], toxic: list[int]) -> set[str]:
-    """The marks that stand for toxic words: so many of their documents are toxic that chance has less than 1 in 20 of making one such mark."""
+    """The marks that stand for toxic words: so many of their documents are toxic that chance has less than 1 in 20 of
+    making one such mark."""
     bad, all_ = Counter(), Counter()
     for text, label in zip(texts, toxic):
         marks = {m for w in set(_words(text)) for m in _marks(w)}
@@ -224,7 +229,8 @@ def marginals_of(model: Model, texts: list[str], known: dict[str, float] | None
 
 
 def _spans(text: str, marginals: np.ndarray) -> list[tuple[int, int, float]]:
-    """Runs of words whose marginal is a half or more. Offsets are of the text as it is: lower-casing may change lengths."""
+    """Runs of words whose marginal is a half or more. Offsets are of the text as it is: lower-casing may change
+    lengths."""
     if not len(marginals) or marginals.max() < 0.5:
         return []
     places = [m.span() for m in _WORD.finditer(text)]
@@ -258,7 +264,8 @@ SCORED = StructType([
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limits: Limits = Limits()) -> Model:
-    """Fits the model on the first ``limits.rows`` labelled training rows in the order of a hash of their identifiers."""
+    """Fits the model on the first ``limits.rows`` labelled training rows in the order of a hash of their
+    identifiers."""
     marked = labels.where(labels[label_col].isNotNull() & labels[id_col].isNotNull() & in_training(labels[id_col]))
     rows = marked.select(labels[id_col].alias("id"), (labels[label_col] != 0).cast("int").alias("toxic")).groupBy("id").agg(F.max("toxic").alias("toxic"))
     share = rows.agg(F.avg("toxic")).first()[0]
@@ -266,7 +273,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(base=0.0)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(limits.rows)
     texts = docs.select(docs[id_col].alias("_id"), F.substring(F.coalesce(docs[text_col], F.lit("")), 1, limits.chars).alias("text"))
-    found = texts.join(sample, F.col("_id") == F.col("id")).select("id", "text", "toxic").dropDuplicates(["id"]).orderBy("id").collect()
+    # Of rows that share an identifier the least text is learnt from, so that reruns agree.
+    joined = texts.join(sample, F.col("_id") == F.col("id")).groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    found = joined.orderBy("id").collect()
     return fit([r["text"] for r in found], [r["toxic"] for r in found], float(share))
 
 
