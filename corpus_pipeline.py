@@ -1,6 +1,7 @@
 """A corpus from raw documents: toxic documents go, copies go, near copies go, test items go, and sources are mixed.
 
-Each stage takes what its predecessor kept, read again from Parquet, and all but the last return the columns of ``documents``.
+Each stage takes what its predecessor kept, read again from Parquet, and all but the last return the columns of
+``documents``.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ STAGES = [
     ("mixing", mixed),
 ]
 
-#: Two stages learn a model or search by similarity, which SQL can't express; the tests hold the pipeline against brute force.
+#: Two stages learn a model or search by similarity, which SQL can't express; the tests hold the pipeline against brute
+#: force.
 ORACLE_SQL = None
 
 
