@@ -60,7 +60,8 @@ def sorted_months(days: DataFrame) -> DataFrame:
 
 
 def run_summary(chunks: DataFrame, ledger: DataFrame, run_ts: datetime | Column) -> DataFrame:
-    """One row on the run stamped ``run_ts``: chunks in the calendar, done before it, left to it, and what became of them.
+    """One row on the run stamped ``run_ts``: chunks in the calendar, done before it, left to it, and what became of
+    them.
 
     Finished chunks that are not in the calendar do not count as done, so ``remaining`` cannot drift.
     """

@@ -18,9 +18,9 @@ def semi_join(
 
     ``small`` is computed once into the shared folder, so that Spark knows its bytes: up to
     ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast and ``big`` does not move, beyond that both sides
-    shuffle on the keys and adaptive execution splits a key with a large share of ``big``. Either way the rows are the same.
-    Where the years are among the keys, both sides are also bounded by the first and last of ``small``: folders of
-    other years are not read, and a broadcast prunes the rest.
+    shuffle on the keys and adaptive execution splits a key with a large share of ``big``. Either way the rows are the
+    same. Where the years are among the keys, both sides are also bounded by the first and last of ``small``: folders
+    of other years are not read, and a broadcast prunes the rest.
     """
     how = "left_anti" if anti else "left_semi"
     small = as_written(small.select(*keys).distinct(), "keys")

@@ -95,8 +95,8 @@ def take_in(
     """Bring the newest snapshots of ``chunks`` into the lake, each chunk by itself; returns the attempts.
 
     A bad chunk, or one without a landed file, is entered in the ledger as failed and leaves no row; the others are
-    written. The daily rows are written to the work folder once, because the verdict on a chunk needs all of its rows. The
-    ledger comes last: a run that dies is repeated. Call it inside a ``work_folder``.
+    written. The daily rows are written to the work folder once, because the verdict on a chunk needs all of its rows.
+    The ledger comes last: a run that dies is repeated. Call it inside a ``work_folder``.
     """
     files = as_written(landed_files(spark, places.landing, folders), "files")
     daily = as_written(daily_rows(newest_readings(spark, places, files, chunks, folders), run_ts, audited=True), "daily")
@@ -173,14 +173,15 @@ def daily_run(
 def refresh_models(
     spark: SparkSession, places: Places, months: DataFrame | None = None, publish_first: bool = False
 ) -> DataFrame:
-    """Rebuild both marts, or some months of them, and run the data tests; returns the test report, or raises on a failing test.
+    """Rebuild both marts, or some months of them, and run the data tests; returns the test report, or raises on a
+    failing test.
 
     The intermediate rows and the marts are stored by month. All models group by date, so only ``months`` are read,
     recomputed and written; without them everything is. The staging tests are counted inside the same aggregate and
     stored beside it, so the raw rows are read once.
 
-    New months of both marts are written beside the published ones and tested there; then the catalog is pointed to them, mart after
-    mart, without moving a row. ``publish_first`` does that before the tests.
+    New months of both marts are written beside the published ones and tested there; then the catalog is pointed to
+    them, mart after mart, without moving a row. ``publish_first`` does that before the tests.
     """
     first_time = months is None or not path_exists(spark, places.intermediate)
     raw = lake.raw_table(spark, places.raw) if first_time else lake.raw_scan_months(spark, places.raw, months)

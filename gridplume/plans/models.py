@@ -124,10 +124,11 @@ def stage_mart(mart: DataFrame, path: str) -> DataFrame:
 
 
 def swap_months(staged: DataFrame, name: str, root: str, path: str, whole: bool, months: Sequence[tuple[int, int]] = ()) -> None:
-    """Point a mart's months to the folders of a version below ``root``; of the others only the catalog knows, and they stay.
+    """Point a mart's months to the folders of a version below ``root``; of the others only the catalog knows, and they
+    stay.
 
-    No row moves and the table is never missing. With ``whole`` the version holds all months; else those of ``months`` that it lacks
-    have no rows any more.
+    No row moves and the table is never missing. With ``whole`` the version holds all months; else those of ``months``
+    that it lacks have no rows any more.
     """
     spark = staged.sparkSession
     known = _create_by_month(staged, name, f"{root}/table")
@@ -144,7 +145,8 @@ def swap_months(staged: DataFrame, name: str, root: str, path: str, whole: bool,
 
 
 def drop_unused(spark: SparkSession, name: str, root: str) -> None:
-    """Delete the versions' month folders that no month of the mart points to. Readers of older versions must be done."""
+    """Delete the versions' month folders that no month of the mart points to. Readers of older versions must be
+    done."""
     used = set()
     for month in _months_of(spark, name):
         rows = spark.sql(f"describe formatted {name} partition ({_spec(*month)})").where("col_name = 'Location'")

@@ -22,8 +22,8 @@ _ROW_BYTES = 64
 def lake_write(daily: DataFrame, root: str) -> None:
     """Write daily rows into ``state=/year=/month=MM``. Chunks in ``daily`` are replaced, all others kept.
 
-    A row lies in the folder of the chunk it came from: ``chunk_state`` where an audit has left it, else its own state. A
-    row without a state of its own says so in ``stateless``, as the folder cannot.
+    A row lies in the folder of the chunk it came from: ``chunk_state`` where an audit has left it, else its own state.
+    A row without a state of its own says so in ``stateless``, as the folder cannot.
 
     Rebalancing sends a chunk to one task, so a small one is one file; adaptive execution splits a chunk
     that is larger than the advisory size, so no task ever holds a large one whole.
@@ -92,8 +92,9 @@ def in_range(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
 def raw_layout(rows: DataFrame) -> DataFrame:
     """Rows in the raw table's layout: by month, and in each month by state, facility and date.
 
-    Rows are dealt by ranges of these columns, into as many tasks as files of the advisory size are needed: a month of many files
-    has few states in each, a large state spans several, and a reader skips files and row groups by their minimum and maximum.
+    Rows are dealt by ranges of these columns, into as many tasks as files of the advisory size are needed: a month of
+    many files has few states in each, a large state spans several, and a reader skips files and row groups by their
+    minimum and maximum.
     """
     months = MONTH_KEYS.names
     size = rows.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")

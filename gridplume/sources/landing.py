@@ -83,9 +83,9 @@ def hourly_scan(
 
     ``as_of`` keeps months completed before that day; ``chunks`` keeps the listed (state, year, month), and of
     them the listed ``snapshot`` if there is such a column. Both reach the scan as partition filters. ``folders`` are
-    all that is listed and read. A record that is no JSON object fails the job; with ``audited`` it is a row without values in
-    which the column ``corrupt`` is true. ``strict_fields`` reads the chosen chunks once more to prove that each names all
-    12 fields.
+    all that is listed and read. A record that is no JSON object fails the job; with ``audited`` it is a row without
+    values in which the column ``corrupt`` is true. ``strict_fields`` reads the chosen chunks once more to prove that
+    each names all 12 fields.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
@@ -143,9 +143,9 @@ def touched_chunks(reader: DataStreamReader, root: str, fmt: str) -> DataFrame:
 def _array_rows(spark: SparkSession, root: str, chosen, audited: bool, folders: Sequence[str] | None) -> DataFrame:
     """The readings of JSON arrays, record by record: a file is split at closing braces, wherever it is cut for tasks.
 
-    A file must open and close its array once; one that does not is corrupt as a whole and gives one row without values. In a file whose
-    array is whole but in which such a record is no object (a brace in a text, a nested object), the records cannot be told
-    apart this way: only those files are decoded whole.
+    A file must open and close its array once; one that does not is corrupt as a whole and gives one row without
+    values. In a file whose array is whole but in which such a record is no object (a brace in a text, a nested
+    object), the records cannot be told apart this way: only those files are decoded whole.
     """
     pieces = spark.read.option("basePath", root).option("lineSep", "}").text(list(folders) if folders else root)
     pieces = pieces.select("value", *_folder_columns(pieces), F.col("_metadata.file_path").alias("file"))

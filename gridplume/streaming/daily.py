@@ -72,8 +72,8 @@ def rejected_stream(spark: SparkSession, landing: str, rejected: str, checkpoint
 
 
 def run_daily(spark: SparkSession, landing: str, updates: str, rejected: str, checkpoint: str) -> Row:
-    """One run of both streams. Returns (rejected, late): all bad readings laid aside so far, and how many rows this run dropped as
-    too late, so that neither is lost without a word."""
+    """One run of both streams. Returns (rejected, late): all bad readings laid aside so far, and how many rows this
+    run dropped as too late, so that neither is lost without a word."""
     rejected_stream(spark, landing, rejected, f"{checkpoint}/rejected").awaitTermination()
     daily = daily_stream(spark, landing, updates, f"{checkpoint}/daily")
     daily.awaitTermination()
@@ -109,7 +109,8 @@ def daily_state(spark: SparkSession, updates: str) -> DataFrame:
 def compact_updates(spark: SparkSession, updates: str) -> None:
     """Fold all finished batches into one base, so that ``daily_state`` reads each key once and the log stays short.
 
-    Not to be called while a run writes. What a base replaces is deleted after it is whole; a call that dies is called again.
+    Not to be called while a run writes. What a base replaces is deleted after it is whole; a call that dies is called
+    again.
     """
     batches = [int(p.split("/batch=")[-1]) for p in glob_paths(spark, f"{updates}/batch=*")]
     if not batches:
