@@ -1,7 +1,7 @@
 """Language of web pages by Bayesian fusion of four kinds of evidence.
 
-* Text: likelihood of the character trigrams of a page's main text, by a model of each language learnt from labelled
-  documents.
+* Text: likelihood of the character trigrams of a page's main text (or of a plain text), by a model of each language
+  learnt from labelled documents.
 * Mark-up: the language a page declares. How far each declaration is to be believed is counted over all pages.
 * Address: the suffix of the host's name, and
 * host: priors of languages per host, smoothed towards those of its domain, these towards those of its suffix, these
@@ -118,30 +118,38 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _seen(pages: DataFrame, model: TextModel, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """A written row per page: id, url, host, domain, suffix, declared, logs (text, by language), own (the text's
-    posteriors)."""
-    shared = pages.sparkSession.sparkContext.broadcast(model.table)
+def text_logs(model_table: np.ndarray, text: str) -> np.ndarray:
+    """The weighted log-likelihood of a text by language, 0 for the likeliest. Memory is bounded for texts of any
+    length."""
+    found = trigrams(text)
+    if len(found) > BUCKETS // 4:
+        logs = model_table @ np.bincount(found, minlength=BUCKETS)
+    else:
+        logs = model_table[:, found].sum(axis=1)
+    return (logs - logs.max()) * TEXT_WEIGHT
+
+
+def _seen(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
+    """A written row for each of ``rows`` (id, url, host, content): id, url, host, domain, suffix, declared, logs
+    (text, by language), own (the text's posteriors). Content is a page if ``markup``, else plain text, which declares
+    nothing."""
+    shared = rows.sparkSession.sparkContext.broadcast(model.table)
     tree = html_blocks.train(html_blocks.LABELLED)
 
     @F.pandas_udf("declared string, logs array<double>")
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        table = shared.value
         for batch in batches:
             batch = batch.fillna("")
-            logs = [table[:, trigrams(html_blocks.main_text(p, tree))].sum(axis=1) * TEXT_WEIGHT for p in batch]
-            yield pd.DataFrame({"declared": [declared(p) for p in batch], "logs": [(x - x.max()).tolist() for x in logs]})
+            texts = (html_blocks.main_text(p, tree) for p in batch) if markup else batch
+            logs = [text_logs(shared.value, t).tolist() for t in texts]
+            yield pd.DataFrame({"declared": [declared(p) if markup else "" for p in batch], "logs": logs})
 
-    rows = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), look(pages[html_col]).alias("seen"))
     labels = F.split("host", r"\.")
     last_two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
     total = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x))
-    return as_written(
-        rows.select("id", "url", host_of(F.col("url")).alias("host"), "seen.*")
-        .withColumns({"domain": last_two, "suffix": F.element_at(labels, -1)})
-        .withColumn("total", total).withColumn("own", F.transform("logs", lambda x: F.exp(x) / F.col("total"))).drop("total"),
-        "pages",
-    )
+    looked = rows.select("id", "url", "host", look("content").alias("seen")).select("id", "url", "host", "seen.*")
+    placed = looked.withColumns({"domain": last_two, "suffix": F.element_at(labels, -1), "total": total})
+    return as_written(placed.withColumn("own", F.transform("logs", lambda x: F.exp(x) / F.col("total"))).drop("total"), "seen")
 
 
 def _sums(pages: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
@@ -159,16 +167,33 @@ def _smoothed(counts: Column, own: Column, prior: Column) -> Column:
 
 
 def identify(
-    pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: TextModel | None = None
+    pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    model: TextModel | None = None,
 ) -> DataFrame:
     """One row for each row of ``pages``: id, url, lang, probability, declared, text_lang (by the text alone),
     host_prior (of lang)."""
-    model = model or learn(docs)
+    url = pages[url_col]
+    rows = pages.select(pages[id_col].alias("id"), url.alias("url"), host_of(url).alias("host"), pages[html_col].alias("content"))
+    return _fused(rows, model or learn(docs), markup=True)
+
+
+def identify_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", model: TextModel | None = None
+) -> DataFrame:
+    """As ``identify``, for plain texts: they declare nothing, and their source stands for the host."""
+    host = F.lower(F.coalesce(docs[host_col].cast("string"), F.lit("")))
+    rows = docs.select(
+        docs[id_col].alias("id"), F.lit(None).cast("string").alias("url"), host.alias("host"), docs[text_col].alias("content")
+    )
+    return _fused(rows, model or learn(docs), markup=False)
+
+
+def _fused(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
     n = len(model.languages)
     if not n:
         nothing = {"lang": "string", "probability": "double", "declared": "string", "text_lang": "string", "host_prior": "double"}
-        return pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"), *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
-    seen = _seen(pages, model, id_col, url_col, html_col)
+        return rows.select("id", "url", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
+    seen = _seen(rows, model, markup)
     codes = F.array(*[F.lit(c) for c in model.languages])
     by_host = _sums(seen, ["host", "domain", "suffix"], n, "of_host")
     # A host has one domain and a domain one suffix, so each level sums up the one below.

@@ -40,8 +40,12 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
-    return rows.withColumnRenamed("id", "page_id")
+    """Every page by all evidence, and every document by text and source; a row has a page_id or a doc_id."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs)
+    pages = language_id.identify(table(spark, sf_dir, "pages"), docs, model=model).withColumnRenamed("id", "page_id")
+    texts = language_id.identify_texts(docs, model=model).withColumnRenamed("id", "doc_id")
+    return pages.unionByName(texts, allowMissingColumns=True)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

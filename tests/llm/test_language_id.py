@@ -1,5 +1,6 @@
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from gridplume.llm import language_id as li
@@ -68,6 +69,22 @@ def test_awkward_rows(spark, model):
     assert set(li.learn(awkward(spark)).languages) == {"en", "fr", "de"}
 
 
+def test_plain_texts(spark, model):
+    docs = table(spark, D, "documents")
+    want = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    rows = li.identify_texts(docs, model=model).collect()
+    assert Counter(r["id"] for r in rows) == Counter(want.keys())
+    assert sum(r["lang"] == want[r["id"]] for r in rows) >= 0.97 * len(rows)
+    odd = li.identify_texts(awkward(spark), model=model).collect()
+    assert Counter(r["id"] for r in odd) == Counter(r["doc_id"] for r in awkward(spark).collect())
+    assert li.identify_texts(none(spark), model=model).count() == 0
+
+
+def test_long_texts_score_as_short_ones(model):
+    text = "some words of a text " * 2000
+    assert np.allclose(li.text_logs(model.table, text), (lambda x: (x - x.max()) * li.TEXT_WEIGHT)(model.table[:, li.trigrams(text)].sum(axis=1)))
+
+
 def test_hosts(spark):
     from pyspark.sql import functions as F
 
