@@ -21,7 +21,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -53,8 +53,14 @@ class Model:
     change: np.ndarray = field(default_factory=lambda: np.zeros(4))
     document: np.ndarray = field(default_factory=lambda: np.zeros(4))
 
-    def emission(self, word: str) -> float:
-        return float(self.weights[_features(word)].sum())
+    def scorer(self) -> Callable[[str], float]:
+        """A function that sums up a word's weights."""
+        weights, crc = self.weights.tolist(), zlib.crc32
+
+        def emission(word: str) -> float:
+            return sum([weights[crc(name.encode()) % _BUCKETS] for name in _names(word)])
+
+        return emission
 
 
 def in_training(doc_id: Column) -> Column:
@@ -67,9 +73,12 @@ def _marks(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in (4, 5, 6) if len(word) > n)]
 
 
+def _names(word: str) -> list[str]:
+    return ["", *_marks(word), "3" + word[:3], "-" + word[-3:], f"#{min(len(word), 12)}"]
+
+
 def _features(word: str) -> np.ndarray:
-    names = ["", *_marks(word), "3" + word[:3], "-" + word[-3:], f"#{min(len(word), 12)}"]
-    return np.array([zlib.crc32(n.encode()) % _BUCKETS for n in names])
+    return np.array([zlib.crc32(name.encode()) % _BUCKETS for name in _names(word)])
 
 
 def _words(text: str) -> list[str]:
@@ -207,6 +216,7 @@ def _fit_document(model: Model, texts: list[str], toxic: list[int], share: float
 def marginals_of(model: Model, texts: list[str], known: dict[str, float] | None = None) -> Iterator[tuple[np.ndarray, str]]:
     """For each text the toxic marginals of its words, in the order of the texts."""
     known = {} if known is None else known
+    emission = model.scorer()
     lengths, scores = [], []
     for text in texts:
         words = _words(text)
@@ -218,7 +228,7 @@ def marginals_of(model: Model, texts: list[str], known: dict[str, float] | None
                 known.clear()
             for w in words:
                 if w not in known:
-                    known[w] = model.emission(w)
+                    known[w] = emission(w)
             scores.extend([known[w] for w in words])
     lengths = np.array(lengths, dtype=np.int64)
     ends = np.cumsum(lengths)
@@ -293,7 +303,7 @@ def scorer(docs: DataFrame, model: Model):
     return score
 
 
-def _scored(model: Model, texts: list[str], known: dict[str, float], most: int = 1_000_000) -> Iterator[tuple]:
+def _scored(model: Model, texts: list[str], known: dict[str, float], most: int = 3_000_000) -> Iterator[tuple]:
     """Scores texts in portions of about ``most`` characters, so that long texts don't add up in memory."""
     portion, size = [], 0
     for k, text in enumerate(texts):
