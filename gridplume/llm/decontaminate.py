@@ -2,8 +2,9 @@
 
 The index holds, for each word, the items it occurs in (postings, in item order) with the share that the word has in
 the item's own BM25 score, so that an item's score is 1 for a passage with all its words. Postings lie in blocks of
-items with their largest share. A passage is a window of a text; windows overlap by half, and an item of ordinary
-length lies whole in one. All items that score ``THRESHOLD`` or more are retrieved, none is left out for rank: first a
+items with their largest share. A passage is a window of a text; windows overlap by half. Items
+of more than ``MOST_STRIDE`` words are dealt to classes of length, each with its own index and windows, so that an item
+of any length lies whole in a window of its class. All items that score ``THRESHOLD`` or more are retrieved, none is left out for rank: first a
 bound per passage and block of items (sum of the blocks' largest shares), then WAND with block maxima on the passages
 that the bound lets through. A retrieved item is verified by word triples: enough of its question and of its answer
 must stand in the passage.
@@ -38,7 +39,7 @@ THRESHOLD = 0.5
 OVERLAP = 0.6
 GRAM = 3
 SHARD_WORDS = 2_000_000
-#: A passage has twice the words of the longest item, within these bounds.
+#: A passage has twice the words of the longest item, within these bounds; for longer items it is doubled until they fit.
 LEAST_STRIDE, MOST_STRIDE = 64, 1024
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -62,17 +63,26 @@ def grams(words: Sequence[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
 
 
-def overlap(part: Sequence[str], passage: Sequence[str]) -> float:
-    """The share of the word triples of ``part`` (shorter parts: of itself as one) that stand in ``passage``."""
-    n = min(GRAM, len(part))
-    own = grams(part, n)
-    return len(own & grams(passage, n)) / len(own) if own else 0.0
+class Passage:
+    """The words of a passage; the runs of words in it are looked up once for all items."""
+
+    def __init__(self, words: Sequence[str]):
+        self.words = words
+        self.grams: dict[int, set] = {}
+
+    def overlap(self, part: Sequence[str]) -> float:
+        """The share of the word triples of ``part`` (shorter parts: of itself as one) that stand in the passage."""
+        n = min(GRAM, len(part))
+        own = grams(part, n)
+        if n not in self.grams:
+            self.grams[n] = grams(self.words, n)
+        return len(own & self.grams[n]) / len(own) if own else 0.0
 
 
 @dataclass
 class Index:
     """Postings of the items' words. ``words`` gives a word's number; ``items``, ``shares`` and ``blocks`` are by that
-    number."""
+    number. ``longer`` are the indexes of the items that don't fit into ``stride`` words."""
 
     names: list
     texts: list[str]
@@ -82,6 +92,7 @@ class Index:
     blocks: list[dict[int, float]]
     most: np.ndarray
     stride: int
+    longer: list[Index]
 
     @property
     def n_blocks(self) -> int:
@@ -90,7 +101,19 @@ class Index:
 
 def build(rows: list[tuple], df: dict[str, int], n_items: int, mean_length: float, longest: int) -> Index:
     """The index of ``rows`` (item_id, text), with the document frequencies of all items."""
-    rows = [(i, t) for i, t in rows if t and _words(t)]
+    stride = min(max(longest, LEAST_STRIDE), MOST_STRIDE)
+    classes: dict[int, list[tuple]] = defaultdict(list)
+    for i, t in rows:
+        n = len(_words(t)) if t else 0
+        if n:
+            classes[0 if n <= stride else (-(-n // stride) - 1).bit_length()].append((i, t))
+    own, *longer = [_index(classes[k], df, n_items, mean_length, stride << k) for k in sorted({0, *classes})]
+    own.longer = longer
+    return own
+
+
+def _index(rows: list[tuple], df: dict[str, int], n_items: int, mean_length: float, stride: int) -> Index:
+    """The index of items that have a word and fit into ``stride`` words."""
     words: dict[str, int] = {}
     items: list[list[int]] = []
     shares: list[list[float]] = []
@@ -116,7 +139,7 @@ def build(rows: list[tuple], df: dict[str, int], n_items: int, mean_length: floa
             best[k // BLOCK] = max(best[k // BLOCK], s)
         blocks.append(dict(best))
     most = np.array([max(s) for s in shares]) if shares else np.zeros(0)
-    return Index([i for i, _ in rows], [t for _, t in rows], words, items, shares, blocks, most, min(max(longest, LEAST_STRIDE), MOST_STRIDE))
+    return Index([i for i, _ in rows], [t for _, t in rows], words, items, shares, blocks, most, stride, [])
 
 
 def wand(index: Index, terms: Sequence[int], threshold: float) -> list[tuple[int, float]]:
@@ -191,6 +214,7 @@ class Searcher:
         self.block = np.array([x for b in kept for x, _ in b], dtype=np.int64)
         self.share = np.array([s for b in kept for _, s in b])
         self.parts = [question_and_answer(t) for t in index.texts]
+        self.longer = [Searcher(i, threshold, least) for i in index.longer]
 
     def candidates(self, terms: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int]]:
         """(text, passage) where some block of items may reach the threshold. ``terms`` has -1 for unknown words."""
@@ -220,25 +244,32 @@ class Searcher:
 
     def search(self, texts: Sequence[str]) -> Iterator[list[tuple]]:
         """For each text its verified items: (item_id, score, question, answer), each with its best passage."""
-        get = self.index.words.get
         words = [_words(t) for t in texts]
-        lengths = np.array([len(w) for w in words], dtype=np.int64)
-        terms = np.array([get(w, -1) for own in words for w in own], dtype=np.int64)
         found: dict[int, dict] = defaultdict(dict)
-        if len(self.index.names) and len(terms):
-            starts = np.cumsum(lengths) - lengths
-            for text, passage in self.candidates(terms, lengths):
-                low = passage * self.index.stride
-                high = low + 2 * self.index.stride
-                own = terms[starts[text] + low : starts[text] + min(high, lengths[text])]
-                for item, score in wand(self.index, np.unique(own[own >= 0]).tolist(), self.threshold):
-                    question, answer = (overlap(p, words[text][low:high]) for p in self.parts[item])
-                    if min(question, answer) >= self.least:
-                        name = self.index.names[item]
-                        found[text][name] = max(found[text].get(name, (0.0,)), (score, question, answer))
+        for searcher in (self, *self.longer):
+            for text, name, values in searcher.verified(words):
+                found[text][name] = max(found[text].get(name, (0.0,)), values)
         for k in range(len(texts)):
             yield [(name, *found[k][name]) for name in sorted(found[k])] if k in found else []
 
+    def verified(self, words: Sequence[list[str]]) -> Iterator[tuple[int, int, tuple]]:
+        """(text, item_id, (score, question, answer)) of this index's own items in the passages of texts."""
+        get = self.index.words.get
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        terms = np.array([get(w, -1) for own in words for w in own], dtype=np.int64)
+        if not len(self.index.names) or not len(terms):
+            return
+        starts = np.cumsum(lengths) - lengths
+        for text, passage in self.candidates(terms, lengths):
+            low = passage * self.index.stride
+            high = low + 2 * self.index.stride
+            own = terms[starts[text] + low : starts[text] + min(high, lengths[text])]
+            held = Passage(words[text][low:high])
+            for item, score in wand(self.index, np.unique(own[own >= 0]).tolist(), self.threshold):
+                question, answer = map(held.overlap, self.parts[item])
+                if min(question, answer) >= self.least:
+                    yield text, self.index.names[item], (score, question, answer)
+
 
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shard_words: int = SHARD_WORDS) -> Iterator[Index]:
     """The index of each shard of the items."""

@@ -90,3 +90,24 @@ def test_shards_change_nothing_and_tables_equal_brute_force(spark):
     grams = {r["item_id"]: dec.grams(dec._words(r["text"]), 5) for r in items.collect()}
     want = {(i, k) for i, t in texts for k, own in grams.items() if own and len(own & dec.grams(dec._words(t), 5)) >= 0.7 * len(own)}
     assert want == {(i, k) for i, k, _ in whole}
+
+
+@pytest.mark.parametrize("length", [1024, 1025, 1700, 3000, 5000, 9000])
+def test_long_items_are_found_at_any_offset(items, length):
+    rng = random.Random(length)
+    long = " ".join(f"v{rng.randint(0, 2000)}" for _ in range(length))
+    searcher = dec.Searcher(index_of([*items, (1000, long)]))
+    for before in (0, 1, 777, 1023, 1500, 4999):
+        noise = " ".join(f"n{rng.randint(0, 300)}" for _ in range(before))
+        hits = next(searcher.search([f"{noise} {items[7][1]} {noise} {long} {noise}"]))
+        assert {7, 1000} <= {h[0] for h in hits}
+        assert [h[1:] for h in hits if h[0] == 1000] == [(pytest.approx(1.0), 1.0, 1.0)]
+
+
+def test_a_long_item_goes_with_its_document(spark):
+    item = " ".join(LONG.split()[20_001:25_001])
+    noise = " ".join(f"other{k}" for k in range(1501))
+    docs = spark.createDataFrame([(1, f"{noise} {item} {noise}"), (2, f"{noise} {noise}")], "doc_id long, text string")
+    tested = benchmark(spark).unionByName(spark.createDataFrame([(9, item)], "item_id long, text string"))
+    assert [(r["id"], r["item_id"]) for r in dec.contaminated(docs, tested).collect()] == [(1, 9)]
+    assert [r["doc_id"] for r in dec.keep_clean(docs, tested).collect()] == [2]
