@@ -1,6 +1,7 @@
 """Secrets in texts: wide candidate search, then a random forest that removes false positives.
 
-A candidate is a long run of key characters with a digit in it, or whatever is assigned to a name such as ``password``.
+A candidate is a long run of key characters with a digit in it, or whatever is assigned to a name such as ``password``, with
+or without quotes and up to 16 blanks on either side of the sign.
 The forest sees its length, how its characters follow each other (changes of class; likelihood of its letter pairs in
 the corpus' own words), how much of it dictionary words cover, the path it was found under, and the words around it. It
 is trained from labelled findings: rows of a text with one candidate, its path, and whether it is a secret.
@@ -28,10 +29,13 @@ from gridplume.llm.common import located
 
 _KEY = r"[A-Za-z0-9+/_\-]"
 _NAMED = r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
-#: Runs of 12 or more key characters with a digit; values of 6 or more characters assigned to a telling name.
+#: Between a name and its value: quotes, blanks and = or : (also :=, ==, =>).
+_SIGN = r"[\"']?\s{0,16}[=:]{1,2}>?\s{0,16}[\"']?"
+#: Runs of 12 or more key characters with a digit; values of 6 or more characters assigned to a telling name. The first
+#: two looks behind are for speed: most characters are ruled out by the one before, most words by the lack of a sign.
 CANDIDATE = (
     rf"(?<!{_KEY})(?=[A-Za-z+/_\-]*+[0-9]){_KEY}{{12,}}={{0,2}}"
-    rf"|(?<=[=:\"'])(?<=(?i:{_NAMED})[\"']?[=:][\"']?)[^\s\"'<>]{{6,}}"
+    rf"|(?<=[=:>\s\"'])(?<=[=:]>?\s{{0,16}}[\"']?)(?<=(?i:{_NAMED}){_SIGN})[^\s\"'<>]{{6,}}"
 )
 #: Characters of a candidate's neighbourhood that are looked at, on either side.
 AROUND = 48
@@ -118,8 +122,8 @@ def with_features(found: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
         "symbols": _share(value, "[^A-Za-z0-9]"),
         "hex": _flag(value.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$") & value.rlike("[A-Fa-f]")),
         "sequence": _flag(low.rlike(r"(.)\1{3}|0123|1234|abcd|qwert|xyz")),
-        "named_before": _flag(before.rlike(rf"{_NAMED}[\s\"'`]*(?:=|:|=>|is)?[\s\"'`]*$")),
-        "assigned": _flag(before.rlike(r"[=:]\s*[\"'`]?$")),
+        "named_before": _flag(before.rlike(rf"{_NAMED}[\s\"'`]*(?:[=:]{{1,2}}>?|is)?[\s\"'`]*$")),
+        "assigned": _flag(before.rlike(r"[=:]>?\s*[\"'`]?$")),
         "quoted": _flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")),
         "provider": _flag(value.rlike(r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36,}$|^sk_live_|^xox[abprs]-|^AIza[0-9A-Za-z_\-]{35}$|^eyJ[\w\-]{10,}")),
         "hash_words": _flag(near.rlike(r"\b(?:sha-?\d*|md5|commit|checksum|digest|etag|uuid|guid|revision|integrity|base64)\b")),

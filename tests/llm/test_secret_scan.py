@@ -62,3 +62,22 @@ def test_awkward_rows(spark):
     rows = ss.scan(docs.unionByName(secret, allowMissingColumns=True)).collect()
     assert [(r["id"], r["start"], r["end"], r["secret"]) for r in rows] == [(30, 9, 49, True)] * 2
     assert ss.scan(none(spark)).count() == 0
+
+
+ASSIGNED = [
+    ("password: hunter22", "hunter22"), ("a PASSWORD = hunter22 b", "hunter22"), ('{"secret": "correct-horse-battery"}', "correct-horse-battery"),
+    ('{"token" : "zebra!moon"}', "zebra!moon"), ('pwd = "Tr0ub4dor&3!"', "Tr0ub4dor&3!"), ("db:\n  api_key:\t'river+blue'\n", "river+blue"),
+    ("passwd            = s3cr!t", "s3cr!t"), ("token := Xy7!qz", "Xy7!qz"), ("auth => 'Xy7!qz'", "Xy7!qz"),
+    ("password: short", None), ("the password hunter22", None), ("passwords differ: hunter22", None),
+]
+
+
+def test_values_assigned_with_blanks_are_candidates_and_judged(spark):
+    rows = [(-k, text) for k, (text, _) in enumerate(ASSIGNED, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(-k, text.index(value), value) for k, (text, value) in enumerate(ASSIGNED, 1) if value]
+    found = ss.candidates(docs, "doc_id", "text", None).select("id", "start", "value").collect()
+    assert sorted(map(tuple, found)) == sorted(want)
+    tables = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "source").unionByName(docs, allowMissingColumns=True)
+    secret = {r["id"] for r in ss.scan(tables).where("secret").collect()}
+    assert {-1, -2, -5} <= secret
