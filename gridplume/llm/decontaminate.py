@@ -7,7 +7,8 @@ of more than ``MOST_STRIDE`` words are dealt to classes of length, each with its
 of any length lies whole in a window of its class. All items that score ``THRESHOLD`` or more are retrieved, none is left out for rank: first a
 bound per passage and block of items (sum of the blocks' largest shares), then WAND with block maxima on the passages
 that the bound lets through. A retrieved item is verified by word triples: enough of its question and of its answer
-must stand in the passage.
+must stand in the passage. One changed word may leave a short part without a triple, so an item that stands whole in
+the passage but for one word (changed, left out or put in) is verified too, if it has ``2 * GRAM`` words or more.
 
 The index is small by construction: items are dealt to shards of at most ``SHARD_WORDS`` words, and the texts are
 passed over once per shard. Word statistics are of all items, so that scores don't depend on shards. No text is moved.
@@ -78,6 +79,35 @@ class Passage:
             self.grams[n] = grams(self.words, n)
         return len(own & self.grams[n]) / len(own) if own else 0.0
 
+    def holds_nearly(self, item: Sequence[str]) -> bool:
+        """Whether all of ``item`` stands in the passage, but for one word at most; one of its halves does to the word."""
+        half = len(item) // 2
+        if half < GRAM:
+            return False
+        return _half_and_rest(item, half, self.words) or _half_and_rest(item[::-1], len(item) - half, self.words[::-1])
+
+
+def _half_and_rest(item: Sequence[str], half: int, words: Sequence[str]) -> bool:
+    """Whether the first ``half`` words of ``item`` stand in ``words``, and behind them the others but for one."""
+    head, rest = item[:half], item[half:]
+    start = -1
+    while True:
+        try:
+            start = words.index(head[0], start + 1)
+        except ValueError:
+            return False
+        if words[start : start + half] == head:
+            behind = words[start + half : start + len(item) + 1]
+            same = next((k for k, (a, b) in enumerate(zip(rest, behind)) if a != b), min(len(rest), len(behind)))
+            left, after = rest[same:], behind[same:]
+            # Nothing differs, or a word is changed, left out or put in.
+            if any(_begins(after[i:], left[j:]) for i, j in ((0, 0), (1, 1), (0, 1), (1, 0))):
+                return True
+
+
+def _begins(words: Sequence[str], part: Sequence[str]) -> bool:
+    return words[: len(part)] == part
+
 
 @dataclass
 class Index:
@@ -214,6 +244,7 @@ class Searcher:
         self.block = np.array([x for b in kept for x, _ in b], dtype=np.int64)
         self.share = np.array([s for b in kept for _, s in b])
         self.parts = [question_and_answer(t) for t in index.texts]
+        self.words = [_words(t) for t in index.texts]
         self.longer = [Searcher(i, threshold, least) for i in index.longer]
 
     def candidates(self, terms: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int]]:
@@ -267,7 +298,7 @@ class Searcher:
             held = Passage(words[text][low:high])
             for item, score in wand(self.index, np.unique(own[own >= 0]).tolist(), self.threshold):
                 question, answer = map(held.overlap, self.parts[item])
-                if min(question, answer) >= self.least:
+                if min(question, answer) >= self.least or held.holds_nearly(self.words[item]):
                     yield text, self.index.names[item], (score, question, answer)
 
 

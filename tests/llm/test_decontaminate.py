@@ -111,3 +111,26 @@ def test_a_long_item_goes_with_its_document(spark):
     tested = benchmark(spark).unionByName(spark.createDataFrame([(9, item)], "item_id long, text string"))
     assert [(r["id"], r["item_id"]) for r in dec.contaminated(docs, tested).collect()] == [(1, 9)]
     assert [r["doc_id"] for r in dec.keep_clean(docs, tested).collect()] == [2]
+
+
+def test_one_edited_word_does_not_hide_an_item():
+    rows = [(1, "Which river runs through the old town and under its seven bridges? The Arn."), (2, "How many gates had the castle of the northern kings? Exactly twelve iron gates."),
+            (3, "Who wrote the long letter to the miller? Anna."), (4, "Some other words stand here to give the index more than three items. Yes.")]
+    searcher = dec.Searcher(index_of(rows))
+    for name, text in rows[:3]:
+        words = dec._words(text)
+        edits = [words[:k] + new + words[k + gone :] for k in range(len(words)) for new, gone in ((["zzz"], 1), ([], 1), (["zzz"], 0))]
+        hits = list(searcher.search([f"before it {' '.join(e)} and after" for e in edits]))
+        assert all([h[0] for h in found] == [name] for found in hits)
+    clean = ["Which river runs through the old town and under its seven bridges? It is not known.", "How many gates had the castle of the northern kings? Nobody has counted them."]
+    assert list(searcher.search(clean)) == [[], []]
+
+
+def test_no_one_word_change_of_the_tables_items_is_missed():
+    import pyarrow.parquet as pq
+
+    rows = [tuple(r.values()) for r in pq.read_table("/root/testdata/sf0.1/benchmark.parquet", columns=["item_id", "text"]).to_pylist()]
+    searcher = dec.Searcher(index_of(rows))
+    changed = [(name, words[:k] + ["zzz"] + words[k + 1 :]) for name, text in rows for words in [dec._words(text)] for k in range(len(words))]
+    missed = [name for (name, _), hits in zip(changed, searcher.search([" ".join(w) for _, w in changed])) if name not in {h[0] for h in hits}]
+    assert len(changed) > 7000 and not missed, f"{len(missed)} of {len(changed)}"
