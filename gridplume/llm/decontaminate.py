@@ -14,7 +14,8 @@ The index is small by construction: items are dealt to shards of at most ``SHARD
 passed over once per shard. Word statistics are of all items, so that scores don't depend on shards. No text is moved.
 
 Defined results: null and empty texts and items match nothing; a text is reported once per item, with its best passage;
-rows that repeat are reported each; rows of one item_id are items of their own under one name; other columns are not
+rows that repeat are reported each; rows of one item_id are items of their own under one name, and those without an
+item_id under a null one; other columns are not
 looked at.
 """
 
@@ -281,7 +282,7 @@ class Searcher:
             for text, name, values in searcher.verified(words):
                 found[text][name] = max(found[text].get(name, (0.0,)), values)
         for k in range(len(texts)):
-            yield [(name, *found[k][name]) for name in sorted(found[k])] if k in found else []
+            yield [(name, *found[k][name]) for name in sorted(found[k], key=lambda i: (i is None, i or 0))] if k in found else []
 
     def verified(self, words: Sequence[list[str]]) -> Iterator[tuple[int, int, tuple]]:
         """(text, item_id, (score, question, answer)) of this index's own items in the passages of texts."""
@@ -311,7 +312,7 @@ def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
 
     items = as_written(
         benchmark.select(benchmark[id_col].cast("long").alias("item"), benchmark[text_col].alias("text"), words_udf(benchmark[text_col]).alias("words"))
-        .where("item is not null and size(words) > 0"),
+        .where("size(words) > 0"),
         "items",
     )
     n_items, n_words, longest = items.agg(F.count(F.lit(1)), F.sum(F.size("words")), F.max(F.size("words"))).first()

@@ -134,3 +134,11 @@ def test_no_one_word_change_of_the_tables_items_is_missed():
     changed = [(name, words[:k] + ["zzz"] + words[k + 1 :]) for name, text in rows for words in [dec._words(text)] for k in range(len(words))]
     missed = [name for (name, _), hits in zip(changed, searcher.search([" ".join(w) for _, w in changed])) if name not in {h[0] for h in hits}]
     assert len(changed) > 7000 and not missed, f"{len(missed)} of {len(changed)}"
+
+
+def test_items_without_a_name_are_found(spark):
+    docs = spark.createDataFrame([(1, "a short one here, and then no name at all here"), (2, "a name of its own")], "doc_id long, text string")
+    found = {(r["id"], r["item_id"]) for r in dec.contaminated(docs, benchmark(spark)).collect()}
+    assert found == {(1, 4), (1, None)}
+    only = benchmark(spark).where("item_id is null")
+    assert [r["doc_id"] for r in dec.keep_clean(docs, only).collect()] == [2]
