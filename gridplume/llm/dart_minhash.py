@@ -15,8 +15,8 @@ candidate pair is verified on its shingles:
 
 So a bucket with a large group of near copies costs a pair per member, and no pair of different classes that meets in a
 bucket is passed over. Nothing is capped. Links between classes then join them. Before texts are fetched, a pair's
-similarity is estimated from the whole signatures, four bits a sample; it is given up where the estimate is more than
-four standard errors below the threshold (``far``), which a pair at the threshold has a chance of 3 in 100,000 of.
+similarity is estimated from the whole signatures, four bits a sample; it is given up where more of them differ
+than a pair at the threshold has a chance of ``GIVEN_UP`` of, by the binomial tail (``far``).
 
 Defined results: words are lower-cased and split at ASCII white space; fewer than five words are one shingle; texts
 without words (null, empty) are equal to each other; in a class the row with the least identifier stays (null last; of
@@ -28,6 +28,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -41,6 +42,8 @@ from gridplume.session import as_written
 SHINGLE = 5
 #: 40 bands of 7: a pair of similarity 0.8 is missed with a chance of 8 in 100,000.
 BANDS, BAND_ROWS = 40, 7
+#: The chance of a pair at the threshold to be given up by its signatures, at most.
+GIVEN_UP = 1e-6
 #: Samples in a long, of four bits each.
 PACKED = 16
 #: Words that are worked on at once in a task, about. Documents of few words take many throws and are worked on
@@ -151,18 +154,28 @@ def packed(samples: np.ndarray) -> np.ndarray:
     return (bits.reshape(n, longs, PACKED) << (np.arange(PACKED, dtype=_U) * _U(4))).sum(axis=2, dtype=_U)
 
 
+def most_differing(size: int, threshold: float, chance: float = GIVEN_UP) -> int:
+    """The least number of differing samples that a pair of similarity ``threshold`` exceeds with ``chance`` at most."""
+    # Samples that differ have the same four bits once in 16 times.
+    differ = (1 - threshold) * 15 / 16
+    most, tail = size, 0.0
+    while most > 0:
+        tail += comb(size, most) * differ**most * (1 - differ) ** (size - most)
+        if tail > chance:
+            break
+        most -= 1
+    return most
+
+
 def far(a: Column, b: Column, size: int, threshold: float) -> Column:
     """Whether two packed signatures of ``size`` samples differ too much for a similarity of ``threshold``."""
-    error = (threshold * (1 - threshold) / size) ** 0.5
-    # Samples that differ have the same four bits once in 16 times.
-    most = size * (1 - (threshold - 4 * error)) * 15 / 16
     differ = F.lit(0)
     for k in range(-(-size // PACKED)):
         x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return differ > most
+    return differ > most_differing(size, threshold)
 
 
 def _lists(rows: np.ndarray, has: np.ndarray) -> pa.ListArray:

@@ -1,7 +1,9 @@
+import math
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridplume.llm import dart_minhash as dart
 from gridplume.llm.common import components, table
@@ -106,3 +108,15 @@ def test_components(spark):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {k: 0 for k in range(61)} | {100: 100, 101: 100, 102: 100} | {k: 200 for k in range(200, 260)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_pair_at_the_threshold_is_hardly_ever_given_up(spark):
+    size, chance = dart.BANDS * dart.BAND_ROWS, 0.2 * 15 / 16
+    samples = np.zeros((size + 1, size), dtype=np.uint64)
+    for k in range(size + 1):
+        samples[k, :k] = 1 + k % 15
+    rows = [(k, own, [0] * len(own)) for k, own in enumerate(dart.packed(samples).view(np.int64).tolist())]
+    pairs = spark.createDataFrame(rows, "differ int, a array<long>, b array<long>")
+    given_up = [r["differ"] for r in pairs.where(dart.far(F.col("a"), F.col("b"), size, 0.8)).collect()]
+    tail = sum(math.comb(size, k) * chance**k * (1 - chance) ** (size - k) for k in given_up)
+    assert tail <= 1e-6 and len(given_up) > size // 2
