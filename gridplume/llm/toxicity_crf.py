@@ -23,6 +23,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -37,11 +38,13 @@ _WORDS_KEPT = 200_000
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of the sample that the model is fitted on: labelled rows, and characters of a row's text from its
-    start."""
+    """Bounds of the sample that the model is fitted on: labelled rows, whose texts are read whole. The chain learns from
+    all marked words of toxic documents with ``reach`` words on either side, and from a stretch of ``2 * reach + 1`` words
+    in each ``spread`` words of the others."""
 
     rows: int = 6000
-    chars: int = 20_000
+    reach: int = 12
+    spread: int = 500
 
 
 @dataclass
@@ -131,27 +134,36 @@ def label_words(texts: list[str], toxic: list[int]) -> set[str]:
     return {m for m, n in bad.items() if n >= max(2, min(enough, 8)) and n >= 0.9 * all_[m]}
 
 
-def _windows(texts: list[str], toxic: list[int], marks: set[str], reach: int = 12) -> tuple[list[list[str]], list[list[int]]]:
-    """Labelled words to train on: around marked words of toxic documents, and a stretch of every other document."""
+def _windows(texts: list[str], toxic: list[int], marks: set[str], limits: Limits = Limits(), most: int = 100) -> tuple[list[list[str]], list[list[int]]]:
+    """Labelled words to train on: around all marked words of toxic documents, and stretches spread over every other
+    document. A word is in one window; windows have ``most`` words at most."""
     words, tags = [], []
     for k, (text, label) in enumerate(zip(texts, toxic)):
         own = _words(text)
         if label:
             hit = [int(any(m in marks for m in _marks(w))) for w in own]
-            places = [i for i, h in enumerate(hit) if h][:4]
+            places = [i for i, h in enumerate(hit) if h]
         else:
-            hit, places = [0] * len(own), [(k * 7919) % len(own)] if own else []
-        for i in places:
-            words.append(own[max(0, i - reach) : i + reach + 1])
-            tags.append(hit[max(0, i - reach) : i + reach + 1])
+            hit = [0] * len(own)
+            places = list(range(k * 7919 % min(len(own), limits.spread), len(own), limits.spread)) if own else []
+        last = end = 0
+        for n, i in enumerate(places):
+            start, end = max(end, i - limits.reach), min(len(own), i + limits.reach + 1)
+            if n and start == last and len(words[-1]) + end - start <= most:
+                words[-1] += own[start:end]
+                tags[-1] += hit[start:end]
+            elif start < end:
+                words.append(own[start:end])
+                tags.append(hit[start:end])
+            last = end
     return words, tags
 
 
-def fit(texts: list[str], toxic: list[int], share: float, rounds: int = 80, decay: float = 1e-3) -> Model:
+def fit(texts: list[str], toxic: list[int], share: float, rounds: int = 80, decay: float = 1e-3, limits: Limits = Limits()) -> Model:
     """Trains the chain by gradient steps on the log-likelihood, then the document model."""
     model = Model(base=share)
     marks = label_words(texts, toxic)
-    words, tags = _windows(texts, toxic, marks)
+    words, tags = _windows(texts, toxic, marks, limits)
     if not marks or not any(map(any, tags)):
         return model
     lengths = np.array([len(w) for w in words])
@@ -198,8 +210,9 @@ def _evidence(marginals: np.ndarray) -> np.ndarray:
 def _fit_document(model: Model, texts: list[str], toxic: list[int], share: float) -> None:
     """Logistic regression by Newton's steps; classes weigh as they do among all labels."""
     evidence = []
-    for start in range(0, len(texts), 500):
-        evidence += [_evidence(p) for p, _ in marginals_of(model, texts[start : start + 500])]
+    sizes = np.cumsum([len(t) for t in texts]) // 3_000_000
+    for _, portion in groupby(range(len(texts)), key=lambda k: sizes[k]):
+        evidence += [_evidence(p) for p, _ in marginals_of(model, [texts[k] for k in portion])]
     x, y = np.array(evidence), np.array(toxic, dtype=float)
     own = min(max(y.mean(), 1e-6), 1 - 1e-6)
     weight = np.where(y == 1, share / own, (1 - share) / (1 - own))
@@ -282,11 +295,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not share:
         return Model(base=0.0)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(limits.rows)
-    texts = docs.select(docs[id_col].alias("_id"), F.substring(F.coalesce(docs[text_col], F.lit("")), 1, limits.chars).alias("text"))
+    texts = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     # Of rows that share an identifier the least text is learnt from, so that reruns agree.
     joined = texts.join(sample, F.col("_id") == F.col("id")).groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     found = joined.orderBy("id").collect()
-    return fit([r["text"] for r in found], [r["toxic"] for r in found], float(share))
+    return fit([r["text"] for r in found], [r["toxic"] for r in found], float(share), limits=limits)
 
 
 def scorer(docs: DataFrame, model: Model):

@@ -84,3 +84,14 @@ def test_empty_tables_and_no_labels(spark):
     assert tox.score(none(spark), labels).count() == 0
     for own in (labels, labels.limit(0)):
         assert {r["score"] for r in tox.score(awkward(spark), own).collect()} == {0.0}
+
+
+def test_marked_words_are_learnt_from_wherever_they_stand(spark):
+    words, tags = tox._windows([" ".join(["good"] * 30 + (["vilest"] + ["good"] * 99) * 10), "fine " * 2000], [1, 0], {"vilest$"})
+    assert sum(map(sum, tags)) == 10 and sum(map(len, words)) == 10 * 25 + 4 * 25
+    dense, own = tox._windows([" ".join(["vilest", "good"] * 500)], [1], {"vilest$"})
+    assert sum(map(len, dense)) == 1000 and sum(map(sum, own)) == 500 and max(map(len, dense)) <= 100
+    long = " ".join(f"word{k % 50}" for k in range(4000))
+    docs = spark.createDataFrame([(k, f"{long} {'vilest' if k % 4 == 0 else 'kindest'}") for k in range(100)], "doc_id long, text string")
+    model = tox.learn(docs, labels_of(spark, [(k, 1, int(k % 4 == 0)) for k in range(100)]))
+    assert model.weights is not None and model.scorer()("vilest") > model.scorer()("kindest")
