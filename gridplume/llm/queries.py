@@ -1,11 +1,25 @@
-"""The registered queries of the ten operators and the SQL that must give the same rows, where SQL can tell."""
+"""The registered queries of the operators and the SQL that must give the same rows, where SQL can tell."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridplume.llm import dart_minhash, decontaminate, exact_dedup, html_blocks, language_id, mixing, pii_anchors, secret_scan, token_count, toxicity_crf
+from gridplume.llm import (
+    dart_minhash,
+    de_bruijn,
+    decontaminate,
+    exact_dedup,
+    html_blocks,
+    language_id,
+    mixing,
+    pii_anchors,
+    secret_scan,
+    threshold_join,
+    token_count,
+    toxicity_crf,
+    va_file,
+)
 from gridplume.llm.common import table
 
 
@@ -128,5 +142,127 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"op4_secret_scan": op4_secret_scan, "op10_language_id": op10_language_id, "op8_personal_data": op8_personal_data, "op7_html_text": op7_html_text, "op5_token_counts": op5_token_counts, "op3_decontamination": op3_decontamination, "op1_near_dedup": op1_near_dedup, "op9_toxicity": op9_toxicity, "op2_mixing": op2_mixing, "op6_exact_dedup": op6_exact_dedup}
-ORACLE = {"op2_mixing": OP2_SQL, "op6_exact_dedup": OP6_SQL}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return threshold_join.mine(rows.withColumn("label", moved))
+
+
+#: Vectors as whole numbers, of the rows that take part.
+_VECTORS = """
+select row_number() over () as rid, vec_id as id, label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+from embeddings
+where embedding is not null and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(cast(x as double)))), true)
+"""
+
+OP11_SQL = f"""
+with v as (
+  select rid, id, v, case when id % 7 = 0 then (label + 1) % 10 else label end as label from ({_VECTORS}) where label is not null),
+scored as (
+  select a.rid, a.id as anchor_id, c.id, a.label = c.label as same, cast(list_dot_product(a.v, c.v) as bigint) as score
+  from v a, v c where a.id % 100 = 0 and a.rid <> c.rid),
+positives as (
+  select rid, anchor_id, id as positive_id, score as positive_score, place
+  from (select *, row_number() over (partition by rid order by score desc, id) as place from scored where same) where place <= 5),
+ranked as (
+  select p.*, s.id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.rid, p.place order by s.score desc, s.id) as rank
+  from positives p join scored s on p.rid = s.rid and not s.same
+    and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from ranked where rank <= 10
+"""
+
+
+def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP12_SQL = f"""
+with v as ({_VECTORS})
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (
+  select query_id, vec_id, score, row_number() over (partition by rid order by score desc, vec_id) as rank
+  from (
+    select q.rid, q.id as query_id, c.id as vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+    from v q, v c where q.id % 50 = 0 and q.rid <> c.rid))
+where rank <= 5
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return de_bruijn.collocations(de_bruijn.build(table(spark, sf_dir, "documents")))
+
+
+OP13_SQL = r"""
+with recursive pieces as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents)),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces where len(w) > 0),
+totals as (select lang, count(*) as n from starts group by lang),
+phrases as (
+  select lang, k, phrase, count(*) as f
+  from (
+    select lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as phrase
+    from starts, (select unnest(range(1, 6)) as k) where i + k - 1 <= len(w))
+  group by all having count(*) >= 100),
+split as (select lang, k, phrase, f, string_split(phrase, ' ') as w from phrases),
+held as (
+  select lang, part, max(f) as f
+  from (
+    select lang, array_to_string(list_slice(w, i, i + k2 - 1), ' ') as part, f
+    from (select *, unnest(range(1, k)) as k2 from split), (select unnest(range(1, 6)) as i) where i + k2 - 1 <= k)
+  group by lang, part),
+candidates as (
+  select s.* from split s left join held h on s.lang = h.lang and s.phrase = h.part where s.k > 1 and not coalesce(100 * h.f >= 100 * s.f, false)),
+cuts as (
+  select *, array_to_string(list_slice(w, 1, cut), ' ') as first, array_to_string(list_slice(w, cut + 1, k), ' ') as rest
+  from (select *, unnest(range(1, k)) as cut from candidates)),
+scored as (
+  select c.lang, c.phrase, c.k, c.f as a, x.f as l, y.f as r, n,
+    cast(cast(1000 as hugeint) * c.f * n // (cast(x.f as hugeint) * y.f) as bigint) as score, cut
+  from cuts c join phrases x on c.lang = x.lang and c.first = x.phrase join phrases y on c.lang = y.lang and c.rest = y.phrase
+    join totals t on c.lang = t.lang),
+worst as (select * from (select *, row_number() over (partition by lang, phrase order by score, cut) as place from scored) where place = 1),
+edges as (
+  select lang, phrase, f, array_to_string(list_slice(w, 1, 4), ' ') as head, array_to_string(list_slice(w, 2, 5), ' ') as tail from split where k = 5),
+links as (
+  select x.lang, x.phrase as before, y.phrase
+  from edges x join phrases v on x.lang = v.lang and x.tail = v.phrase and x.f = v.f
+    join edges y on y.lang = v.lang and y.head = v.phrase and y.f = v.f),
+walk as (
+  select lang, phrase as path, phrase, 5 as words from edges where (lang, phrase) not in (select lang, phrase from links)
+  union all
+  select w.lang, w.path, l.phrase, w.words + 1 from walk w join links l on w.lang = l.lang and w.phrase = l.before),
+long_paths as (select lang, phrase, max(words) over (partition by lang, path) as path_words from walk)
+select w.lang, rank, w.phrase, a, l, r, n, score, cast(coalesce(path_words, k) as bigint) as path_words
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from worst) w
+  left join long_paths p on w.lang = p.lang and w.phrase = p.phrase
+where rank <= 2000
+"""
+
+
+QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op2_mixing": op2_mixing,
+    "op3_decontamination": op3_decontamination,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_token_counts": op5_token_counts,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op7_html_text": op7_html_text,
+    "op8_personal_data": op8_personal_data,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_vector_search": op12_vector_search,
+    "op13_collocations": op13_collocations,
+}
+ORACLE = {
+    "op2_mixing": OP2_SQL,
+    "op6_exact_dedup": OP6_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_vector_search": OP12_SQL,
+    "op13_collocations": OP13_SQL,
+}
