@@ -7,9 +7,9 @@ there. In the same way every shorter phrase gets its count from the phrases one
 pieces that end with it. An edge whose whole flow goes on to one edge, which has no other, is compacted with it to a
 path; phrases of a path share one count.
 
-A phrase with a rare word can't be frequent. Words are counted by hash first, in a bitmap of fixed size; a word whose
-bucket stays below the least count ends a piece. Rare words in a frequent bucket only cost time, so counts are exact
-however many words there are.
+A phrase with a rare word or a rare pair of words can't be frequent. Words, then pairs of the words that are left, are
+counted by hash first, into bitmaps of fixed size; where a bucket stays below the least count the text is cut, as if a
+piece ended. Rare words and pairs in a frequent bucket only cost time, so counts are exact however many there are.
 
 Tasks combine the phrases of about a million words before they are shuffled, and counts are keyed by whole phrases, so a
 language or a word with a third of all rows is many keys.
@@ -37,8 +37,8 @@ from gridplume.session import as_written
 
 #: Words of the longest phrases.
 LONGEST = 5
-#: Hash buckets by which rare words are known: a bitmap of 2 MB at any size of the input.
-BUCKETS, GROUP = 2**24, 2**15
+#: Hash buckets by which rare words and rare pairs are known: bitmaps of 2 and 16 MB at any size of the input.
+WORD_BUCKETS, PAIR_BUCKETS, GROUP = 2**24, 2**27, 2**15
 #: Words whose phrases are combined in a task before they are sent.
 COMBINED = 2**20
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -56,108 +56,151 @@ class Graph:
     totals: DataFrame
 
 
-def _frequent_buckets(texts: DataFrame, least: int) -> bytes:
-    """A bit for each bucket of words: whether its words together occur ``least`` times."""
+def _bitmap(counts: DataFrame, least: int, buckets: int) -> np.ndarray:
+    """A bit for each bucket of ``counts`` (bucket, n): whether its ``n`` sum up to ``least``."""
+    usual = counts.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    bits = usual.groupBy(F.floor(F.col("bucket") / GROUP).alias("group")).agg(
+        F.bitmap_construct_agg(F.pmod("bucket", F.lit(GROUP))).alias("bits")
+    )
+    found = np.zeros(buckets // 8, np.uint8)
+    # At most buckets / GROUP rows of 4 KB.
+    for row in bits.collect():
+        found[row["group"] * (GROUP // 8) : (row["group"] + 1) * (GROUP // 8)] = np.frombuffer(row["bits"], np.uint8)
+    return found
+
+
+def _is_set(bitmap: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return (bitmap[buckets >> 3] >> (buckets & 7)) & 1 == 1
+
+
+def _word_counts(texts: DataFrame, buckets: int) -> DataFrame:
+    """bucket, n: how many words of a bucket there are."""
     lowered = F.translate("text", _UPPER, _UPPER.lower())
     word = F.explode(F.split(lowered, r"[\x20\x09.,;:!?\x0A-\x0D]+")).alias("word")
-    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(BUCKETS)).alias("bucket")
-    counts = texts.select(word).where("word <> ''").groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    position = F.pmod("bucket", F.lit(GROUP))
-    bits = counts.groupBy(F.floor(F.col("bucket") / GROUP).alias("group")).agg(F.bitmap_construct_agg(position).alias("bits"))
-    # At most BUCKETS / GROUP rows of 4 KB.
-    found = bytearray(BUCKETS // 8)
-    for row in bits.collect():
-        found[row["group"] * (GROUP // 8) : (row["group"] + 1) * (GROUP // 8)] = row["bits"]
-    return bytes(found)
-
-
-class Phrases:
-    """The longest phrases, and the phrases at piece ends, of the texts of one language, combined portion by
-    portion."""
-
-    def __init__(self, lang: str, frequent: np.ndarray):
-        self.lang, self.frequent, self.words = lang, frequent, []
-
-    def add(self, text: str) -> Iterator[pa.RecordBatch]:
-        self.words += text.encode().translate(_BYTES).replace(b"\n", b" " + _END + b" ").split()
-        self.words.append(_END)
-        if len(self.words) >= COMBINED:
-            yield from self.flush()
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if not self.words:
-            return
-        coded = pa.array(self.words, pa.binary()).dictionary_encode()
-        self.words = []
-        names, words = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        listed = names.to_pylist()
-        hashes = np.fromiter((zlib.crc32(w) % BUCKETS for w in listed), np.int64, len(listed))
-        n = len(words) - int((words == listed.index(_END)).sum())
-        usual = (self.frequent[hashes >> 3] >> (hashes & 7)) & 1 == 1
-        usual[listed.index(_END)] = False
-        words = np.where(usual[words], words, -1)
-        yield self.batch(0, pa.array([""]), np.array([n]))
-        stands = words >= 0
-        # run[i]: how many usual words stand one after the other up to i.
-        place = np.arange(1, len(words) + 1)
-        run = place - np.maximum.accumulate(np.where(stands, 0, place))
-        yield self.counted(words, np.nonzero(run >= LONGEST)[0], LONGEST, names)
-        ends = stands & ~np.append(stands[1:], False)
-        for k in range(1, LONGEST):
-            yield self.counted(words, np.nonzero(ends & (run >= k))[0], k, names)
-
-    def counted(self, words: np.ndarray, last: np.ndarray, k: int, names: pa.Array) -> pa.RecordBatch:
-        """The phrases of ``k`` words that end at ``last``, each once with its count."""
+    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(buckets)).alias("bucket")
+    return texts.select(word).where("word <> ''").select(bucket, F.lit(1).alias("n"))
+
+
+class Words:
+    """The words of a portion of texts as numbers; a piece's end and rare words are -1."""
+
+    def __init__(self, words: list[bytes], usual_words: np.ndarray):
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        self.names, numbers = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        listed = self.names.to_pylist()
+        end = listed.index(_END)
+        self.hashes = np.fromiter((zlib.crc32(w) for w in listed), np.uint64, len(listed))
+        self.total = len(words) - int((numbers == end).sum())
+        usual = _is_set(usual_words, (self.hashes % np.uint64(8 * len(usual_words))).astype(np.int64))
+        usual[end] = False
+        self.numbers = np.where(usual[numbers], numbers, -1)
+        self.stands = self.numbers >= 0
+
+    def pairs(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where a word follows a word, and the bucket of the two."""
+        second = np.nonzero(self.stands[1:] & self.stands[:-1])[0] + 1
+        first, last = self.hashes[self.numbers[second - 1]], self.hashes[self.numbers[second]]
+        mixed = (first * np.uint64(2654435761) + last) * np.uint64(0x9E3779B97F4A7C15)
+        return second, ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+
+    def runs(self, usual_pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word how many stand before it in one run of usual pairs, with itself, and whether it ends the run."""
+        second, buckets = self.pairs(8 * len(usual_pairs))
+        follows = np.zeros(len(self.numbers) + 1, bool)
+        follows[second] = _is_set(usual_pairs, buckets)
+        place = np.arange(len(self.numbers))
+        start = np.maximum.accumulate(np.where(follows[:-1], 0, place))
+        return np.where(self.stands, place - start + 1, 0), self.stands & ~follows[1:]
+
+    def counted(self, last: np.ndarray, k: int) -> tuple[pa.Array, np.ndarray]:
+        """The phrases of ``k`` words that end at ``last``, each once, and their counts."""
         key = np.zeros(len(last), np.int64)
         for back in range(k - 1, -1, -1):
-            key = np.unique(key * len(names) + words[last - back], return_inverse=True)[1]
+            key = np.unique(key * len(self.names) + self.numbers[last - back], return_inverse=True)[1]
         _, first, count = np.unique(key, return_index=True, return_counts=True)
-        parts = [names.take(pa.array(words[last[first] - back])) for back in range(k - 1, -1, -1)]
-        return self.batch(k, pc.binary_join_element_wise(*parts, b" ").cast(pa.string()), count)
+        parts = [self.names.take(pa.array(self.numbers[last[first] - back])) for back in range(k - 1, -1, -1)]
+        return pc.binary_join_element_wise(*parts, b" ").cast(pa.string()), count
+
+
+def _portions(batches: Iterator[pa.RecordBatch], size: int, by_lang: bool) -> Iterator[tuple[str, list[bytes]]]:
+    """(language, words) of about ``size`` words at a time. Pieces and texts end with ``_END``."""
+    open_: dict[str, list[bytes]] = {}
+    held = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            words = text.encode().translate(_BYTES).replace(b"\n", b" " + _END + b" ").split()
+            own = open_.setdefault(lang if by_lang else "", [])
+            own += words
+            own.append(_END)
+            held += len(words) + 1
+            if held >= size:
+                yield from open_.items()
+                open_, held = {}, 0
+    yield from open_.items()
+
+
+def _pair_counts(texts: DataFrame, usual_words: np.ndarray, buckets: int, portion: int) -> DataFrame:
+    """bucket, n: how many pairs of usual words of a bucket there are, combined in tasks."""
+    shared = texts.sparkSession.sparkContext.broadcast(usual_words)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, words in _portions(batches, portion, by_lang=False):
+            found, counts = np.unique(Words(words, shared.value).pairs(buckets)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts.astype(np.int32))], ["bucket", "n"])
 
-    def batch(self, k: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    return texts.select("lang", "text").mapInArrow(count, "bucket int, n int")
+
+
+def _combined(texts: DataFrame, usual_words: np.ndarray, usual_pairs: np.ndarray, portion: int) -> DataFrame:
+    """lang, words, phrase, count: phrases of ``LONGEST`` words, the last words of pieces, and with 0 words how many words
+    there are; combined in tasks.
+
+    Of a piece's end only the last four words are sent, or the whole piece: shorter ends are their ends.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((usual_words, usual_pairs))
+
+    def batch(lang: str, k: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
         size = len(phrases)
+        langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64)))
         return pa.RecordBatch.from_arrays(
-            [pa.array([self.lang], pa.string()).take(pa.array(np.zeros(size, np.int64))), pa.array(np.full(size, k, np.int32)), phrases, pa.array(counts.astype(np.int64))],
-            ["lang", "words", "phrase", "count"],
+            [langs, pa.array(np.full(size, k, np.int32)), phrases, pa.array(counts.astype(np.int64))], ["lang", "words", "phrase", "count"]
         )
 
-
-def _combined(texts: DataFrame, frequent: bytes) -> DataFrame:
-    """lang, words, phrase, count: phrases of ``LONGEST`` words, shorter ones that end pieces, and with 0 words how many
-    words there are; combined in tasks."""
-    shared = texts.sparkSession.sparkContext.broadcast(np.frombuffer(frequent, np.uint8))
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # At most a few languages are open: the words of all of them together are combined when they get many.
-        open_: dict[str, Phrases] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if lang not in open_:
-                    open_[lang] = Phrases(lang, shared.value)
-                yield from open_[lang].add(text)
-            if sum(len(p.words) for p in open_.values()) >= COMBINED:
-                for phrases in open_.values():
-                    yield from phrases.flush()
-                open_.clear()
-        for phrases in open_.values():
-            yield from phrases.flush()
+        for lang, listed in _portions(batches, portion, by_lang=True):
+            words = Words(listed, shared.value[0])
+            run, ends = words.runs(shared.value[1])
+            yield batch(lang, 0, pa.array([""]), np.array([words.total]))
+            yield batch(lang, LONGEST, *words.counted(np.nonzero(run >= LONGEST)[0], LONGEST))
+            for k in range(1, LONGEST):
+                yield batch(lang, k, *words.counted(np.nonzero(ends & (np.minimum(run, LONGEST - 1) == k))[0], k))
 
     return texts.select("lang", "text").mapInArrow(count, "lang string, words int, phrase string, count long")
 
 
-def build(docs: DataFrame, least: int = 100, text_col: str = "text", lang_col: str = "lang") -> Graph:
-    """The graph of all of ``docs``, with exact counts of all phrases that occur ``least`` times or more."""
+def build(
+    docs: DataFrame, least: int = 100, text_col: str = "text", lang_col: str = "lang",
+    word_buckets: int = WORD_BUCKETS, pair_buckets: int = PAIR_BUCKETS, portion: int = COMBINED,
+) -> Graph:
+    """The graph of all of ``docs``, with exact counts of all phrases that occur ``least`` times or more.
+
+    Buckets (multiples of ``GROUP``) and ``portion`` (words) change what it costs, not what it finds.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(docs[lang_col], F.lit("und")).alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    frequent = _frequent_buckets(texts, least)
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
-        edges = as_written(_summed(_combined(texts, frequent)), "edges")
+        usual_words = _bitmap(_word_counts(texts, word_buckets), least, word_buckets)
+        usual_pairs = _bitmap(_pair_counts(texts, usual_words, pair_buckets, portion), least, pair_buckets)
+        # Tasks have combined what they send; to combine it once more before the shuffle would find little.
+        sent = _combined(texts, usual_words, usual_pairs, portion).repartition("lang", "words", "phrase")
+        edges = as_written(_summed(sent), "edges")
     flow, found = edges.where(F.col("words") == LONGEST), []
     found.append(flow.where(F.col("count") >= least))
     for k in range(LONGEST - 1, 0, -1):
         out = flow.select("lang", F.lit(k).alias("words"), F.substring_index("phrase", " ", k).alias("phrase"), "count")
-        flow = as_written(_summed(out.unionByName(edges.where(F.col("words") == k))), "nodes")
+        ends = edges.where(f"words between {k} and {LONGEST - 1}")
+        ends = ends.select("lang", F.lit(k).alias("words"), F.substring_index("phrase", " ", -k).alias("phrase"), "count")
+        flow = as_written(_summed(out.unionByName(ends)), "nodes")
         found.append(flow.where(F.col("count") >= least))
     totals = edges.where("words = 0").select("lang", F.col("count").alias("n"))
     return Graph(as_written(reduce(DataFrame.unionByName, found), "phrases"), as_written(totals, "totals"))
