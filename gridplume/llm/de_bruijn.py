@@ -4,15 +4,16 @@ Texts are cut into pieces and pieces into words. Only the longest phrases, of fi
 they are the edges of the graph, each from the node of its first four words to the node of its last four. A node's count
 is the flow out of it, the sum of its edges, and one more for each piece that ends there, since no edge leaves from
 there. In the same way every shorter phrase gets its count from the phrases one word longer that begin with it and the
-pieces that end with it. An edge whose whole flow goes on to one edge, which has no other, is compacted with it to a
-path; phrases of a path share one count.
+pieces that end with it, down to pairs. An edge whose whole flow goes on to one edge, which has no other, is compacted
+with it to a path; phrases of a path share one count.
 
-A phrase with a rare word or a rare pair of words can't be frequent. Words, then pairs of the words that are left, are
-counted by hash first, into bitmaps of fixed size; where a bucket stays below the least count the text is cut, as if a
-piece ended. Rare words and pairs in a frequent bucket only cost time, so counts are exact however many there are.
+A phrase with a rare word or a rare pair of words can't be frequent. Words are counted first, then pairs of the words
+that are left, these by hash; bitmaps of fixed size tell tasks what is rare, and there a text is cut, as if a piece
+ended. Rare words and pairs that share a bucket with frequent ones only cost time, so counts are exact however many
+there are.
 
-Tasks combine the phrases of about a million words before they are shuffled, and counts are keyed by whole phrases, so a
-language or a word with a third of all rows is many keys.
+Tasks combine phrases before they are shuffled, and counts are keyed by whole phrases, so a language or a word with a
+third of all rows is many keys.
 
 Defined results: a null text is empty; a null language is ``und``, together with rows that say so; an empty text has no
 words, an empty table no phrases; rows that repeat count each; very long texts are read whole; ties go to the higher
@@ -39,8 +40,8 @@ from gridplume.session import as_written
 LONGEST = 5
 #: Hash buckets by which rare words and rare pairs are known: bitmaps of 2 and 16 MB at any size of the input.
 WORD_BUCKETS, PAIR_BUCKETS, GROUP = 2**24, 2**27, 2**15
-#: Words whose phrases are combined in a task before they are sent.
-COMBINED = 2**20
+#: Words that are looked at together in a task, and phrases that it combines before they are sent.
+PORTION, COMBINED = 2**20, 2**20
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A piece's end among words; no byte of a text.
 _END = b"\xff"
@@ -73,12 +74,11 @@ def _is_set(bitmap: np.ndarray, buckets: np.ndarray) -> np.ndarray:
     return (bitmap[buckets >> 3] >> (buckets & 7)) & 1 == 1
 
 
-def _word_counts(texts: DataFrame, buckets: int) -> DataFrame:
-    """bucket, n: how many words of a bucket there are."""
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """lang, word, n."""
     lowered = F.translate("text", _UPPER, _UPPER.lower())
     word = F.explode(F.split(lowered, r"[\x20\x09.,;:!?\x0A-\x0D]+")).alias("word")
-    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(buckets)).alias("bucket")
-    return texts.select(word).where("word <> ''").select(bucket, F.lit(1).alias("n"))
+    return texts.select("lang", word).where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 class Words:
@@ -90,7 +90,6 @@ class Words:
         listed = self.names.to_pylist()
         end = listed.index(_END)
         self.hashes = np.fromiter((zlib.crc32(w) for w in listed), np.uint64, len(listed))
-        self.total = len(words) - int((numbers == end).sum())
         usual = _is_set(usual_words, (self.hashes % np.uint64(8 * len(usual_words))).astype(np.int64))
         usual[end] = False
         self.numbers = np.where(usual[numbers], numbers, -1)
@@ -151,58 +150,89 @@ def _pair_counts(texts: DataFrame, usual_words: np.ndarray, buckets: int, portio
     return texts.select("lang", "text").mapInArrow(count, "bucket int, n int")
 
 
-def _combined(texts: DataFrame, usual_words: np.ndarray, usual_pairs: np.ndarray, portion: int) -> DataFrame:
-    """lang, words, phrase, count: phrases of ``LONGEST`` words, the last words of pieces, and with 0 words how many words
-    there are; combined in tasks.
+class Combiner:
+    """Sums up counted phrases in a task until there are too many to hold."""
 
-    Of a piece's end only the last four words are sent, or the whole piece: shorter ends are their ends.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast((usual_words, usual_pairs))
+    _KEYS = ["lang", "words", "phrase"]
+
+    def __init__(self, most: int):
+        self.most, self.held = most, []
 
-    def batch(lang: str, k: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    def add(self, lang: str, k: int, phrases: pa.Array, counts: np.ndarray) -> None:
         size = len(phrases)
         langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64)))
-        return pa.RecordBatch.from_arrays(
-            [langs, pa.array(np.full(size, k, np.int32)), phrases, pa.array(counts.astype(np.int64))], ["lang", "words", "phrase", "count"]
-        )
+        columns = [langs, pa.array(np.full(size, k, np.int32)), phrases, pa.array(counts.astype(np.int64))]
+        self.held.append(pa.table(columns, [*self._KEYS, "count"]))
+
+    def full(self) -> Iterator[pa.RecordBatch]:
+        """What must be sent now: everything, if even summed up it is half of the most."""
+        if sum(t.num_rows for t in self.held) >= self.most:
+            self.held = [self._summed()]
+            if self.held[0].num_rows >= self.most // 2:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield from self._summed().to_batches(max_chunksize=100_000)
+        self.held = []
+
+    def _summed(self) -> pa.Table:
+        table = pa.concat_tables(self.held).group_by(self._KEYS).aggregate([("count", "sum")])
+        return table.rename_columns([*self._KEYS, "count"])
+
+
+def _combined(texts: DataFrame, usual_words: np.ndarray, usual_pairs: np.ndarray, portion: int, combined: int) -> DataFrame:
+    """lang, words, phrase, count: phrases of ``LONGEST`` words, and the last words of pieces; combined in tasks.
+
+    Of a piece's end only the last four words are sent, or the whole piece: shorter ends are their ends. A word alone
+    has been counted.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((usual_words, usual_pairs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        combiner = Combiner(combined)
         for lang, listed in _portions(batches, portion, by_lang=True):
             words = Words(listed, shared.value[0])
             run, ends = words.runs(shared.value[1])
-            yield batch(lang, 0, pa.array([""]), np.array([words.total]))
-            yield batch(lang, LONGEST, *words.counted(np.nonzero(run >= LONGEST)[0], LONGEST))
-            for k in range(1, LONGEST):
-                yield batch(lang, k, *words.counted(np.nonzero(ends & (np.minimum(run, LONGEST - 1) == k))[0], k))
+            combiner.add(lang, LONGEST, *words.counted(np.nonzero(run >= LONGEST)[0], LONGEST))
+            for k in range(2, LONGEST):
+                combiner.add(lang, k, *words.counted(np.nonzero(ends & (np.minimum(run, LONGEST - 1) == k))[0], k))
+            yield from combiner.full()
+        yield from combiner.rest()
 
     return texts.select("lang", "text").mapInArrow(count, "lang string, words int, phrase string, count long")
 
 
 def build(
-    docs: DataFrame, least: int = 100, text_col: str = "text", lang_col: str = "lang",
-    word_buckets: int = WORD_BUCKETS, pair_buckets: int = PAIR_BUCKETS, portion: int = COMBINED,
+    docs: DataFrame, least: int = 50, text_col: str = "text", lang_col: str = "lang",
+    word_buckets: int = WORD_BUCKETS, pair_buckets: int = PAIR_BUCKETS, portion: int = PORTION, combined: int = COMBINED,
 ) -> Graph:
-    """The graph of all of ``docs``, with exact counts of all phrases that occur ``least`` times or more.
+    """The graph of all of ``docs``, with exact counts of all phrases that occur ``least`` times or more: it answers for
+    any least count from that on, without another look at the texts.
 
-    Buckets (multiples of ``GROUP``) and ``portion`` (words) change what it costs, not what it finds.
+    Buckets (multiples of ``GROUP``), ``portion`` (words) and ``combined`` (phrases) change what it costs, not what it
+    finds.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(docs[lang_col], F.lit("und")).alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    words = as_written(_word_counts(texts), "words")
+    bucket = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(word_buckets)).alias("bucket")
+    usual_words = _bitmap(words.select(bucket, "n"), least, word_buckets)
     with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
-        usual_words = _bitmap(_word_counts(texts, word_buckets), least, word_buckets)
         usual_pairs = _bitmap(_pair_counts(texts, usual_words, pair_buckets, portion), least, pair_buckets)
         # Tasks have combined what they send; to combine it once more before the shuffle would find little.
-        sent = _combined(texts, usual_words, usual_pairs, portion).repartition("lang", "words", "phrase")
+        sent = _combined(texts, usual_words, usual_pairs, portion, combined).repartition("lang", "words", "phrase")
         edges = as_written(_summed(sent), "edges")
     flow, found = edges.where(F.col("words") == LONGEST), []
     found.append(flow.where(F.col("count") >= least))
-    for k in range(LONGEST - 1, 0, -1):
+    for k in range(LONGEST - 1, 1, -1):
         out = flow.select("lang", F.lit(k).alias("words"), F.substring_index("phrase", " ", k).alias("phrase"), "count")
         ends = edges.where(f"words between {k} and {LONGEST - 1}")
         ends = ends.select("lang", F.lit(k).alias("words"), F.substring_index("phrase", " ", -k).alias("phrase"), "count")
         flow = as_written(_summed(out.unionByName(ends)), "nodes")
         found.append(flow.where(F.col("count") >= least))
-    totals = edges.where("words = 0").select("lang", F.col("count").alias("n"))
+    found.append(words.where(F.col("n") >= least).select("lang", F.lit(1).alias("words"), F.col("word").alias("phrase"), F.col("n").alias("count")))
+    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return Graph(as_written(reduce(DataFrame.unionByName, found), "phrases"), as_written(totals, "totals"))
 
 
@@ -249,13 +279,15 @@ def paths(graph: Graph) -> DataFrame:
     return state.join(sizes, ["lang", "path"]).select("lang", "phrase", "path", "place", "path_words")
 
 
-def collocations(graph: Graph, most: int = 2000, cover_percent: int = 100) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score, path_words: the ``most`` best phrases of each language.
+def collocations(graph: Graph, least: int = 100, most: int = 2000, cover_percent: int = 100) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score, path_words: of the phrases that occur ``least`` times or more the ``most``
+    best of each language.
 
     A phrase scores floor(1000 a n / (l r)) at its worst cut. One that a longer phrase holds ``cover_percent`` of the
     time or more is left out: it suffices to look at phrases one word longer, which are no rarer than those that hold
     them. ``path_words`` is the length of the path through a phrase of the longest kind, else the phrase's own.
     """
+    graph = Graph(graph.phrases.where(F.col("count") >= least), graph.totals)
     phrases = graph.phrases
     parts = F.explode(F.array(_head("phrase", "words - 1"), _tail("phrase", "words - 1")))
     longer = phrases.where("words > 2").select("lang", parts.alias("phrase"), "count").groupBy("lang", "phrase").agg(F.max("count").alias("held"))

@@ -54,8 +54,11 @@ def check(spark, docs, least, cost=None, **options):
         got[r["lang"]][r["phrase"]] = r["count"]
     assert got == {k: v for k, v in counts.items() if v}
     names = {"most": options.get("most", 2000), "cover_percent": options.get("cover", 100)}
-    found = de_bruijn.collocations(graph, **names).select(*COLUMNS).collect()
+    found = de_bruijn.collocations(graph, least, **names).select(*COLUMNS).collect()
     assert sorted(map(tuple, found)) == sorted(ranked)
+    if not names["most"] < 2000:
+        higher = de_bruijn.collocations(graph, 2 * least, **names).select(*COLUMNS).collect()
+        assert sorted(map(tuple, higher)) == sorted(brute(rows, 2 * least, **options)[1])
     return graph, ranked
 
 
@@ -77,13 +80,13 @@ def test_rare_words_and_pairs_that_share_a_bucket_only_cost_time(spark, words, p
 
 def test_small_portions_give_the_same(spark):
     docs = spark.createDataFrame([("a", "x y z x y z. x y"), ("b", "x y z"), (None, "x y x y"), ("und", "x y")] * 30, "lang string, text string")
-    check(spark, docs, 2, {"portion": 40})
+    check(spark, docs, 2, {"portion": 40, "combined": 20})
 
 
 def test_empty_tables(spark):
-    assert de_bruijn.collocations(de_bruijn.build(none(spark))).count() == 0
+    assert de_bruijn.collocations(de_bruijn.build(none(spark), 1), 1).count() == 0
     empty = spark.createDataFrame([("en", None), ("en", ""), (None, " \t\n.")], "lang string, text string")
-    assert de_bruijn.collocations(de_bruijn.build(empty, 1)).count() == 0
+    assert de_bruijn.collocations(de_bruijn.build(empty, 1), 1).count() == 0
 
 
 def test_pieces_words_and_case(spark):
