@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridplume.functions.dates import chunk_path
@@ -15,18 +14,18 @@ from gridplume.operators import chunks as ch
 from gridplume.operators import quality
 from gridplume.operators.joins import semi_join
 from gridplume.operators.shaping import ALL_NAMED, daily_rows
-from gridplume.plans import models
+from gridplume.plans import models, published
 from gridplume.schemas import CHUNK, MONTH_KEYS, STATES
-from gridplume.session import as_written, path_exists, work_folder
+from gridplume.session import as_written, delete_path, path_exists, work_folder
 from gridplume.sources import lake
-from gridplume.sources.landing import hourly_scan, landed_files, missing_fields, month_folders, newest_snapshots
-from gridplume.sources.ledger import append_ledger, attempt_rows, read_ledger
+from gridplume.sources.landing import chunk_folders, hourly_scan, landed_files, missing_fields, month_folders, newest_snapshots
+from gridplume.sources.ledger import append_ledger, attempt_rows, fold_if_long, read_ledger
 
 
 @dataclass(frozen=True)
 class Places:
-    """Where a deployment keeps its tables. ``marts`` is the database of the mart tables; they lie in its own folder,
-    or below ``mart_root``."""
+    """Where a deployment keeps its tables. ``marts`` is the database of the marts' views; their rows lie in its own
+    folder, or below ``mart_root``."""
 
     landing: str
     lake: str
@@ -40,10 +39,9 @@ class Places:
     def mart(self, name: str) -> str:
         return f"{self.marts}.{name}"
 
-    def versions(self, spark: SparkSession, name: str) -> str:
-        """The folder below which a mart's versions lie."""
-        root = self.mart_root or f"{spark.conf.get('spark.sql.warehouse.dir')}/{self.marts}-versions"
-        return f"{root}/{name}"
+    def published(self, spark: SparkSession) -> str:
+        """The folder below which the marts' versions and their manifest lie."""
+        return self.mart_root or f"{spark.conf.get('spark.sql.warehouse.dir')}/{self.marts}-versions"
 
     @classmethod
     def below(cls, root: str, marts: str, landing_format: str = "json") -> Places:
@@ -118,18 +116,21 @@ def backfill(
 ) -> DataFrame:
     """Bring every unfinished chunk from ``start`` on into the lake; returns the run's summary.
 
-    All chunks run as one job; see ``take_in``. A failed chunk is tried again by the next run.
+    All chunks run as one job; see ``take_in``. A failed chunk is tried again by the next run, which lists the folders of
+    what is left only; while most is left, Spark lists the whole landing in parallel instead.
     """
-    calendar = ch.backfill_calendar(spark, as_of, start, states)
+    calendar = as_written(ch.backfill_calendar(spark, as_of, start, states), "calendar")
     with work_folder(spark, "backfill"):
         todo = as_written(ch.remaining_chunks(calendar, read_ledger(spark, places.ledger)), "todo")
-        take_in(spark, places, todo, run_ts)
+        few = 2 * todo.count() < calendar.count()
+        take_in(spark, places, todo, run_ts, chunk_folders(spark, places.landing, todo) if few else None)
+    fold_if_long(spark, places.ledger)
     return ch.run_summary(calendar, read_ledger(spark, places.ledger), run_ts)
 
 
 def load_all(spark: SparkSession, places: Places) -> DataFrame:
     """Rebuild the raw table from the whole lake; returns its row count."""
-    lake.load_truncate(lake.raw_scan_all(spark, places.lake), places.raw)
+    lake.load_truncate(lake.raw_scan_all(spark, places.lake), places.raw, lake.stored_bytes(spark, places.lake))
     return lake.load_row_count(spark, places.raw)
 
 
@@ -165,13 +166,18 @@ def daily_run(
             raise BadChunks(f"broken records, bad dates or ids, misplaced rows or missing fields: {', '.join(bad)}")
         lake.lake_write(daily, places.lake)
         months = as_written(daily.select(*MONTH_KEYS.names).distinct(), "months")
-        lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw)
+        changed = [tuple(r) for r in months.collect()]
+        lake.load_replace(lake.raw_scan_months(spark, places.lake, months), places.raw, lake.stored_bytes(spark, places.lake, changed))
         refresh_models(spark, places, months, publish_first)
     return [Row(chunk_path=c.chunk_path, rows=c.rows) for c in chunks]
 
 
 def refresh_models(
-    spark: SparkSession, places: Places, months: DataFrame | None = None, publish_first: bool = False
+    spark: SparkSession,
+    places: Places,
+    months: DataFrame | None = None,
+    publish_first: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Rebuild both marts, or some months of them, and run the data tests; returns the test report, or raises on a
     failing test.
@@ -180,25 +186,26 @@ def refresh_models(
     recomputed and written; without them everything is. The staging tests are counted inside the same aggregate and
     stored beside it, so the raw rows are read once.
 
-    New months of both marts are written beside the published ones and tested there; then the catalog is pointed to
-    them, mart after mart, without moving a row. ``publish_first`` does that before the tests.
+    New months of both marts are written beside the published ones and tested there; then one switch publishes them all,
+    see ``published``, together with the ``batch`` that they come from. ``publish_first`` does that before the tests.
     """
     first_time = months is None or not path_exists(spark, places.intermediate)
     raw = lake.raw_table(spark, places.raw) if first_time else lake.raw_scan_months(spark, places.raw, months)
-    store_intermediate(raw, places.intermediate, whole=first_time)
-    stored = spark.read.parquet(places.intermediate)
-    touched = [] if first_time else sorted((r.year, r.month) for r in months.select("year", "month").distinct().collect())
+    touched = None if first_time else sorted((r.year, r.month) for r in months.select("year", "month").distinct().collect())
+    store_intermediate(raw, places.intermediate, touched)
+    stored = intermediate(spark, places)
     fresh = stored if first_time else stored.where(lake.month_predicate(touched))
-    version = uuid.uuid4().hex
-    roots = {name: places.versions(spark, name) for name in models.MARTS}
-    paths = {name: f"{root}/version={version}" for name, root in roots.items()}
+    version, root = published.new_version(), places.published(spark)
     staged = {
-        name: models.stage_mart(models.source_ref(name, {"int_cems_aggregated": fresh}), path) for name, path in paths.items()
+        name: models.stage_mart(models.source_ref(name, {"int_cems_aggregated": fresh}), published.folder(root, name, version))
+        for name in models.MARTS
     }
 
     def publish() -> None:
-        for name, mart in staged.items():
-            models.swap_months(mart, places.mart(name), roots[name], paths[name], first_time, touched)
+        # At most a row per month and mart.
+        held = {name: [tuple(r) for r in mart.select(*MONTH_KEYS.names).distinct().collect()] for name, mart in staged.items()}
+        published.switch(spark, root, version, held, touched, batch)
+        published.create_views(spark, root, places.marts, models.mart_schemas())
 
     with work_folder(spark, "models"):
         if publish_first:
@@ -212,6 +219,16 @@ def refresh_models(
     return results
 
 
+def read_marts(spark: SparkSession, places: Places) -> dict[str, DataFrame]:
+    """Both published marts by name, of one publication: never one of an older and one of a newer."""
+    return published.marts(spark, places.published(spark), models.mart_schemas())
+
+
+def intermediate(spark: SparkSession, places: Places) -> DataFrame:
+    """The stored intermediate rows, by ranges of facilities: see ``models.int_by_facility_range``."""
+    return spark.read.schema(models.intermediate_schema(len(quality.RULES["stg_cems_daily"]))).parquet(places.intermediate)
+
+
 def staging_report(stored: DataFrame) -> DataFrame:
     """The staging tests, from the failing rows counted beside the stored intermediate rows."""
     rules = quality.RULES["stg_cems_daily"]
@@ -219,12 +236,22 @@ def staging_report(stored: DataFrame) -> DataFrame:
     return quality.as_report(stored.agg(*[F.sum(n).alias(n) for n in names]), "stg_cems_daily", rules)
 
 
-def store_intermediate(raw: DataFrame, path: str, whole: bool) -> None:
-    """Intermediate rows by month, with the failing staging rows of each group counted."""
+def store_intermediate(raw: DataFrame, path: str, months: Sequence[tuple[int, int]] | None = None) -> None:
+    """Intermediate rows by month and ranges of facilities, with the failing staging rows of each group counted.
+
+    ``raw`` holds all rows, or those of ``months``, whose stored rows are replaced; a month that has none any more goes.
+    """
+    spark, keys = raw.sparkSession, MONTH_KEYS.names
     counts = quality.failure_counts(quality.RULES["stg_cems_daily"])
-    rows = models.int_cems_aggregated(models.stg_cems_daily(raw), counts)
-    dated = rows.withColumns({"year": F.year("date"), "month": F.month("date")})
-    months = MONTH_KEYS.names
-    dated.hint("rebalance", *[F.col(c) for c in months]).write.partitionBy(*months).mode("overwrite").option(
-        "partitionOverwriteMode", "static" if whole else "dynamic"
+    rows = models.int_by_facility_range(models.stg_cems_daily(raw), counts)
+    written = Observation()
+    # At most a number per month.
+    dated = rows.withColumns({"year": F.year("date"), "month": F.month("date")}).observe(
+        written, F.collect_set(F.col("year") * 100 + F.col("month")).alias("months")
+    )
+    dated.hint("rebalance", *[F.col(c) for c in keys]).write.partitionBy(*keys).mode("overwrite").option(
+        "partitionOverwriteMode", "static" if months is None else "dynamic"
     ).parquet(path)
+    for year, month in months or []:
+        if year * 100 + month not in written.get["months"]:
+            delete_path(spark, f"{path}/year={year}/month={month}")

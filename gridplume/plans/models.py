@@ -6,49 +6,76 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridplume.functions import numbers
 from gridplume.functions.fuels import fuel_category
 from gridplume.schemas import MEASURES, MONTH_KEYS, TOTALS
-from gridplume.session import delete_path, glob_paths
 
 _TOTAL_NAMES = [f"total_{m}" for m in TOTALS]
 
+# The staging and the intermediate model as SQL expressions, for the DataFrame models and for the lasting views.
+REQUIRED = "date is not null and state is not null"
+STG_COLUMNS = ["state", "facility_name", "facility_id", "unit_id", "date", "primary_fuel", "unit_type", *MEASURES]
+STAGED = {"date": "cast(date as date)", **{m: f"coalesce({m}, 0.0D)" for m in MEASURES}}
+INT_KEYS = ["state", "date", "primary_fuel"]
+INT_SUMS = {"facility_count": "count(distinct facility_id)", **{f"total_{m}": f"sum({m})" for m in TOTALS}}
+
 
 def cast_facility_id(raw: DataFrame) -> DataFrame:
     return raw.withColumn("facility_id", numbers.to_id(F.col("facility_id")))
 
 
 def cast_date(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("date", F.col("date").cast("date"))
+    return raw.withColumn("date", F.expr(STAGED["date"]))
 
 
 def coalesce_zero(raw: DataFrame) -> DataFrame:
-    return raw.withColumns({m: numbers.zero_if_null(F.col(m)) for m in MEASURES})
+    return raw.withColumns({m: F.expr(STAGED[m]) for m in MEASURES})
 
 
 def required_filter(raw: DataFrame) -> DataFrame:
     """Rows with a date and a state. Rows without facility or unit stay, for the data tests to find."""
-    return raw.where(F.col("date").isNotNull() & F.col("state").isNotNull())
+    return raw.where(REQUIRED)
 
 
 def stg_cems_daily(raw: DataFrame) -> DataFrame:
     """Raw daily rows, typed and cleaned."""
     cleaned = coalesce_zero(cast_date(cast_facility_id(required_filter(raw))))
     stamp = [c for c in ["ingested_at"] if c in raw.columns]
-    columns = ["state", "facility_name", "facility_id", "unit_id", "date", "primary_fuel", "unit_type"]
-    return cleaned.select(*columns, *MEASURES, *stamp)
+    return cleaned.select(*STG_COLUMNS, *stamp)
 
 
-def int_cems_aggregated(stg: DataFrame, extra: list[Column] = ()) -> DataFrame:
+def int_cems_aggregated(stg: DataFrame) -> DataFrame:
     """Totals and distinct facilities by state, date and fuel text.
 
     Spark groups by (state, date, fuel, facility) first, with partial sums on the map side, and counts
     facilities after that: neither a large state-day nor a large facility reaches a task as raw rows.
     """
-    sums = [F.sum(m).alias(f"total_{m}") for m in TOTALS]
-    facilities = F.count_distinct("facility_id").alias("facility_count")
-    return stg.groupBy("state", "date", "primary_fuel").agg(facilities, *sums, *extra)
+    return stg.groupBy(*INT_KEYS).agg(*[F.expr(sql).alias(c) for c, sql in INT_SUMS.items()])
+
+
+def int_by_facility_range(stg: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+    """The intermediate rows parted by ranges of 32,768 facility numbers, each with the set of its facilities as a
+    bitmap of 4 KB (``facilities``, ``facility_range``).
+
+    Ranges share no facility. So ``facility_count`` adds up over ranges to that of ``int_cems_aggregated``, and bitmaps
+    of a range that are united count each facility once, over whatever dates and fuels: see ``exact_facilities``. The
+    facility itself is no key any more: a state-day is a row per task when it moves.
+    """
+    ranged = stg.withColumns({
+        "facility_range": F.bitmap_bucket_number("facility_id"), "_position": F.bitmap_bit_position("facility_id"),
+    })
+    sums = [F.expr(sql).alias(c) for c, sql in INT_SUMS.items() if c != "facility_count"]
+    rows = ranged.groupBy(*INT_KEYS, "facility_range").agg(F.bitmap_construct_agg("_position").alias("facilities"), *sums, *extra)
+    return rows.withColumn("facility_count", F.coalesce(F.bitmap_count("facilities"), F.lit(0)).cast("bigint"))
+
+
+def exact_facilities(ranges: DataFrame, keys: Sequence[str], name: str = "facility_count_exact") -> DataFrame:
+    """Extension: facilities per ``keys``, each counted once, from rows of ``int_by_facility_range``. Rows without a
+    facility form groups and count none."""
+    united = ranges.groupBy(*keys, "facility_range").agg(F.bitmap_count(F.bitmap_or_agg("facilities")).alias("n"))
+    return united.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("facility_range").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias(name))
 
 
 def _mart(int_rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,7 +95,8 @@ def mart_emissions_by_fuel(int_rows: DataFrame) -> DataFrame:
 
 
 def facility_count_exact(stg: DataFrame) -> DataFrame:
-    """Extension: facilities per date and state, each counted once."""
+    """Extension: facilities per date and state, each counted once, from staged rows. Where intermediate rows are stored,
+    ``exact_facilities`` counts from them."""
     return stg.groupBy("date", "state").agg(F.count_distinct("facility_id").alias("facility_count_exact"))
 
 
@@ -82,6 +110,24 @@ MODELS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 MARTS = ["mart_emissions_over_time", "mart_emissions_by_fuel"]
 
 
+def mart_schemas() -> dict[str, T.StructType]:
+    """The columns of the marts as stored, without the month keys."""
+    totals = [T.StructField(c, T.DoubleType()) for c in _TOTAL_NAMES] + [T.StructField("facility_count", T.LongType())]
+    keys = [T.StructField("date", T.DateType()), T.StructField("state", T.StringType())]
+    return {
+        "mart_emissions_over_time": T.StructType(keys + totals),
+        "mart_emissions_by_fuel": T.StructType([*keys, T.StructField("fuel_category", T.StringType()), *totals]),
+    }
+
+
+def intermediate_schema(tests: int) -> T.StructType:
+    """The stored rows of ``int_by_facility_range``, with the failing rows of so many staging tests and the month keys."""
+    columns = {"state": T.StringType(), "date": T.DateType(), "primary_fuel": T.StringType(), "facility_range": T.LongType()}
+    columns |= {"facilities": T.BinaryType(), **{c: T.DoubleType() for c in _TOTAL_NAMES}}
+    columns |= {**{f"failures_{i}": T.LongType() for i in range(tests)}, "facility_count": T.LongType()}
+    return T.StructType([*(T.StructField(c, t) for c, t in columns.items()), *MONTH_KEYS.fields])
+
+
 def source_ref(name: str, known: dict[str, DataFrame]) -> DataFrame:
     """A model by name, built on what ``known`` holds: the raw rows, or any model already at hand."""
     if name in known:
@@ -101,18 +147,17 @@ def model_views(spark: SparkSession, raw: DataFrame) -> None:
 
 def layer_views(spark: SparkSession, raw_path: str, schema: str) -> None:
     """Staging and intermediate models as lasting views over the stored raw table, each layer in a schema of its own:
-    ``<schema>_staging.stg_cems_daily`` and ``<schema>_intermediate.int_cems_aggregated``."""
-    zeros = ", ".join(f"coalesce({m}, 0.0) as {m}" for m in MEASURES)
-    totals = ", ".join(f"sum({m}) as total_{m}" for m in TOTALS)
+    ``<schema>_staging.stg_cems_daily`` and ``<schema>_intermediate.int_cems_aggregated``.
+
+    A lasting view is SQL text; the text is that of the columns from which the models themselves are built.
+    """
     stg, aggregated = f"{schema}_staging.stg_cems_daily", f"{schema}_intermediate.int_cems_aggregated"
     for name in (stg, aggregated):
         spark.sql(f"create database if not exists {name.split('.')[0]}")
-    spark.sql(f"""create or replace view {stg} as
-        select state, facility_name, facility_id, unit_id, cast(date as date) as date, primary_fuel, unit_type, {zeros}, ingested_at
-        from parquet.`{raw_path}` where date is not null and state is not null""")
-    spark.sql(f"""create or replace view {aggregated} as
-        select state, date, primary_fuel, count(distinct facility_id) as facility_count, {totals}
-        from {stg} group by state, date, primary_fuel""")
+    columns = ", ".join(f"{STAGED.get(c, c)} as {c}" for c in [*STG_COLUMNS, "ingested_at"])
+    spark.sql(f"create or replace view {stg} as select {columns} from parquet.`{raw_path}` where {REQUIRED}")
+    keys, sums = ", ".join(INT_KEYS), ", ".join(f"{sql} as {c}" for c, sql in INT_SUMS.items())
+    spark.sql(f"create or replace view {aggregated} as select {keys}, {sums} from {stg} group by {keys}")
 
 
 def stage_mart(mart: DataFrame, path: str) -> DataFrame:
@@ -123,61 +168,6 @@ def stage_mart(mart: DataFrame, path: str) -> DataFrame:
     return mart.sparkSession.read.schema(dated.schema).parquet(path)
 
 
-def swap_months(staged: DataFrame, name: str, root: str, path: str, whole: bool, months: Sequence[tuple[int, int]] = ()) -> None:
-    """Point a mart's months to the folders of a version below ``root``; of the others only the catalog knows, and they
-    stay.
-
-    No row moves and the table is never missing. With ``whole`` the version holds all months; else those of ``months``
-    that it lacks have no rows any more.
-    """
-    spark = staged.sparkSession
-    known = _create_by_month(staged, name, f"{root}/table")
-    # At most a row per month.
-    held = {tuple(r) for r in staged.select(*MONTH_KEYS.names).distinct().collect()}
-    folder = f"{path}/year={{0}}/month={{1}}"
-    for month in sorted(held):
-        spec, place = _spec(*month), folder.format(*month)
-        change = f"partition ({spec}) set location" if month in known else f"add partition ({spec}) location"
-        spark.sql(f"alter table {name} {change} '{place}'")
-    for month in (known if whole else known & set(months)) - held:
-        spark.sql(f"alter table {name} drop partition ({_spec(*month)})")
-    spark.catalog.refreshTable(name)
-
-
-def drop_unused(spark: SparkSession, name: str, root: str) -> None:
-    """Delete the versions' month folders that no month of the mart points to. Readers of older versions must be
-    done."""
-    used = set()
-    for month in _months_of(spark, name):
-        rows = spark.sql(f"describe formatted {name} partition ({_spec(*month)})").where("col_name = 'Location'")
-        used.add(rows.first()["data_type"].split("/version=")[-1])
-    for place in glob_paths(spark, f"{root}/version=*/year=*/month=*"):
-        if place.split("/version=")[-1] not in used:
-            delete_path(spark, place)
-
-
-def _spec(year: int, month: int) -> str:
-    return f"year={year}, month={month}"
-
-
-def _months_of(spark: SparkSession, name: str) -> set[tuple[int, int]]:
-    return {tuple(int(part.split("=")[1]) for part in r[0].split("/")) for r in spark.sql(f"show partitions {name}").collect()}
-
-
-def _create_by_month(staged: DataFrame, name: str, path: str) -> set[tuple[int, int]]:
-    """Make sure that the mart is a table by month; returns the months it has."""
-    spark = staged.sparkSession
-    spark.sql(f"create database if not exists {name.rsplit('.', 1)[0]}")
-    if spark.catalog.tableExists(name):
-        by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        if by == MONTH_KEYS.names and spark.table(name).columns == staged.columns:
-            return _months_of(spark, name)
-        spark.sql(f"drop table {name}")
-    columns = ", ".join(f"{c} {t}" for c, t in staged.dtypes)
-    spark.sql(f"create table {name} ({columns}) using parquet partitioned by ({', '.join(MONTH_KEYS.names)}) location '{path}'")
-    return set()
-
-
 def model_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """A mart as a table, rebuilt whole; in the catalog's own folder, or in ``path``."""
     if "." in name:

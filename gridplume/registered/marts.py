@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridplume.functions.fuels import fuel_category as category
-from gridplume.plans import models, tiles
+from gridplume.plans import flows, models, tiles
 from gridplume.registered import common as c
 from gridplume.schemas import MEASURES
 from gridplume.session import as_written, work_path
@@ -89,8 +89,33 @@ def int_cems_aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _totals(_model("int_cems_aggregated", spark, sf_dir))
 
 
+def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored intermediate rows, by ranges of facilities."""
+    place = work_path(spark, "intermediate")
+    flows.store_intermediate(c.cems_daily(spark, sf_dir), place)
+    return spark.read.parquet(place)
+
+
 def facility_count_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.facility_count_exact(stg(spark, sf_dir))
+    """From the stored intermediate rows alone."""
+    return models.exact_facilities(_ranges(spark, sf_dir), ["date", "state"])
+
+
+def facility_count_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities per month, state and fuel category, from the same rows: their sets are united, not their counts added."""
+    rows = _ranges(spark, sf_dir).withColumn("fuel_category", category(F.col("primary_fuel")))
+    return models.exact_facilities(rows, ["year", "month", "state", "fuel_category"])
+
+
+def facility_count_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities per state that burned gas or coal between two dates, each counted once."""
+    rows = tiles.date_range_filter(_ranges(spark, sf_dir), _FIRST, _LAST)
+    return models.exact_facilities(rows.where(category(F.col("primary_fuel")).isin("Natural Gas", "Coal")), ["state"])
+
+
+def intermediate_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored intermediate rows, added up over the ranges of facilities: the model itself."""
+    return _totals(_ranges(spark, sf_dir).groupBy(*models.INT_KEYS).agg(*[F.sum(n).alias(n) for n in models.INT_SUMS]))
 
 
 def source_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +142,9 @@ QUERIES = {
     "mart_emissions_over_time": lambda s, d: _totals(over_time(s, d)),
     "mart_emissions_by_fuel": lambda s, d: _totals(by_fuel(s, d)),
     "facility_count_exact": facility_count_exact,
+    "facility_count_by_month": facility_count_by_month,
+    "facility_count_in_range": facility_count_in_range,
+    "intermediate_stored": intermediate_stored,
     "date_range_filter": lambda s, d: _totals(tiles.date_range_filter(over_time(s, d), _FIRST, _LAST)),
     "year_of_date": lambda s, d: tiles.year_of_date(over_time(s, d)).groupBy("year").agg(F.count(F.lit(1)).alias("n")),
     "tile_daily_generation": lambda s, d: _totals(tiles.daily_generation(over_time(s, d))),
@@ -155,6 +183,11 @@ ORACLE = {
     "mart_emissions_by_fuel": c.sql_round_all(c.BY_FUEL_SQL, c.SQL_TOTALS),
     "facility_count_exact": f"""select date, state, count(distinct facility_id) as facility_count_exact
       from ({c.STG_SQL}) group by date, state""",
+    "facility_count_by_month": f"""select cast(year(date) as int) as year, cast(month(date) as int) as month, state, {c.CATEGORY_SQL} as fuel_category,
+      count(distinct facility_id) as facility_count_exact from ({c.STG_SQL}) group by all""",
+    "facility_count_in_range": f"""select state, count(distinct facility_id) as facility_count_exact from ({c.STG_SQL})
+      where {_range} and {c.CATEGORY_SQL} in ('Natural Gas', 'Coal') group by state""",
+    "intermediate_stored": c.sql_round_all(c.INT_SQL, c.SQL_TOTALS),
     "date_range_filter": c.sql_round_all(f"select * from ({c.OVER_TIME_SQL}) where {_range}", c.SQL_TOTALS),
     "year_of_date": f"select cast(year(date) as int) as year, count(*) as n from ({c.OVER_TIME_SQL}) group by 1",
     "tile_daily_generation": f"select date, {_gen} from ({c.OVER_TIME_SQL}) group by date",

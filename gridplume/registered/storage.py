@@ -61,7 +61,7 @@ def _two_loads(spark: SparkSession, sf_dir: str, second_load) -> str:
     root, table = _lake(spark, rows.where("ver = 1")), work_path(spark, "raw")
     lake.load_truncate(lake.raw_scan_all(spark, root), table)
     lake.lake_write(rows.where("ver = 2"), root)
-    second_load(lake.raw_scan_months(spark, root, _RECENT), table)
+    second_load(lake.raw_scan_months(spark, root, _RECENT), table, lake.stored_bytes(spark, root, _RECENT))
     return table
 
 
@@ -74,9 +74,9 @@ def load_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and states per month of the laid-out table."""
+    """Rows and states per month of the laid-out table, its files planned from the lake's bytes."""
     root, table = _lake(spark, c.cems_daily(spark, sf_dir)), work_path(spark, "raw")
-    lake.load_truncate(lake.raw_scan_all(spark, root), table)
+    lake.load_truncate(lake.raw_scan_all(spark, root), table, lake.stored_bytes(spark, root))
     return lake.raw_table(spark, table).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("state").alias("states")
     )

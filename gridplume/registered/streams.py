@@ -14,6 +14,7 @@ from gridplume.schemas import MEASURES, SOURCE_FIELDS
 from gridplume.session import work_path
 from gridplume.sources import lake
 from gridplume.sources.ledger import read_ledger
+from gridplume.streaming import routed
 from gridplume.streaming.daily import daily_state, daily_stream
 from gridplume.streaming.snapshots import snapshot_stream
 
@@ -31,7 +32,7 @@ def _land_two(spark: SparkSession, sf_dir: str, root: str):
 
 
 def _places(spark: SparkSession) -> flows.Places:
-    return flows.Places.below(work_path(spark, "run"), "default")
+    return flows.Places.below(work_path(spark, "run"), "query_marts")
 
 
 def _states(spark: SparkSession) -> list[str]:
@@ -58,6 +59,43 @@ def snapshot_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.rounded(rows, *MEASURES)
 
 
+def stream_to_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each landing is followed by a run of the stream, which refreshes the marts; they then hold the newest snapshots."""
+    places, checkpoint = _places(spark), work_path(spark, "checkpoint")
+    for _ in _land_two(spark, sf_dir, places.landing):
+        snapshot_stream(spark, places, checkpoint, c.RUN_TS, models=True).awaitTermination()
+    return c.rounded(flows.read_marts(spark, places)["mart_emissions_by_fuel"].drop("year", "month"), *c.TOTAL_NAMES)
+
+
+def late_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings land in two parts, the days from the 20th on before the others; readings of some facilities have no date
+    that is one, and ten days of lateness are accepted. How many went where, and the late ones by day."""
+    landing, root, checkpoint = (work_path(spark, n) for n in ["landing", "routed", "checkpoint"])
+    date_text = F.when(F.col("facilityId") % 50 == 0, F.lit("no date")).otherwise(F.col("date"))
+    readings = c.cems_hourly(spark, sf_dir)
+    for part in [F.col("date") >= "2024-01-20", F.col("date") < "2024-01-20"]:
+        readings.where(part).withColumn("date", date_text).write.mode("append").json(landing)
+        routed.run_daily(spark, landing, root, checkpoint, lateness_days=10)
+    tally = routed.batches(spark, root).select(F.explode(F.array(*[
+        F.struct(F.lit(v).alias("verdict"), F.lit(None).cast("date").alias("date"), F.col(v).alias("readings")) for v in routed.VERDICTS
+    ])).alias("t")).groupBy("t.verdict", "t.date").agg(F.sum("t.readings").alias("readings"), F.lit(None).cast("double").alias("gross_load_mw"))
+    days = routed.aside(spark, root, "late").groupBy(F.lit("late").alias("verdict"), "date")
+    late = days.agg(F.count(F.lit(1)).alias("readings"), F.sum("gross_load_mw").alias("gross_load_mw"))
+    return c.rounded(tally.unionByName(late), "gross_load_mw")
+
+
+def routed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily rows of a routed stream, with the late readings added to those that were in time."""
+    landing, root, checkpoint = (work_path(spark, n) for n in ["landing", "routed", "checkpoint"])
+    readings = c.cems_hourly(spark, sf_dir)
+    for part in [F.col("date") >= "2024-01-20", F.col("date") < "2024-01-20"]:
+        readings.where(part).write.mode("append").json(landing)
+        routed.run_daily(spark, landing, root, checkpoint, lateness_days=10)
+        routed.compact(spark, root)
+    rows = routed.daily_rows(spark, root, with_late=True).withColumn("facility_id", F.col("facility_id").cast("bigint"))
+    return c.rounded(rows, *MEASURES)
+
+
 def historical_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two months for all nations: January has landed, February has not."""
     places = _places(spark)
@@ -105,6 +143,9 @@ QUERIES = {
     "misplaced_rows": misplaced_rows,
     "daily_stream": daily_stream_query,
     "snapshot_stream": snapshot_stream_query,
+    "stream_to_marts": stream_to_marts,
+    "late_readings": late_readings,
+    "routed_stream": routed_stream,
     "historical_backfill": historical_backfill,
     "daily_refresh": daily_refresh,
 }
@@ -129,5 +170,19 @@ ORACLE = {
     "historical_backfill": f"""select (select count(*) * 2 from nation) as total, 0 as already_done,
       (select count(*) * 2 from nation) as remaining, count(distinct state) as succeeded, 0 as empty,
       (select count(*) * 2 from nation) - count(distinct state) as failed, count(*) as "rows" from ({c.ROLLED_SQL})""",
+    "stream_to_marts": c.sql_round_all(c.sql_by_fuel(c.sql_int(c.sql_stg(_newest_daily))), c.SQL_TOTALS),
+    "late_readings": f"""with judged as (
+        select *, case when try_cast(facilityId as bigint) % 50 = 0 then 'rejected'
+          when date < (select cast(cast(max(cast(date as date)) as date) - 10 as varchar) from ({c.HOURLY_SQL})
+            where date >= '2024-01-20' and try_cast(facilityId as bigint) % 50 <> 0) and date < '2024-01-20' then 'late'
+          else 'accepted' end as verdict
+        from ({c.HOURLY_SQL}))
+      select verdict, cast(null as date) as date, count(*) as readings, cast(null as double) as gross_load_mw
+      from judged group by verdict
+      union all
+      select verdict, cast(date as date), count(*),
+        round(sum(case when isnan(try_cast(grossLoad as double)) then null else try_cast(grossLoad as double) end), 4) + 0.0
+      from judged where verdict = 'late' group by verdict, date""",
+    "routed_stream": c.sql_round_all(c.ROLLED_SQL, c.SQL_MEASURES),
     "daily_refresh": c.sql_round_all(c.sql_by_fuel(c.sql_int(c.sql_stg(_newest_daily))), c.SQL_TOTALS),
 }

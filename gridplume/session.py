@@ -110,6 +110,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder in one step; False, and nothing is changed, if ``to`` is there already."""
+    return not path_exists(spark, to) and _file_system(spark, path).rename(_hadoop_path(spark, path), _hadoop_path(spark, to))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 

@@ -6,17 +6,19 @@ import re
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridplume.operators.joins import semi_join
 from gridplume.schemas import CHUNK, DAILY, MONTH_KEYS, RAW
+from gridplume.session import as_written, path_exists
 
 _CLUSTER = ["state", "facility_id", "date"]
 _LAKE = T.StructType([*RAW.fields, T.StructField("stateless", T.BooleanType())])
-# Bytes of a stored row, about; for the number of files.
+# Bytes of a stored row, about, where no file tells.
 _ROW_BYTES = 64
+_SIZES = "state string, year int, month int, bytes bigint"
 
 
 def lake_write(daily: DataFrame, root: str) -> None:
@@ -89,18 +91,63 @@ def in_range(df: DataFrame, first: date | None, last: date | None) -> DataFrame:
     return df
 
 
-def raw_layout(rows: DataFrame) -> DataFrame:
+def stored_bytes(spark: SparkSession, root: str, months: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+    """(state, year, month, bytes) of the lake's files, or of those of some months. Lists; reads no content."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], _SIZES)
+    files = spark.read.format("binaryFile").load(root)
+    if months is not None:
+        files = files.where(month_predicate(months))
+    return files.groupBy(F.col("state").cast("string").alias("state"), "year", "month").agg(F.sum("length").alias("bytes"))
+
+
+def file_plan(sizes: DataFrame, file_bytes: int) -> DataFrame:
+    """(state, year, month, first, files): which files of ``file_bytes``, about, the rows of a chunk go to.
+
+    A month's files are filled state by state in order, so a state that is larger than a file spans several and small
+    ones share one. The row without a state stands for rows that name none: they are dealt to all files of their month.
+    The plan has a row per chunk.
+    """
+    along = Window.partitionBy("year", "month").orderBy(F.col("state").asc_nulls_first())
+    end = F.sum("bytes").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    known = sizes.where("state is not null and bytes > 0")
+    spans = known.withColumn("end", end).select(
+        *CHUNK, F.floor((F.col("end") - F.col("bytes")) / file_bytes).alias("low"), F.floor((F.col("end") - 1) / file_bytes).alias("high")
+    )
+    months = sizes.select("year", "month").distinct().join(spans.groupBy("year", "month").agg((F.max("high") + 1).alias("files")), ["year", "month"], "left")
+    # One row per month.
+    before = Window.orderBy("year", "month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.withColumn("files", F.coalesce("files", F.lit(1)).cast("int"))
+    months = months.withColumn("first", F.coalesce(F.sum("files").over(before), F.lit(0)).cast("int"))
+    stated = spans.join(months.select("year", "month", "first"), ["year", "month"]).select(
+        *CHUNK, (F.col("first") + F.col("low")).cast("int").alias("first"), (F.col("high") - F.col("low") + 1).cast("int").alias("files")
+    )
+    return stated.unionByName(months.select(F.lit(None).cast("string").alias("state"), "year", "month", "first", "files"))
+
+
+def raw_layout(rows: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Rows in the raw table's layout: by month, and in each month by state, facility and date.
 
-    Rows are dealt by ranges of these columns, into as many tasks as files of the advisory size are needed: a month of
-    many files has few states in each, a large state spans several, and a reader skips files and row groups by their
-    minimum and maximum.
+    ``sizes``, as ``stored_bytes`` lists them, tells without a look at the rows into how many files a month goes, and
+    which states each holds: a month of many files has few states in each, a large state spans several, and a reader
+    skips files and row groups by their minimum and maximum. All runs name the sizes; rows that come from no files are
+    counted, and dealt by ranges of the same columns.
     """
-    months = MONTH_KEYS.names
-    size = rows.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = max(1, -(-rows.count() * _ROW_BYTES // _bytes(size)))
-    ordered = rows.select(*DAILY.names, *months).repartitionByRange(files, *months, *_CLUSTER, "unit_id")
-    return ordered.sortWithinPartitions(*months, *_CLUSTER)
+    months, order = MONTH_KEYS.names, [*MONTH_KEYS.names, *_CLUSTER]
+    wanted = rows.select(*DAILY.names, *months)
+    advisory = _bytes(rows.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    if sizes is None:
+        files = max(1, -(-rows.count() * _ROW_BYTES // advisory))
+        return wanted.repartitionByRange(files, *order, "unit_id").sortWithinPartitions(*order)
+    plan = as_written(file_plan(sizes, advisory), "files")
+    count = plan.agg(F.max(F.col("first") + F.col("files"))).first()[0] or 1
+    places = plan.select(*[F.col(c).alias(f"_{c}") for c in plan.columns])
+    same = (F.col("year") == F.col("_year")) & (F.col("month") == F.col("_month")) & F.col("state").eqNullSafe(F.col("_state"))
+    spread = F.pmod(F.xxhash64("facility_id", "unit_id", "date"), F.coalesce("_files", F.lit(1)))
+    # A chunk that the sizes don't know goes to any file.
+    file = F.coalesce(F.col("_first") + spread, F.pmod(F.xxhash64(*CHUNK), F.lit(count))).cast("int")
+    placed = wanted.join(places, same, "left").select(*wanted.columns, file.alias("_file"))
+    return placed.repartitionById(count, F.col("_file")).drop("_file").sortWithinPartitions(*order)
 
 
 def _bytes(size: str) -> int:
@@ -113,28 +160,28 @@ def raw_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
 
 
-def load_truncate(lake_rows: DataFrame, table: str) -> int:
-    """Replace the whole raw table. Returns the rows written, as the other loads do."""
-    return _load(lake_rows, table, "overwrite", "static")
+def load_truncate(lake_rows: DataFrame, table: str, sizes: DataFrame | None = None) -> int:
+    """Replace the whole raw table. Returns the rows written, as the other loads do. ``sizes``: see ``raw_layout``."""
+    return _load(lake_rows, table, "overwrite", "static", sizes)
 
 
-def load_append(lake_rows: DataFrame, table: str) -> int:
+def load_append(lake_rows: DataFrame, table: str, sizes: DataFrame | None = None) -> int:
     """Add rows to the raw table. Loading a month twice doubles it; see ``load_replace``."""
-    return _load(lake_rows, table, "append", "static")
+    return _load(lake_rows, table, "append", "static", sizes)
 
 
-def load_replace(lake_rows: DataFrame, table: str) -> int:
+def load_replace(lake_rows: DataFrame, table: str, sizes: DataFrame | None = None) -> int:
     """Replace the months that ``lake_rows`` holds and keep all others.
 
     ``lake_rows`` must hold those months whole and must come from the lake, never from the table that is
     being replaced. A month without rows in the lake keeps what the table has.
     """
-    return _load(lake_rows, table, "overwrite", "dynamic")
+    return _load(lake_rows, table, "overwrite", "dynamic", sizes)
 
 
-def _load(lake_rows: DataFrame, table: str, mode: str, overwrite: str) -> int:
+def _load(lake_rows: DataFrame, table: str, mode: str, overwrite: str, sizes: DataFrame | None) -> int:
     written = Observation()
-    rows = raw_layout(lake_rows).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows = raw_layout(lake_rows, sizes).observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.partitionBy(*MONTH_KEYS.names).mode(mode).option("partitionOverwriteMode", overwrite).parquet(table)
     return written.get["rows"]
 

@@ -8,9 +8,13 @@ belong to the month of their date.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from datetime import date
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +37,11 @@ _FOLDERS = T.StructType(
     ]
 )
 _FILE = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
+# What a stream of files tells; only the columns that are asked for are read.
+_EVENT = T.StructType([
+    _FILE["path"], T.StructField("modificationTime", T.TimestampType()), _FILE["length"], T.StructField("content", T.BinaryType()),
+    *_FOLDERS.fields,
+])
 # Where a JSON reader leaves the text of a record that it cannot read.
 _BROKEN = T.StructField("_corrupt_record", T.StringType())
 
@@ -47,10 +56,20 @@ def landing_schema(broken: bool = False) -> T.StructType:
 
 def month_folders(spark: SparkSession, root: str, months: Iterable[tuple[int, int]]) -> list[str]:
     """The landing folders of some months, all states. Nothing of other years is listed."""
+    return _folders(spark, root, {month: "*" for month in months})
+
+
+def chunk_folders(spark: SparkSession, root: str, chunks: DataFrame) -> list[str]:
+    """The landing folders of some (state, year, month); one look at the store for each month."""
+    states = chunks.groupBy("year", "month").agg(F.array_sort(F.collect_set("state")).alias("states"))
+    return _folders(spark, root, {(r.year, r.month): f"{{{','.join(r.states)}}}" for r in states.orderBy("year", "month").collect()})
+
+
+def _folders(spark: SparkSession, root: str, states: dict[tuple[int, int], str]) -> list[str]:
     found = []
-    for year, month in months:
+    for (year, month), state in states.items():
         spellings = ",".join(sorted({str(month), f"{month:02d}"}))
-        found += glob_paths(spark, f"{root}/state=*/year={year}/month={{{spellings}}}")
+        found += glob_paths(spark, f"{root}/state={state}/year={year}/month={{{spellings}}}")
     return found
 
 
@@ -133,11 +152,9 @@ def read_landing(
     return reader.schema(landing_schema(broken)).json(paths)
 
 
-def touched_chunks(reader: DataStreamReader, root: str, fmt: str) -> DataFrame:
-    """(state, year, month) of what landed, a row or more for each file, whatever it holds."""
-    if fmt == "parquet":
-        return read_landing(reader, root, fmt).select(*CHUNK)
-    return reader.schema(T.StructType([T.StructField("value", T.StringType()), *_FOLDERS.fields])).text(root).select(*CHUNK)
+def touched_chunks(reader: DataStreamReader, root: str) -> DataFrame:
+    """(state, year, month) of what landed, a row for each file, whatever it holds. Lists; reads no content."""
+    return reader.format("binaryFile").schema(_EVENT).load(root).select(*CHUNK)
 
 
 def _array_rows(spark: SparkSession, root: str, chosen, audited: bool, folders: Sequence[str] | None) -> DataFrame:
@@ -165,24 +182,36 @@ def _array_rows(spark: SparkSession, root: str, chosen, audited: bool, folders:
         F.count_if(broken | (~F.col("is_record") & ~F.col("closes") & (F.col("text") != ""))).alias("odd"),
     )
     whole = (F.col("opens") == 1) & (F.col("closes") == 1)
-    doubtful = judged.where(~whole | (F.col("odd") > 0)).select("file", *_FOLDERS.names, whole.alias("whole")).collect()
-    cut = [r for r in doubtful if not r["whole"]]
-    nested = [r["file"] for r in doubtful if r["whole"]]
-    if cut and not audited:
-        raise CorruptRecords(f"not a whole JSON array: {', '.join(sorted(r['file'] for r in cut)[:10])}")
+    doubtful = judged.where(~whole | (F.col("odd") > 0)).select("file", *_FOLDERS.names, whole.alias("whole"))
+    doubtful = as_written(doubtful, "doubtful")
+    cut, nested = doubtful.where("not whole"), doubtful.where("whole")
+    if not audited:
+        names = [r["file"] for r in cut.orderBy("file").limit(10).collect()]
+        if names:
+            raise CorruptRecords(f"not a whole JSON array: {', '.join(names)}")
     rows = marked.where("is_record").withColumn("corrupt", F.lit(False))
-    if doubtful:
-        rows = rows.where(~F.col("file").isin([r["file"] for r in doubtful]))
+    if not doubtful.isEmpty():
+        rows = semi_join(rows, doubtful, ["file"], anti=True)
     rows = rows.select("record.*", *_FOLDERS.names, "corrupt").drop(_BROKEN.name)
-    if nested:
-        reader = spark.read.option("basePath", root).option("multiLine", True)
-        decoded = (reader if audited else reader.option("mode", "FAILFAST")).schema(landing_schema(audited)).json(nested)
-        corrupt = F.col(_BROKEN.name).isNotNull() if audited else F.lit(False)
-        rows = rows.unionByName(decoded.select(*HOURLY.names, *_FOLDERS.names, corrupt.alias("corrupt")))
-    if cut:
-        marks = spark.createDataFrame([(*[r[k] for k in _FOLDERS.names], True) for r in cut], T.StructType([*_FOLDERS.fields, T.StructField("corrupt", T.BooleanType())]))
-        rows = rows.unionByName(marks, allowMissingColumns=True)
-    return rows
+    marks = cut.select(*_FOLDERS.names, F.lit(True).alias("corrupt"))
+    rows = rows.unionByName(marks, allowMissingColumns=True)
+    return rows if nested.isEmpty() else rows.unionByName(_whole_arrays(spark, root, nested, audited, folders))
+
+
+def _whole_arrays(spark: SparkSession, root: str, files: DataFrame, audited: bool, folders: Sequence[str] | None) -> DataFrame:
+    """The readings of some files with JSON arrays, each decoded whole. Only the folders of such files are read."""
+    texts = spark.read.option("basePath", root).text(list(folders) if folders else root, wholetext=True)
+    texts = texts.select("value", *_folder_columns(texts), F.col("_metadata.file_path").alias("file"))
+    keys = [k for k in CHUNK if k in texts.columns]
+    texts = semi_join(semi_join(texts, files, keys, null_keys=keys), files, ["file"])
+    found = texts.select(*_FOLDERS.names, F.from_json(F.regexp_replace("value", r"^\uFEFF", ""), T.ArrayType(HOURLY)).alias("records"))
+    broken = F.col("records").isNull()
+    if not audited:
+        # A text that is no array fails the job, as it does where records are read one by one.
+        broken = F.when(broken, F.raise_error(F.lit("not a JSON array"))).otherwise(F.lit(False))
+    records = F.when(broken, F.array(F.lit(None).cast(HOURLY))).otherwise(F.col("records"))
+    rows = found.select(*_FOLDERS.names, broken.alias("corrupt"), F.explode(records).alias("record"))
+    return rows.select("record.*", *_FOLDERS.names, "corrupt")
 
 
 def missing_fields(
@@ -195,7 +224,7 @@ def missing_fields(
 
 def _missing(spark: SparkSession, root: str, fmt: str, chosen, folders: Sequence[str] | None) -> DataFrame:
     if fmt == "parquet":
-        return _missing_columns(spark, root, chosen(landed_files(spark, root, folders)))
+        return _absent(_named_columns(spark, as_written(chosen(landed_files(spark, root, folders)), "files")))
     paths = list(folders) if folders else root
     text = spark.read.option("basePath", root).option("lineSep", "}" if fmt == "json_array" else "\n").text(paths)
     text = chosen(text.select(*_folder_columns(text), "value"))
@@ -212,6 +241,11 @@ def _missing(spark: SparkSession, root: str, fmt: str, chosen, folders: Sequence
             whole = semi_join(chosen(whole.select(*_folder_columns(whole), "value")), odd, CHUNK)
             decoded = whole.select(*CHUNK, F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"))
             records = records.where("keys is not null").unionByName(decoded.select(*CHUNK, F.map_keys("record").alias("keys")))
+    return _absent(records)
+
+
+def _absent(records: DataFrame) -> DataFrame:
+    """(state, year, month, field) of the source fields that no row of a chunk has among its ``keys``."""
     seen = records.groupBy(*CHUNK).agg(
         *[F.bool_or(F.array_contains("keys", field)).alias(f"has_{field}") for field in SOURCE_FIELDS]
     )
@@ -219,13 +253,30 @@ def _missing(spark: SparkSession, root: str, fmt: str, chosen, folders: Sequence
     return seen.select(*CHUNK, F.explode(F.array_compact(absent)).alias("field"))
 
 
-def _missing_columns(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """As ``_missing``, by the files' schemas. The files of a chunk are looked at together, chunk by chunk."""
-    absent = []
-    for row in files.groupBy(*CHUNK).agg(F.collect_list("path").alias("paths")).collect():
-        named = spark.read.option("mergeSchema", True).parquet(*row["paths"]).columns
-        absent += [(*[row[k] for k in CHUNK], f) for f in SOURCE_FIELDS if f not in named]
-    return spark.createDataFrame(absent, T.StructType([*_FOLDERS.fields[:3], T.StructField("field", T.StringType())]))
+def _named_columns(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(state, year, month, keys): the columns of each Parquet file, from footers that tasks read.
+
+    Of files on a shared file system a task reads the footer only. Other stores are left to Spark's reader, which hands
+    over the content of a file: these are files in which some field has no value at all.
+    """
+    local = files.where(F.col("path").startswith("file:/"))
+    other = files.where(~F.col("path").startswith("file:/"))
+    schema = T.StructType([*_FOLDERS.fields[:3], T.StructField("keys", T.ArrayType(T.StringType()))])
+    named = local.select(*CHUNK, "path").mapInArrow(_footers, schema)
+    if other.isEmpty():
+        return named
+    paths = [r.path for r in other.select("path").collect()]
+    content = spark.read.format("binaryFile").load(paths).join(other.select(*CHUNK, F.col("path").alias("_path")), F.col("path") == F.col("_path"))
+    return named.unionByName(content.select(*CHUNK, "content").mapInArrow(_footers, schema))
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        *keys, source = batch.columns
+        names = [
+            pq.read_schema(pa.BufferReader(s) if isinstance(s, bytes) else url2pathname(urlparse(s).path)).names for s in source.to_pylist()
+        ]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(names, pa.list_(pa.string()))], [*CHUNK, "keys"])
 
 
 def _folder_columns(df: DataFrame) -> list[Column]:

@@ -1,8 +1,9 @@
-"""Incremental hourly-to-daily roll-up of an append-only stream of readings."""
+"""Incremental hourly-to-daily roll-up of an append-only stream of readings, with a watermark: what is later is dropped.
+``routed`` keeps it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,10 +23,12 @@ _UPDATE = T.StructType(
 )
 
 
-def landed_readings(spark: SparkSession, landing: str) -> DataFrame:
-    """The stream of readings, with ``corrupt`` true and no values where a record cannot be read."""
+def landed_readings(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+    """The stream of readings, with ``corrupt`` true and no values where a record cannot be read; at most ``max_files``
+    files in a batch."""
     schema = T.StructType([*HOURLY.fields, T.StructField(_BROKEN, T.StringType())])
-    readings = spark.readStream.schema(schema).json(landing)
+    reader = spark.readStream.schema(schema)
+    readings = (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).json(landing)
     return readings.select(*HOURLY.names, F.col(_BROKEN).isNotNull().alias("corrupt"))
 
 
@@ -62,30 +65,6 @@ def daily_stream(spark: SparkSession, landing: str, updates: str, checkpoint: st
     )
 
 
-def rejected_stream(spark: SparkSession, landing: str, rejected: str, checkpoint: str) -> StreamingQuery:
-    """Start a run that lays the bad readings landed since the last one aside, once each."""
-    marked = shape_hourly(landed_readings(spark, landing), audited=True)
-    return (
-        marked.where("bad").drop("bad", "named").writeStream.format("parquet").option("path", rejected)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-
-
-def run_daily(spark: SparkSession, landing: str, updates: str, rejected: str, checkpoint: str) -> Row:
-    """One run of both streams. Returns (rejected, late): all bad readings laid aside so far, and how many rows this
-    run dropped as too late, so that neither is lost without a word."""
-    rejected_stream(spark, landing, rejected, f"{checkpoint}/rejected").awaitTermination()
-    daily = daily_stream(spark, landing, updates, f"{checkpoint}/daily")
-    daily.awaitTermination()
-    laid = spark.read.parquet(rejected).count() if glob_paths(spark, f"{rejected}/*.parquet") else 0
-    return Row(rejected=laid, late=late_rows(daily))
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that a finished run dropped as too late, counted as its aggregate saw them: combined per task."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
-
-
 def _base(updates: str) -> str:
     return f"{updates.rstrip('/')}-base"
 

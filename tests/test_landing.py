@@ -157,3 +157,57 @@ def test_unknown_format(spark, path):
 
 def test_fields():
     assert len(SOURCE_FIELDS) == 12
+
+
+def test_footers_of_many_chunks_are_read_in_one_pass(spark, path):
+    """The jobs that find missing columns are as many for five hundred chunks as for one."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def jobs(chunks):
+        root = path("landing").removeprefix("file:")
+        for k in range(chunks):
+            place = f"{root}/state=S{k % 50:02d}/year={2016 + k // 50}/month=1/snapshot=1"
+            os.makedirs(place, exist_ok=True)
+            names = [f for f in SOURCE_FIELDS if not (f == "so2Mass" and k % 5 == 0)]
+            pq.write_table(pa.table({f: pa.array([None], pa.string()) for f in names}), f"{place}/a.parquet")
+            if k % 10 == 0:
+                # Another file of the chunk names it.
+                pq.write_table(pa.table({f: pa.array(["1"], pa.string()) for f in SOURCE_FIELDS}), f"{place}/b.parquet")
+        spark.sparkContext.setJobGroup(root, "footers")
+        missing = landing.missing_fields(spark, f"file:{root}", "parquet").collect()
+        ran = len(spark.sparkContext.statusTracker().getJobIdsForGroup(root))
+        spark.sparkContext._jsc.clearJobGroup()
+        return missing, ran
+
+    few, ran_few = jobs(1)
+    many, ran_many = jobs(500)
+    assert few == [] and {r.field for r in many} == {"so2Mass"} and len(many) == 50
+    assert ran_many <= ran_few + 1
+
+
+def test_footers_of_another_store_come_through_sparks_reader(spark, path):
+    from pyspark.sql import functions as F
+
+    root = path("landing")
+    hourly(spark, reading()).drop("noxMass").write.parquet(f"{root}/state=TX/year=2024/month=1")
+    files = landing.landed_files(spark, root)
+    # The same files under a name that the tasks' own file system does not know.
+    viewed = files.withColumn("path", F.regexp_replace("path", "^file:/+", "FILE:///"))
+    assert not viewed.where("path like 'file:%'").count()
+    names = landing._named_columns(spark, viewed.withColumn("path", F.regexp_replace("path", "^FILE:", "file:")))
+    assert "noxMass" not in names.first()["keys"]
+    content = spark.read.format("binaryFile").load(root).select("state", "year", "month", "content")
+    found = content.mapInArrow(landing._footers, "state string, year int, month int, keys array<string>").first()
+    assert "coMass" not in found["keys"] and "noxMass" not in found["keys"] and "co2Mass" in found["keys"]
+
+
+def test_doubtful_arrays_are_told_apart_by_a_join(spark, path):
+    root = path("landing")
+    for k in range(30):
+        land_array(root, f"state=S{k:02d}/year=2024/month=1/snapshot=1", [reading(stateCode=f"S{k:02d}", unitId="a}b" if k % 3 == 0 else "U1")])
+    text_file(root, "state=TX/year=2024/month=1/snapshot=1", "[{\"stateCode\": \"TX\"")
+    rows = landing.hourly_scan(spark, root, "json_array", audited=True)
+    found = sorted((r.chunk_state, r.unitId, r.corrupt) for r in rows.collect())
+    assert found == sorted([(f"S{k:02d}", "a}b" if k % 3 == 0 else "U1", False) for k in range(30)] + [("TX", None, True)])
+    assert "S00" not in plan(rows), "no list of files in the plan"

@@ -11,7 +11,7 @@ from gridplume.plans import flows
 from gridplume.session import path_exists
 from gridplume.sources import lake
 from gridplume.sources.ledger import read_ledger
-from gridplume.streaming.daily import compact_updates, daily_state, daily_stream, run_daily
+from gridplume.streaming.daily import compact_updates, daily_state, daily_stream
 from gridplume.streaming.snapshots import snapshot_stream
 from gridplume.schemas import DAILY_KEYS, MEASURES
 from tests.rows import RUN_TS, as_set, hourly, reading
@@ -151,8 +151,11 @@ def test_streamed_days_equal_the_batch(spark, path):
         hourly(spark, *part).write.mode("append").json(landing)
         daily_stream(spark, landing, updates, checkpoint).awaitTermination()
     want = daily_rows(hourly(spark, *sum(parts, [])), RUN_TS).select(*DAILY_KEYS, *MEASURES)
-    got = daily_state(spark, updates).withColumn("facility_id", F.col("facility_id").cast("bigint"))
-    assert as_set(got) == as_set(want)
+    for _ in range(3):
+        got = daily_state(spark, updates).withColumn("facility_id", F.col("facility_id").cast("bigint"))
+        assert as_set(got) == as_set(want)
+        compact_updates(spark, updates)
+    assert not [f for f in daily_state(spark, updates).inputFiles() if "/batch=" in f]
 
 
 def test_streamed_snapshots_equal_the_daily_load(spark, places, path):
@@ -251,39 +254,14 @@ def test_a_daily_run_lists_its_months_only(spark, places, monkeypatch):
     assert len(listed) == 1 and listed[0] and all("/year=2024/" in f for f in listed[0])
 
 
-def test_streamed_days_without_bad_and_late_readings(spark, path):
-    """A bad date holds nothing up; bad readings lie aside, late ones are counted; folding batches changes nothing."""
-    landing, updates, rejected, checkpoint = (path(n) for n in ("landing", "updates", "rejected", "checkpoint"))
-    rounds = [
-        ([reading(), reading(date="oops", unitId="U2")], (1, 0)),
-        ([reading(date="2024-06-01"), reading()], (1, 0)),
-        ([reading(date="2024-06-01")], (1, 0)),
-        ([reading(unitId="late"), reading(facilityId="1e30"), reading(date="2024-06-02")], (2, 1)),
-    ]
-    for k, (part, want) in enumerate(rounds):
-        hourly(spark, *part).write.mode("append").json(landing)
-        if k == 2:
-            text_file(landing, ".", "{cut short", name="x.json")
-        result = run_daily(spark, landing, updates, rejected, checkpoint)
-        assert tuple(result) == (want[0] + (k >= 2), want[1])
-        state = as_set(daily_state(spark, updates))
-        if k % 2:
-            compact_updates(spark, updates)
-            compact_updates(spark, updates)
-            assert as_set(daily_state(spark, updates)) == state
-            assert not [f for f in daily_state(spark, updates).inputFiles() if "/batch=" in f]
-    found = {(str(r.date), r.unit_id): r.gross_load_mw for r in daily_state(spark, updates).collect()}
-    assert found == {("2024-01-01", "U1"): 20.0, ("2024-06-01", "U1"): 20.0, ("2024-06-02", "U1"): 10.0}
-
-
 def test_marts_change_by_month_and_their_date_filter_prunes(spark, places):
-    from gridplume.plans import models, tiles
+    from gridplume.plans import published, tiles
     from tests.rows import plan
 
     land(spark, places, reading(), reading(date="2024-02-01"), snapshot=1)
     flows.daily_run(spark, places, AS_OF, RUN_TS, STATES)
     name = "mart_emissions_over_time"
-    table, root = spark.table(places.mart(name)), places.versions(spark, name)
+    table = flows.read_marts(spark, places)[name]
     tile = tiles.daily_generation(table, date(2024, 2, 1), date(2024, 2, 29))
     assert "202402" in plan(tile).split("PartitionFilters")[1].split("\n")[0] and tile.count() == 1
     january = [f for f in table.inputFiles() if "/month=1/" in f]
@@ -291,9 +269,87 @@ def test_marts_change_by_month_and_their_date_filter_prunes(spark, places):
     land(spark, places, reading(date="2024-02-01", grossLoad="33"), snapshot=2)
     flows.daily_run(spark, places, AS_OF, RUN_TS + timedelta(days=1), STATES)
     flows.refresh_models(spark, places, months)
-    again = spark.table(places.mart(name))
+    again = flows.read_marts(spark, places)[name]
     assert mart(spark, places) == {("2024-01-01", "TX"): 10.0, ("2024-02-01", "TX"): 33.0}
     assert [f for f in again.inputFiles() if "/month=2/" in f] and len(again.inputFiles()) == 2
     before = as_set(again)
-    models.drop_unused(spark, places.mart(name), root)
-    assert as_set(spark.table(places.mart(name))) == before and january
+    published.drop_unused(spark, places.published(spark))
+    assert as_set(flows.read_marts(spark, places)[name]) == before and january
+    assert as_set(spark.table(places.mart(name))) == before
+
+
+def test_a_resumed_backfill_lists_only_what_is_left(spark, places, monkeypatch):
+    for state in STATES:
+        land(spark, places, reading(stateCode=state), reading(stateCode=state, date="2024-02-01"), snapshot=1)
+    land(spark, places, reading(date="2024-03-01"), snapshot=1)
+    first = flows.backfill(spark, places, AS_OF, RUN_TS, date(2024, 1, 1), STATES).first()
+    assert (first.succeeded, first.failed) == (5, 1)
+    # Listed with the others, this folder would be taken for a month of its year and be read.
+    text_file(places.landing, "state=TX/year=2016/month=01/snapshot=oops", "not json at all")
+    land(spark, places, reading(stateCode="AK", date="2024-03-01"), snapshot=1)
+    listed = []
+    real = flows.landed_files
+    monkeypatch.setattr(flows, "landed_files", lambda spark, root, folders=None: (listed.append(folders), real(spark, root, folders))[1])
+    later = RUN_TS + timedelta(days=1)
+    assert flows.backfill(spark, places, AS_OF, later, date(2024, 1, 1), STATES).first().succeeded == 1
+    assert [[f.split("/landing/")[1] for f in folders] for folders in listed] == [["state=AK/year=2024/month=3"]]
+
+
+def test_raw_files_are_sized_by_the_bytes_of_the_lake(spark, path, setting):
+    """Of the advisory size within a factor of two, for narrow and for wide rows, and without a pass over the rows."""
+    from pyspark.sql import functions as F
+    from tests.rows import many_rows
+
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    for wide in (0, 300):
+        root, table = path("lake"), path("raw")
+        text = F.concat(*[F.md5(F.concat(F.lit(str(i)), F.col("facility_name"))) for i in range(1 + wide // 32)])
+        rows = many_rows(spark, 30_000).withColumn("facility_name", text)
+        lake.lake_write(rows.withColumn("state", F.when(F.col("facility_id") % 2 == 0, "TX").otherwise(F.format_string("S%02d", F.col("facility_id") % 11))), root)
+        sizes = lake.stored_bytes(spark, root, [(2024, 1)])
+        want = -(-sizes.agg(F.sum("bytes")).first()[0] // (256 << 10))
+        assert lake.load_replace(lake.raw_scan_all(spark, root), table, sizes) == 30_000
+        files = spark.read.format("binaryFile").load(table).select("length", "path").collect()
+        assert want / 2 <= len(files) <= want + 1 and (want > 3 or not wide)
+        assert max(f["length"] for f in files) < 2 * (256 << 10)
+        states = lake.raw_table(spark, table).select("state", F.input_file_name().alias("f")).distinct().groupBy("f").count().agg(F.avg("count")).first()[0]
+        assert not wide or states < 6, "a file of a month holds few of its 12 states"
+
+
+def test_a_layout_by_bytes_takes_rows_without_a_state_and_unknown_months(spark, path):
+    from tests.rows import daily_row, raw
+
+    rows = raw(spark, daily_row(), daily_row(state=None), daily_row(state=None, month=2, date=date(2024, 2, 1)), daily_row(state="AK", year=2031, date=None))
+    sizes = spark.createDataFrame([("TX", 2024, 1, 900_000_000), (None, 2024, 2, 5)], "state string, year int, month int, bytes bigint")
+    for given in (sizes, sizes.limit(0)):
+        assert as_set(lake.raw_layout(rows, given)) == as_set(rows)
+    plan = {(r.state, r.month): (r.first, r.files) for r in lake.file_plan(sizes, 256 << 20).collect()}
+    assert plan == {("TX", 1): (0, 4), (None, 1): (0, 4), (None, 2): (4, 1)}
+
+
+def test_the_ledger_folds_and_tells_the_same(spark, path):
+    from gridplume.operators import chunks as ch
+    from gridplume.schemas import LEDGER
+    from gridplume.sources import ledger
+
+    place, stamps = path("ledger"), [RUN_TS + timedelta(days=k) for k in range(6)]
+    calendar = ch.backfill_calendar(spark, AS_OF, date(2024, 1, 1), STATES)
+
+    def told():
+        return [ch.run_summary(calendar, read_ledger(spark, place), s).first() for s in stamps], as_set(read_ledger(spark, place))
+
+    for k, stamp in enumerate(stamps[:5]):
+        status = ["failed", "ok", "empty", "ok", "failed"][k]
+        rows = [(f"TX-2024-0{1 + k % 3}", "TX", 2024, 1 + k % 3, status, k, stamp), ("AK-2024-01", "AK", 2024, 1, "failed", 0, stamp)]
+        ledger.append_ledger(spark.createDataFrame(rows, LEDGER), place)
+        if k in (1, 3):
+            before = told()
+            for _ in range(2):
+                ledger.compact_ledger(spark, place)
+                assert told() == before
+            assert all("-base/upto=" in f for f in read_ledger(spark, place).inputFiles())
+    assert read_ledger(spark, place).count() == 10 and told()[0][4].failed == 2
+    ledger.fold_if_long(spark, place, entries=2)
+    assert any("/entry=" in f for f in read_ledger(spark, place).inputFiles())
+    ledger.fold_if_long(spark, place, entries=1)
+    assert not any("/entry=" in f for f in read_ledger(spark, place).inputFiles())
