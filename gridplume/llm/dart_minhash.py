@@ -10,13 +10,15 @@ Documents with the same words are one node. Nodes meet in buckets, one per band
 candidate pair is verified on its shingles:
 
 1. each member of a bucket against the bucket's hub, the member that meets most others; verified links give classes;
-2. where a bucket still holds several classes, each member outside its largest class against all members of other
-   classes, in the first bucket that the two share.
+2. where a bucket still holds several classes, pairs of different classes that deviate from the hub alike.
 
-So a bucket with a large group of near copies costs a pair per member, and no pair of different classes that meets in a
-bucket is passed over. Nothing is capped. Links between classes then join them. Before texts are fetched, a pair's
-similarity is estimated from the whole signatures, four bits a sample; it is given up where more of them differ
-than a pair at the threshold has a chance of ``GIVEN_UP`` of, by the binomial tail (``far``).
+What two members deviate in from each other is the symmetric difference of their deviations from the hub. So two that are
+similar, though not both to the hub, share so many deviations that they share one among their rarest (``prefixes``). A
+bucket with a large group of near copies costs a pair per member and, for those that resemble none of the others, their
+own deviations: no pair of different classes that meets in a bucket is passed over, and nothing is capped. Links between
+classes then join them. Before texts are fetched for the first step, a pair's similarity is estimated from the whole
+signatures, four bits a sample; it is given up where more of them differ than a pair at the threshold has a chance of
+``GIVEN_UP`` of, by the binomial tail (``far``). The second step finds such a pair again where its bucket is not settled.
 
 Defined results: words are lower-cased and split at ASCII white space; fewer than five words are one shingle; texts
 without words (null, empty) are equal to each other; in a class the row with the least identifier stays (null last; of
@@ -33,8 +35,9 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from gridplume.llm.common import components, located, settings, words_of
 from gridplume.session import as_written
@@ -290,34 +293,99 @@ def links(docs: DataFrame, place: Column, text_col: str, nodes: DataFrame, thres
     pairs = as_written(near.select("a", "b"), "pairs")
     with settings(docs.sparkSession, _BATCH):
         first = as_written(verify(pairs, _texts(docs, place, text_col, nodes, pairs), threshold), "links")
-    more = as_written(_unsettled(met, components(first), nodes, pairs, threshold, bands, size), "pairs")
     with settings(docs.sparkSession, _BATCH):
+        more = as_written(_unsettled(docs, place, text_col, met, components(first), nodes, pairs, threshold), "pairs")
         second = verify(more, _texts(docs, place, text_col, nodes, more), threshold)
         return as_written(first.unionByName(second), "links")
 
 
-def _unsettled(met: DataFrame, found: DataFrame, nodes: DataFrame, tested: DataFrame, threshold: float, bands: int, size: int) -> DataFrame:
-    """Pairs of different classes that meet in a bucket, aren't far and aren't tested yet; each in its first bucket."""
+def _unit_sets(docs: DataFrame, place: Column, text_col: str, nodes: DataFrame) -> DataFrame:
+    """(node, units) of some nodes (node, place): a hash for each unit of weight, in order."""
+    where = nodes.select("node", F.col("place.file").alias("file"), F.col("place.row").alias("row"))
+    words = F.transform(words_of(docs[text_col]), lambda w: F.xxhash64(w))
+    read = docs.select(place.alias("p"), words.alias("words")).select(F.col("p.file").alias("file"), F.col("p.row").alias("row"), "words")
+    return read.join(where, ["file", "row"]).select("node", "words").mapInArrow(_units, "node long, units array<long>")
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = batch.column("words")
+        offsets, words = column.offsets.to_numpy(), column.values.to_numpy().view(_U)
+        lengths = np.diff(offsets)
+        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(lengths)
+        for own in _portions(lengths):
+            mine = np.concatenate([words[offsets[k] : offsets[k + 1]] for k in own])
+            hashes, owner = shingles(mine, lengths[own])
+            unit = units(hashes, owner).view(np.int64)
+            for k, part in zip(own, np.split(unit, np.cumsum(np.bincount(owner, minlength=len(own)))[:-1])):
+                found[k] = np.sort(part)
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "units"])
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _deviations(own: pd.Series, hub: pd.Series) -> pd.Series:
+    return pd.Series([np.setxor1d(a, b, assume_unique=True) for a, b in zip(own, hub)], dtype=object)
+
+
+def prefixes(members: DataFrame, threshold: float) -> DataFrame:
+    """(hub, node, root, n, d, unit, place, alike, short) of the deviations of ``members`` (hub, node, root, n, n_hub, deviations)
+    that a similar member must have one of; ``alike`` tells members that are similar to the hub.
+
+    Texts of n and m units are similar if they differ in c (n + m) units at most, c = (1 - threshold) / (1 + threshold).
+    Members with d and e deviations from a hub of h units then share (d + e - c (n + m)) / 2 of them at least. One that
+    is not alike has e > c (m + h), so its partner shares (d + c (h - n)) / 2; one that is has e >= |m - h|, so its
+    partner shares (d - c (n + h)) / 2. Two sets that share k have one in common among all but the last k - 1 of each,
+    in any one order: the rarest come first here (``place`` counts from 1). ``short`` marks the prefix against members
+    that are not alike.
+    """
+    c = (1 - threshold) / (1 + threshold)
+    d = F.size("deviations")
+    sized = members.withColumns({"d": d, "alike": d <= c * (F.col("n") + F.col("n_hub")) + 1e-9})
+    least = {"short": (F.col("d") + c * (F.col("n_hub") - F.col("n"))) / 2, "long": (F.col("d") - c * (F.col("n") + F.col("n_hub"))) / 2}
+    ends = {name: F.col("d") - F.greatest(F.lit(1), F.ceil(shared - 1e-6)) + 1 for name, shared in least.items()}
+    spread = sized.select("hub", "node", "root", "n", "d", "alike", *[e.alias(f"_{name}") for name, e in ends.items()], F.explode("deviations").alias("unit"))
+    often = spread.groupBy("hub", "unit").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # A deviation that no other member has brings nobody together; it still counts as the rarest.
+    place = F.row_number().over(Window.partitionBy("hub", "node").orderBy(F.coalesce("often", F.lit(1)), "unit"))
+    ranked = spread.join(often, ["hub", "unit"], "left").withColumn("place", place).where("often is not null")
+    short = F.col("place") <= F.col("_short")
+    kept = ranked.withColumn("short", short).where(short | (~F.col("alike") & (F.col("place") <= F.col("_long"))))
+    return kept.select("hub", "node", "root", "n", "d", "unit", "place", "alike", "short")
+
+
+def _unsettled(
+    docs: DataFrame, place: Column, text_col: str, met: DataFrame, found: DataFrame, nodes: DataFrame, tested: DataFrame, threshold: float
+) -> DataFrame:
+    """Pairs (a, b) of different classes that meet in a bucket, may be similar and aren't tested yet."""
     labelled = as_written(
-        met.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled"
-    )
-    sizes = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("core")).where("roots > 1")
-    rows = labelled.join(mixed.select("key", "core"), "key").join(nodes.select("node", "keys", "samples"), "node")
-    sides = [
-        rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "core", "keys", "samples")]) for side in "ab"
-    ]
-    outside = sides[0].where("root_a <> core_a")
-    first = F.coalesce(
-        *[F.when(F.get("keys_a", F.lit(k)) == F.get("keys_b", F.lit(k)), F.get("keys_a", F.lit(k))) for k in range(bands)]
+        met.join(found, "node", "left").select("key", "hub", "node", F.coalesce("root", "node").alias("root")), "labelled"
     )
-    wanted = (
-        (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("core_b")) | (F.col("node_a") > F.col("node_b")))
-        & (outside["key"] == first) & ~far(F.col("samples_a"), F.col("samples_b"), size, threshold)
+    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    rows = as_written(labelled.join(mixed, "key", "left_semi").select("hub", "node", "root").distinct(), "mixed")
+    wanted = rows.select("node").unionAll(rows.select("hub")).distinct()
+    sets = as_written(_unit_sets(docs, place, text_col, nodes.select("node", "place").join(wanted, "node", "left_semi")), "units")
+    hub_sets = sets.select(F.col("node").alias("hub"), F.col("units").alias("of_hub"))
+    joined = rows.where("node <> hub").join(sets, "node").join(hub_sets, "hub")
+    members = joined.select(
+        "hub", "node", "root", F.size("units").alias("n"), F.size("of_hub").alias("n_hub"), _deviations("units", "of_hub").alias("deviations")
     )
-    pairs = outside.join(sides[1], (outside["key"] == sides[1]["key"]) & wanted)
-    ordered = pairs.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
-    return ordered.join(tested, ["a", "b"], "left_anti")
+    members = as_written(members, "members")
+    parts = as_written(prefixes(members, threshold), "prefixes")
+    a, b = (parts.select("hub", "unit", *[F.col(n).alias(f"{n}_{side}") for n in ("node", "root", "n", "d", "place", "alike", "short")]) for side in "ab")
+    both = a.where("not alike_a").join(b.where("short_b"), ["hub", "unit"])
+    # Two that are not alike the hub meet twice, and once is enough.
+    fits = (F.col("root_a") != F.col("root_b")) & (F.col("alike_b") | (F.col("short_a") & (F.col("node_a") > F.col("node_b"))))
+    c = (1 - threshold) / (1 + threshold)
+    size = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9
+    # At the first deviation in common, as many as must be shared have to be left on either side.
+    shared = (F.col("d_a") + F.col("d_b") - c * (F.col("n_a") + F.col("n_b"))) / 2
+    left = 1 + F.least(F.col("d_a") - F.col("place_a"), F.col("d_b") - F.col("place_b"))
+    pairs = both.where(fits & size & (left >= shared - 1e-6)).select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
+    # Members similar to a hub of another class: their signatures were too far from it.
+    hubs = rows.where("node = hub").select("hub", F.col("root").alias("hub_root"))
+    missed = members.join(hubs, "hub").where((F.col("root") != F.col("hub_root")) & (F.size("deviations") <= c * (F.col("n") + F.col("n_hub")) + 1e-9))
+    pairs = pairs.unionByName(missed.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b"))).distinct()
+    return pairs.join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
 
 
 def classes(

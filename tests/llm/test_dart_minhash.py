@@ -120,3 +120,89 @@ def test_a_pair_at_the_threshold_is_hardly_ever_given_up(spark):
     given_up = [r["differ"] for r in pairs.where(dart.far(F.col("a"), F.col("b"), size, 0.8)).collect()]
     tail = sum(math.comb(size, k) * chance**k * (1 - chance) ** (size - k) for k in given_up)
     assert tail <= 1e-6 and len(given_up) > size // 2
+
+
+def copies(n, words=100, changed=3, seed=7):
+    """Copies of one text with a few words changed each: some pairs are similar, most are not."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{k}" for k in range(words)]
+    texts = []
+    for k in range(n):
+        own = list(base)
+        for at in rng.choice(words, rng.integers(1, changed + 3), replace=False):
+            own[at] = f"new{rng.integers(0, 10 * n)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def similar_classes(texts, threshold=0.8):
+    """As ``brute``, for texts without a repeated shingle, by one matrix product."""
+    number, rows = {}, []
+    for text in texts:
+        rows.append([number.setdefault(s, len(number)) for s in bag(text)])
+    held = np.zeros((len(texts), len(number)), dtype=np.float32)
+    for k, own in enumerate(rows):
+        held[k, own] = 1
+    shared, size = held @ held.T, held.sum(1)
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in np.argwhere(shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-6):
+        if find(a) != find(b):
+            root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(k) for k in range(len(texts))]
+
+
+def test_many_near_copies_make_few_pairs(spark, monkeypatch):
+    """Most resemble neither the hub nor each other: the pairs to verify stay in proportion to the copies."""
+    made = []
+    real = dart._unsettled
+
+    def counted(*args):
+        pairs = real(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(dart, "_unsettled", counted)
+    texts = copies(1000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["class_id"] for r in dart.classes(docs).collect()}
+    assert got == dict(enumerate(similar_classes(texts)))
+    assert made[0] < 20_000
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_similar_pair_is_without_a_common_deviation(spark, seed):
+    """Every similar pair, not both similar to the hub, shares a unit of its prefixes."""
+    rng = np.random.default_rng(seed)
+    base = rng.choice(10**6, 60, replace=False)
+    sets = []
+    for k in range(120):
+        own = set(base[rng.random(60) > rng.choice([0.02, 0.1, 0.2])]) | set(rng.integers(10**6, 10**6 + 60, rng.integers(0, 9)))
+        sets.append(own)
+    hub = set(base)
+    rows = [(0, k + 1, k + 1, len(s), len(hub), [int(x) for x in s ^ hub]) for k, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "hub long, node long, root long, n int, n_hub int, deviations array<long>")
+    found = dart.prefixes(members, 0.8).collect()
+    alike = {k + 1: len(s & hub) / len(s | hub) >= 0.8 for k, s in enumerate(sets)}
+    short, long = defaultdict(set), defaultdict(set)
+    for r in found:
+        assert r["alike"] == alike[r["node"]]
+        long[r["node"]].add(r["unit"])
+        if r["short"]:
+            short[r["node"]].add(r["unit"])
+    seen = 0
+    for i in range(1, 121):
+        for j in range(1, i):
+            if len(sets[i - 1] & sets[j - 1]) / len(sets[i - 1] | sets[j - 1]) >= 0.8 and not (alike[i] and alike[j]):
+                seen += 1
+                if not alike[i] and not alike[j]:
+                    assert short[i] & short[j]
+                else:
+                    a, b = (j, i) if alike[i] else (i, j)
+                    assert long[a] & short[b]
+    assert seen
