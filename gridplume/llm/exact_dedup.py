@@ -24,7 +24,7 @@ _STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Native memory is shared by all state partitions of an executor, however many there are.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     # A partition's store is open only while its task runs: an open one holds 4 MB of disk, whatever its size.
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }

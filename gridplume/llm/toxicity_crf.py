@@ -31,9 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
+from gridplume.llm.common import located, settings, without
+from gridplume.session import as_written
+
 _WORD = re.compile(r"\w+")
 _BUCKETS = 1 << 18
 _WORDS_KEPT = 200_000
+#: Rows that go to a Python worker at once.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 @dataclass(frozen=True)
@@ -344,10 +349,13 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those predicted toxic, with the columns as they are."""
+    """``docs`` without those predicted toxic, with the columns as they are.
+
+    Scoring reads the text alone and gives the places of the rejected rows; whole rows never pass through Python.
+    """
+    docs, place = located(docs)
     model = learn(docs, labels, id_col, text_col)
-    names = docs.columns
-    column = "_verdict"
-    while column in names:
-        column += "_"
-    return docs.withColumn(column, scorer(docs, model)(docs[text_col])["predicted"]).where(F.col(column) == 0).select(*[docs[c] for c in names])
+    scored = docs.select(place.alias("place"), scorer(docs, model)(docs[text_col])["predicted"].alias("predicted"))
+    with settings(docs.sparkSession, _BATCH):
+        rejected = as_written(scored.where("predicted = 1").select("place"), "rejected")
+    return without(docs, place, rejected)
