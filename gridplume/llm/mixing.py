@@ -7,7 +7,8 @@ that starts again at its end; the stream is cut into blocks of equal size, one f
 slot of rank j takes block j. The blocks of a source together are its target, to the word.
 
 Everything is DataFrame work. No task holds a source: offsets and ranks are running totals over lanes
-(``running_total``). One row per source passes through a single task; that many sources must fit there.
+(``running_total``), in which the rows of a source that share identifier and size are one with a count, so that many rows
+of one identifier take no more room there than it has sizes. One row per source passes through a single task; that many sources must fit there.
 
 Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its own, last in
 order; rows that repeat are rows of their own; an empty table gives an empty mix; other columns are not looked at.
@@ -30,6 +31,8 @@ STEP = 1327217885
 #: Rows of a lane of shuffled rows, about, and slots of a lane of the schedule.
 LANE_ROWS = 1024
 LANE_SLOTS = 65536
+#: Rows that share identifier and size are told apart again in portions of so many.
+COPIES = 4096
 
 
 @dataclass(frozen=True)
@@ -105,15 +108,12 @@ def mix(
 
     Blocks have ``block_words`` words, about. A run with the same rows and the same ``seed`` gives the same mix.
     """
-    spark = docs.sparkSession
-    sized = as_written(
-        docs.select(
-            docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"),
-            F.md5(F.concat(F.lit(seed + "|"), F.coalesce(docs[id_col].cast("string"), F.lit(""))).cast("binary")).alias("key"),
-        ),
-        "sized",
+    sized = docs.select(
+        docs[id_col].cast("long").alias("doc_id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size")
     )
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
+    same = as_written(sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies")), "sized")
+    same = same.withColumn("words", F.col("size") * F.col("copies"))
+    sizes = same.groupBy("source").agg(F.sum("words").alias("source_size"), F.sum("copies").alias("rows"))
     sources = as_written(with_targets(sizes, weights, ceiling), "sources")
     total, n_sources, most_rows = sources.agg(F.sum("source_size"), F.count(F.lit(1)), F.max("rows")).first()
     n_slots = ((total or 0) + block_words // 2) // block_words
@@ -125,13 +125,24 @@ def mix(
     digits = 1
     while 16**digits * LANE_ROWS < (most_rows or 0):
         digits += 1
-    numbered = sized.join(sources.select("ix", F.col("source").alias("_source")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    lanes = numbered.withColumn("lane", F.substring("key", 1, digits))
-    rows = running_total(lanes, ["ix"], "lane", ["key", "doc_id", "size"], "size", "start").drop("key", "lane")
+    numbered = same.join(sources.select("ix", F.col("source").alias("_source")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    key = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    lanes = numbered.withColumn("key", key).withColumn("lane", F.substring("key", 1, digits))
+    rows = _single(running_total(lanes, ["ix"], "lane", ["key", "doc_id", "size"], "words", "start").drop("key", "lane", "words"))
     rows = as_written(rows, "rows")
     return Mix(rows, sources, slots, _pieces(rows, sources, slots))
 
 
+def _single(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` say, one behind the other; many copies are dealt to many tasks."""
+    some = F.col("copies") <= COPIES
+    portions = rows.where(~some).withColumn("portion", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")))
+    split = portions.repartition("ix", "start", "portion").withColumn("first", F.col("portion") * COPIES).drop("portion")
+    whole = rows.where(some).withColumn("first", F.lit(0).cast("long")).unionByName(split)
+    copy = F.explode(F.sequence(F.col("first"), F.least("copies", F.col("first") + COPIES) - 1))
+    return whole.withColumn("copy", copy).withColumn("start", F.col("start") + F.col("copy") * F.col("size")).drop("copies", "first", "copy")
+
+
 def _pieces(rows: DataFrame, sources: DataFrame, slots: DataFrame) -> DataFrame:
     """Cuts rows at the blocks' ends and joins each block to its slot.
 

@@ -46,6 +46,26 @@ def test_awkward_rows(spark):
     assert rows and Counter(rows) == Counter(mixing.taken(mixing.mix(docs)).collect()), "reruns agree"
 
 
+def test_rows_of_one_identifier_are_few_in_a_lane(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LANE_ROWS", 16)
+    monkeypatch.setattr(mixing, "COPIES", 100)
+    rows = [(None if k % 2 else 7, "the same copied text" if k % 3 else f"text {k}" + " and more" * (k % 10), "a") for k in range(1500)]
+    docs = spark.createDataFrame([*rows, (1, "one two", "b")], "doc_id long, text string, source string").repartition(3)
+    lanes, whole = [], mixing.running_total
+
+    def seen(frame, group, lane, *rest):
+        if "key" in frame.columns:
+            lanes.extend(r["count"] for r in frame.groupBy(*group, lane).count().collect())
+        return whole(frame, group, lane, *rest)
+
+    monkeypatch.setattr(mixing, "running_total", seen)
+    mixed = mixing.mix(docs)
+    check(docs, mixing.taken(mixed).collect())
+    assert 3 <= sum(lanes) <= 30
+    starts = sorted((r["ix"], r["start"], r["size"]) for r in mixed.rows.collect())
+    assert all(a[1] + a[2] == b[1] for a, b in zip(starts, starts[1:]) if a[0] == b[0]), "rows lie one behind the other"
+
+
 def test_tables_and_other_block_sizes(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     for block in (7, 256):
