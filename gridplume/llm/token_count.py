@@ -5,9 +5,9 @@ into pre-tokens as the tokenizer splits it; pre-tokens that are proven count one
 library, each distinct one once while it is remembered. A special string in a text is one token and parts the text, as
 the library has it by default.
 
-The split is done here for texts of scripts whose letters and numbers have long been settled (``_SETTLED``). The
-library and ours may know different versions of Unicode: any other text is encoded by the library whole, with the same
-result.
+The library's split and ours may know different versions of Unicode. ``settled`` tries each assigned character beside
+letters, digits, signs and blanks; where the two differ, or a character is unassigned or private, the words that hold
+it go to the library, between blanks at which both splits part. All other words of the text take the shortcut.
 
 Defined results: a null or empty text has no tokens; there is no truncation, and the length of a text has no bound;
 rows that repeat are counted each; other columns are not looked at.
@@ -18,8 +18,9 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import pandas as pd
 import regex
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 #: Fixed value: the split that byte-level vocabularies of this kind are defined with.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ASCII_SPLIT = _SPLIT.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(" ?A-Za-z+", " ?[A-Za-z]+").replace(" ?0-9+", " ?[0-9]+")
-#: Latin to Cyrillic, general punctuation, currency, kana, common Han, Hangul.
-_SETTLED = re.compile("[\\x00-\\u052f\\u2010-\\u2030\\u20a0-\\u20ac\\u3041-\\u3096\\u30a1-\\u30fa\\u4e00-\\u9fa5\\uac00-\\ud7a3]*")
+#: Both splits part a text before a blank that follows something else.
+_BEFORE_BLANK = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \t\n])")
 #: Merged pre-tokens that a task remembers.
 _REMEMBERED = 500_000
 
@@ -42,6 +43,30 @@ class Vocabulary:
     file: str
     special: tuple[str, ...]
     whole: frozenset[str]
+    settled: tuple[tuple[int, int], ...]
+
+
+@cache
+def settled() -> tuple[tuple[int, int], ...]:
+    """Ranges (first, last) of the assigned characters that the library splits as we do."""
+    from tokenizers import pre_tokenizers
+
+    library = pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+
+    def same(characters: Sequence[str]) -> bool:
+        text = "".join(f"a{c}1{c}!{c} {c}" for c in characters)
+        return [m.span() for m in regex.finditer(_SPLIT, text)] == [place for _, place in library(text)]
+
+    assigned = regex.findall(r"[^\p{Cn}\p{Co}]", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))))
+    found: list[tuple[int, int]] = []
+    for start in range(0, len(assigned), 100):
+        portion = assigned[start : start + 100]
+        for c in portion if same(portion) else filter(same, portion):
+            if found and found[-1][1] == ord(c) - 1:
+                found[-1] = (found[-1][0], ord(c))
+            else:
+                found.append((ord(c), ord(c)))
+    return tuple(found)
 
 
 def prepare(path: str) -> Vocabulary:
@@ -65,7 +90,7 @@ def prepare(path: str) -> Vocabulary:
     ids = [i for s, i in told["model"]["vocab"].items() if s not in special]
     strings = [s for s in own.decode_batch([[i] for i in ids], skip_special_tokens=False) if s and "�" not in s]
     alone = own.encode_batch(strings, add_special_tokens=False)
-    return Vocabulary(file, special, frozenset(s for s, e in zip(strings, alone) if len(e.ids) == 1))
+    return Vocabulary(file, special, frozenset(s for s, e in zip(strings, alone) if len(e.ids) == 1), settled())
 
 
 class Counter:
@@ -82,15 +107,25 @@ class Counter:
         self.whole = vocabulary.whole
         self.split = regex.compile(_SPLIT).findall
         self.split_ascii = re.compile(_ASCII_SPLIT, re.A).findall
+        ranges = "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in vocabulary.settled)
+        self.unsettled = re.compile(f"[^{ranges}]").search
         self.merged: dict[str, int] = {}
 
     def count(self, text: str) -> int:
-        if not _SETTLED.fullmatch(text):
-            return len(self.library.encode(text, add_special_tokens=False).ids)
         if self.special and self.special.search(text):
             parts = self.special.split(text)
-            return len(parts) - 1 + sum(map(self._plain, parts))
-        return self._plain(text)
+            return len(parts) - 1 + sum(map(self._part, parts))
+        return self._part(text)
+
+    def _part(self, text: str) -> int:
+        """Of a text without special strings."""
+        if text.isascii() or not self.unsettled(text):
+            return self._plain(text)
+        words = _BEFORE_BLANK.split(text)
+        return sum([self._by_library(w) if self.unsettled(w) else self._plain(w) for w in words])
+
+    def _by_library(self, text: str) -> int:
+        return len(self.library.encode(text, add_special_tokens=False).ids)
 
     def _plain(self, text: str) -> int:
         pieces = self.split_ascii(text) if text.isascii() else self.split(text)

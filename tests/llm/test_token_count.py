@@ -25,17 +25,31 @@ def test_every_whole_token_is_one_token(counter):
     assert all(len(e.ids) == 1 for e in counter.library.encode_batch(whole, add_special_tokens=False))
 
 
-def test_settled_characters_are_split_as_the_library_splits(counter):
-    """Each settled character beside a letter, a digit, a sign and a blank."""
-    settled = [chr(c) for c in range(1, 0xD7A4) if tc._SETTLED.fullmatch(chr(c))]
-    assert len(settled) > 30_000
-    for start in range(0, len(settled), 500):
-        text = "".join(f"a{c}1{c}!{c} {c}" for c in settled[start : start + 500])
-        own = [m.span() for m in tc.regex.finditer(tc._SPLIT, text)]
-        assert own == [place for _, place in counter.library.pre_tokenizer.pre_tokenize_str(text)]
+def test_ordinary_characters_are_settled(counter):
+    assert not counter.unsettled("az中文。，「あア한ابपा😀Ａ—\u00a0")
+    assert sum(b - a + 1 for a, b in tc.settled()) > 150_000
+    assert counter.unsettled("\ue000") and counter.unsettled(chr(0x378)), "private and unassigned"
 
 
-@pytest.mark.parametrize("alphabet", [[chr(c) for c in range(1, 128)], [chr(c) for c in range(1, 0x530)] + list("中あ’€՚\U0001f600࢏́힣�")])
+TEXTS = ["他说：「你好，世界。」然后走了！", "これは、テストです。ＡＢＣ１２３", "مرحبا بالعالم، كيف الحال؟", "good 😀😀 day 👩‍👩‍👧 to you", "नमस्ते दुनिया। कैसे हैं?"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_texts_of_any_script_take_the_shortcut(counter, text, monkeypatch):
+    want = library(counter, text)
+    monkeypatch.setattr(counter, "_by_library", None)
+    assert counter.count(text) == want
+
+
+def test_only_words_with_unsettled_characters_go_to_the_library(counter, monkeypatch):
+    text = "Some words,  then\n \ue000x one \u0378\t\tand more 1\ue001 \x1c\u0378 \u00a0 end"
+    want, seen, by_library = library(counter, text), [], counter._by_library
+    monkeypatch.setattr(counter, "_by_library", lambda w: seen.append(w) or by_library(w))
+    assert counter.count(text) == want
+    assert len(seen) == 4 and sum(map(len, seen)) < len(text) / 2
+
+
+@pytest.mark.parametrize("alphabet", [[chr(c) for c in range(1, 128)], [chr(c) for c in range(1, 0x530)] + list("中あ’€՚\U0001f600࢏́힣�"), [chr(c) for c in (*range(9, 14), 28, 31, 32, 32, 32, 97, 49, 33, 133, 160, 0x300, 0x378, 0x1C8A, 0x2003, 0x3000, 0x3002, 0xE000, 0x10D4A, 0x1F600)]])
 def test_random_texts(counter, alphabet):
     rng = random.Random(4)
     pieces = alphabet + ["<|endoftext|>", "<|endoftext", "'s", "'LL", "  ", "\n", " the", "ing", "\r\n"] * 5
