@@ -21,13 +21,13 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
@@ -43,11 +43,13 @@ _BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of the sample that the model is fitted on: labelled rows, whose texts are read whole. The chain learns from
-    all marked words of toxic documents with ``reach`` words on either side, and from a stretch of ``2 * reach + 1`` words
-    in each ``spread`` words of the others."""
+    """Bounds of the sample that the model is fitted on: so many labelled rows of so many characters in all, whose texts
+    are read whole. The chain learns from all marked words of toxic documents with ``reach`` words on either side, and
+    from all words of the others: each round of training takes a stretch of ``2 * reach + 1`` words in each ``spread``,
+    the next round the next ones, until all had their turn."""
 
     rows: int = 6000
+    chars: int = 64_000_000
     reach: int = 12
     spread: int = 500
 
@@ -124,35 +126,47 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _by_chance(n: int, bad: int, rate: float) -> float:
+    """The chance that ``bad`` or more of ``n`` documents are toxic, if each is with the chance ``rate``."""
+    if rate >= 1:
+        return 1.0
+    head = math.lgamma(n + 1)
+    logs = [head - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(rate) + (n - k) * math.log1p(-rate) for k in range(bad, n + 1)]
+    return sum(map(math.exp, logs))
+
+
 def label_words(texts: list[str], toxic: list[int]) -> set[str]:
-    """The marks that stand for toxic words: so many of their documents are toxic that chance has less than 1 in 20 of
-    making one such mark."""
+    """The marks that stand for toxic words: so many of their documents are toxic (9 in 10 and two at least) that chance
+    has less than 1 in 20 of making one such mark among all."""
     bad, all_ = Counter(), Counter()
     for text, label in zip(texts, toxic):
         marks = {m for w in set(_words(text)) for m in _marks(w)}
         all_.update(marks)
         if label:
             bad.update(marks)
-    rate = max(sum(toxic), 1) / max(len(toxic), 1)
-    candidates = sum(1 for n in all_.values() if n > 1) or 1
-    enough = math.log(0.05 / candidates) / math.log(min(rate, 0.5)) if rate < 1 else math.inf
-    return {m for m, n in bad.items() if n >= max(2, min(enough, 8)) and n >= 0.9 * all_[m]}
+    rate = sum(toxic) / max(len(toxic), 1)
+    most = 0.05 / max(1, sum(1 for n in all_.values() if n > 1))
+    chance: dict[tuple[int, int], float] = {}
+    found = set()
+    for m, n in bad.items():
+        case = all_[m], n
+        if n < max(2, 0.9 * all_[m]):
+            continue
+        if case not in chance:
+            chance[case] = _by_chance(*case, rate)
+        if chance[case] < most:
+            found.add(m)
+    return found
 
 
 def _windows(texts: list[str], toxic: list[int], marks: set[str], limits: Limits = Limits(), most: int = 100) -> tuple[list[list[str]], list[list[int]]]:
-    """Labelled words to train on: around all marked words of toxic documents, and stretches spread over every other
-    document. A word is in one window; windows have ``most`` words at most."""
+    """Labelled words around all marked words of the toxic documents. A word is in one window; windows have ``most``
+    words at most."""
     words, tags = [], []
-    for k, (text, label) in enumerate(zip(texts, toxic)):
-        own = _words(text)
-        if label:
-            hit = [int(any(m in marks for m in _marks(w))) for w in own]
-            places = [i for i, h in enumerate(hit) if h]
-        else:
-            hit = [0] * len(own)
-            places = list(range(k * 7919 % min(len(own), limits.spread), len(own), limits.spread)) if own else []
+    for own in (_words(text) for text, label in zip(texts, toxic) if label):
+        hit = [int(any(m in marks for m in _marks(w))) for w in own]
         last = end = 0
-        for n, i in enumerate(places):
+        for n, i in enumerate(i for i, h in enumerate(hit) if h):
             start, end = max(end, i - limits.reach), min(len(own), i + limits.reach + 1)
             if n and start == last and len(words[-1]) + end - start <= most:
                 words[-1] += own[start:end]
@@ -164,6 +178,27 @@ def _windows(texts: list[str], toxic: list[int], marks: set[str], limits: Limits
     return words, tags
 
 
+def stretches(lengths: np.ndarray, turn: int, limits: Limits = Limits()) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths, in texts of ``lengths`` words that lie one behind the other, of the stretches whose turn it is.
+    Turns 0 to ``spread / (2 * reach + 1)``, rounded up, hold every word."""
+    width = 2 * limits.reach + 1
+    begin = np.cumsum(lengths) - lengths
+    period = np.minimum(np.maximum(lengths, 1), limits.spread)
+    slots = -(-period // width)
+    # Texts start their turns at different places.
+    first = (np.arange(len(lengths)) * 7919 + turn) % slots * width
+    n = np.maximum(0, -(-(lengths - first) // limits.spread))
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(first, n) + nth * limits.spread
+    # The last stretch of a period ends with it.
+    size = np.minimum(np.minimum(width, limits.spread - np.repeat(first, n)), np.repeat(lengths, n) - start)
+    return np.repeat(begin, n) + start, size
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 def fit(texts: list[str], toxic: list[int], share: float, rounds: int = 80, decay: float = 1e-3, limits: Limits = Limits()) -> Model:
     """Trains the chain by gradient steps on the log-likelihood, then the document model."""
     model = Model(base=share)
@@ -171,21 +206,31 @@ def fit(texts: list[str], toxic: list[int], share: float, rounds: int = 80, deca
     words, tags = _windows(texts, toxic, marks, limits)
     if not marks or not any(map(any, tags)):
         return model
-    lengths = np.array([len(w) for w in words])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(x for ws in words for x in ws))}
+    vocabulary: dict[str, int] = {}
+
+    def numbers(lists: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers, one list behind the other, and the lengths of the lists."""
+        parts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in own], dtype=np.int32) for own in lists]
+        return np.concatenate([np.zeros(0, dtype=np.int32), *parts]), np.array([len(p) for p in parts], dtype=np.int64)
+
+    near, near_lengths = numbers(words)
+    other, other_lengths = numbers(_words(text) for text, label in zip(texts, toxic) if not label)
+    near_truth = np.array([t for ts in tags for t in ts], dtype=float)
     rows = [_features(w) for w in vocabulary]
     flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    at = np.array([vocabulary[x] for ws in words for x in ws])
-    truth = np.array([t for ts in tags for t in ts], dtype=float)
-    inner = np.ones(len(at), dtype=bool)
-    inner[starts] = False
-    later = np.flatnonzero(inner)
-    seen = np.array([((1 - truth[later - 1]) * (1 - truth[later])).sum(), ((1 - truth[later - 1]) * truth[later]).sum(),
-                     (truth[later - 1] * (1 - truth[later])).sum(), (truth[later - 1] * truth[later]).sum()])
     weights, change = np.zeros(_BUCKETS), np.zeros(4)
     weights_sq, change_sq = np.full(_BUCKETS, 1e-8), np.full(4, 1e-8)
-    for _ in range(rounds):
+    for turn in range(max(rounds, -(-limits.spread // (2 * limits.reach + 1)))):
+        begins, sizes = stretches(other_lengths, turn, limits)
+        at = np.concatenate([near, other[_ranges(begins, sizes)]])
+        lengths = np.concatenate([near_lengths, sizes])
+        starts = np.cumsum(lengths) - lengths
+        truth = np.concatenate([near_truth, np.zeros(len(at) - len(near))])
+        inner = np.ones(len(at), dtype=bool)
+        inner[starts] = False
+        later = np.flatnonzero(inner)
+        before, after = truth[later - 1], truth[later]
+        seen = np.array([((1 - before) * (1 - after)).sum(), ((1 - before) * after).sum(), (before * (1 - after)).sum(), (before * after).sum()])
         by_word = np.bincount(owner, weights[flat], minlength=len(rows))
         emission = by_word[at]
         forward, backward, _order = chain(emission, starts, lengths, change)
@@ -292,8 +337,8 @@ SCORED = StructType([
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limits: Limits = Limits()) -> Model:
-    """Fits the model on the first ``limits.rows`` labelled training rows in the order of a hash of their
-    identifiers."""
+    """Fits the model on the first labelled training rows in the order of a hash of their identifiers: ``limits.rows``,
+    or as many before as have ``limits.chars`` characters in all, one at least."""
     marked = labels.where(labels[label_col].isNotNull() & labels[id_col].isNotNull() & in_training(labels[id_col]))
     rows = marked.select(labels[id_col].alias("id"), (labels[label_col] != 0).cast("int").alias("toxic")).groupBy("id").agg(F.max("toxic").alias("toxic"))
     share = rows.agg(F.avg("toxic")).first()[0]
@@ -303,7 +348,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(docs[id_col].alias("_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     # Of rows that share an identifier the least text is learnt from, so that reruns agree.
     joined = texts.join(sample, F.col("_id") == F.col("id")).groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    found = joined.orderBy("id").collect()
+    # One narrow row for each row of the sample passes through one task.
+    drawn = as_written(joined.withColumn("draw", F.xxhash64("id")), "drawn")
+    sizes = drawn.select("id", "draw", F.length("text").cast("long").alias("size"))
+    along = Window.orderBy("draw", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fitting = sizes.withColumns({"sum": F.sum("size").over(along), "nth": F.count(F.lit(1)).over(along)})
+    fitting = fitting.where((F.col("sum") <= limits.chars) | (F.col("nth") == 1)).select("id")
+    found = drawn.join(fitting, "id").select("id", "text", "toxic").orderBy("id").collect()
     return fit([r["text"] for r in found], [r["toxic"] for r in found], float(share), limits=limits)
 
 

@@ -88,10 +88,54 @@ def test_empty_tables_and_no_labels(spark):
 
 def test_marked_words_are_learnt_from_wherever_they_stand(spark):
     words, tags = tox._windows([" ".join(["good"] * 30 + (["vilest"] + ["good"] * 99) * 10), "fine " * 2000], [1, 0], {"vilest$"})
-    assert sum(map(sum, tags)) == 10 and sum(map(len, words)) == 10 * 25 + 4 * 25
+    assert sum(map(sum, tags)) == 10 and sum(map(len, words)) == 10 * 25
     dense, own = tox._windows([" ".join(["vilest", "good"] * 500)], [1], {"vilest$"})
     assert sum(map(len, dense)) == 1000 and sum(map(sum, own)) == 500 and max(map(len, dense)) <= 100
     long = " ".join(f"word{k % 50}" for k in range(4000))
     docs = spark.createDataFrame([(k, f"{long} {'vilest' if k % 4 == 0 else 'kindest'}") for k in range(100)], "doc_id long, text string")
     model = tox.learn(docs, labels_of(spark, [(k, 1, int(k % 4 == 0)) for k in range(100)]))
     assert model.weights is not None and model.scorer()("vilest") > model.scorer()("kindest")
+
+
+@pytest.mark.parametrize("rate", [0.3, 0.6, 0.8])
+def test_random_labels_mark_nothing(rate):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.3, 40) % 5000) for _ in range(3000)]
+    assert not tox.label_words(texts, (rng.random(3000) < rate).astype(int).tolist())
+
+
+def test_chance_is_the_binomial_tail():
+    from math import comb
+
+    for n, bad, rate in ((10, 9, 0.3), (40, 37, 0.6), (5, 5, 0.01), (7, 0, 0.5)):
+        want = sum(comb(n, k) * rate**k * (1 - rate) ** (n - k) for k in range(bad, n + 1))
+        assert np.isclose(tox._by_chance(n, bad, rate), want)
+    assert tox._by_chance(4, 4, 1.0) == 1.0
+
+
+def test_every_word_of_other_documents_has_its_turn():
+    lengths = np.array([0, 1, 24, 25, 26, 499, 500, 501, 777, 2345, 0, 60])
+    seen = np.zeros(lengths.sum(), dtype=int)
+    for turn in range(20):
+        starts, sizes = tox.stretches(lengths, turn)
+        assert sizes.min() > 0 and sizes.max() <= 25
+        at = tox._ranges(starts, sizes)
+        assert len(set(at.tolist())) == len(at)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        assert (text[starts] == text[starts + sizes - 1]).all(), "a stretch lies in one text"
+        seen[at] += 1
+    assert seen.min() >= 1
+
+
+def test_the_sample_is_bounded_in_characters(spark):
+    docs = spark.createDataFrame([(k, f"{'vilest' if k % 4 == 0 else 'kindest'} " * 200) for k in range(100)], "doc_id long, text string")
+    labels = labels_of(spark, [(k, 1, int(k % 4 == 0)) for k in range(100)])
+    read, whole = [], tox.fit
+    for chars in (10, 20_000, 10**9):
+        tox.fit = lambda texts, *a, **k: read.append(texts) or tox.Model()
+        try:
+            tox.learn(docs, labels, limits=tox.Limits(chars=chars))
+        finally:
+            tox.fit = whole
+    assert len(read[0]) == 1 and 10 <= len(read[1]) <= 15 and len(read[2]) > 70
+    assert all(len(t) in (1400, 1600) for texts in read for t in texts), "texts are whole"
