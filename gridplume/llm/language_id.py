@@ -11,8 +11,10 @@ The priors are sums of the text's posteriors, grouped by host, domain and suffix
 its prior is formed, so no page votes for itself. A hot host combines before the shuffle. The logarithms of text
 likelihood, declaration and prior add up.
 
-The trigram model is fitted on a bounded sample of labelled documents (``Sample``); all counts over pages are of all
-pages.
+Where host and domain, or domain and suffix, are the same name they are one level.
+
+The trigram model is fitted on a bounded sample of labelled documents (``Sample``), whose texts are read whole; all
+counts over pages are of all pages.
 
 Defined results: a null or empty page is judged by address and neighbours alone; a null address has the empty host;
 without labelled documents there are no languages and the result is null with probability null; ties go to the language
@@ -21,6 +23,7 @@ that comes first; rows that repeat are judged each; other columns are not looked
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,15 +43,16 @@ TEXT_WEIGHT = 0.1
 STRENGTH = 5.0
 #: Pages' worth of belief that a declared language is the page's, 9 in 10.
 DECLARED_STRENGTH, DECLARED_RIGHT = 20.0, 0.9
-MOST_LANGUAGES = 500
 
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what the trigram model is fitted on: about so many documents a language, so many characters of each."""
+    """Bounds of what the trigram model is fitted on: about so many documents a language, read whole. The model takes
+    128 KB a language; ``languages`` is above the number of language codes there are, and labels with more different
+    values are refused, as they are no languages."""
 
     rows: int = 2000
-    chars: int = 5000
+    languages: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -73,17 +77,15 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Counts trigrams of a sample of the labelled documents, chosen by a hash of their identifiers, language by
     language."""
     marked = docs.where(docs[lang_col].isNotNull())
-    sizes = {r[0]: r[1] for r in marked.groupBy(docs[lang_col]).agg(F.count(F.lit(1))).limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes = {r[0]: r[1] for r in marked.groupBy(docs[lang_col]).agg(F.count(F.lit(1))).limit(sample.languages + 1).collect()}
+    if len(sizes) > sample.languages:
+        raise ValueError(f"more than {sample.languages} languages")
     languages = tuple(sorted(sizes))
     if not languages:
         return TextModel((), np.zeros((0, BUCKETS)))
-    shares = F.create_map(*[x for code in languages for x in (F.lit(code), F.lit(min(1.0, sample.rows / sizes[code])))])
+    shares = F.from_json(F.lit(json.dumps({code: min(1.0, sample.rows / sizes[code]) for code in languages})), "map<string, double>")
     chance = F.pmod(F.xxhash64(docs[id_col], F.lit("language")), F.lit(1_000_000)) / 1e6
-    chosen = marked.where(chance < shares[docs[lang_col]]).select(
-        docs[lang_col].alias("lang"), F.substring(F.coalesce(docs[text_col], F.lit("")), 1, sample.chars).alias("text")
-    )
+    chosen = marked.where(chance < shares[docs[lang_col]]).select(docs[lang_col].alias("lang"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -100,7 +102,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     number = {code: k for k, code in enumerate(languages)}
     for lang, bucket, n in counted.collect():
         table[number[lang], bucket] += n
-    return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)))
+    table /= table.sum(axis=1, keepdims=True)
+    return TextModel(languages, np.log(table, out=table))
 
 
 _DECLARED = re.compile(r"<html\b[^>]*?\b(?:xml:)?lang\s*=\s*[\"']?([a-z]{2,3})\b", re.I)
@@ -215,8 +218,9 @@ def _fused(rows: DataFrame, model: TextModel, markup: bool) -> DataFrame:
     placed = seen.join(levels, "host").join(belief, F.col("declared") == F.col("code"), "left")
     silent = F.transform(codes, lambda _: F.lit(0.0))
     prior = placed.withColumn("prior", _smoothed(F.col("of_suffix"), F.col("own"), top))
-    prior = prior.withColumn("prior", _smoothed(F.col("of_domain"), F.col("own"), F.col("prior")))
-    prior = prior.withColumn("prior", _smoothed(F.col("of_host"), F.col("own"), F.col("prior")))
+    for level, above in (("domain", "suffix"), ("host", "domain")):
+        own = _smoothed(F.col(f"of_{level}"), F.col("own"), F.col("prior"))
+        prior = prior.withColumn("prior", F.when(F.col(level) == F.col(above), F.col("prior")).otherwise(own))
     logs = F.zip_with(
         F.zip_with("logs", "prior", lambda x, p: x + F.ln(p)), F.coalesce("belief", silent), lambda x, b: x + b
     )

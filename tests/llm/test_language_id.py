@@ -91,3 +91,68 @@ def test_hosts(spark):
     rows = [("https://u:p@A.b.C:8080/x?y", "a.b.c"), ("http://a.b", "a.b"), ("ftp://x.y#z", "x.y"), ("no", ""), (None, "")]
     found = spark.createDataFrame(rows, "u string, want string").select(li.host_of(F.col("u")).alias("got"), "want").collect()
     assert all(r["got"] == r["want"] for r in found)
+
+
+def test_texts_are_learnt_from_whole(spark):
+    """Two languages that differ behind character 5,000 only, told apart by what stands there."""
+    same = "the same words again and " * 250
+    docs = spark.createDataFrame([(k, same + ("zuviel quark " if k % 2 else "xerxes ylang ") * 40, "qa" if k % 2 else "xy") for k in range(40)],
+                                 "doc_id long, text string, lang string")
+    model = li.learn(docs)
+    for text, lang in (("zuviel quark zuviel quark", "qa"), ("xerxes ylang ylang", "xy")):
+        assert model.languages[int(li.text_logs(model.table, text).argmax())] == lang
+
+
+def test_more_than_500_languages(spark):
+    docs = spark.createDataFrame([(k, f"word{k} and number{k}", f"l{k:03}") for k in range(600)], "doc_id long, text string, lang string")
+    assert len(li.learn(docs).languages) == 600
+    with pytest.raises(ValueError):
+        li.learn(docs, sample=li.Sample(languages=599))
+
+
+def by_hand(model, rows):
+    """The fusion row by row; each row counts all others anew. ``rows``: (host, text, declared)."""
+    n = len(model.languages)
+    logs = [li.text_logs(model.table, text) for _, text, _ in rows]
+    own = [np.exp(x) / np.exp(x).sum() for x in logs]
+    levels = lambda host: [host.split(".")[-1], ".".join(host.split(".")[-2:]), host]
+    found = []
+    for k, (host, _, code) in enumerate(rows):
+        whole = sum(own)
+        prior = (whole + li.STRENGTH / n) / (whole.sum() + li.STRENGTH)
+        for depth, name in enumerate(levels(host)):
+            if depth and name == levels(host)[depth - 1]:
+                continue
+            others = sum([own[j] for j, r in enumerate(rows) if j != k and levels(r[0])[depth] == name], np.zeros(n))
+            prior = (others + li.STRENGTH * prior) / (others.sum() + li.STRENGTH)
+        total = logs[k] + np.log(prior)
+        if code:
+            tell = sum(own[j] for j, r in enumerate(rows) if r[2] == code)
+            told = sum(own[j] for j, r in enumerate(rows) if r[2])
+            expected = np.array([li.DECLARED_RIGHT if c == code else (1 - li.DECLARED_RIGHT) / max(n, 2) for c in model.languages])
+            total = total + np.log((tell + li.DECLARED_STRENGTH * expected) / (told + li.DECLARED_STRENGTH))
+        p = np.exp(total - total.max())
+        found.append((model.languages[int(total.argmax())], p.max() / p.sum(), prior[int(total.argmax())]))
+    return found
+
+
+def test_fusion_equals_brute_force(spark, model, texts):
+    hosts = ["www.a.de", "a.de", "b.de", "org", "x.y.org", "www.x.y.org", ""]
+    codes = [*texts, ""]
+    rows = [(hosts[k % 7], " ".join(texts[sorted(texts)[k % len(texts)]].split()[: k % 5]), codes[(k // 3) % len(codes)]) for k in range(80)]
+    pages = [(k, f"http://{host}/{k}" if host else "", page(text, code)) for k, (host, text, code) in enumerate(rows)]
+    from gridplume.llm import html_blocks
+
+    tree = html_blocks.train(html_blocks.LABELLED)
+    read = [(host, html_blocks.main_text(html, tree), code) for (host, _, code), (_, _, html) in zip(rows, pages)]
+    got = {r["id"]: r for r in li.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), None, model=model).collect()}
+    for k, (lang, probability, prior) in enumerate(by_hand(model, read)):
+        assert got[k]["lang"] == lang
+        assert np.isclose(got[k]["probability"], probability) and np.isclose(got[k]["host_prior"], prior)
+
+
+def test_long_documents_with_clashing_columns(spark, model):
+    rows = [(1, "word " * 60_000, "a", "x", "y", "z"), (1, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, logs string, host string, own string")
+    found = li.identify_texts(docs, model=model).collect()
+    assert [r["id"] for r in found] == [1, 1] and all(r["lang"] in model.languages for r in found)
