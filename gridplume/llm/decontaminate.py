@@ -7,8 +7,10 @@ of more than ``MOST_STRIDE`` words are dealt to classes of length, each with its
 of any length lies whole in a window of its class. All items that score ``THRESHOLD`` or more are retrieved, none is left out for rank: first a
 bound per passage and block of items (sum of the blocks' largest shares), then WAND with block maxima on the passages
 that the bound lets through. A retrieved item is verified by word triples: enough of its question and of its answer
-must stand in the passage. One changed word may leave a short part without a triple, so an item that stands whole in
-the passage but for one word (changed, left out or put in) is verified too, if it has ``2 * GRAM`` words or more.
+must stand in the passage. Changed words may leave a short part without a triple, so an item of ``2 * GRAM`` words or
+more is verified too if it stands whole in the passage but for one word (changed, left out or put in), or if ``ALIGNED``
+of its words, ``OVERLAP`` of its question's and ``ANSWERED`` of its answer's stand there in the same order and close
+together (longest common subsequence). Characters of scripts that put no blanks between words are words of their own.
 
 The index is small by construction: items are dealt to shards of at most ``SHARD_WORDS`` words, and the texts are
 passed over once per shard. Word statistics are of all items, so that scores don't depend on shards. No text is moved.
@@ -40,10 +42,14 @@ BLOCK = 2
 THRESHOLD = 0.5
 OVERLAP = 0.6
 GRAM = 3
+#: Shares of an item's and of its answer's words that must stand in order; words that may lie between them, as a share.
+ALIGNED, ANSWERED, SLACK = 0.75, 0.5, 0.25
 SHARD_WORDS = 2_000_000
 #: A passage has twice the words of the longest item, within these bounds; for longer items it is doubled until they fit.
 LEAST_STRIDE, MOST_STRIDE = 64, 1024
-_WORD = re.compile(r"\w+")
+#: Thai, Lao, Burmese, Khmer; kana, Han: no blanks between words.
+_UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -71,6 +77,7 @@ class Passage:
     def __init__(self, words: Sequence[str]):
         self.words = words
         self.grams: dict[int, set] = {}
+        self.places: dict[str, list[int]] | None = None
 
     def overlap(self, part: Sequence[str]) -> float:
         """The share of the word triples of ``part`` (shorter parts: of itself as one) that stand in the passage."""
@@ -88,6 +95,47 @@ class Passage:
         return _half_and_rest(item, half, self.words) or _half_and_rest(item[::-1], len(item) - half, self.words[::-1])
 
 
+    def aligned(self, item: Sequence[str], question: int) -> tuple[int, int]:
+        """How many words of ``item`` stand in the passage in order and close together, and how many of its first
+        ``question`` words do there; (0, 0) if ``ALIGNED`` of them don't.
+
+        A word of the item that stands in place is that far from its own place in the item, give or take the words put in
+        or left out; so the passage is aligned only where enough equal words have nearly the same distance.
+        """
+        if self.places is None:
+            self.places = defaultdict(list)
+            for j, w in enumerate(self.words):
+                self.places[w].append(j)
+        n, band = len(item), max(2, int(SLACK * len(item)))
+        least = math.ceil(ALIGNED * n)
+        equal = Counter((j - i) // band for i, w in enumerate(item) for j in self.places.get(w, ()))
+        best = (0, 0)
+        for b in sorted({k for c in equal for k in (c - 1, c)}):
+            if equal[b] + equal[b + 1] >= least:
+                low = max(0, b * band)
+                best = max(best, common(item, self.words[low : (b + 2) * band + n], question))
+        return best if best[0] >= least else (0, 0)
+
+
+def common(item: Sequence[str], words: Sequence[str], question: int) -> tuple[int, int]:
+    """Lengths of the longest common subsequence of ``item`` and ``words``, and of its first ``question`` words.
+
+    All places of the item are bits of one number: a bit is 0 where a common subsequence with the words so far gets
+    longer.
+    """
+    at: dict[str, int] = defaultdict(int)
+    for i, w in enumerate(item):
+        at[w] |= 1 << i
+    every = (1 << len(item)) - 1
+    row = every
+    for w in words:
+        if w in at:
+            same = row & at[w]
+            row = ((row + same) | (row - same)) & every
+    zeros = every & ~row
+    return zeros.bit_count(), (zeros & ((1 << question) - 1)).bit_count()
+
+
 def _half_and_rest(item: Sequence[str], half: int, words: Sequence[str]) -> bool:
     """Whether the first ``half`` words of ``item`` stand in ``words``, and behind them the others but for one."""
     head, rest = item[:half], item[half:]
@@ -284,6 +332,14 @@ class Searcher:
         for k in range(len(texts)):
             yield [(name, *found[k][name]) for name in sorted(found[k], key=lambda i: (i is None, i or 0))] if k in found else []
 
+    def holds_edited(self, held: Passage, item: int) -> bool:
+        """Whether enough of an item's words, of its question's and of its answer's, stand in order in the passage."""
+        words, (question, answer) = self.words[item], self.parts[item]
+        if len(words) < 2 * GRAM or len(question) + len(answer) != len(words):
+            return False
+        whole, first = held.aligned(words, len(question))
+        return whole > 0 and first >= self.least * len(question) and whole - first >= ANSWERED * len(answer)
+
     def verified(self, words: Sequence[list[str]]) -> Iterator[tuple[int, int, tuple]]:
         """(text, item_id, (score, question, answer)) of this index's own items in the passages of texts."""
         get = self.index.words.get
@@ -299,7 +355,7 @@ class Searcher:
             held = Passage(words[text][low:high])
             for item, score in wand(self.index, np.unique(own[own >= 0]).tolist(), self.threshold):
                 question, answer = map(held.overlap, self.parts[item])
-                if min(question, answer) >= self.least or held.holds_nearly(self.words[item]):
+                if min(question, answer) >= self.least or held.holds_nearly(self.words[item]) or self.holds_edited(held, item):
                     yield text, self.index.names[item], (score, question, answer)
 
 

@@ -142,3 +142,63 @@ def test_items_without_a_name_are_found(spark):
     assert found == {(1, 4), (1, None)}
     only = benchmark(spark).where("item_id is null")
     assert [r["doc_id"] for r in dec.keep_clean(docs, only).collect()] == [2]
+
+
+def test_common_equals_the_table_of_prefixes():
+    rng = random.Random(12)
+    for _ in range(400):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in range(2))
+        cells = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                cells[i + 1][j + 1] = cells[i][j] + 1 if x == y else max(cells[i][j + 1], cells[i + 1][j])
+        question = rng.randint(0, len(a))
+        assert dec.common(a, b, question) == (cells[-1][-1], cells[question][-1])
+
+
+def table_items():
+    import pyarrow.parquet as pq
+
+    return [tuple(r.values()) for r in pq.read_table("/root/testdata/sf0.1/benchmark.parquet", columns=["item_id", "text"]).to_pylist()]
+
+
+def edited(words, n, rng):
+    """``n`` words of ``words`` changed, left out, or with another before them."""
+    words = [[w] for w in words]
+    for k in rng.sample(range(len(words)), min(n, len(words))):
+        words[k] = rng.choice(([f"zzz{k}"], [], [f"zzz{k}", *words[k]]))
+    return " ".join(w for own in words for w in own)
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3, 0.1])
+def test_recall_of_edited_items_of_the_table(edits):
+    rows, rng = table_items(), random.Random(13)
+    searcher = dec.Searcher(index_of(rows))
+    noise = [w for _, t in rows for w in dec._words(t)]
+    texts = []
+    for _, text in rows:
+        words = dec._words(text)
+        before, after = (" ".join(rng.choices(noise, k=40)) for _ in range(2))
+        texts.append(f"{before} {edited(words, edits if edits >= 1 else round(edits * len(words)), rng)} {after}")
+    hits = list(searcher.search(texts))
+    recall = sum(name in {h[0] for h in own} for (name, _), own in zip(rows, hits)) / len(rows)
+    assert recall >= 0.95, recall
+    assert sum(len({h[0] for h in own} - {name}) for (name, _), own in zip(rows, hits)) == 0
+
+
+def test_shuffled_words_of_items_are_clean():
+    rows, rng = table_items(), random.Random(14)
+    searcher = dec.Searcher(index_of(rows))
+    texts = []
+    for _, text in rows:
+        words = dec._words(text)
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    assert not any(searcher.search(texts))
+
+
+def test_scripts_without_blanks():
+    rows = [(1, "长江流经哪一座古老的城市？答案是南京市。"), (2, "この町で一番高い塔はどこにありますか？古い港の近くです。"), (3, "Some other words to fill the index a little. Yes.")]
+    searcher = dec.Searcher(index_of(rows))
+    texts = ["昨天他们说长江流经哪一座古老的城市？答案是南京市。然后大家都回家了。", "先生はこの町で一番高い塔はどこにありますか？古い港の近くです。と言った", "长江流经很多城市，我们昨天去了北京。", "古い港の近くに住んでいます。"]
+    assert [[h[0] for h in own] for own in searcher.search(texts)] == [[1], [2], [], []]
