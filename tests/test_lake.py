@@ -209,3 +209,21 @@ def test_rows_without_a_state_stay_in_their_chunk(spark, path):
     found = sorted((r.state or "", r.unit_id) for r in lake.raw_scan_all(spark, root).collect())
     assert found == [("", "U1"), ("", "U9"), ("TX", "U1")]
     assert lake.raw_scan_paths(spark, root, f"{root}/state=TX").count() == 2
+
+
+@pytest.mark.parametrize("sized", [True, False])
+def test_rows_that_store_in_few_bytes_are_split_by_their_number(spark, path, monkeypatch, sized):
+    monkeypatch.setattr(lake, "FILE_ROWS", 1000)
+    root, table = path("lake"), path("raw")
+    alike = many_rows(spark, 10_000).withColumns({"facility_name": F.lit("P"), "gross_load_mw": F.lit(1.0)})
+    states = F.when(F.col("facility_id") % 2 == 0, "TX").otherwise(F.format_string("S%02d", F.col("facility_id") % 11))
+    rows = alike.withColumn("state", states)
+    lake.lake_write(rows, root)
+    sizes = lake.stored_bytes(spark, root, [(2024, 1)])
+    counted = {(r.state, r.rows) for r in sizes.collect()}
+    assert counted == {tuple(r) for r in rows.groupBy("state").count().collect()}
+    assert sizes.agg(F.sum("bytes")).first()[0] < 256 << 10, "one file, by its bytes"
+    assert lake.load_replace(lake.raw_scan_all(spark, root), table, sizes if sized else None) == 10_000
+    files = lake.raw_table(spark, table).groupBy(F.input_file_name()).count().collect()
+    assert 10 <= len(files) <= 12 and max(f["count"] for f in files) < 1500
+    assert as_set(lake.raw_table(spark, table).select(*rows.columns)) == as_set(rows)
