@@ -3,6 +3,7 @@
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridplume.operators import quality
 from gridplume.plans import flows, models, published
@@ -215,3 +216,35 @@ def test_exact_facilities_come_from_the_intermediate_rows(spark, places):  # noq
     sums = [F.sum(c).alias(c) for c in models.INT_SUMS]
     added = ranges.groupBy(*models.INT_KEYS).agg(*sums)
     assert as_set(added) == as_set(models.int_cems_aggregated(models_rows).select(*added.columns))
+
+
+def test_intermediate_rows_are_bounded_by_their_number_and_bitmaps_do_not_move(spark, places, monkeypatch):  # noqa: F811
+    from tests.rows import plan
+
+    monkeypatch.setattr(flows, "_RANGE_ROWS", 20)
+    changes = [
+        {"facility_id": f if f % 7 else None, "unit_id": f"U{u}" if u else None, "date": date(2024, m, 1 + f % 20), "month": m, "gross_load_mw": None if u else 1.5}
+        for m in (1, 2) for f in [*range(40), 40_000, -3] for u in (0, 1)
+    ]
+    rows = raw(spark, *[daily_row(**c) for c in changes], daily_row(date=None, month=2))
+    flows.store_intermediate(rows, places.intermediate)
+    stored = flows.intermediate(spark, places)
+    per_file = stored.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) >= stored.count() // 20 > 1 and max(f["count"] for f in per_file) <= 40
+    want = {}
+    for c in changes:
+        f = c["facility_id"]
+        key = (c["date"], None if f is None else 1 + (f - 1) // 32_768 if f > 0 else 0)
+        group = want.setdefault(key, [set(), 0.0, 0, 0])
+        group[0] |= {c["facility_id"]} - {None}
+        group[1] += c["gross_load_mw"] or 0.0
+        group[2] += c["facility_id"] is None
+        group[3] += c["unit_id"] is None
+    found = stored.groupBy("date", "facility_range").agg(
+        *[F.sum(c) for c in ("facility_count", "total_gross_load_mw", "failures_2", "failures_3")], F.count(F.lit(1))
+    )
+    assert {(r[0], r[1]): tuple(r[2:]) for r in found.collect()} == {k: (len(g[0]), *g[1:], 1) for k, g in want.items()}
+    text = plan(models.int_by_facility_range(models.stg_cems_daily(rows)), "simple")
+    made = [i for i, line in enumerate(text.splitlines()) if "bitmap_construct_agg" in line]
+    moved = [i for i, line in enumerate(text.splitlines()) if "Exchange" in line]
+    assert made and min(moved) > max(made), "bitmaps are made above all shuffles"
